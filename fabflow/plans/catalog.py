@@ -280,3 +280,398 @@ WHERE wafer_id IS NULL OR equipment_id IS NULL OR timestamp IS NULL OR temperatu
    OR yield_rate < 0.5 OR yield_rate > 1.0 OR defect_count < 0 OR defect_count > 30"""))
 def q_dq_row_violations(spark, d):
     return Q.row_level_violations(bronze_raw(spark, d), "native", "bronze")
+
+
+# ---------------------------------------------------------------------------
+# M1: profiles (AGG), filters (FLT), projections (PRJ, SCL), sort/limit (SRT), SET.
+# ---------------------------------------------------------------------------
+from fabflow.functions import scalar as S  # noqa: E402
+from fabflow.operators import filters as FL  # noqa: E402
+from fabflow.operators import profile as P  # noqa: E402
+from fabflow.operators import sorting as SR  # noqa: E402
+
+_PROC = list(C.PROCESS_COLUMNS)
+_RAW = list(C.RAW_COLUMNS)
+_RAW_TYPES = {"timestamp": "timestamp_ntz", "wafer_id": "string", "equipment_id": "string",
+              "temperature_c": "double", "pressure_torr": "double", "yield_rate": "double",
+              "defect_count": "bigint", "is_anomaly": "boolean"}
+_DOUBLES = {c for c, t in _RAW_TYPES.items() if t == "double"}
+
+
+def _v(c: str) -> str:
+    """SQL value with NaN read as missing (doubles), cast to DOUBLE."""
+    if c in _DOUBLES:
+        return f"CASE WHEN NOT isnan({c}) THEN {c} END"
+    return f"CAST({c} AS DOUBLE)"
+
+
+def _describe_sql(subject: str, cols) -> str:
+    parts = []
+    for c in cols:
+        v = _v(c)
+        parts.append(
+            f"SELECT '{c}' AS \"column\", count({v}) AS count, avg({v}) AS mean, stddev_samp({v}) AS std, "
+            f"min({v}) AS min, quantile_cont({v}, 0.25) AS p25, quantile_cont({v}, 0.5) AS p50, "
+            f"quantile_cont({v}, 0.75) AS p75, max({v}) AS max FROM {subject}")
+    return "\nUNION ALL\n".join(parts)
+
+
+_DESC_ROUND = ("mean", "std", "min", "p25", "p50", "p75", "max")
+
+
+def _telemetry(spark, d):
+    return telemetry(spark, d)
+
+
+def _raw(spark, d):
+    return telemetry_raw(spark, d)
+
+
+@register("agg_row_count", sql("SELECT count(*) AS row_count FROM telemetry_raw"))
+def q_agg_row_count(spark, d):
+    return P.row_count(_raw(spark, d))
+
+
+@register("agg_row_count_per_equipment",
+          sql("SELECT equipment_id, count(*) AS row_count FROM telemetry_raw GROUP BY equipment_id"))
+def q_agg_row_count_per_equipment(spark, d):
+    return P.row_count(_raw(spark, d), "equipment_id")
+
+
+@register("agg_count_distinct", sql("SELECT count(DISTINCT wafer_id) AS distinct_count FROM telemetry_raw"))
+def q_agg_count_distinct(spark, d):
+    return P.count_distinct(_raw(spark, d), "wafer_id")
+
+
+@register("agg_column_mean", sql(f"SELECT avg({_v('temperature_c')}) AS mean FROM telemetry_raw", round_cols=("mean",)))
+def q_agg_column_mean(spark, d):
+    return rounded(P.column_mean(_raw(spark, d), "temperature_c"))
+
+
+@register("agg_anomaly_summary", sql("""
+SELECT equipment_id, count(*) FILTER (WHERE is_anomaly) AS anomaly_count,
+       coalesce(CAST(count(*) FILTER (WHERE is_anomaly) AS DOUBLE) / count(*) * 100e0, 0e0) AS anomaly_rate_pct,
+       count(*) - count(*) FILTER (WHERE is_anomaly) AS normal_count
+FROM telemetry_raw GROUP BY equipment_id""", round_cols=("anomaly_rate_pct",)))
+def q_agg_anomaly_summary(spark, d):
+    return rounded(P.anomaly_summary(_raw(spark, d), "equipment_id"))
+
+
+@register("agg_anomaly_stats",
+          sql(_describe_sql("(SELECT * FROM telemetry WHERE is_anomaly) a", _PROC), round_cols=_DESC_ROUND))
+def q_agg_anomaly_stats(spark, d):
+    return rounded(P.anomaly_stats(_telemetry(spark, d)))
+
+
+def _null_sql(cols, nonzero=False):
+    parts = []
+    for c in cols:
+        miss = f"{c} IS NULL OR isnan({c})" if c in _DOUBLES else f"{c} IS NULL"
+        parts.append(f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {miss}) AS null_count, "
+                     f"round(coalesce(CAST(count(*) FILTER (WHERE {miss}) AS DOUBLE) / count(*) * 100e0, 0e0), 2) "
+                     f"AS null_percentage FROM telemetry_raw")
+    body = "\nUNION ALL\n".join(parts)
+    return f"SELECT * FROM ({body}) n WHERE null_count > 0" if nonzero else body
+
+
+@register("agg_null_profile", sql(_null_sql(_RAW)))
+def q_agg_null_profile(spark, d):
+    return P.null_profile(_raw(spark, d))
+
+
+@register("flt_nonzero_null_columns", sql(_null_sql(_RAW, nonzero=True)))
+def q_flt_nonzero_null_columns(spark, d):
+    return P.null_profile(_raw(spark, d), nulls_only=True)
+
+
+_UNION_SQL = "SELECT * FROM telemetry UNION ALL SELECT * FROM telemetry_raw"
+
+
+@register("agg_duplicate_rows", sql(f"""
+SELECT CAST(sum(n - 1) AS BIGINT) AS duplicate_rows,
+       round(coalesce(CAST(sum(n - 1) AS DOUBLE) / CAST(sum(n) AS DOUBLE) * 100e0, 0e0), 2) AS duplicate_pct
+FROM (SELECT count(*) AS n FROM ({_UNION_SQL}) u GROUP BY ALL_COLUMNS) g""".replace(
+    "GROUP BY ALL_COLUMNS", "GROUP BY " + ", ".join(_RAW))))
+def q_agg_duplicate_rows(spark, d):
+    return P.duplicate_row_profile(SR.append_batches([_telemetry(spark, d), _raw(spark, d)]))
+
+
+@register("agg_duplicate_keys", sql("""
+SELECT CAST(sum(n - 1) AS BIGINT) AS duplicate_keys FROM (SELECT count(*) AS n FROM telemetry_raw GROUP BY wafer_id) g"""))
+def q_agg_duplicate_keys(spark, d):
+    return P.duplicate_key_profile(_raw(spark, d))
+
+
+@register("agg_describe_numeric", sql(_describe_sql("telemetry_raw", _PROC), round_cols=_DESC_ROUND))
+def q_agg_describe_numeric(spark, d):
+    return rounded(P.describe_numeric(_raw(spark, d)))
+
+
+_LI_NUM = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@register("agg_describe_lineitem", sql("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", count(v) AS count, avg(v) AS mean, stddev_samp(v) AS std, min(v) AS min, "
+    f"quantile_cont(v, 0.25) AS p25, quantile_cont(v, 0.5) AS p50, quantile_cont(v, 0.75) AS p75, max(v) AS max "
+    f"FROM (SELECT CASE WHEN NOT isnan(CAST({c} AS DOUBLE)) THEN CAST({c} AS DOUBLE) END AS v FROM lineitem) x"
+    for c in _LI_NUM), round_cols=_DESC_ROUND))
+def q_agg_describe_lineitem(spark, d):
+    return rounded(P.describe_numeric(read_table(spark, d, "lineitem")))
+
+
+_CAT = ["timestamp", "wafer_id", "equipment_id", "is_anomaly"]
+
+
+def _categorical_sql(subject, cols):
+    vals = "\nUNION ALL\n".join(f"SELECT '{c}' AS col, CAST({c} AS VARCHAR) AS value FROM {subject}" for c in cols)
+    return f"""
+SELECT col AS "column", CAST(sum(n) AS BIGINT) AS count, count(*) AS "unique",
+       arg_min(value, (-n, value)) AS top, CAST(max(n) AS BIGINT) AS freq
+FROM (SELECT col, value, count(*) AS n FROM ({vals}) v WHERE value IS NOT NULL GROUP BY col, value) g
+GROUP BY col"""
+
+
+@register("agg_describe_all", sql(f"""
+SELECT "column", count, NULL::BIGINT AS "unique", NULL::VARCHAR AS top, NULL::BIGINT AS freq,
+       mean, std, min, p25, p50, p75, max FROM ({_describe_sql('telemetry_raw', _PROC)}) n
+UNION ALL
+SELECT "column", count, "unique", top, freq, NULL, NULL, NULL, NULL, NULL, NULL, NULL
+FROM ({_categorical_sql('telemetry_raw', _CAT)}) c""", round_cols=_DESC_ROUND))
+def q_agg_describe_all(spark, d):
+    return rounded(P.describe_all(_raw(spark, d)))
+
+
+@register("agg_shape", sql(f"""
+SELECT count(*) AS "rows", CAST(8 AS BIGINT) AS "columns", count(*) * 8 AS elements,
+       '{",".join(_RAW)}' AS column_names FROM telemetry_raw"""))
+def q_agg_shape(spark, d):
+    return P.shape(_raw(spark, d))
+
+
+@register("agg_table_info", sql("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", count({c}) AS non_null_count, '{t}' AS dtype FROM telemetry_raw"
+    for c, t in _RAW_TYPES.items())))
+def q_agg_table_info(spark, d):
+    return P.table_info(_raw(spark, d))
+
+
+@register("agg_unique_counts", sql("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", count(DISTINCT {('CASE WHEN NOT isnan(' + c + ') THEN ' + c + ' END') if c in _DOUBLES else c}) "
+    f"AS unique_count FROM telemetry_raw" for c in _RAW)))
+def q_agg_unique_counts(spark, d):
+    return P.unique_counts(_raw(spark, d))
+
+
+@register("agg_value_counts", sql("""
+SELECT 'equipment_id' AS "column", CAST(equipment_id AS VARCHAR) AS value, count(*) AS count
+FROM telemetry_raw WHERE equipment_id IS NOT NULL GROUP BY equipment_id
+UNION ALL
+SELECT 'is_anomaly', CAST(is_anomaly AS VARCHAR), count(*) FROM telemetry_raw WHERE is_anomaly IS NOT NULL GROUP BY is_anomaly"""))
+def q_agg_value_counts(spark, d):
+    return P.value_counts(_raw(spark, d))
+
+
+@register("agg_correlation_matrix", sql("\nUNION ALL\n".join(
+    f"SELECT '{a}' AS column_a, '{b}' AS column_b, round(corr({_v(a)}, {_v(b)}), 3) AS correlation FROM telemetry_raw"
+    for a in _PROC for b in _PROC)))
+def q_agg_correlation_matrix(spark, d):
+    return P.correlation_matrix(_raw(spark, d))
+
+
+def _bytes_sql():
+    parts = []
+    for c, t in _RAW_TYPES.items():
+        w = P.FIXED_WIDTH.get(t)
+        b = f"count({c}) * {w}" if w else f"coalesce(sum(strlen({c})), 0)"
+        parts.append(f"SELECT '{c}' AS \"column\", CAST({b} AS BIGINT) AS bytes FROM telemetry_raw")
+    return "SELECT *, round(bytes / (1024e0 * 1024e0), 2) AS megabytes FROM (" + "\nUNION ALL\n".join(parts) + ") b"
+
+
+@register("agg_column_bytes", sql(_bytes_sql()))
+def q_agg_column_bytes(spark, d):
+    return P.column_bytes(_raw(spark, d))
+
+
+@register("agg_distribution_stats", sql("""
+SELECT count(v) AS count, avg(v) AS mean, stddev_pop(v) AS std,
+       avg(v) - stddev_pop(v) AS band1_low, avg(v) + stddev_pop(v) AS band1_high,
+       avg(v) - 2 * stddev_pop(v) AS band2_low, avg(v) + 2 * stddev_pop(v) AS band2_high, min(v) AS min, max(v) AS max
+FROM (SELECT temperature_c AS v FROM telemetry) t""",
+          round_cols=("mean", "std", "band1_low", "band1_high", "band2_low", "band2_high", "min", "max")))
+def q_agg_distribution_stats(spark, d):
+    return rounded(P.distribution_stats(_telemetry(spark, d), "temperature_c"))
+
+
+@register("agg_mode_value", sql("""
+SELECT defect_count AS mode, n AS mode_count FROM (
+  SELECT defect_count, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, defect_count) AS rk
+  FROM telemetry WHERE defect_count IS NOT NULL GROUP BY defect_count) g WHERE rk = 1"""))
+def q_agg_mode_value(spark, d):
+    return P.mode_value(_telemetry(spark, d), "defect_count")
+
+
+@register("agg_mode_per_equipment", sql("""
+SELECT equipment_id, defect_count AS mode, n AS mode_count FROM (
+  SELECT equipment_id, defect_count, count(*) AS n,
+         row_number() OVER (PARTITION BY equipment_id ORDER BY count(*) DESC, defect_count) AS rk
+  FROM telemetry_raw WHERE defect_count IS NOT NULL GROUP BY equipment_id, defect_count) g WHERE rk = 1"""))
+def q_agg_mode_per_equipment(spark, d):
+    return P.mode_value(_raw(spark, d), "defect_count", "equipment_id")
+
+
+@register("agg_frequency_distribution", sql("""
+SELECT defect_count, count(*) AS count, count(*) * 100e0 / (SELECT count(*) FROM telemetry) AS percent
+FROM telemetry GROUP BY defect_count""", round_cols=("percent",)))
+def q_agg_frequency_distribution(spark, d):
+    return rounded(P.frequency_distribution(_telemetry(spark, d), "defect_count"))
+
+
+def _hist_sql(col, bins, lo=None, hi=None):
+    v = _v(col)
+    if lo is None:
+        bounds = f"""SELECT CASE WHEN mn = mx THEN mn - 0.5 ELSE mn END AS lo, CASE WHEN mn = mx THEN mx + 0.5 ELSE mx END AS hi
+FROM (SELECT min({v}) AS mn, max({v}) AS mx FROM telemetry) s"""
+    else:
+        bounds = f"SELECT {float(lo)}::DOUBLE AS lo, {float(hi)}::DOUBLE AS hi"
+    return sql(f"""
+SELECT CAST(r.i AS INTEGER) AS bin, b.lo + CAST(r.i AS INTEGER) * ((b.hi - b.lo) / {float(bins)}) AS lower,
+       b.lo + (CAST(r.i AS INTEGER) + 1) * ((b.hi - b.lo) / {float(bins)}) AS upper, CAST(coalesce(c.n, 0) AS BIGINT) AS count
+FROM range({bins}) r(i) CROSS JOIN b
+LEFT JOIN (SELECT least(floor((v - lo) / ((hi - lo) / {float(bins)})), {bins - 1}) AS bin, count(*) AS n
+           FROM (SELECT {v} AS v FROM telemetry) t, b WHERE v >= lo AND v <= hi GROUP BY 1) c ON c.bin = r.i""",
+               {"b": bounds}, round_cols=("lower", "upper"))
+
+
+@register("agg_histogram", _hist_sql("temperature_c", 50))
+def q_agg_histogram(spark, d):
+    return rounded(P.histogram(_telemetry(spark, d), "temperature_c", 50))
+
+
+@register("agg_histogram_unit_bins", _hist_sql("defect_count", 11, 0, 11))
+def q_agg_histogram_unit_bins(spark, d):
+    return rounded(P.histogram(_telemetry(spark, d), "defect_count", 11, 0, 11))
+
+
+@register("agg_min_max_anomalies", sql(
+    "SELECT min(temperature_c) AS min_value, max(temperature_c) AS max_value FROM telemetry WHERE is_anomaly"))
+def q_agg_min_max_anomalies(spark, d):
+    return P.min_max(FL.filter_anomalies(_telemetry(spark, d)), "temperature_c")
+
+
+@register("flt_anomalies", sql("SELECT * FROM telemetry WHERE is_anomaly"))
+def q_flt_anomalies(spark, d):
+    return FL.filter_anomalies(_telemetry(spark, d))
+
+
+@register("flt_null", sql("SELECT * FROM telemetry_raw WHERE temperature_c IS NULL"))
+def q_flt_null(spark, d):
+    return FL.filter_null(_raw(spark, d), "temperature_c")
+
+
+@register("flt_not_in_set", sql(
+    "SELECT * FROM telemetry_raw WHERE equipment_id NOT IN ('EQ001', 'EQ002', 'EQ003', 'EQ004')"))
+def q_flt_not_in_set(spark, d):
+    return FL.filter_not_in_set(_raw(spark, d), "equipment_id", C.VALID_EQUIPMENT)
+
+
+@register("flt_out_of_range", sql("SELECT * FROM telemetry_raw WHERE temperature_c < 330 OR temperature_c > 380"))
+def q_flt_out_of_range(spark, d):
+    return FL.filter_out_of_range(_raw(spark, d), "temperature_c", C.TEMP_MIN, C.TEMP_MAX)
+
+
+@register("prj_numeric_projection", sql("SELECT temperature_c, pressure_torr, yield_rate, defect_count FROM telemetry_raw"))
+def q_prj_numeric_projection(spark, d):
+    return FL.numeric_projection(_raw(spark, d))
+
+
+@register("prj_round_values", sql(
+    "SELECT round(temperature_c, 3) AS temperature_c, round(pressure_torr, 3) AS pressure_torr, "
+    "round(yield_rate, 3) AS yield_rate, defect_count FROM telemetry"))
+def q_prj_round_values(spark, d):
+    return FL.round_values(FL.column_subset(_telemetry(spark, d)), 3)
+
+
+@register("prj_scalar_functions", sql("""
+SELECT wafer_id,
+       CAST(substr(wafer_id, 2) AS BIGINT) AS wafer_ordinal,
+       printf('W%08d', CAST(substr(wafer_id, 2) AS BIGINT) * 1000) AS wide_wafer_id,
+       concat('EQ00', CAST(CAST(substr(wafer_id, 2) AS BIGINT) % 4 + 1 AS VARCHAR)) AS pattern_equipment,
+       350e0 + CAST(substr(wafer_id, 2) AS BIGINT) % 10 AS pattern_temperature,
+       strftime(timestamp, '%Y-%m-%dT%H:%M:%S.%f') AS iso_time,
+       strftime(timestamp, '%Y%m%d') AS archive_day,
+       CAST(timestamp AS DATE) AS event_date,
+       CAST(hour(timestamp) AS INTEGER) AS event_hour,
+       0.80e0 + 0.19e0 * yield_rate AS rescaled_yield,
+       coalesce(CAST(defect_count AS DOUBLE) / nullif(CAST(CAST(substr(wafer_id, 2) AS BIGINT) % 7 AS DOUBLE), 0) * 100e0, 0e0) AS defect_pct,
+       timestamp - to_seconds(CAST(substr(wafer_id, 2) AS BIGINT)) AS shifted_time,
+       (temperature_c BETWEEN 340 AND 360) OR is_anomaly AS in_band_or_flagged
+FROM telemetry""", round_cols=("rescaled_yield", "defect_pct")))
+def q_prj_scalar_functions(spark, d):
+    t = _telemetry(spark, d)
+    n = S.wafer_ordinal("wafer_id")
+    return rounded(t.select(
+        "wafer_id",
+        n.alias("wafer_ordinal"),
+        S.format_wafer_id(n * 1000).alias("wide_wafer_id"),
+        F.concat(F.lit("EQ00"), (n % 4 + 1).cast("string")).alias("pattern_equipment"),
+        (F.lit(350.0) + n % 10).alias("pattern_temperature"),
+        S.iso_format("timestamp").alias("iso_time"),
+        S.archive_day("timestamp").alias("archive_day"),
+        F.to_date("timestamp").alias("event_date"),
+        F.hour("timestamp").alias("event_hour"),
+        S.affine("yield_rate", C.YIELD_OFFSET, C.YIELD_SCALE).alias("rescaled_yield"),
+        S.safe_percentage("defect_count", n % 7).alias("defect_pct"),
+        (F.col("timestamp") - F.make_dt_interval(secs=n)).alias("shifted_time"),
+        (F.col("temperature_c").between(340, 360) | F.col("is_anomaly")).alias("in_band_or_flagged"),
+    ))
+
+
+@register("srt_head_rows", sql("SELECT * FROM telemetry_raw ORDER BY timestamp, wafer_id LIMIT 5"))
+def q_srt_head_rows(spark, d):
+    return SR.head_rows(_raw(spark, d), 5)
+
+
+@register("srt_tail_rows", sql(
+    "SELECT * FROM (SELECT * FROM telemetry_raw ORDER BY timestamp DESC, wafer_id DESC LIMIT 5) t ORDER BY timestamp, wafer_id"))
+def q_srt_tail_rows(spark, d):
+    return SR.tail_rows(_raw(spark, d), 5)
+
+
+@register("srt_head_rows_per_group", sql("""
+SELECT timestamp, wafer_id, equipment_id, temperature_c, pressure_torr, yield_rate, defect_count, is_anomaly FROM (
+  SELECT *, row_number() OVER (PARTITION BY equipment_id ORDER BY timestamp, wafer_id) AS rn FROM telemetry_raw) t
+WHERE rn <= 5"""))
+def q_srt_head_rows_per_group(spark, d):
+    return SR.head_rows(_raw(spark, d), 5, group="equipment_id")
+
+
+@register("srt_tail_rows_per_group", sql("""
+SELECT timestamp, wafer_id, equipment_id, temperature_c, pressure_torr, yield_rate, defect_count, is_anomaly FROM (
+  SELECT *, row_number() OVER (PARTITION BY equipment_id ORDER BY timestamp DESC, wafer_id DESC) AS rn FROM telemetry_raw) t
+WHERE rn <= 5"""))
+def q_srt_tail_rows_per_group(spark, d):
+    return SR.tail_rows(_raw(spark, d), 5, group="equipment_id")
+
+
+@register("srt_sample_rows", sql(
+    "SELECT * FROM telemetry ORDER BY md5(concat('42:', wafer_id)), wafer_id LIMIT 5"))
+def q_srt_sample_rows(spark, d):
+    return SR.sample_rows(_telemetry(spark, d), 5)
+
+
+@register("srt_exact_sample", sql("""
+SELECT timestamp, wafer_id, equipment_id, temperature_c, pressure_torr, yield_rate, defect_count, is_anomaly FROM (
+  SELECT *, row_number() OVER (ORDER BY md5(concat('42:', wafer_id)), wafer_id) AS rn FROM telemetry) t
+WHERE rn <= floor((SELECT count(*) FROM telemetry) * 0.01e0)"""))
+def q_srt_exact_sample(spark, d):
+    return SR.exact_sample(_telemetry(spark, d), 0.01)
+
+
+@register("srt_sort_by_size", sql(_bytes_sql()))
+def q_srt_sort_by_size(spark, d):
+    return SR.sort_by_size(P.column_bytes(_raw(spark, d)), "bytes")
+
+
+@register("set_append_batches", sql(_UNION_SQL))
+def q_set_append_batches(spark, d):
+    return SR.append_batches([_telemetry(spark, d), _raw(spark, d)])
