@@ -57,13 +57,13 @@ BASE_CTES = {
 }
 
 
-def sql(body: str, ctes: dict | None = None, round_cols: tuple = ()) -> str:
-    """Oracle text: base views + extra CTEs + body, doubles rounded to 6 places."""
+def sql(body: str, ctes: dict | None = None, round_cols: tuple = (), digits: int = 6) -> str:
+    """Oracle text: base views + extra CTEs + body, doubles rounded to ``digits`` places."""
     allc = dict(BASE_CTES)
     allc.update(ctes or {})
     with_ = ",\n".join(f"{k} AS (\n{v}\n)" for k, v in allc.items())
     if round_cols:
-        rep = ", ".join(f"round({c}, 6) AS {c}" for c in round_cols)
+        rep = ", ".join(f"round({c}, {digits}) AS {c}" for c in round_cols)
         body = f"SELECT * REPLACE ({rep}) FROM (\n{body}\n) _q"
     return f"WITH {with_}\n{body}"
 
@@ -317,6 +317,7 @@ def _describe_sql(subject: str, cols) -> str:
 
 
 _DESC_ROUND = ("mean", "std", "min", "p25", "p50", "p75", "max")
+_READINGS = ("temperature_c", "pressure_torr", "yield_rate")
 
 
 def _telemetry(spark, d):
@@ -675,3 +676,263 @@ def q_srt_sort_by_size(spark, d):
 @register("set_append_batches", sql(_UNION_SQL))
 def q_set_append_batches(spark, d):
     return SR.append_batches([_telemetry(spark, d), _raw(spark, d)])
+
+
+# ---------------------------------------------------------------------------
+# M3/M4: process control (SPC), windows (WIN), joins (JN), medallion (MED).
+# ---------------------------------------------------------------------------
+from fabflow.operators import dedup as DD  # noqa: E402
+from fabflow.operators import merge as MG  # noqa: E402
+from fabflow.operators import spc as SPC  # noqa: E402
+from fabflow.operators import windows as W  # noqa: E402
+
+_LIMITS_SQL = """SELECT avg(temperature_c) AS mean, stddev_pop(temperature_c) AS std,
+       avg(temperature_c) + 3e0 * stddev_pop(temperature_c) AS ucl,
+       avg(temperature_c) - 3e0 * stddev_pop(temperature_c) AS lcl FROM telemetry"""
+_LIMITS_EQ_SQL = """SELECT equipment_id, avg(temperature_c) AS mean, stddev_pop(temperature_c) AS std,
+       avg(temperature_c) + 3e0 * stddev_pop(temperature_c) AS ucl,
+       avg(temperature_c) - 3e0 * stddev_pop(temperature_c) AS lcl FROM telemetry GROUP BY equipment_id"""
+
+
+@register("spc_control_limits", sql(_LIMITS_SQL, round_cols=("mean", "std", "ucl", "lcl")))
+def q_spc_control_limits(spark, d):
+    return rounded(SPC.control_limits(_telemetry(spark, d), "temperature_c"))
+
+
+@register("spc_control_limits_per_equipment", sql(_LIMITS_EQ_SQL, round_cols=("mean", "std", "ucl", "lcl")))
+def q_spc_control_limits_per_equipment(spark, d):
+    return rounded(SPC.control_limits(_telemetry(spark, d), "temperature_c", "equipment_id"))
+
+
+@register("spc_detect_3sigma", sql("""
+SELECT t.*, l.ucl, l.lcl, TRUE AS beyond_limits FROM telemetry t, lim l
+WHERE t.temperature_c > l.ucl OR t.temperature_c < l.lcl""", {"lim": _LIMITS_SQL}, round_cols=_READINGS + ("ucl", "lcl")))
+def q_spc_detect_3sigma(spark, d):
+    t = _telemetry(spark, d)
+    return rounded(SPC.detect_3sigma(t, t, "temperature_c"))
+
+
+@register("spc_detection_summary", sql("""
+SELECT count(*) AS total, count(*) FILTER (WHERE b) AS detected,
+       coalesce(CAST(count(*) FILTER (WHERE b) AS DOUBLE) / count(*) * 100e0, 0e0) AS rate_pct,
+       min(CASE WHEN b THEN temperature_c END) AS detected_min, max(CASE WHEN b THEN temperature_c END) AS detected_max
+FROM (SELECT t.temperature_c, coalesce(t.temperature_c > l.ucl OR t.temperature_c < l.lcl, FALSE) AS b
+      FROM telemetry_raw t, lim l) x""", {"lim": _LIMITS_SQL}, round_cols=("rate_pct",)))
+def q_spc_detection_summary(spark, d):
+    return rounded(SPC.detection_summary(_raw(spark, d), _telemetry(spark, d), "temperature_c"))
+
+
+@register("spc_detection_per_equipment", sql("""
+SELECT equipment_id, count(*) AS total, count(*) FILTER (WHERE b) AS detected,
+       coalesce(CAST(count(*) FILTER (WHERE b) AS DOUBLE) / count(*) * 100e0, 0e0) AS rate_pct,
+       min(CASE WHEN b THEN temperature_c END) AS detected_min, max(CASE WHEN b THEN temperature_c END) AS detected_max
+FROM (SELECT t.equipment_id, t.temperature_c,
+             coalesce(t.temperature_c > l.ucl OR t.temperature_c < l.lcl, FALSE) AS b
+      FROM telemetry_raw t LEFT JOIN lim l ON t.equipment_id = l.equipment_id) x
+GROUP BY equipment_id""", {"lim": _LIMITS_EQ_SQL}, round_cols=("rate_pct",)))
+def q_spc_detection_per_equipment(spark, d):
+    return rounded(SPC.detection_summary(_raw(spark, d), _telemetry(spark, d), "temperature_c", "equipment_id"))
+
+
+_FIRST200 = "(SELECT *, row_number() OVER (ORDER BY timestamp, wafer_id) AS point FROM telemetry ORDER BY timestamp, wafer_id LIMIT 200)"
+
+
+@register("spc_fixed_control_chart", sql(f"""
+SELECT CAST(point AS INTEGER) AS point, wafer_id, temperature_c AS value, 350e0 AS target, 345e0 AS band_low,
+       355e0 AS band_high, 335e0 AS lcl, 365e0 AS ucl,
+       CASE WHEN temperature_c IS NULL THEN 'missing' WHEN temperature_c > 365 THEN 'above_ucl'
+            WHEN temperature_c < 335 THEN 'below_lcl'
+            WHEN temperature_c > 355 OR temperature_c < 345 THEN 'outside_1sigma' ELSE 'within_1sigma' END AS zone
+FROM {_FIRST200} s"""))
+def q_spc_fixed_control_chart(spark, d):
+    return SPC.fixed_control_chart(_telemetry(spark, d))
+
+
+@register("spc_target_line_series", sql(f"""
+SELECT CAST(point AS INTEGER) AS point, wafer_id, yield_rate, yield_rate - 0.92e0 AS yield_vs_target,
+       defect_count, defect_count - 2e0 AS defects_vs_expected
+FROM {_FIRST200} s""", round_cols=("yield_rate", "yield_vs_target")))
+def q_spc_target_line_series(spark, d):
+    return rounded(SPC.target_line_series(_telemetry(spark, d)))
+
+
+@register("spc_expected_vs_actual", sql("""
+SELECT "column", statistic, observed, expected, observed - expected AS difference FROM (
+  SELECT 'temperature_c' AS "column", 'mean' AS statistic, avg(temperature_c) AS observed, 350e0 AS expected FROM telemetry
+  UNION ALL SELECT 'temperature_c', 'std', stddev_pop(temperature_c), 5e0 FROM telemetry
+  UNION ALL SELECT 'yield_rate', 'mean', avg(yield_rate), 0.92e0 FROM telemetry
+  UNION ALL SELECT 'yield_rate', 'std', stddev_pop(yield_rate), NULL FROM telemetry
+  UNION ALL SELECT 'defect_count', 'mean', avg(CAST(defect_count AS DOUBLE)), 2e0 FROM telemetry
+  UNION ALL SELECT 'defect_count', 'std', stddev_pop(CAST(defect_count AS DOUBLE)), sqrt(2e0) FROM telemetry) x""",
+          round_cols=("observed", "expected", "difference")))
+def q_spc_expected_vs_actual(spark, d):
+    return rounded(SPC.expected_vs_actual(_telemetry(spark, d)))
+
+
+@register("spc_poisson_chi_square", sql("""
+SELECT sum(CASE WHEN e > 0 THEN (o - e) * (o - e) / e ELSE 0e0 END) AS chi_square,
+       count(*) - 2 AS degrees_of_freedom, count(*) AS cells
+FROM (SELECT c.k, CAST(coalesce(ob.n, 0) AS DOUBLE) AS o,
+             (CASE WHEN c.k = 20 THEN 1e0 - (SELECT sum(exp(-lam + k2 * ln(lam) - ln(CAST(factorial(CAST(k2 AS INTEGER)) AS DOUBLE))))
+                                               FROM range(20) r2(k2), stats)
+                   ELSE exp(-lam + c.k * ln(lam) - ln(CAST(factorial(CAST(c.k AS INTEGER)) AS DOUBLE))) END) * total AS e
+      FROM (SELECT i AS k FROM range(21) r(i)) c CROSS JOIN stats
+      LEFT JOIN (SELECT least(defect_count, 20) AS k, count(*) AS n FROM telemetry
+                 WHERE defect_count IS NOT NULL GROUP BY 1) ob ON ob.k = c.k) x""",
+          {"stats": "SELECT avg(CAST(defect_count AS DOUBLE)) AS lam, count(defect_count) AS total FROM telemetry"},
+          round_cols=("chi_square",)))
+def q_spc_poisson_chi_square(spark, d):
+    return rounded(SPC.poisson_chi_square(_telemetry(spark, d)))
+
+
+@register("spc_normal_ks_test")
+def q_spc_normal_ks_test(spark, d):
+    # Statistic from Spark ML's distributed one-sample test: rows-only check.
+    return SPC.normal_ks_test(_telemetry(spark, d), "temperature_c")
+
+
+_TYPE_SQL = """CASE WHEN temperature_c >= 365 THEN 'temp_spike' WHEN temperature_c <= 335 THEN 'temp_drop'
+     WHEN abs(pressure_torr - 10) >= 3 THEN 'pressure_fluctuation'
+     WHEN defect_count >= 10 AND yield_rate BETWEEN 0.5 AND 0.7 THEN 'defect_burst' ELSE 'none' END"""
+
+
+@register("spc_classify_anomaly_type", sql(f"SELECT *, {_TYPE_SQL} AS anomaly_type FROM telemetry"))
+def q_spc_classify_anomaly_type(spark, d):
+    return SPC.classify_anomaly_type(_telemetry(spark, d))
+
+
+@register("spc_anomaly_type_counts", sql(
+    f"SELECT {_TYPE_SQL} AS anomaly_type, is_anomaly, count(*) AS n FROM telemetry GROUP BY 1, 2"))
+def q_spc_anomaly_type_counts(spark, d):
+    return (SPC.classify_anomaly_type(_telemetry(spark, d))
+            .groupBy("anomaly_type", "is_anomaly").agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("spc_anomaly_score", sql("""
+SELECT t.*, CASE WHEN s.sd > 0 THEN (t.temperature_c - s.mu) / s.sd END AS temperature_c_zscore
+FROM telemetry_raw t LEFT JOIN (SELECT equipment_id, avg(temperature_c) AS mu, stddev_samp(temperature_c) AS sd
+                                FROM telemetry_raw GROUP BY equipment_id) s
+ON t.equipment_id = s.equipment_id""", round_cols=_READINGS + ("temperature_c_zscore",)))
+def q_spc_anomaly_score(spark, d):
+    return rounded(SPC.anomaly_score(_raw(spark, d), "temperature_c", "equipment_id"))
+
+
+@register("spc_detector_quality", sql("""
+SELECT count(*) FILTER (WHERE p AND t) AS true_positive, count(*) FILTER (WHERE p AND NOT t) AS false_positive,
+       count(*) FILTER (WHERE NOT p AND t) AS false_negative, count(*) FILTER (WHERE NOT p AND NOT t) AS true_negative,
+       CAST(count(*) FILTER (WHERE p AND t) AS DOUBLE) / nullif(count(*) FILTER (WHERE p), 0) AS precision,
+       CAST(count(*) FILTER (WHERE p AND t) AS DOUBLE) / nullif(count(*) FILTER (WHERE t), 0) AS recall
+FROM (SELECT coalesce(temperature_c > ucl OR temperature_c < lcl, FALSE) AS p, coalesce(is_anomaly, FALSE) AS t
+      FROM telemetry, lim) x""", {"lim": _LIMITS_SQL}, round_cols=("precision", "recall")))
+def q_spc_detector_quality(spark, d):
+    t = _telemetry(spark, d)
+    return rounded(SPC.detector_quality(t, t, "temperature_c"))
+
+
+_LATEST_SQL = """SELECT timestamp, wafer_id, equipment_id, temperature_c, pressure_torr, yield_rate, defect_count, is_anomaly{extra}
+FROM (SELECT *, row_number() OVER (PARTITION BY wafer_id ORDER BY timestamp DESC NULLS LAST,
+              equipment_id DESC NULLS LAST, temperature_c DESC NULLS LAST, pressure_torr DESC NULLS LAST,
+              yield_rate DESC NULLS LAST, defect_count DESC NULLS LAST, is_anomaly DESC NULLS LAST{extra_order}) AS rn
+      FROM {src}) d WHERE rn = 1"""
+
+
+@register("win_dedup_latest", sql(_LATEST_SQL.format(extra="", extra_order="", src="telemetry_raw")))
+def q_win_dedup_latest(spark, d):
+    return DD.dedup_latest(_raw(spark, d), "wafer_id", "timestamp")
+
+
+@register("win_rolling_mean", sql("""
+SELECT *, avg(temperature_c) OVER (PARTITION BY equipment_id ORDER BY timestamp, wafer_id
+                                   ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS temperature_c_rolling_mean
+FROM telemetry_raw""", round_cols=_READINGS + ("temperature_c_rolling_mean",)))
+def q_win_rolling_mean(spark, d):
+    return rounded(W.rolling_mean(_raw(spark, d), "temperature_c", rows=5, bucket_seconds=3600))
+
+
+@register("win_defect_trend", sql("""
+SELECT equipment_id, date, daily_defects, wafers,
+       daily_defects - lag(daily_defects) OVER (PARTITION BY equipment_id ORDER BY date) AS change
+FROM (SELECT equipment_id, CAST(timestamp AS DATE) AS date, CAST(sum(defect_count) AS BIGINT) AS daily_defects,
+             count(*) AS wafers FROM telemetry_raw GROUP BY 1, 2) g"""))
+def q_win_defect_trend(spark, d):
+    return W.daily_defect_trend(_raw(spark, d))
+
+
+@register("win_first_n_series", sql(f"SELECT * REPLACE (CAST(point AS INTEGER) AS point) FROM {_FIRST200} s"))
+def q_win_first_n_series(spark, d):
+    return SPC.first_n(_telemetry(spark, d), 200)
+
+
+@register("win_share_of_total", sql("""
+SELECT equipment_id, count(*) AS count, count(*) / (SELECT count(*) FROM telemetry_raw) AS share
+FROM telemetry_raw GROUP BY equipment_id""", round_cols=("share",)))
+def q_win_share_of_total(spark, d):
+    return rounded(W.share_of_total(_raw(spark, d), "equipment_id"))
+
+
+@register("jn_merge_upsert", sql(_LATEST_SQL.format(
+    extra=", date", extra_order=", date DESC NULLS LAST",
+    src="(SELECT * FROM bronze_clean UNION ALL SELECT * FROM bronze_raw) u")))
+def q_jn_merge_upsert(spark, d):
+    return MG.merge_latest(bronze_clean(spark, d), bronze_raw(spark, d))
+
+
+@register("jn_apply_baseline_limits", sql("""
+SELECT t.*, l.ucl, l.lcl, coalesce(t.temperature_c > l.ucl OR t.temperature_c < l.lcl, FALSE) AS beyond_limits
+FROM telemetry_raw t LEFT JOIN lim l ON t.equipment_id = l.equipment_id""",
+          {"lim": _LIMITS_EQ_SQL}, round_cols=_READINGS + ("ucl", "lcl")))
+def q_jn_apply_baseline_limits(spark, d):
+    return rounded(SPC.apply_limits(_raw(spark, d), _telemetry(spark, d), "temperature_c", "equipment_id")
+                   .select(*_RAW, "ucl", "lcl", "beyond_limits"))
+
+
+@register("jn_duplicate_rows_of_key", sql("""
+SELECT * FROM telemetry_raw WHERE wafer_id IN (SELECT wafer_id FROM telemetry_raw GROUP BY wafer_id HAVING count(*) > 1)"""))
+def q_jn_duplicate_rows_of_key(spark, d):
+    return DD.duplicate_rows_of_key(_raw(spark, d)).select(*_RAW)
+
+
+@register("med_bronze", sql("SELECT * FROM bronze_raw"))
+def q_med_bronze(spark, d):
+    return bronze_raw(spark, d)
+
+
+_SILVER_OUT = [c for c in C.SILVER_COLUMNS if c != "silver_ingestion_time"]
+
+
+@register("med_silver", sql("SELECT * FROM silver_raw", round_cols=_READINGS + ("temperature_deviation_c", "pressure_deviation_torr")))
+def q_med_silver(spark, d):
+    return rounded(M.without_ingestion_time(silver_raw(spark, d)))
+
+
+@register("med_yield_by_shift", sql("""
+SELECT date, shift_number, count(*) AS wafers, avg(CAST(yield_rate AS DECIMAL(18,6))) AS avg_yield, CAST(sum(defect_count) AS BIGINT) AS total_defects,
+       count(*) FILTER (WHERE quality_flag = 'PASS') AS passed
+FROM silver_raw GROUP BY date, shift_number""", round_cols=("avg_yield",)))
+def q_med_yield_by_shift(spark, d):
+    return rounded(M.yield_by_shift(silver_raw(spark, d)))
+
+
+@register("med_equipment_kpis", sql("""
+SELECT equipment_id, date, count(*) AS wafers, avg(CAST(temperature_c AS DECIMAL(18,6))) AS avg_temperature_c,
+       avg(CAST(pressure_torr AS DECIMAL(18,6))) AS avg_pressure_torr, avg(CAST(yield_rate AS DECIMAL(18,6))) AS avg_yield,
+       CAST(sum(defect_count) AS BIGINT) AS total_defects, count(*) FILTER (WHERE is_anomaly) AS anomalies,
+       avg(quality_score) AS avg_quality_score
+FROM silver_raw GROUP BY equipment_id, date""",
+          round_cols=("avg_temperature_c", "avg_pressure_torr", "avg_yield", "avg_quality_score")))
+def q_med_equipment_kpis(spark, d):
+    return rounded(M.equipment_kpis(silver_raw(spark, d)))
+
+
+@register("med_ml_features", sql("""
+SELECT timestamp, wafer_id, equipment_id, temperature_c, pressure_torr, yield_rate, defect_count, is_anomaly, date,
+       avg(temperature_c) OVER (PARTITION BY equipment_id ORDER BY timestamp, wafer_id
+                                ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS temperature_c_rolling_mean,
+       avg(yield_rate) OVER (PARTITION BY equipment_id ORDER BY timestamp, wafer_id
+                             ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS yield_rate_rolling_mean,
+       CASE WHEN s.sd > 0 THEN (temperature_c - s.mu) / s.sd END AS temperature_c_zscore
+FROM silver_raw t LEFT JOIN (SELECT equipment_id AS eq, avg(temperature_c) AS mu, stddev_samp(temperature_c) AS sd
+                             FROM silver_raw GROUP BY equipment_id) s ON t.equipment_id = s.eq""",
+          round_cols=_READINGS + ("temperature_c_rolling_mean", "yield_rate_rolling_mean", "temperature_c_zscore")))
+def q_med_ml_features(spark, d):
+    return rounded(M.ml_features(silver_raw(spark, d)))

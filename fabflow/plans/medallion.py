@@ -76,12 +76,17 @@ def without_ingestion_time(df: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# Gold.
+# Gold. KPI means are taken over DECIMAL(18,6) readings: the sum is exact, so
+# a KPI does not change with partitioning or summation order between reruns.
 # ---------------------------------------------------------------------------
+def exact_mean(c: str) -> Column:
+    return F.avg(F.col(c).cast("decimal(18,6)")).cast("double")
+
+
 def yield_by_shift(silver_df: DataFrame) -> DataFrame:
     return (silver_df.groupBy("date", "shift_number")
             .agg(F.count(F.lit(1)).alias("wafers"),
-                 F.avg("yield_rate").alias("avg_yield"),
+                 exact_mean("yield_rate").alias("avg_yield"),
                  F.sum("defect_count").alias("total_defects"),
                  F.count_if(F.col("quality_flag") == "PASS").alias("passed")))
 
@@ -89,9 +94,19 @@ def yield_by_shift(silver_df: DataFrame) -> DataFrame:
 def equipment_kpis(silver_df: DataFrame) -> DataFrame:
     return (silver_df.groupBy("equipment_id", "date")
             .agg(F.count(F.lit(1)).alias("wafers"),
-                 F.avg("temperature_c").alias("avg_temperature_c"),
-                 F.avg("pressure_torr").alias("avg_pressure_torr"),
-                 F.avg("yield_rate").alias("avg_yield"),
+                 exact_mean("temperature_c").alias("avg_temperature_c"),
+                 exact_mean("pressure_torr").alias("avg_pressure_torr"),
+                 exact_mean("yield_rate").alias("avg_yield"),
                  F.sum("defect_count").alias("total_defects"),
                  F.count_if("is_anomaly").alias("anomalies"),
                  F.avg("quality_score").alias("avg_quality_score")))
+
+
+def ml_features(silver_df: DataFrame, rows: int = 5, bucket_seconds: int = 3600) -> DataFrame:
+    """Rolling means of temperature and yield per chamber plus a temperature z-score."""
+    from fabflow.operators.spc import anomaly_score
+    from fabflow.operators.windows import rolling_mean
+    base = silver_df.select(*C.BRONZE_COLUMNS)
+    f = rolling_mean(base, "temperature_c", rows=rows, bucket_seconds=bucket_seconds)
+    f = rolling_mean(f, "yield_rate", rows=rows, bucket_seconds=bucket_seconds)
+    return anomaly_score(f, "temperature_c", "equipment_id")
