@@ -34,7 +34,8 @@ REPORT_FIELDS = [
     ("expected_min", "double"), ("expected_max", "double"),
     ("details", "string"), ("error", "string"),
 ]
-REPORT_SCHEMA = T.StructType([T.StructField(n, T._parse_datatype_string(t)) for n, t in REPORT_FIELDS])
+_TYPES = {"string": T.StringType(), "boolean": T.BooleanType(), "bigint": T.LongType(), "double": T.DoubleType()}
+REPORT_SCHEMA = T.StructType([T.StructField(n, _TYPES[t]) for n, t in REPORT_FIELDS])
 
 
 @dataclass(frozen=True)

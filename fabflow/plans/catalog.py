@@ -936,3 +936,4 @@ FROM silver_raw t LEFT JOIN (SELECT equipment_id AS eq, avg(temperature_c) AS mu
           round_cols=_READINGS + ("temperature_c_rolling_mean", "yield_rate_rolling_mean", "temperature_c_zscore")))
 def q_med_ml_features(spark, d):
     return rounded(M.ml_features(silver_raw(spark, d)))
+from fabflow.plans import catalog_io  # noqa: E402,F401  (registers IO and stream queries)
