@@ -212,3 +212,107 @@ def q_str_gate_reports(spark, d):
     return r.groupBy("batch_id", "batch_date").agg(
         F.count(F.lit(1)).alias("total_validations"), F.count_if("success").alias("passed"),
         F.count_if(~F.col("success") & F.col("critical")).alias("critical_failures"))
+
+
+# --- synthesis (one synthetic reading per events row, so the work grows with the tables) ---
+from fabflow.functions import synth as SY  # noqa: E402
+from fabflow.sources.bridge import read_table  # noqa: E402
+
+
+def _ids(spark, d):
+    return read_table(spark, d, "events").select(F.col("event_id").alias("id"))
+
+
+def _u_sql(row: str, stream: str) -> str:
+    return f"((('0x' || substr(md5(concat('42:', CAST({row} AS VARCHAR), ':', {stream})), 1, 8))::UBIGINT + 0.5e0) / 4294967296e0)"
+
+
+def _poisson_sql(u: str) -> str:
+    cdf = SY.poisson_cdf(C.DEFECT_LAMBDA)
+    whens = " ".join(f"WHEN {u} < {c!r} THEN {k}" for k, c in enumerate(cdf))
+    return f"CAST(CASE {whens} ELSE {len(cdf)} END AS BIGINT)"
+
+
+def _normal_sql(mean, std, row, s):
+    return (f"({float(mean)!r} + {float(std)!r} * (sqrt(-2e0 * ln({_u_sql(row, repr(str(s)))})) * "
+            f"cos({2.0 * 3.141592653589793!r} * {_u_sql(row, repr(str(s + 1)))})))")
+
+
+_SYN_SQL = f"""SELECT TIMESTAMP '2024-02-01 00:00:00' - to_seconds(id) AS timestamp,
+       printf('W%08d', id) AS wafer_id,
+       ['EQ001', 'EQ002', 'EQ003', 'EQ004'][CAST(floor({_u_sql('id', "'1'")} * 4) AS INTEGER) + 1] AS equipment_id,
+       {_normal_sql(350.0, 5.0, 'id', 2)} AS temperature_c,
+       {_normal_sql(10.0, 0.5, 'id', 4)} AS pressure_torr,
+       0.8e0 + 0.19e0 * list_sort(list_transform(range(1, 22), lambda i: {_u_sql('id', "concat('6.', CAST(i AS VARCHAR))")}))[20] AS yield_rate,
+       {_poisson_sql(_u_sql('id', "'7'"))} AS defect_count,
+       FALSE AS is_anomaly
+FROM (SELECT event_id AS id FROM events) e"""
+
+
+@register("syn_uniform", sql(f"SELECT event_id AS id, {_u_sql('event_id', repr('0'))} AS u FROM events"))
+def q_syn_uniform(spark, d):
+    return _ids(spark, d).select("id", SY.uniform(42, "id", 0).alias("u"))
+
+
+@register("syn_telemetry", sql(_SYN_SQL, round_cols=("temperature_c", "pressure_torr", "yield_rate")))
+def q_syn_telemetry(spark, d):
+    return rounded(SY.synth_telemetry(_ids(spark, d), "id"))
+
+
+@register("syn_moments", sql(f"""
+SELECT count(*) AS n, avg(temperature_c) AS temp_mean, stddev_pop(temperature_c) AS temp_std,
+       avg(yield_rate) AS yield_mean, avg(CAST(defect_count AS DOUBLE)) AS defect_mean,
+       count(DISTINCT equipment_id) AS chambers FROM ({_SYN_SQL}) s""",
+                               round_cols=("temp_mean", "temp_std", "yield_mean", "defect_mean"), digits=4))
+def q_syn_moments(spark, d):
+    s = SY.synth_telemetry(_ids(spark, d), "id")
+    return rounded(s.agg(F.count(F.lit(1)).alias("n"), F.avg("temperature_c").alias("temp_mean"),
+                         F.stddev_pop("temperature_c").alias("temp_std"), F.avg("yield_rate").alias("yield_mean"),
+                         F.avg(F.col("defect_count").cast("double")).alias("defect_mean"),
+                         F.count_distinct("equipment_id").alias("chambers")), 4)
+
+
+@register("syn_inject_anomalies", sql(f"""
+SELECT timestamp, s.wafer_id, equipment_id,
+       CASE WHEN kind = 'temp_spike' THEN 350e0 + (15e0 + 10e0 * {_u_sql('s.wafer_id', "'mag'")})
+            WHEN kind = 'temp_drop' THEN 350e0 - (15e0 + 10e0 * {_u_sql('s.wafer_id', "'mag'")})
+            ELSE temperature_c END AS temperature_c,
+       CASE WHEN kind = 'pressure_fluctuation'
+            THEN 10e0 + [-1e0, 1e0][CAST(floor({_u_sql('s.wafer_id', "'sign'")} * 2) AS INTEGER) + 1]
+                        * (3e0 + 2e0 * {_u_sql('s.wafer_id', "'mag'")})
+            ELSE pressure_torr END AS pressure_torr,
+       CASE WHEN kind = 'defect_burst' THEN 0.5e0 + 0.19999999999999996e0 * {_u_sql('s.wafer_id', "'yield'")}
+            ELSE yield_rate END AS yield_rate,
+       CASE WHEN kind = 'defect_burst' THEN CAST(10 + floor({_u_sql('s.wafer_id', "'count'")} * 21) AS BIGINT)
+            ELSE defect_count END AS defect_count,
+       kind IS NOT NULL AS is_anomaly
+FROM syn s LEFT JOIN (
+  SELECT wafer_id, ['temp_spike', 'temp_drop', 'pressure_fluctuation', 'defect_burst'][
+           CAST(floor({_u_sql('wafer_id', "'kind'")} * 4) AS INTEGER) + 1] AS kind
+  FROM (SELECT wafer_id, row_number() OVER (ORDER BY md5(concat('42:', wafer_id)), wafer_id) AS rn FROM syn) r
+  WHERE rn <= floor((SELECT count(*) FROM syn) * 0.01e0)) a ON s.wafer_id = a.wafer_id""",
+                                       {"syn": _SYN_SQL}, round_cols=("temperature_c", "pressure_torr", "yield_rate")))
+def q_syn_inject_anomalies(spark, d):
+    return rounded(SY.inject_anomalies(SY.synth_telemetry(_ids(spark, d), "id"), 0.01))
+
+
+@register("syn_golden_pattern", sql("""
+SELECT TIMESTAMP '2024-02-01 00:00:00' - to_seconds(event_id) AS timestamp, printf('W%08d', event_id) AS wafer_id,
+       concat('EQ00', CAST(event_id % 4 + 1 AS VARCHAR)) AS equipment_id, CAST(350e0 + event_id % 10 AS DOUBLE) AS temperature_c,
+       10e0 + 0.1e0 * (event_id % 5) AS pressure_torr, 0.95e0 - 0.01e0 * (event_id % 10) AS yield_rate,
+       CAST(event_id % 5 AS BIGINT) AS defect_count, FALSE AS is_anomaly FROM events"""))
+def q_syn_golden_pattern(spark, d):
+    return SY.golden_pattern(_ids(spark, d), "id")
+
+
+@register("syn_golden_summary", sql("""
+SELECT concat('EQ00', CAST(event_id % 4 + 1 AS VARCHAR)) AS equipment_id, count(*) AS messages,
+       avg(350e0 + event_id % 10) AS mean_temperature, avg(10e0 + 0.1e0 * (event_id % 5)) AS mean_pressure,
+       CAST(sum(event_id % 5) AS BIGINT) AS defects FROM events GROUP BY 1""",
+                                     round_cols=("mean_temperature", "mean_pressure")))
+def q_syn_golden_summary(spark, d):
+    g = SY.golden_pattern(_ids(spark, d), "id")
+    return rounded(g.groupBy("equipment_id").agg(F.count(F.lit(1)).alias("messages"),
+                                                 F.avg("temperature_c").alias("mean_temperature"),
+                                                 F.avg("pressure_torr").alias("mean_pressure"),
+                                                 F.sum("defect_count").alias("defects")))
