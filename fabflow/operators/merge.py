@@ -63,7 +63,7 @@ def upsert_partitioned(incoming: DataFrame, table_path: str, key: str = "wafer_i
 
     stage = staging_path(spark, "upsert")
     merged.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
-    staged = spark.read.parquet(stage).select(*cols)
+    staged = spark.read.schema(merged.schema).parquet(stage).select(*cols)
 
     # Partitions touched but absent from the merge result became empty.
     touched_vals = [r[0] for r in touched.collect()]          # bounded: distinct partition values
