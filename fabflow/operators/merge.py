@@ -44,11 +44,14 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 
 def upsert_partitioned(incoming: DataFrame, table_path: str, key: str = "wafer_id", order: str = "timestamp",
-                       partition_col: str = "date") -> dict:
+                       partition_col: str = "date", lookback_days: int | None = None) -> dict:
     """Upsert ``incoming`` into the Parquet table at ``table_path`` partitioned by ``partition_col``.
 
     Returns counts of touched and emptied partitions. Only touched partitions
-    are read and rewritten.
+    are read and rewritten. Finding keys that moved to another date scans the
+    stored key column; ``lookback_days`` bounds that scan to partitions within
+    that many days of the incoming dates (partition pruning), for feeds whose
+    redeliveries are known to arrive within that delay.
     """
     spark = incoming.sparkSession
     cols = incoming.columns
@@ -56,7 +59,12 @@ def upsert_partitioned(incoming: DataFrame, table_path: str, key: str = "wafer_i
         dedup_latest(incoming, key, order).write.mode("overwrite").partitionBy(partition_col).parquet(table_path)
         return {"touched_partitions": None, "emptied_partitions": 0}
     stored = spark.read.parquet(table_path).select(*cols)
-    moved_from = stored.join(incoming.select(key).distinct(), on=key, how="left_semi").select(partition_col)
+    search = stored
+    if lookback_days is not None:
+        span = incoming.agg(F.struct(F.min(partition_col).alias("lo"), F.max(partition_col).alias("hi"))).scalar()
+        search = stored.filter(F.col(partition_col).between(F.date_sub(span["lo"], lookback_days),
+                                                            F.date_add(span["hi"], lookback_days)))
+    moved_from = search.join(incoming.select(key).distinct(), on=key, how="left_semi").select(partition_col)
     touched = incoming.select(partition_col).unionByName(moved_from).distinct()
     affected = stored.join(touched, on=partition_col, how="left_semi")
     merged = merge_latest(affected, incoming.select(*cols), key, order)

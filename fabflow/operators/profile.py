@@ -309,8 +309,8 @@ def histogram(df: DataFrame, column: str, bins: int = 50, lo=None, hi=None) -> D
     spark = df.sparkSession
     v = _value(df, column).cast("double")
     if lo is None or hi is None:
-        stats = df.agg(F.min(v).alias("mn"), F.max(v).alias("mx"))
-        mn, mx = stats.select("mn").scalar(), stats.select("mx").scalar()
+        stats = df.agg(F.struct(F.min(v).alias("mn"), F.max(v).alias("mx"))).scalar()  # one subquery
+        mn, mx = stats["mn"], stats["mx"]
         same = mn == mx
         lo_c = F.when(same, mn - 0.5).otherwise(mn) if lo is None else F.lit(float(lo))
         hi_c = F.when(same, mx + 0.5).otherwise(mx) if hi is None else F.lit(float(hi))

@@ -62,6 +62,9 @@ def exact_sample(df: DataFrame, rate: float, key: str = "wafer_id", seed: int =
                  bucket_bits: int = 16) -> DataFrame:
     """Exactly ``floor(rows * rate)`` rows without replacement, chosen by seeded hash order.
 
+    ``key`` must identify a row (e.g. ``wafer_id`` after dedup): rows sharing
+    a key share a hash, and copies are ranked together in the boundary bucket.
+
     The hash's first ``bucket_bits`` bits form buckets. Bucket counts
     (at most 2^bucket_bits rows) give the boundary bucket by a running sum;
     rows below it are taken whole, and only the boundary bucket is ranked to
@@ -77,8 +80,8 @@ def exact_sample(df: DataFrame, rate: float, key: str = "wafer_id", seed: int =
     cum = counts.withColumn("_cum", F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)))
     boundary = cum.filter((F.col("_cum") >= k) & (F.col("_cum") - F.col("_n") < k)).select(
         F.col("_b").alias("bb"), (k - (F.col("_cum") - F.col("_n"))).alias("need"))
-    bb = boundary.select("bb").scalar()
-    need = boundary.select("need").scalar()
+    one = boundary.select(F.struct("bb", "need")).scalar()
+    bb, need = one["bb"], one["need"]
     below = tagged.filter(F.col("_b") < bb)
     edge = (tagged.filter(F.col("_b") == bb)
             .withColumn("_rn", F.row_number().over(Window.orderBy("_h", key)))

@@ -39,8 +39,8 @@ def apply_limits(target: DataFrame, baseline: DataFrame, column: str, group=None
         out = target.join(lim.select(*g, "ucl", "lcl"), on=g, how="left")
         ucl, lcl = F.col("ucl"), F.col("lcl")
     else:
-        ucl, lcl = lim.select("ucl").scalar(), lim.select("lcl").scalar()
-        out = target.withColumns({"ucl": ucl, "lcl": lcl})
+        one = lim.select(F.struct("ucl", "lcl")).scalar()  # one scalar subquery for both limits
+        out = target.withColumns({"ucl": one["ucl"], "lcl": one["lcl"]})
         ucl, lcl = F.col("ucl"), F.col("lcl")
     flag = F.coalesce((F.col(column) > ucl) | (F.col(column) < lcl), F.lit(False))
     return out.withColumn("beyond_limits", flag)
@@ -134,8 +134,11 @@ def anomaly_score(df: DataFrame, column: str, group="equipment_id") -> DataFrame
     g = _g(group)
     v = F.col(column).cast("double")
     stats = df.groupBy(*g).agg(F.avg(v).alias("_mu"), F.stddev_samp(v).alias("_sd"))
-    out = df.join(stats, on=g, how="left") if g else df.withColumns(
-        {"_mu": stats.select("_mu").scalar(), "_sd": stats.select("_sd").scalar()})
+    if g:
+        out = df.join(stats, on=g, how="left")
+    else:
+        one = stats.select(F.struct("_mu", "_sd")).scalar()
+        out = df.withColumns({"_mu": one["_mu"], "_sd": one["_sd"]})
     z = F.when(F.col("_sd") > 0, (v - F.col("_mu")) / F.col("_sd"))
     return out.withColumn(f"{column}_zscore", z).drop("_mu", "_sd")
 
@@ -161,8 +164,9 @@ def poisson_chi_square(df: DataFrame, column: str = "defect_count", lam: float |
     ``lam`` defaults to the sample mean. Output: statistic, degrees of freedom, cells.
     """
     v = F.col(column)
-    total = df.agg(F.count(v)).scalar()
-    lam_c = F.lit(float(lam)) if lam is not None else df.agg(F.avg(v.cast("double"))).scalar()
+    st = df.agg(F.struct(F.count(v).alias("n"), F.avg(v.cast("double")).alias("m"))).scalar()
+    total = st["n"]
+    lam_c = F.lit(float(lam)) if lam is not None else st["m"]
     cell = F.least(v, F.lit(max_k)).cast("int")
     obs = df.filter(v.isNotNull()).groupBy(cell.alias("k")).agg(F.count(F.lit(1)).alias("observed"))
     cells = df.sparkSession.range(max_k + 1).select(F.col("id").cast("int").alias("k"))
