@@ -71,4 +71,5 @@ def batch_ordinal(df: DataFrame, file_col: str = "source_file") -> DataFrame:
     per = df.groupBy(file_col).agg(F.count(F.lit(1)).alias("row_count"))
     return per.select(F.dense_rank().over(Window.orderBy(file_col)).alias("batch_no"),
                       F.count(F.lit(1)).over(Window.partitionBy()).alias("batch_total"),
-                      file_col, F.substring(file_col, 22, 6).alias("batch_label"), "row_count")
+                      file_col, F.substring(F.element_at(F.split(F.col(file_col), "/"), -1), 22, 6).alias("batch_label"),
+                      "row_count")

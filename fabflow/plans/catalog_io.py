@@ -316,3 +316,80 @@ def q_syn_golden_summary(spark, d):
                                                  F.avg("temperature_c").alias("mean_temperature"),
                                                  F.avg("pressure_torr").alias("mean_pressure"),
                                                  F.sum("defect_count").alias("defects")))
+
+
+# --- per-file profiles: the fixture archive has exactly one file per date partition,
+# so "per file" equals "per date" on the oracle side. ---
+from fabflow.operators import profile as P  # noqa: E402
+from fabflow.operators import sorting as SR  # noqa: E402
+from fabflow.plans.catalog import _describe_sql  # noqa: E402
+
+
+def _archive_one_file_per_date(spark, d):
+    """Fixture: bronze_raw archived with one file per date (test layout only)."""
+    path = staging_path(spark, "archive-per-file")
+    SK.bronze_frame(telemetry_raw(spark, d)).repartition("date").write.mode("overwrite") \
+        .partitionBy("date").parquet(path)
+    return SF.read_parquet_files(spark, path)
+
+
+def _per_date(sql_text: str) -> str:
+    return sql_text
+
+
+@register("agg_describe_per_file", sql("\nUNION ALL\n".join(
+    f"SELECT date, '{c}' AS \"column\", count(v) AS count, avg(v) AS mean, stddev_samp(v) AS std, min(v) AS min, "
+    f"quantile_cont(v, 0.25) AS p25, quantile_cont(v, 0.5) AS p50, quantile_cont(v, 0.75) AS p75, max(v) AS max "
+    f"FROM (SELECT date, CASE WHEN NOT isnan(CAST({c} AS DOUBLE)) THEN CAST({c} AS DOUBLE) END AS v FROM bronze_raw) x "
+    f"GROUP BY date" for c in C.PROCESS_COLUMNS), round_cols=("mean", "std", "min", "p25", "p50", "p75", "max")))
+def q_agg_describe_per_file(spark, d):
+    a = _archive_one_file_per_date(spark, d)
+    return rounded(P.describe_numeric(a, list(C.PROCESS_COLUMNS), group=["date", "source_file"]).drop("source_file"))
+
+
+@register("agg_anomaly_summary_per_file", sql("""
+SELECT date, count(*) FILTER (WHERE is_anomaly) AS anomaly_count,
+       coalesce(CAST(count(*) FILTER (WHERE is_anomaly) AS DOUBLE) / count(*) * 100e0, 0e0) AS anomaly_rate_pct,
+       count(*) - count(*) FILTER (WHERE is_anomaly) AS normal_count
+FROM bronze_raw GROUP BY date""", round_cols=("anomaly_rate_pct",)))
+def q_agg_anomaly_summary_per_file(spark, d):
+    a = _archive_one_file_per_date(spark, d)
+    return rounded(P.anomaly_summary(a, ["date", "source_file"]).drop("source_file"))
+
+
+@register("agg_null_profile_per_file", sql("\nUNION ALL\n".join(
+    f"SELECT date, '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL{' OR isnan(' + c + ')' if c in ('temperature_c', 'pressure_torr', 'yield_rate') else ''}) AS null_count, "
+    f"round(coalesce(CAST(count(*) FILTER (WHERE {c} IS NULL{' OR isnan(' + c + ')' if c in ('temperature_c', 'pressure_torr', 'yield_rate') else ''}) AS DOUBLE) / count(*) * 100e0, 0e0), 2) AS null_percentage "
+    f"FROM bronze_raw GROUP BY date" for c in C.RAW_COLUMNS)))
+def q_agg_null_profile_per_file(spark, d):
+    a = _archive_one_file_per_date(spark, d).drop("date").withColumn("date", F.to_date("timestamp"))
+    return P.null_profile(a, ["date", "source_file"]).drop("source_file")
+
+
+@register("agg_shape_per_file", sql(f"""
+SELECT date, count(*) AS "rows", CAST(9 AS BIGINT) AS "columns", count(*) * 9 AS elements,
+       '{",".join(C.BRONZE_COLUMNS)}' AS column_names FROM bronze_raw GROUP BY date"""))
+def q_agg_shape_per_file(spark, d):
+    a = _archive_one_file_per_date(spark, d).select(*C.RAW_COLUMNS, "date", "source_file")
+    return P.shape(a, ["source_file"]).join(
+        a.groupBy("source_file").agg(F.first("date").alias("date")), "source_file").drop("source_file")
+
+
+@register("srt_head_rows_per_file", sql("""
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY date ORDER BY timestamp, wafer_id) AS rn FROM bronze_raw) t WHERE rn <= 5"""))
+def q_srt_head_rows_per_file(spark, d):
+    a = _archive_one_file_per_date(spark, d)
+    return _ntz(SR.head_rows(a, 5, group="source_file").select(*C.RAW_COLUMNS, "date"))
+
+
+@register("str_progress_metrics")
+def q_str_progress_metrics(spark, d):
+    # Per-batch observed counters and rates of an archive stream (run metrics: rows-only check).
+    src, out, ck = _stream_dirs(spark, d)
+    q = J.start_archive(spark, src, out, ck, max_files_per_trigger=10)
+    q.awaitTermination()
+    rows = J.progress_counters(q)
+    schema = "batch_id bigint, input_rows bigint, rows_per_second double, rows bigint, anomalies bigint, unknown_equipment bigint"
+    return spark.createDataFrame([(r.get("batch_id"), r.get("input_rows"), float(r.get("rows_per_second") or 0.0),
+                                   r.get("rows"), r.get("anomalies"), r.get("unknown_equipment")) for r in rows], schema)

@@ -14,21 +14,28 @@ CORRUPT = "_corrupt_record"
 
 def read_parquet_files(spark: SparkSession, path: str, schema: T.StructType | None = None,
                        file_col: str = "source_file") -> DataFrame:
-    """Parquet files (glob allowed) with the source file name kept as a column.
+    """Parquet files (glob allowed) with the source file's full path kept as a column.
 
-    Scan options (pushdown, pruning) are untouched: ``_metadata`` is a hidden
-    column of the scan, not an extra pass.
+    The path, not the bare name, identifies a file: writers reuse names such as
+    ``part-00000-<job>.parquet`` in every partition folder. Scan options
+    (pushdown, pruning) are untouched: ``_metadata`` is a hidden column of the
+    scan, not an extra pass.
     """
     r = spark.read
     if schema is not None:
         r = r.schema(schema)
     df = r.parquet(path)
-    return df.withColumn(file_col, F.col("_metadata.file_name"))
+    return df.withColumn(file_col, F.col("_metadata.file_path"))
+
+
+def file_name(file_col: str = "source_file"):
+    """Last path segment of a file path column."""
+    return F.element_at(F.split(F.col(file_col), "/"), -1)
 
 
 def batch_label(file_col: str = "source_file"):
     """Batch time label cut from an archive file name (characters 22..27, ``HHMMSS``)."""
-    return F.substring(F.col(file_col), 22, 6)
+    return F.substring(file_name(file_col), 22, 6)
 
 
 def wire_schema_with_corrupt() -> T.StructType:
