@@ -129,16 +129,28 @@ def duplicate_key_profile(df: DataFrame, key: str = "wafer_id", group=None) -> D
 
 
 # AGG-9, 10 ------------------------------------------------------------------
-def describe_numeric(df: DataFrame, columns=None, group=None, exact: bool = True,
+def describe_numeric(df: DataFrame, columns=None, group=None, exact: bool | str = True,
                      accuracy: int = 10000) -> DataFrame:
     """count, mean, sample std, min, 25/50/75 % (linear interpolation), max per column.
 
-    ``exact=True`` uses the exact ``percentile`` aggregate (memory grows with
-    the distinct values of a group); ``exact=False`` uses the bounded-memory
-    ``percentile_approx`` sketch, which is the choice for very large groups.
+    Quartiles:
+    * ``exact=True``: Spark's exact ``percentile`` (one pass; memory grows with
+      the distinct values of a group: fine for small groups);
+    * ``exact="bounded"``: exact quartiles in bounded memory
+      (:func:`fabflow.operators.quantiles.exact_quantiles`, two more passes),
+      the choice for whole-table profiles of continuous readings at scale;
+    * ``exact=False``: the ``percentile_approx`` sketch (rank error 1/accuracy).
     """
     g = _g(group)
     cols = list(columns) if columns else numeric_columns(df, g)
+    if exact == "bounded":
+        from fabflow.operators.quantiles import exact_quantiles
+        base = describe_numeric(df, cols, g, exact=False, accuracy=accuracy).drop("p25", "p50", "p75")
+        q = exact_quantiles(df, cols, [0.25, 0.5, 0.75], g)
+        wide = q.groupBy(*g, "column").pivot("q_index", [0, 1, 2]).agg(F.first("quantile"))
+        wide = wide.select(*g, "column", F.col("0").alias("p25"), F.col("1").alias("p50"), F.col("2").alias("p75"))
+        return base.join(wide, g + ["column"]).select(*g, "column", "count", "mean", "std", "min",
+                                                      "p25", "p50", "p75", "max")
     per = {}
     for c in cols:
         v = _value(df, c)

@@ -937,3 +937,26 @@ FROM silver_raw t LEFT JOIN (SELECT equipment_id AS eq, avg(temperature_c) AS mu
 def q_med_ml_features(spark, d):
     return rounded(M.ml_features(silver_raw(spark, d)))
 from fabflow.plans import catalog_io  # noqa: E402,F401  (registers IO and stream queries)
+
+
+# ---------------------------------------------------------------------------
+# Exact quartiles in bounded memory (bracket by sketch, rank only the bracket).
+# ---------------------------------------------------------------------------
+from fabflow.operators import quantiles as QT  # noqa: E402
+
+
+@register("agg_describe_bounded", sql(_describe_sql("telemetry_raw", _PROC), round_cols=_DESC_ROUND))
+def q_agg_describe_bounded(spark, d):
+    return rounded(P.describe_numeric(_raw(spark, d), exact="bounded"))
+
+
+@register("agg_exact_quantiles_lineitem", sql("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", {i} AS q_index, {p}e0 AS prob, quantile_cont(CAST({c} AS DOUBLE), {p}) AS quantile FROM lineitem"
+    for c in ("l_extendedprice", "l_quantity", "l_discount") for i, p in enumerate((0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0))),
+    round_cols=("quantile",)))
+def q_agg_exact_quantiles_lineitem(spark, d):
+    # accuracy 1000 < rows, so every target goes through the sketch bracket
+    li = read_table(spark, d, "lineitem")
+    return rounded(QT.exact_quantiles(li, ["l_extendedprice", "l_quantity", "l_discount"],
+                                      [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0], accuracy=1000)
+                   .withColumn("q_index", F.col("q_index").cast("int")))

@@ -116,3 +116,20 @@ def test_anomaly_summary(spark):
     assert (r["anomaly_count"], r["anomaly_rate_pct"], r["normal_count"]) == (2, 50.0, 2)
     empty = P.anomaly_summary(df.limit(0)).first()
     assert empty["anomaly_rate_pct"] == 0.0
+
+
+def test_bounded_exact_quantiles_equal_percentile(spark):
+    from fabflow.operators.quantiles import exact_quantiles
+    t = telemetry_raw(spark, SF_SMALL)
+    probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    got = {(r["column"], r["q_index"]): r["quantile"]
+           for r in exact_quantiles(t, ["temperature_c", "defect_count"], probs, accuracy=50).collect()}
+    want = t.agg(F.percentile(F.col("temperature_c"), probs).alias("t"),
+                 F.percentile(F.col("defect_count").cast("double"), probs).alias("d")).first()
+    for i in range(len(probs)):
+        assert got[("temperature_c", i)] == pytest.approx(want["t"][i], rel=1e-12)
+        assert got[("defect_count", i)] == pytest.approx(want["d"][i], rel=1e-12)
+    grouped = P.describe_numeric(t, group="equipment_id", exact="bounded").collect()
+    exact = {(r["equipment_id"], r["column"]): r for r in P.describe_numeric(t, group="equipment_id").collect()}
+    for r in grouped:
+        assert r["p50"] == pytest.approx(exact[(r["equipment_id"], r["column"])]["p50"], rel=1e-12)
