@@ -333,10 +333,6 @@ def _archive_one_file_per_date(spark, d):
     return SF.read_parquet_files(spark, path)
 
 
-def _per_date(sql_text: str) -> str:
-    return sql_text
-
-
 @register("agg_describe_per_file", sql("\nUNION ALL\n".join(
     f"SELECT date, '{c}' AS \"column\", count(v) AS count, avg(v) AS mean, stddev_samp(v) AS std, min(v) AS min, "
     f"quantile_cont(v, 0.25) AS p25, quantile_cont(v, 0.5) AS p50, quantile_cont(v, 0.75) AS p75, max(v) AS max "

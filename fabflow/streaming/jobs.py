@@ -25,6 +25,18 @@ from fabflow.sinks.files import bronze_frame
 from fabflow.sources.files import CORRUPT, parse_wire, wire_schema_with_corrupt
 
 
+def write_batch_idempotent(df: DataFrame, path: str, batch_id: int, partition_by=("date",)) -> None:
+    """Write one micro-batch so that a retried batch replaces, not duplicates, its output.
+
+    ``batch_id`` becomes the innermost partition column and the write uses
+    dynamic partition overwrite, so re-running batch N rewrites exactly the
+    partitions batch N produced. Readers still prune on the outer columns.
+    """
+    (df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by, "batch_id").parquet(path))
+
+
 def _trigger(writer, trigger: str):
     if trigger == "available_now":
         return writer.trigger(availableNow=True)
@@ -70,8 +82,8 @@ def start_archive(spark: SparkSession, source: str, sink: str, checkpoint: str,
         bad = batch.filter(F.col(CORRUPT).isNotNull() | F.col("timestamp").isNull()).select(
             F.col(CORRUPT).alias("raw"), F.col("_ts_text").alias("timestamp_text"), "wafer_id",
             F.lit(batch_id).alias("batch_id"))
-        good.write.mode("append").partitionBy("date").parquet(sink)
-        bad.write.mode("append").parquet(quarantine)
+        write_batch_idempotent(good, sink, batch_id)
+        write_batch_idempotent(bad.drop("batch_id"), quarantine, batch_id, ())
 
     w = parsed.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     return _trigger(w, trigger).start()
@@ -140,9 +152,10 @@ def gate_batch_writer(good_sink: str, quarantine_sink: str, report_sink: str, la
                       rules: str = "native") -> Callable[[DataFrame, int], None]:
     """foreachBatch body: validate the batch (one aggregate), then route it (DQ-17).
 
-    A batch with no critical failure is appended to ``good_sink``; otherwise it
-    goes whole to ``quarantine_sink``. The batch's report rows are appended to
-    ``report_sink`` with the batch id and the batch's first event date.
+    A batch with no critical failure goes to ``good_sink``; otherwise it goes
+    whole to ``quarantine_sink``. The batch's report rows go to ``report_sink``
+    with the batch id and the batch's first event date. All three writes are
+    idempotent per batch id (a retried batch replaces its own output).
     """
     def run(batch: DataFrame, batch_id: int) -> None:
         bronze = bronze_frame(good_rows(batch)).persist()   # read the micro-batch once
@@ -152,10 +165,10 @@ def gate_batch_writer(good_sink: str, quarantine_sink: str, report_sink: str, la
             first_date = bronze.agg(F.min("date")).first()[0]
             spark = batch.sparkSession
             rep = spark.createDataFrame([r.asDict() for r in rows], report.schema.add("batch_date", T.DateType()))
-            rep = rep.withColumns({"batch_id": F.lit(batch_id).cast("bigint"), "batch_date": F.lit(first_date)})
-            rep.write.mode("append").parquet(report_sink)
+            rep = rep.withColumn("batch_date", F.lit(first_date))
+            write_batch_idempotent(rep, report_sink, batch_id, ())
             ok = not any((not r["success"]) and r["critical"] for r in rows)
-            bronze.write.mode("append").partitionBy("date").parquet(good_sink if ok else quarantine_sink)
+            write_batch_idempotent(bronze, good_sink if ok else quarantine_sink, batch_id)
         finally:
             bronze.unpersist()
     return run
@@ -182,45 +195,62 @@ ALERT_STATE = T.StructType([T.StructField("run", T.LongType()), T.StructField("l
                             T.StructField("last_wafer", T.StringType())])
 
 
-def _run_alerts(min_run: int):
+def _run_alerts(min_run: int, reset_ms: int | None = None):
     def fn(key, batches, state: GroupState):
+        if state.hasTimedOut:                      # no reading for reset_after: the run is over
+            state.remove()
+            return
         run, last_ts, last_wafer = (state.get if state.exists else (0, None, None))
         frames = [b for b in batches]
         if not frames:
             return
         pdf = pd.concat(frames, ignore_index=True).sort_values(["timestamp", "wafer_id"], kind="mergesort")
         out = []
+        gap = pd.Timedelta(milliseconds=reset_ms) if reset_ms is not None else None
         for ts, wafer, temp, beyond in zip(pdf["timestamp"], pdf["wafer_id"], pdf["temperature_c"], pdf["beyond"]):
+            if gap is not None and last_ts is not None and pd.Timestamp(ts) - pd.Timestamp(last_ts) > gap:
+                run = 0                            # silence longer than reset_after ends the run
             run = run + 1 if beyond else 0
             if beyond and run >= min_run:
                 out.append((key[0], ts, wafer, temp, run))
             last_ts, last_wafer = ts, wafer
         state.update((int(run), last_ts, last_wafer))
+        if reset_ms is not None:
+            state.setTimeoutTimestamp(int(pd.Timestamp(last_ts).timestamp() * 1000) + reset_ms)
         if out:
             yield pd.DataFrame(out, columns=[f.name for f in ALERT_SCHEMA.fields])
     return fn
 
 
-def alerts(stream: DataFrame, limits: DataFrame, min_run: int = 3, column: str = "temperature_c") -> DataFrame:
+def alerts(stream: DataFrame, limits: DataFrame, min_run: int = 3, column: str = "temperature_c",
+           reset_after_seconds: int | None = None, watermark: str = "1 hour") -> DataFrame:
     """Readings that extend a run of >= ``min_run`` consecutive out-of-limit readings of a chamber.
 
     ``limits`` is a static frame (equipment_id, ucl, lcl) joined to the stream;
     only four narrow columns reach the stateful step, whose state per chamber
     is one counter. Rows arrive in event order within a batch; across batches
-    the state carries the open run.
+    the state carries the open run. With ``reset_after_seconds`` an event-time
+    gap longer than that between consecutive readings of a chamber ends its
+    run, and an event-time timeout drops the state of a chamber that stays
+    silent (state TTL behind the watermark).
     """
     j = stream.join(limits.select("equipment_id", "ucl", "lcl"), "equipment_id", "left")
     beyond = F.coalesce((F.col(column) > F.col("ucl")) | (F.col(column) < F.col("lcl")), F.lit(False))
     narrow = j.select("equipment_id", "timestamp", "wafer_id", F.col(column).alias("temperature_c"),
                       beyond.alias("beyond"))
-    return narrow.groupBy("equipment_id").applyInPandasWithState(
-        _run_alerts(min_run), ALERT_SCHEMA, ALERT_STATE, "append", GroupStateTimeout.NoTimeout)
+    if reset_after_seconds is None:
+        return narrow.groupBy("equipment_id").applyInPandasWithState(
+            _run_alerts(min_run), ALERT_SCHEMA, ALERT_STATE, "append", GroupStateTimeout.NoTimeout)
+    return narrow.withWatermark("timestamp", watermark).groupBy("equipment_id").applyInPandasWithState(
+        _run_alerts(min_run, reset_after_seconds * 1000), ALERT_SCHEMA, ALERT_STATE, "append",
+        GroupStateTimeout.EventTimeTimeout)
 
 
 def start_alerts(spark: SparkSession, source: str, limits: DataFrame, sink: str, checkpoint: str,
                  min_run: int = 3, trigger: str = "available_now",
-                 max_files_per_trigger: int | None = None) -> StreamingQuery:
-    s = alerts(good_rows(read_wire_stream(spark, source, max_files_per_trigger)), limits, min_run)
+                 max_files_per_trigger: int | None = None, reset_after_seconds: int | None = None) -> StreamingQuery:
+    s = alerts(good_rows(read_wire_stream(spark, source, max_files_per_trigger)), limits, min_run,
+               reset_after_seconds=reset_after_seconds)
     w = (s.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
          .option("path", sink))
     return _trigger(w, trigger).start()

@@ -108,3 +108,37 @@ def test_spc_contaminated_series(spark):
     assert s.total == 1000 and 12 <= s.detected <= 25
     lim = SPC.control_limits(clean, "temperature_c").first()
     assert abs(lim.mean - 350) < 0.6 and abs(lim.std - 5) < 0.4
+
+
+def test_gate_batch_retry_is_idempotent(spark, scratch):
+    run = J.gate_batch_writer(scratch + "/good", scratch + "/quar", scratch + "/rep")
+    batch = SK.to_wire(frame(spark, [{"wafer_id": f"W{i}"} for i in range(4)], with_date=False)) \
+        .withColumn("_corrupt_record", F.lit(None).cast("string"))
+    from fabflow.sources.files import parse_wire
+    b = parse_wire(batch)
+    run(b, 7)
+    run(b, 7)                                   # the same batch retried
+    assert spark.read.parquet(scratch + "/good").count() == 4
+    assert spark.read.parquet(scratch + "/rep").count() == 14
+
+
+def test_alert_run_resets_after_silence(spark, scratch):
+    base = datetime(2024, 1, 1)
+    # two violations, a long silence (event time), then two more: with reset, no run of 3+
+    ts = [base, base + timedelta(minutes=1), base + timedelta(hours=5), base + timedelta(hours=5, minutes=1),
+          base + timedelta(hours=9)]
+    rows = [{"wafer_id": f"W{i:08d}", "timestamp": t, "temperature_c": 390.0 if i < 4 else 350.0} for i, t in enumerate(ts)]
+    df = frame(spark, rows, with_date=False)
+    limits = spark.createDataFrame([("EQ001", 380.0, 320.0)], "equipment_id string, ucl double, lcl double")
+    src = scratch + "/src"
+    for i, (a, b) in enumerate([(0, 2), (2, 5)]):
+        _write_batch(df.filter(F.col("wafer_id").between(f"W{a:08d}", f"W{b - 1:08d}")), src, i)
+        time.sleep(1.1)
+    J.start_alerts(spark, src + "/b*", limits, scratch + "/out", scratch + "/ck", min_run=3,
+                   max_files_per_trigger=1, reset_after_seconds=3600).awaitTermination()
+    out = spark.read.parquet(scratch + "/out") if os.path.exists(scratch + "/out") else None
+    got = [] if out is None else [r.wafer_id for r in out.collect()]
+    assert got == []
+    J.start_alerts(spark, src + "/b*", limits, scratch + "/out2", scratch + "/ck2", min_run=3,
+                   max_files_per_trigger=1).awaitTermination()
+    assert sorted(r.wafer_id for r in spark.read.parquet(scratch + "/out2").collect()) == ["W00000002", "W00000003"]
