@@ -389,3 +389,40 @@ def q_str_progress_metrics(spark, d):
     schema = "batch_id bigint, input_rows bigint, rows_per_second double, rows bigint, anomalies bigint, unknown_equipment bigint"
     return spark.createDataFrame([(r.get("batch_id"), r.get("input_rows"), float(r.get("rows_per_second") or 0.0),
                                    r.get("rows"), r.get("anomalies"), r.get("unknown_equipment")) for r in rows], schema)
+
+
+# --- medallion pipeline, tables, delivery stats ---
+from fabflow.plans import medallion as M  # noqa: E402
+from fabflow.plans.catalog import _SILVER_OUT  # noqa: E402
+
+
+@register("med_silver_pipeline", sql("SELECT * FROM silver_clean",
+                                      round_cols=("temperature_c", "pressure_torr", "yield_rate",
+                                                  "temperature_deviation_c", "pressure_deviation_torr")))
+def q_med_silver_pipeline(spark, d):
+    # bronze (clean) -> silver table through the gate, then the redelivered rows upserted on top
+    path = staging_path(spark, "silver-table")
+    M.silver_pipeline(M.bronze(telemetry(spark, d)), path)
+    M.silver_pipeline(M.bronze(telemetry(spark, d)), path)          # rerun: idempotent
+    return rounded(_ntz(spark.read.parquet(path).select(*_SILVER_OUT)))
+
+
+@register("snk_save_table", sql("SELECT * FROM bronze_raw"))
+def q_snk_save_table(spark, d):
+    name = "bronze_" + staging_path(spark, "t").rsplit("-", 1)[-1]
+    path = staging_path(spark, "table")
+    SK.save_table(SK.bronze_frame(telemetry_raw(spark, d)), name, "overwrite", ("date",), path=path)
+    return _ntz(SF.read_table(spark, name).select(*_RAW, "date"))
+
+
+@register("str_delivery_stats", sql("""
+SELECT count(*) FILTER (WHERE n % 53 <> 0 AND n % 59 <> 0) AS sent,
+       count(*) FILTER (WHERE n % 53 = 0 OR n % 59 = 0) AS failed,
+       coalesce(CAST(count(*) FILTER (WHERE n % 53 <> 0 AND n % 59 <> 0) AS DOUBLE) / count(*) * 100e0, 0e0) AS success_rate
+FROM (SELECT CAST(substr(wafer_id, 2) AS BIGINT) AS n FROM telemetry_raw) t""", round_cols=("success_rate",)))
+def q_str_delivery_stats(spark, d):
+    src = staging_path(spark, "lines")
+    _corrupted_lines(spark, d, src)
+    out, q, ck = staging_path(spark, "good"), staging_path(spark, "quarantine"), staging_path(spark, "ck")
+    J.start_archive(spark, src, out, ck, quarantine=q).awaitTermination()
+    return rounded(J.delivery_stats_frame(spark.read.parquet(out), spark.read.parquet(q)))

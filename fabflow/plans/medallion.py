@@ -110,3 +110,19 @@ def ml_features(silver_df: DataFrame, rows: int = 5, bucket_seconds: int = 3600)
     f = rolling_mean(base, "temperature_c", rows=rows, bucket_seconds=bucket_seconds)
     f = rolling_mean(f, "yield_rate", rows=rows, bucket_seconds=bucket_seconds)
     return anomaly_score(f, "temperature_c", "equipment_id")
+
+
+def silver_pipeline(bronze_df: DataFrame, table_path: str, install_date: str = C.DEFAULT_INSTALL_DATE,
+                    rules: str = "native", lookback_days: int | None = None) -> dict:
+    """MED-3: latest row per wafer -> derived columns -> quality gate -> upsert into the silver table.
+
+    The gate raises :class:`fabflow.operators.quality.QualityGateError` on a
+    critical failure before anything is written. Returns the gate summary and
+    the upsert counts.
+    """
+    from fabflow.operators import quality as Q
+    from fabflow.operators.merge import upsert_partitioned
+    s = silver(bronze_df, install_date)
+    gate = Q.assert_valid(Q.validation_report(s, rules, "silver"))
+    counts = upsert_partitioned(s, table_path, "wafer_id", "timestamp", "date", lookback_days)
+    return {**gate, **counts}

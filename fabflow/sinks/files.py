@@ -54,9 +54,11 @@ def object_store_conf(endpoint: str, access_key: str, secret_key: str, path_styl
     }
 
 
-def save_table(df: DataFrame, name: str, mode: str = "append", partition_by=("date",)) -> None:
-    """Layer table in the catalog (Parquet; partitioned by date)."""
+def save_table(df: DataFrame, name: str, mode: str = "append", partition_by=("date",), path: str | None = None) -> None:
+    """Layer table in the catalog (Parquet; partitioned by date); ``path`` makes it an external table."""
     w = df.write.mode(mode).format("parquet")
+    if path:
+        w = w.option("path", path)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.saveAsTable(name)

@@ -266,3 +266,19 @@ def progress_counters(query: StreamingQuery, name: str = "telemetry_batch") -> l
         out.append({"batch_id": p.batchId, "input_rows": p.numInputRows,
                     "rows_per_second": p.processedRowsPerSecond, **m})
     return out
+
+
+def delivery_stats(sent: int, failed: int) -> dict:
+    """sent, failed and success rate in percent (0 when nothing was sent)."""
+    total = sent + failed
+    return {"sent": sent, "failed": failed, "success_rate": (sent / total * 100.0) if total else 0.0}
+
+
+def delivery_stats_frame(good: DataFrame, rejected: DataFrame) -> DataFrame:
+    """The same figures as one row computed by Spark from the good and rejected outputs."""
+    from fabflow.functions.scalar import safe_percentage
+    g = good.agg(F.count(F.lit(1)).alias("sent"))
+    r = rejected.agg(F.count(F.lit(1)).alias("failed"))
+    sent, failed = g.scalar(), r.scalar()
+    return g.select(sent.alias("sent"), failed.alias("failed"),
+                    safe_percentage(sent, sent + failed).alias("success_rate"))

@@ -92,3 +92,22 @@ def test_silver_columns_and_rules(spark):
     assert s.columns == list(__import__("fabflow.constants", fromlist=["x"]).SILVER_COLUMNS)
     assert (r.shift_number, r.hour_of_day, r.equipment_age_days) == (3, 17, 9)
     assert (r.quality_flag, r.quality_score) == ("PASS", 75)
+
+
+def test_silver_pipeline_gates_and_upserts(spark, scratch):
+    from fabflow.operators.quality import QualityGateError
+    path = scratch + "/silver"
+    r = M.silver_pipeline(M.bronze(telemetry(spark, SF_SMALL)), path)
+    assert r["is_valid"] and spark.read.parquet(path).count() == 1000
+    bad = M.bronze(telemetry_raw(spark, SF_SMALL))       # unknown chamber -> critical failure
+    with pytest.raises(QualityGateError):
+        M.silver_pipeline(bad, path)
+    assert spark.read.parquet(path).count() == 1000
+
+
+def test_key_partitioning_keeps_a_key_in_one_partition(spark):
+    from fabflow.sinks.kafka import key_partitioned
+    t = telemetry_raw(spark, SF_SMALL)
+    p = key_partitioned(t, 3).withColumn("pid", F.spark_partition_id())
+    per_key = p.groupBy("equipment_id").agg(F.countDistinct("pid").alias("parts")).collect()
+    assert all(r.parts == 1 for r in per_key)
