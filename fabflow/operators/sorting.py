@@ -59,14 +59,14 @@ def sort_by_size(df: DataFrame, measure: str) -> DataFrame:
 
 
 def exact_sample(df: DataFrame, rate: float, key: str = "wafer_id", seed: int = 42,
-                 bucket_bits: int = 16) -> DataFrame:
+                 bucket_bits: int = 20) -> DataFrame:
     """Exactly ``floor(rows * rate)`` rows without replacement, chosen by seeded hash order.
 
     ``key`` must identify a row (e.g. ``wafer_id`` after dedup): rows sharing
     a key share a hash, and copies are ranked together in the boundary bucket.
 
     The hash's first ``bucket_bits`` bits form buckets. Bucket counts
-    (at most 2^bucket_bits rows) give the boundary bucket by a running sum;
+    (at most 2^bucket_bits rows, about 1M) give the boundary bucket by a running sum;
     rows below it are taken whole, and only the boundary bucket is ranked to
     take the remainder. No global sort, no driver round trip.
     """

@@ -12,24 +12,49 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _micros(ts: str):
+    return F.unix_micros(F.col(ts).cast("timestamp"))
+
+
 def _bucket(ts: str, bucket_seconds: int):
-    return F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(bucket_seconds * 1_000_000)).cast("long")
+    return F.floor(_micros(ts) / F.lit(bucket_seconds * 1_000_000)).cast("long")
+
+
+def auto_bucket_width(df: DataFrame, key: str, ts: str, target_rows: int = 1_000_000) -> DataFrame:
+    """Per key: a bucket width (microseconds) giving about ``target_rows`` rows per bucket.
+
+    One small aggregate (count and time span per key); a key with a third of
+    all rows gets proportionally finer buckets than a quiet one.
+    """
+    st = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min(_micros(ts)).alias("_t0"),
+                             F.max(_micros(ts)).alias("_t1"))
+    buckets = F.greatest(F.lit(1.0), F.col("_n") / F.lit(float(target_rows)))
+    width = F.greatest(F.lit(1_000_000.0), F.ceil((F.col("_t1") - F.col("_t0") + 1) / buckets))
+    return st.select(key, width.cast("long").alias("_w"))
 
 
 def rolling_mean(df: DataFrame, column: str, key: str = "equipment_id", order=("timestamp", "wafer_id"),
-                 rows: int = 5, bucket_seconds: int = 3600, out: str | None = None) -> DataFrame:
+                 rows: int = 5, bucket_seconds: int | str = "auto", out: str | None = None,
+                 target_rows_per_bucket: int = 1_000_000) -> DataFrame:
     """Mean of the current and ``rows-1`` preceding readings per key, ordered by ``order``.
 
     Exact for any bucket width: a bucket's halo is the latest ``rows-1`` rows
     before it, found among the per-bucket tails (each tail row is copied to at
-    most ``rows-1`` later buckets).
+    most ``rows-1`` later buckets). ``bucket_seconds="auto"`` sizes buckets per
+    key from its row count and time span (about ``target_rows_per_bucket``
+    rows each), so neither a hot key nor a short backfill makes one huge task.
     """
     o = list(order)
     out = out or f"{column}_rolling_mean"
     ts = o[0]
-    tagged = df.withColumn("_bk", _bucket(ts, bucket_seconds))
     if rows <= 1:
         return df.withColumn(out, F.col(column).cast("double"))
+    if bucket_seconds == "auto":
+        widths = auto_bucket_width(df, key, ts, target_rows_per_bucket)
+        tagged = (df.join(widths, key, "left")
+                  .withColumn("_bk", F.floor(_micros(ts) / F.col("_w")).cast("long")).drop("_w"))
+    else:
+        tagged = df.withColumn("_bk", _bucket(ts, int(bucket_seconds)))
     # last rows-1 rows of every (key, bucket)
     desc = Window.partitionBy(key, "_bk").orderBy(*[F.col(c).desc() for c in o])
     tails = (tagged.select(key, "_bk", *o, column)

@@ -960,3 +960,13 @@ def q_agg_exact_quantiles_lineitem(spark, d):
     return rounded(QT.exact_quantiles(li, ["l_extendedprice", "l_quantity", "l_discount"],
                                       [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0], accuracy=1000)
                    .withColumn("q_index", F.col("q_index").cast("int")))
+
+
+@register("win_rolling_mean_auto_buckets", sql("""
+SELECT *, avg(yield_rate) OVER (PARTITION BY equipment_id ORDER BY timestamp, wafer_id
+                                ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS yield_rate_rolling_mean
+FROM telemetry_raw""", round_cols=_READINGS + ("yield_rate_rolling_mean",)))
+def q_win_rolling_mean_auto_buckets(spark, d):
+    # per-chamber bucket widths sized for ~500 rows each, 10-row frame
+    return rounded(W.rolling_mean(_raw(spark, d), "yield_rate", rows=10, bucket_seconds="auto",
+                                  target_rows_per_bucket=500))

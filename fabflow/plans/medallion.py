@@ -102,7 +102,7 @@ def equipment_kpis(silver_df: DataFrame) -> DataFrame:
                  F.avg("quality_score").alias("avg_quality_score")))
 
 
-def ml_features(silver_df: DataFrame, rows: int = 5, bucket_seconds: int = 3600) -> DataFrame:
+def ml_features(silver_df: DataFrame, rows: int = 5, bucket_seconds: int | str = "auto") -> DataFrame:
     """Rolling means of temperature and yield per chamber plus a temperature z-score."""
     from fabflow.operators.spc import anomaly_score
     from fabflow.operators.windows import rolling_mean

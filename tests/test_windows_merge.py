@@ -13,12 +13,15 @@ from conftest import SF_SMALL
 from helpers import frame
 
 
-@pytest.mark.parametrize("bucket", [1, 60, 3600, 86400 * 40])
+@pytest.mark.parametrize("bucket", [1, 60, 3600, 86400 * 40, "auto", "auto-small"])
 def test_bucketed_rolling_mean_equals_plain_window(spark, bucket):
     t = telemetry_raw(spark, SF_SMALL)
     w = Window.partitionBy("equipment_id").orderBy("timestamp", "wafer_id").rowsBetween(-4, 0)
     want = {(r.wafer_id, r.timestamp): r.m for r in t.withColumn("m", F.avg("temperature_c").over(w)).collect()}
-    got = W.rolling_mean(t, "temperature_c", rows=5, bucket_seconds=bucket).collect()
+    if bucket == "auto-small":   # auto widths with ~20 rows per bucket: many buckets per key
+        got = W.rolling_mean(t, "temperature_c", rows=5, bucket_seconds="auto", target_rows_per_bucket=20).collect()
+    else:
+        got = W.rolling_mean(t, "temperature_c", rows=5, bucket_seconds=bucket).collect()
     assert len(got) == len(want)
     for r in got:
         a, b = r.temperature_c_rolling_mean, want[(r.wafer_id, r.timestamp)]
