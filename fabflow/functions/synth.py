@@ -140,3 +140,22 @@ def golden_pattern(ids: DataFrame, id_col: str = "id", base_time: str = DEFAULT_
         (i % 5).cast("bigint").alias("defect_count"),
         F.lit(False).alias("is_anomaly"),
     )
+
+
+def generate_batch(spark, num_records: int, start_id: int = 0, inject: bool = True,
+                   rate: float = C.ANOMALY_RATE, seed: int = 42, base_time: str = DEFAULT_BASE_TIME) -> DataFrame:
+    """``num_records`` synthetic readings with ordinals start_id.. (one projection over ``range``)."""
+    ids = spark.range(start_id, start_id + num_records)
+    df = synth_telemetry(ids, "id", seed, base_time)
+    return inject_anomalies(df, rate, seed) if inject and rate > 0 else df
+
+
+def generate_to_json(spark, total_records: int, path: str, seed: int = 42, inject: bool = True,
+                     encoding: str = "iso") -> None:
+    """Synthesize ``total_records`` readings and write them as JSON lines in one distributed job.
+
+    No driver-side batching: ``range`` is split into tasks, each task draws
+    and writes its own slice.
+    """
+    from fabflow.sinks.files import write_json_lines
+    write_json_lines(generate_batch(spark, total_records, 0, inject, seed=seed), path, encoding=encoding)

@@ -337,3 +337,49 @@ def histogram(df: DataFrame, column: str, bins: int = 50, lo=None, hi=None) -> D
             .select("bin", (lo_c + F.col("bin") * width).alias("lower"),
                     (lo_c + (F.col("bin") + 1) * width).alias("upper"),
                     F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count")))
+
+
+# ---------------------------------------------------------------------------
+# One entry point per summary type (the profiler menu), whole table or per file.
+# ---------------------------------------------------------------------------
+SUMMARY_TYPES = ("head", "tail", "sample", "dtypes", "info", "describe", "describe_all", "shape", "nulls",
+                 "duplicates", "unique", "value_counts", "anomalies", "corr", "memory")
+
+
+def profile(df: DataFrame, summary_type: str, group=None, order=("timestamp", "wafer_id"), exact=True) -> DataFrame:
+    """The named summary as a DataFrame; ``group=["source_file"]`` gives it per file."""
+    from fabflow.operators import sorting as SR
+    g = _g(group)
+    if summary_type == "head":
+        return SR.head_rows(df, 5, order, g or None)
+    if summary_type == "tail":
+        return SR.tail_rows(df, 5, order, g or None)
+    if summary_type == "sample":
+        return SR.sample_rows(df, 5)
+    if summary_type in ("dtypes", "info"):
+        return table_info(df, g)
+    if summary_type == "describe":
+        return describe_numeric(df, None, g, exact)
+    if summary_type == "describe_all":
+        return describe_all(df, g, exact)
+    if summary_type == "shape":
+        return shape(df, g)
+    if summary_type == "nulls":
+        return null_profile(df, g, nulls_only=True)
+    if summary_type == "duplicates":
+        rows = duplicate_row_profile(df, g)
+        if "wafer_id" in df.columns:
+            rows = rows.join(duplicate_key_profile(df, "wafer_id", g), g, "left") if g else \
+                rows.withColumn("duplicate_keys", duplicate_key_profile(df, "wafer_id").scalar())
+        return rows
+    if summary_type == "unique":
+        return unique_counts(df, g)
+    if summary_type == "value_counts":
+        return value_counts(df, group=g)
+    if summary_type == "anomalies":
+        return anomaly_summary(df, g)
+    if summary_type == "corr":
+        return correlation_matrix(df, None, g)
+    if summary_type == "memory":
+        return column_bytes(df, g)
+    raise ValueError(f"unknown summary type {summary_type!r}; one of {SUMMARY_TYPES}")

@@ -314,3 +314,26 @@ def validate(df: DataFrame, layer: str = "silver", rules: str = "native") -> tup
     """(report, gate) pair for a layer; both lazy."""
     report = validation_report(df, rules, layer)
     return report, quality_gate(report)
+
+
+def validate_dataframe(df: DataFrame, layer: str = "silver", rules: str = "native") -> dict:
+    """Validator-style summary dict: total_validations, passed, failed, critical_failures, results.
+
+    One Spark job (the fused report); only the report rows (at most 16) reach
+    the driver. Each result carries ``validation``, ``column``, ``success``,
+    ``critical`` and a ``details`` dict.
+    """
+    rows = [r.asDict() for r in validation_report(df, rules, layer).collect()]
+    keys = ("element_count", "unexpected_count", "pass_rate", "observed", "expected_min", "expected_max",
+            "details", "error")
+    results = [{"validation": r["validation"], "column": r["column"], "success": r["success"],
+                "critical": r["critical"], "details": {k: r[k] for k in keys if r[k] is not None}} for r in rows]
+    passed = sum(1 for r in results if r["success"])
+    crit = sum(1 for r in results if not r["success"] and r["critical"])
+    return {"total_validations": len(results), "passed": passed, "failed": len(results) - passed,
+            "critical_failures": crit, "results": results}
+
+
+def is_valid(summary: dict) -> bool:
+    """True iff no critical validation failed."""
+    return summary["critical_failures"] == 0

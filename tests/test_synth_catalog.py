@@ -68,3 +68,32 @@ def test_oracle_agreement_small(spark):
         order = sorted(range(len(cols)), key=lambda i: cols[i])
         rows_d = sorted(tuple(str(r[i]) for i in order) for r in d)
         assert len(rows_s) == len(rows_d), name
+
+
+def test_validator_style_api(spark):
+    from fabflow.operators.quality import is_valid, validate_dataframe
+    from fabflow.plans import medallion as M
+    from fabflow.sources.bridge import telemetry, telemetry_raw
+    s = validate_dataframe(M.silver(telemetry(spark, SF_SMALL)), layer="silver")
+    assert s["total_validations"] == 16 and is_valid(s)
+    assert {"validation", "column", "success", "critical", "details"} <= set(s["results"][1])
+    b = validate_dataframe(M.bronze(telemetry_raw(spark, SF_SMALL)), layer="bronze")
+    assert not is_valid(b) and b["critical_failures"] == 3
+
+
+def test_profile_dispatcher_covers_every_summary(spark):
+    from fabflow.operators.profile import SUMMARY_TYPES, profile
+    from fabflow.sources.bridge import telemetry_raw
+    t = telemetry_raw(spark, SF_SMALL)
+    for kind in SUMMARY_TYPES:
+        assert profile(t, kind).count() >= 1, kind
+    assert profile(t.withColumn("f", F.lit("a")), "shape", group=["f"]).count() == 1
+
+
+def test_generate_batch_and_json(spark, scratch):
+    from fabflow.sources.files import read_json_lines
+    b = SY.generate_batch(spark, 1000, start_id=5000)
+    assert b.count() == 1000 and b.filter("is_anomaly").count() == 10
+    assert b.agg(F.min("wafer_id")).first()[0] == "W00005000"
+    SY.generate_to_json(spark, 2000, scratch + "/gen")
+    assert read_json_lines(spark, scratch + "/gen").filter(F.col("timestamp").isNotNull()).count() == 2000
