@@ -322,7 +322,7 @@ def q_syn_golden_summary(spark, d):
 # so "per file" equals "per date" on the oracle side. ---
 from fabflow.operators import profile as P  # noqa: E402
 from fabflow.operators import sorting as SR  # noqa: E402
-from fabflow.plans.catalog import _describe_sql  # noqa: E402
+
 
 
 def _archive_one_file_per_date(spark, d):
