@@ -56,21 +56,31 @@ def poisson_cdf(lam: float, eps: float = 1e-12) -> list[float]:
 
 
 def poisson(lam: float, seed: int, row, stream) -> Column:
-    """Poisson(lam) by inverse CDF: the first k with u < P(X <= k)."""
+    """Poisson(lam) by inverse CDF: the first k with u < P(X <= k).
+
+    Written branch-free as the number of cumulative probabilities <= u, so the
+    draw is computed once per row (no per-branch re-evaluation).
+    """
     u = uniform(seed, row, stream)
-    cdf = poisson_cdf(lam)
-    expr = F.lit(len(cdf))
-    for k in range(len(cdf) - 1, -1, -1):
-        expr = F.when(u < F.lit(cdf[k]), F.lit(k)).otherwise(expr)
-    return expr.cast("bigint")
+    hits = [(u >= F.lit(c)).cast("int") for c in poisson_cdf(lam)]
+    total = hits[0]
+    for h in hits[1:]:
+        total = total + h
+    return total.cast("bigint")
 
 
 def beta_int(a: int, b: int, seed: int, row, stream: int) -> Column:
-    """Beta(a, b) for integer shapes: the a-th smallest of a + b - 1 uniforms."""
+    """Beta(a, b) for integer shapes: the a-th smallest of n = a + b - 1 uniforms.
+
+    Uniform order statistics counted from the top (Renyi representation):
+    X(n) = U1^(1/n), X(n-1) = X(n) * U2^(1/(n-1)), ... so X(a) needs only b
+    uniforms and b powers, not n draws and a sort.
+    """
     n = a + b - 1
-    draws = F.transform(F.sequence(F.lit(1), F.lit(n)),
-                        lambda i: uniform(seed, row, F.concat(F.lit(f"{stream}."), i.cast("string"))))
-    return F.element_at(F.array_sort(draws), a)
+    x = F.lit(1.0)
+    for j in range(b):
+        x = x * F.pow(uniform(seed, row, f"{stream}.{j + 1}"), F.lit(1.0 / (n - j)))
+    return x
 
 
 def choice(values: list, seed: int, row, stream) -> Column:

@@ -33,11 +33,14 @@ def auto_bucket_width(df: DataFrame, key: str, ts: str, target_rows: int = 1_000
     return st.select(key, width.cast("long").alias("_w"))
 
 
-def rolling_mean(df: DataFrame, column: str, key: str = "equipment_id", order=("timestamp", "wafer_id"),
+def rolling_mean(df: DataFrame, column, key: str = "equipment_id", order=("timestamp", "wafer_id"),
                  rows: int = 5, bucket_seconds: int | str = "auto", out: str | None = None,
                  target_rows_per_bucket: int = 1_000_000) -> DataFrame:
     """Mean of the current and ``rows-1`` preceding readings per key, ordered by ``order``.
 
+    ``column`` may be a list: all columns share one bucketing, halo and window
+    pass, each output named ``<column>_rolling_mean``.
+
     Exact for any bucket width: a bucket's halo is the latest ``rows-1`` rows
     before it, found among the per-bucket tails (each tail row is copied to at
     most ``rows-1`` later buckets). ``bucket_seconds="auto"`` sizes buckets per
@@ -45,10 +48,11 @@ def rolling_mean(df: DataFrame, column: str, key: str = "equipment_id", order=("
     rows each), so neither a hot key nor a short backfill makes one huge task.
     """
     o = list(order)
-    out = out or f"{column}_rolling_mean"
+    cols = [column] if isinstance(column, str) else list(column)
+    outs = [out] if (out and isinstance(column, str)) else [f"{c}_rolling_mean" for c in cols]
     ts = o[0]
     if rows <= 1:
-        return df.withColumn(out, F.col(column).cast("double"))
+        return df.withColumns({n: F.col(c).cast("double") for c, n in zip(cols, outs)})
     if bucket_seconds == "auto":
         widths = auto_bucket_width(df, key, ts, target_rows_per_bucket)
         tagged = (df.join(widths, key, "left")
@@ -57,18 +61,18 @@ def rolling_mean(df: DataFrame, column: str, key: str = "equipment_id", order=("
         tagged = df.withColumn("_bk", _bucket(ts, int(bucket_seconds)))
     # last rows-1 rows of every (key, bucket)
     desc = Window.partitionBy(key, "_bk").orderBy(*[F.col(c).desc() for c in o])
-    tails = (tagged.select(key, "_bk", *o, column)
+    tails = (tagged.select(key, "_bk", *o, *cols)
              .withColumn("_rn", F.row_number().over(desc)).filter(F.col("_rn") < rows).drop("_rn"))
     # each tail row joins the halo of the later buckets among the next rows-1 tail rows
     stream = Window.partitionBy(key).orderBy(*o).rowsBetween(1, rows - 1)
     halo = (tails.withColumn("_to", F.array_distinct(F.collect_list("_bk").over(stream)))
-            .select(key, F.explode("_to").alias("_target"), "_bk", *o, column)
+            .select(key, F.explode("_to").alias("_target"), "_bk", *o, *cols)
             .filter(F.col("_target") > F.col("_bk"))
-            .select(key, F.col("_target").alias("_bk"), *o, column, F.lit(True).alias("_halo")))
+            .select(key, F.col("_target").alias("_bk"), *o, *cols, F.lit(True).alias("_halo")))
     body = tagged.withColumn("_halo", F.lit(False))
     both = body.unionByName(halo, allowMissingColumns=True)
     frame = Window.partitionBy(key, "_bk").orderBy(*o).rowsBetween(-(rows - 1), 0)
-    res = both.withColumn(out, F.avg(F.col(column).cast("double")).over(frame))
+    res = both.withColumns({n: F.avg(F.col(c).cast("double")).over(frame) for c, n in zip(cols, outs)})
     return res.filter(~F.col("_halo")).drop("_halo", "_bk")
 
 

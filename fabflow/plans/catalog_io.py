@@ -243,7 +243,7 @@ _SYN_SQL = f"""SELECT TIMESTAMP '2024-02-01 00:00:00' - to_seconds(id) AS timest
        ['EQ001', 'EQ002', 'EQ003', 'EQ004'][CAST(floor({_u_sql('id', "'1'")} * 4) AS INTEGER) + 1] AS equipment_id,
        {_normal_sql(350.0, 5.0, 'id', 2)} AS temperature_c,
        {_normal_sql(10.0, 0.5, 'id', 4)} AS pressure_torr,
-       0.8e0 + 0.19e0 * list_sort(list_transform(range(1, 22), lambda i: {_u_sql('id', "concat('6.', CAST(i AS VARCHAR))")}))[20] AS yield_rate,
+       0.8e0 + 0.19e0 * (1e0 * pow({_u_sql('id', "'6.1'")}, {1.0 / 21!r}) * pow({_u_sql('id', "'6.2'")}, {1.0 / 20!r})) AS yield_rate,
        {_poisson_sql(_u_sql('id', "'7'"))} AS defect_count,
        FALSE AS is_anomaly
 FROM (SELECT event_id AS id FROM events) e"""

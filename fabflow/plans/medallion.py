@@ -107,8 +107,7 @@ def ml_features(silver_df: DataFrame, rows: int = 5, bucket_seconds: int | str =
     from fabflow.operators.spc import anomaly_score
     from fabflow.operators.windows import rolling_mean
     base = silver_df.select(*C.BRONZE_COLUMNS)
-    f = rolling_mean(base, "temperature_c", rows=rows, bucket_seconds=bucket_seconds)
-    f = rolling_mean(f, "yield_rate", rows=rows, bucket_seconds=bucket_seconds)
+    f = rolling_mean(base, ["temperature_c", "yield_rate"], rows=rows, bucket_seconds=bucket_seconds)
     return anomaly_score(f, "temperature_c", "equipment_id")
 
 
