@@ -2,8 +2,10 @@
 
 A rule set is a list of :class:`Rule`. :func:`validation_report` turns every
 row-level rule into aggregate expressions, evaluates *all* of them in one
-``agg`` (one scan, partial aggregation before the only shuffle), and reshapes
-the single result row into one report row per rule with ``inline``. Schema
+global ``agg`` (one scan, one row per map task shuffled), and reshapes the
+single result row into one report row per rule with ``inline``. The exact
+distinct count of a uniqueness rule is a separate key-only subquery, so its
+shuffle carries keys only. Schema
 rules and rules that reference missing columns are resolved from metadata and
 never start a job.
 
@@ -168,6 +170,7 @@ class _Compiler:
         self.df = df
         self.types = dict(df.dtypes)
         self.aggs: list[Column] = []
+        self.post: dict[str, Column] = {}   # scalar subqueries attached once to the result row
         self._n = 0
 
     def agg(self, expr: Column) -> Column:
@@ -177,6 +180,19 @@ class _Compiler:
         self.aggs.append(expr.alias(name))
         return F.col(name)
 
+    def distinct_count(self, c: Column) -> Column:
+        """Exact distinct count as its own key-only scalar subquery.
+
+        Inside the main aggregate, a single distinct would make Spark group
+        every other partial buffer by the key and shuffle them all per key;
+        on its own it shuffles only (map-side deduplicated) keys, and the main
+        aggregate stays a plain global aggregate.
+        """
+        name = f"_d{self._n}"
+        self._n += 1
+        self.post[name] = self.df.agg(F.count_distinct(c)).scalar()
+        return F.col(name)
+
     def total(self) -> Column:
         if not hasattr(self, "_total"):
             self._total = self.agg(F.count(F.lit(1)))
@@ -198,7 +214,7 @@ class _Compiler:
                         error=f"column {rule.column!r} not found")
         c = F.col(rule.column)
         if rule.kind == "unique":
-            distinct = self.agg(F.count_distinct(c))
+            distinct = self.distinct_count(c)
             base = self.agg(F.count(c)) if ignore else self.total()
             return _row(rule, success=base == distinct, element_count=base, unexpected=base - distinct)
         if rule.kind == "not_null":
@@ -253,6 +269,8 @@ def validation_report(df: DataFrame, rules: list[Rule] | str = "native", layer:
     comp.total()
     rows = [r for r in (comp.compile(rule) for rule in rules) if r is not None]
     one = df.agg(*comp.aggs)
+    if comp.post:
+        one = one.withColumns(comp.post)
     return one.select(F.inline(F.array(*rows)))
 
 
