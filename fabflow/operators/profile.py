@@ -145,8 +145,13 @@ def describe_numeric(df: DataFrame, columns=None, group=None, exact: bool | str
     cols = list(columns) if columns else numeric_columns(df, g)
     if exact == "bounded":
         from fabflow.operators.quantiles import exact_quantiles
-        base = describe_numeric(df, cols, g, exact=False, accuracy=accuracy).drop("p25", "p50", "p75")
-        q = exact_quantiles(df, cols, [0.25, 0.5, 0.75], g)
+        per = {}
+        for c in cols:
+            vd = _value(df, c).cast("double")
+            per[c] = [("count", F.count(vd)), ("mean", F.avg(vd)), ("std", F.stddev_samp(vd)),
+                      ("min", F.min(vd)), ("max", F.max(vd))]
+        base = _agg_long(df, g, per)
+        q = exact_quantiles(df, cols, [0.25, 0.5, 0.75], g, accuracy=accuracy)
         wide = q.groupBy(*g, "column").pivot("q_index", [0, 1, 2]).agg(F.first("quantile"))
         wide = wide.select(*g, "column", F.col("0").alias("p25"), F.col("1").alias("p50"), F.col("2").alias("p75"))
         return base.join(wide, g + ["column"]).select(*g, "column", "count", "mean", "std", "min",

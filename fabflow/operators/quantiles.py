@@ -3,13 +3,13 @@
 ``percentile`` keeps every distinct value of a group in one buffer, which
 cannot hold a whole-table profile of continuous readings at scale. Here:
 
-1. one ``percentile_approx`` pass brackets each target rank: the sketch's rank
-   error is at most n / accuracy, so [q(p - m/acc), q(p + m/acc)] contains the
-   exact order statistics for p (groups of at most ``accuracy`` values skip the
-   bracket and are ranked whole);
-2. one pass emits, per row and target, either a "below the bracket" marker or
-   the value itself when it falls inside the bracket; partial aggregation
-   collapses the markers (and ties) before the shuffle;
+1. one aggregate gives each column's count and ``percentile_approx`` brackets:
+   the sketch's rank error is at most n / accuracy, so
+   [q(p - m/acc), q(p + m/acc)] contains the exact order statistics for p
+   (groups of at most ``accuracy`` values skip the bracket and are ranked whole);
+2. plain ``count_if`` aggregates count the rows below each bracket, and only
+   the rows inside a bracket are expanded and grouped by value (ties collapse
+   map-side before the shuffle);
 3. a window over the bracketed values only (about 2m n / accuracy per target)
    turns counts into ranks, and the two order statistics around
    p (n - 1) are interpolated exactly as ``percentile`` does.
@@ -28,64 +28,81 @@ def _g(group) -> list[str]:
     return [] if not group else ([group] if isinstance(group, str) else list(group))
 
 
-def exact_quantiles(df: DataFrame, columns, probs, group=None, accuracy: int = 100000,
+def exact_quantiles(df: DataFrame, columns, probs, group=None, accuracy: int = 10000,
                     margin: float = 4.0) -> DataFrame:
     """Exact linear-interpolated quantiles of each column (NaN and NULL ignored).
 
     Returns (group..., column, q_index, prob, quantile), one row per column,
-    probability and group.
+    probability and group; ``q_index`` is the position in ``probs``.
     """
     g = _g(group)
     cols = list(columns)
-    probs = [float(p) for p in probs]
-    types = dict(df.dtypes)
-    vals = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        if types[c] in ("double", "float"):
-            x = F.when(~F.isnan(F.col(c)), F.col(c).cast("double"))
-        vals.append(F.struct(F.lit(c).alias("column"), x.alias("v")))
-    long = df.select(*g, F.inline(F.array(*vals))).filter(F.col("v").isNotNull())
-    keys = g + ["column"]
-    t = len(probs)
+    probs_in = [float(p) for p in probs]
+    order = sorted(range(len(probs_in)), key=lambda j: probs_in[j])
+    probs_s = [probs_in[j] for j in order]
+    t = len(probs_s)
     d = margin / accuracy
-    bracket_probs = [max(0.0, p - d) for p in probs] + [min(1.0, p + d) for p in probs]
-
-    # pass 1: group size and rank brackets (bounded sketch per group)
-    br = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
-                                 F.percentile_approx("v", bracket_probs, accuracy).alias("_q"))
-    joined = long.join(br, keys)
-
-    # pass 2: below-bracket markers and in-bracket values, per target
-    idx = F.sequence(F.lit(0), F.lit(t - 1))
+    bracket_probs = [max(0.0, p - d) for p in probs_s] + [min(1.0, p + d) for p in probs_s]
+    types = dict(df.dtypes)
 
-    # Groups of at most ``accuracy`` values are ranked whole (bounded); larger
-    # groups use the bracket, whose margin is then at least ``margin`` ranks and
+    def value(c):
+        x = F.col(c).cast("double")
+        return F.when(~F.isnan(F.col(c)), x) if types[c] in ("double", "float") else x
+
+    vals = {c: value(c) for c in cols}
+
+    # pass 1: per column count and rank brackets from the bounded sketch
+    aggs1 = []
+    for k, c in enumerate(cols):
+        aggs1 += [F.count(vals[c]).alias(f"_n{k}"),
+                  F.percentile_approx(vals[c], bracket_probs, accuracy).alias(f"_q{k}")]
+    if g:
+        base = df.join(df.groupBy(*g).agg(*aggs1), g)     # one row per group: broadcast when small
+        n_of = lambda k: F.col(f"_n{k}")                   # noqa: E731
+        q_of = lambda k: F.col(f"_q{k}")                   # noqa: E731
+    else:
+        one = df.agg(F.struct(*aggs1).alias("s")).scalar()  # one row: a scalar subquery, no join
+        base = df
+        n_of = lambda k: one[f"_n{k}"]                     # noqa: E731
+        q_of = lambda k: one[f"_q{k}"]                     # noqa: E731
+
+    # Groups of at most ``accuracy`` values skip the bracket and are ranked whole
+    # (bounded); larger groups have a margin of at least ``margin`` ranks, which
     # covers the sketch's rank convention (p*n) against the interpolation's p*(n-1).
-    bracketed = F.col("_n") > F.lit(accuracy)
-
-    def tag(i):
-        lo, hi = F.col("_q")[i], F.col("_q")[i + t]
-        below = bracketed & (F.col("v") < lo)
-        inside = ~bracketed | (F.col("v") <= hi)
-        return (F.when(below, F.struct(i.alias("i"), F.lit(True).alias("below"), F.lit(None).cast("double").alias("x")))
-                .when(inside, F.struct(i.alias("i"), F.lit(False).alias("below"), F.col("v").alias("x"))))
-
-    tags = F.filter(F.transform(idx, tag), lambda s: s.isNotNull())
-    counts = (joined.select(*keys, "_n", F.explode(tags).alias("_t"))
-              .groupBy(*keys, "_n", F.col("_t.i").alias("i"), F.col("_t.below").alias("below"), F.col("_t.x").alias("x"))
-              .agg(F.count(F.lit(1)).alias("c")))
-
-    # pass 3 (bracketed values only): ranks from running counts, markers first
-    w = Window.partitionBy(*keys, "i").orderBy(F.col("below").desc(), F.col("x").asc()) \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = counts.withColumn("_cum", F.sum("c").over(w))
-    prob = F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("i") + 1)
+    bracketed = {k: n_of(k) > F.lit(accuracy) for k in range(len(cols))}
+
+    # pass 2a: rows below each lower bracket (plain aggregates, no row expansion)
+    meta_aggs, meta_rows = [], []
+    for k, c in enumerate(cols):
+        meta_aggs.append(F.first(n_of(k)).alias(f"_mn{k}"))
+        for j in range(t):
+            meta_aggs.append(F.count_if(bracketed[k] & (vals[c] < q_of(k)[j])).alias(f"_b{k}_{j}"))
+            meta_rows.append(F.struct(F.lit(c).alias("column"), F.lit(j).alias("i"),
+                                      F.col(f"_mn{k}").alias("_n"), F.col(f"_b{k}_{j}").alias("_below")))
+    meta = base.groupBy(*g).agg(*meta_aggs).select(*g, F.inline(F.array(*meta_rows)))
+
+    # pass 2b: only values inside a bracket are expanded, grouped by value (ties collapse)
+    tags = []
+    for k, c in enumerate(cols):
+        v = vals[c]
+        for j in range(t):
+            inside = ~bracketed[k] | ((v >= q_of(k)[j]) & (v <= q_of(k)[j + t]))
+            tags.append(F.when(v.isNotNull() & inside,
+                               F.struct(F.lit(c).alias("column"), F.lit(j).alias("i"), v.alias("x"))))
+    band = (base.select(*g, F.explode(F.array_compact(F.array(*tags))).alias("_t"))
+            .groupBy(*g, F.col("_t.column").alias("column"), F.col("_t.i").alias("i"), F.col("_t.x").alias("x"))
+            .agg(F.count(F.lit(1)).alias("c")))
+
+    # pass 3 (bracketed values only): rank ranges from running counts
+    keys = g + ["column", "i"]
+    w = Window.partitionBy(*keys).orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = band.join(meta, keys).withColumn("_cum", F.col("_below") + F.sum("c").over(w))
+    prob = F.element_at(F.array(*[F.lit(p) for p in probs_s]), F.col("i") + 1)
     pos = prob * (F.col("_n") - 1)
     lo_k, hi_k = F.floor(pos), F.ceil(pos)
     first = F.col("_cum") - F.col("c")              # rank of this value's first copy
-    has = lambda k: (~F.col("below")) & (first <= k) & (k < F.col("_cum"))
-    picked = ranked.groupBy(*keys, "_n", "i").agg(
+    has = lambda k: (first <= k) & (k < F.col("_cum"))
+    picked = ranked.groupBy(*keys, "_n").agg(
         F.max(F.when(has(lo_k), F.col("x"))).alias("_xl"),
         F.max(F.when(has(hi_k), F.col("x"))).alias("_xh"),
         F.first(prob).alias("prob"))
@@ -95,4 +112,5 @@ def exact_quantiles(df: DataFrame, columns, probs, group=None, accuracy: int = 1
         (hi2 - p2) * F.col("_xl") + (p2 - lo2) * F.col("_xh"))
     checked = F.when(F.col("_xl").isNull() | F.col("_xh").isNull(),
                      F.raise_error(F.lit("quantile bracket missed its rank; raise accuracy"))).otherwise(interp)
-    return picked.select(*keys, F.col("i").alias("q_index"), "prob", checked.cast("double").alias("quantile"))
+    q_index = F.element_at(F.array(*[F.lit(j) for j in order]), F.col("i") + 1)
+    return picked.select(*g, "column", q_index.alias("q_index"), "prob", checked.cast("double").alias("quantile"))
