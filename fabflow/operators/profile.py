@@ -169,18 +169,41 @@ def describe_numeric(df: DataFrame, columns=None, group=None, exact: bool | str
                       F.col("_q")[2].cast("double").alias("p75"), "max")
 
 
-def _long_values(df: DataFrame, cols: list[str], group: list[str]) -> DataFrame:
-    """(group..., column, value-as-text) for the given columns; NaN read as missing."""
-    vals = [F.struct(F.lit(c).alias("column"), _value(df, c).cast("string").alias("value")) for c in cols]
-    return df.select(*group, F.inline(F.array(*vals)))
+def _typed_long(df: DataFrame, cols: list[str], group: list[str]) -> tuple[DataFrame, list[str]]:
+    """(group..., column, one nullable slot per input type) for the given columns.
+
+    Values keep their own type (no per-row text cast); NaN reads as missing;
+    rows whose value is missing are dropped. Returns the frame and slot names.
+    """
+    types = dict(df.dtypes)
+    slot_types = sorted({types[c] for c in cols})
+    slot = {t: f"_v{i}" for i, t in enumerate(slot_types)}
+    rows = []
+    for c in cols:
+        fields = [F.lit(c).alias("column")]
+        for t in slot_types:
+            v = _value(df, c) if types[c] == t else F.lit(None).cast(t)
+            fields.append(v.alias(slot[t]))
+        rows.append(F.struct(*fields))
+    long = df.select(*group, F.inline(F.array(*rows)))
+    present = F.lit(False)
+    for t in slot_types:
+        present = present | F.col(slot[t]).isNotNull()
+    return long.filter(present), [slot[t] for t in slot_types]
+
+
+def _as_text(slots: list[str]) -> Column:
+    """The one non-null slot rendered as text (applied after aggregation)."""
+    return F.coalesce(*[F.col(s).cast("string") for s in slots])
 
 
 def describe_categorical(df: DataFrame, columns=None, group=None) -> DataFrame:
     """count, unique, top (most frequent; smallest on ties), freq per non-numeric column."""
     g = _g(group)
     cols = list(columns) if columns else [c for c, t in df.dtypes if t not in NUMERIC_TYPES and c not in g]
-    counts = (_long_values(df, cols, g).filter(F.col("value").isNotNull())
-              .groupBy(*g, "column", "value").agg(F.count(F.lit(1)).alias("_n")))
+    long, slots = _typed_long(df, cols, g)
+    counts = (long.groupBy(*g, "column", *slots).agg(F.count(F.lit(1)).alias("_n"))
+              .select(*g, "column", _as_text(slots).alias("value"), "_n"))
     best = F.min(F.struct((-F.col("_n")).alias("neg"), F.col("value").alias("v")))
     return (counts.groupBy(*g, "column")
             .agg(F.sum("_n").alias("count"), F.count(F.lit(1)).alias("unique"), best.alias("_b"))
@@ -220,12 +243,20 @@ def table_info(df: DataFrame, group=None) -> DataFrame:
     return out.withColumn("dtype", mapping[F.col("column")])
 
 
-def unique_counts(df: DataFrame, group=None, columns=None) -> DataFrame:
-    """Distinct non-null values per column (NaN excluded), via (column, value) grouping."""
+def unique_counts(df: DataFrame, group=None, columns=None, approx: bool = False, rsd: float = 0.01) -> DataFrame:
+    """Distinct non-null values per column (NaN excluded).
+
+    Exact: (column, typed value) grouping, whose shuffle grows with the number
+    of distinct values. ``approx=True``: one pass of HyperLogLog sketches
+    (relative error ``rsd``), for very large high-cardinality tables.
+    """
     g = _g(group)
     cols = list(columns) if columns else [c for c in df.columns if c not in g]
-    distinct_vals = (_long_values(df, cols, g).filter(F.col("value").isNotNull())
-                     .select(*g, "column", "value").distinct())
+    if approx:
+        per = {c: [("unique_count", F.approx_count_distinct(_value(df, c), rsd))] for c in cols}
+        return _agg_long(df, g, per)
+    long, slots = _typed_long(df, cols, g)
+    distinct_vals = long.select(*g, "column", *slots).distinct()
     return distinct_vals.groupBy(*g, "column").agg(F.count(F.lit(1)).alias("unique_count"))
 
 
@@ -234,8 +265,9 @@ def value_counts(df: DataFrame, columns=("equipment_id", "is_anomaly"), group=No
     """Frequency of each value per column (nulls dropped), most frequent first."""
     g = _g(group)
     cols = [c for c in columns if c in df.columns]
-    return (_long_values(df, cols, g).filter(F.col("value").isNotNull())
-            .groupBy(*g, "column", "value").agg(F.count(F.lit(1)).alias("count"))
+    long, slots = _typed_long(df, cols, g)
+    return (long.groupBy(*g, "column", *slots).agg(F.count(F.lit(1)).alias("count"))
+            .select(*g, "column", _as_text(slots).alias("value"), "count")
             .orderBy(*g, "column", F.desc("count"), "value"))
 
 

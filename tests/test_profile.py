@@ -133,3 +133,11 @@ def test_bounded_exact_quantiles_equal_percentile(spark):
     exact = {(r["equipment_id"], r["column"]): r for r in P.describe_numeric(t, group="equipment_id").collect()}
     for r in grouped:
         assert r["p50"] == pytest.approx(exact[(r["equipment_id"], r["column"])]["p50"], rel=1e-12)
+
+
+def test_unique_counts_approx_close(spark):
+    t = telemetry_raw(spark, SF_SMALL)
+    ex = {r["column"]: r["unique_count"] for r in P.unique_counts(t).collect()}
+    ap = {r["column"]: r["unique_count"] for r in P.unique_counts(t, approx=True).collect()}
+    for c in ex:
+        assert abs(ap[c] - ex[c]) <= max(2, 0.05 * ex[c])
