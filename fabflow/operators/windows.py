@@ -20,17 +20,18 @@ def _bucket(ts: str, bucket_seconds: int):
     return F.floor(_micros(ts) / F.lit(bucket_seconds * 1_000_000)).cast("long")
 
 
-def auto_bucket_width(df: DataFrame, key: str, ts: str, target_rows: int = 1_000_000) -> DataFrame:
-    """Per key: a bucket width (microseconds) giving about ``target_rows`` rows per bucket.
+def auto_bucket_width(df: DataFrame, key: str, ts: str, target_rows: int = 1_000_000):
+    """One bucket width (microseconds, a scalar subquery) sized for the busiest key.
 
-    One small aggregate (count and time span per key); a key with a third of
-    all rows gets proportionally finer buckets than a quiet one.
+    Per key: span / (rows / target_rows); the minimum over keys is used, so the
+    key with a third of all rows gets about ``target_rows`` rows per bucket and
+    quieter keys get smaller buckets. One small aggregate, no join.
     """
     st = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min(_micros(ts)).alias("_t0"),
                              F.max(_micros(ts)).alias("_t1"))
     buckets = F.greatest(F.lit(1.0), F.col("_n") / F.lit(float(target_rows)))
     width = F.greatest(F.lit(1_000_000.0), F.ceil((F.col("_t1") - F.col("_t0") + 1) / buckets))
-    return st.select(key, width.cast("long").alias("_w"))
+    return st.agg(F.min(width).cast("long")).scalar()
 
 
 def rolling_mean(df: DataFrame, column, key: str = "equipment_id", order=("timestamp", "wafer_id"),
@@ -54,9 +55,8 @@ def rolling_mean(df: DataFrame, column, key: str = "equipment_id", order=("times
     if rows <= 1:
         return df.withColumns({n: F.col(c).cast("double") for c, n in zip(cols, outs)})
     if bucket_seconds == "auto":
-        widths = auto_bucket_width(df, key, ts, target_rows_per_bucket)
-        tagged = (df.join(widths, key, "left")
-                  .withColumn("_bk", F.floor(_micros(ts) / F.col("_w")).cast("long")).drop("_w"))
+        width = auto_bucket_width(df, key, ts, target_rows_per_bucket)
+        tagged = df.withColumn("_bk", F.floor(_micros(ts) / width).cast("long"))
     else:
         tagged = df.withColumn("_bk", _bucket(ts, int(bucket_seconds)))
     # last rows-1 rows of every (key, bucket)
