@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fabflow.operators.joins import join_small
+
 
 def _g(group) -> list[str]:
     return [] if not group else ([group] if isinstance(group, str) else list(group))
@@ -57,7 +59,7 @@ def exact_quantiles(df: DataFrame, columns, probs, group=None, accuracy: int = 1
         aggs1 += [F.count(vals[c]).alias(f"_n{k}"),
                   F.percentile_approx(vals[c], bracket_probs, accuracy).alias(f"_q{k}")]
     if g:
-        base = df.join(df.groupBy(*g).agg(*aggs1), g)     # one row per group: broadcast when small
+        base = join_small(df, df.groupBy(*g).agg(*aggs1), g, "inner")   # broadcast behind a size check
         n_of = lambda k: F.col(f"_n{k}")                   # noqa: E731
         q_of = lambda k: F.col(f"_q{k}")                   # noqa: E731
     else:

@@ -2,9 +2,9 @@
 
 Control limits come from a *baseline* frame and are applied to a *target*
 frame. Whole-table limits are scalar subqueries (two numbers, no join);
-per-group limits are a grouped aggregate joined back on the group key, which
-adaptive execution broadcasts once it has measured the (one row per group)
-limits table, and shuffles otherwise.
+per-group limits are a grouped aggregate joined back on the group key through
+:func:`fabflow.operators.joins.join_small`: broadcast when the limits table is
+within its size check, a shuffle join otherwise.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from fabflow import constants as C
 from fabflow.functions.scalar import safe_percentage
+from fabflow.operators.joins import join_small
 
 
 def _g(group) -> list[str]:
@@ -36,7 +37,7 @@ def apply_limits(target: DataFrame, baseline: DataFrame, column: str, group=None
     g = _g(group)
     lim = control_limits(baseline, column, g, k)
     if g:
-        out = target.join(lim.select(*g, "ucl", "lcl"), on=g, how="left")
+        out = join_small(target, lim.select(*g, "ucl", "lcl"), g, "left")
         ucl, lcl = F.col("ucl"), F.col("lcl")
     else:
         one = lim.select(F.struct("ucl", "lcl")).scalar()  # one scalar subquery for both limits
@@ -135,7 +136,7 @@ def anomaly_score(df: DataFrame, column: str, group="equipment_id") -> DataFrame
     v = F.col(column).cast("double")
     stats = df.groupBy(*g).agg(F.avg(v).alias("_mu"), F.stddev_samp(v).alias("_sd"))
     if g:
-        out = df.join(stats, on=g, how="left")
+        out = join_small(df, stats, g, "left")
     else:
         one = stats.select(F.struct("_mu", "_sd")).scalar()
         out = df.withColumns({"_mu": one["_mu"], "_sd": one["_sd"]})

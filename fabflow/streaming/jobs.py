@@ -234,7 +234,8 @@ def alerts(stream: DataFrame, limits: DataFrame, min_run: int = 3, column: str =
     run, and an event-time timeout drops the state of a chamber that stays
     silent (state TTL behind the watermark).
     """
-    j = stream.join(limits.select("equipment_id", "ucl", "lcl"), "equipment_id", "left")
+    from fabflow.operators.joins import join_small
+    j = join_small(stream, limits.select("equipment_id", "ucl", "lcl"), "equipment_id", "left")
     beyond = F.coalesce((F.col(column) > F.col("ucl")) | (F.col(column) < F.col("lcl")), F.lit(False))
     narrow = j.select("equipment_id", "timestamp", "wafer_id", F.col(column).alias("temperature_c"),
                       beyond.alias("beyond"))
