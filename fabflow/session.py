@@ -15,6 +15,10 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # streaming state (watermark dedup keys, open windows, alert runs) lives in
+    # RocksDB on local disk instead of executor heap; it grows with key rate x delay
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
