@@ -59,21 +59,25 @@ def sort_by_size(df: DataFrame, measure: str) -> DataFrame:
 
 
 def exact_sample(df: DataFrame, rate: float, key: str = "wafer_id", seed: int = 42,
-                 bucket_bits: int = 20) -> DataFrame:
+                 bucket_bits: int = 20, copies_per_chunk: int = 1_000_000) -> DataFrame:
     """Exactly ``floor(rows * rate)`` rows without replacement, chosen by seeded hash order.
 
-    ``key`` must identify a row (e.g. ``wafer_id`` after dedup): rows sharing
-    a key share a hash, and copies are ranked together in the boundary bucket.
-
-    The hash's first ``bucket_bits`` bits form buckets. Bucket counts
-    (at most 2^bucket_bits rows, about 1M) give the boundary bucket by a running sum;
-    rows below it are taken whole, and only the boundary bucket is ranked to
-    take the remainder. No global sort, no driver round trip.
+    Order: md5 of ``seed:key``, then the key, then a hash of the whole row.
+    The hash's first ``bucket_bits`` bits form buckets; bucket counts (at most
+    2^bucket_bits rows) give the boundary bucket by a running sum, and rows in
+    earlier buckets are taken whole. Inside the boundary bucket identical rows
+    are collapsed to one group with a copy count before ranking, so a key
+    holding a third of all rows is one ranked group, not a third of the data
+    in one task; a partially taken group is regenerated in chunks spread over
+    tasks. No global sort, no driver round trip.
     """
+    from fabflow.operators.joins import join_small
+    cols = df.columns
     hexd = (bucket_bits + 3) // 4
-    h = sample_key(key, seed)
-    tagged = df.withColumn("_h", h).withColumn(
-        "_b", F.shiftright(F.conv(F.substring("_h", 1, hexd), 16, 10).cast("long"), 4 * hexd - bucket_bits))
+    tagged = (df.withColumn("_h", sample_key(key, seed))
+              .withColumn("_rh", F.xxhash64(*[F.col(c) for c in cols]))
+              .withColumn("_b", F.shiftright(F.conv(F.substring("_h", 1, hexd), 16, 10).cast("long"),
+                                             4 * hexd - bucket_bits)))
     total = df.agg(F.count(F.lit(1))).scalar()
     k = F.floor(total * F.lit(float(rate)))
     counts = tagged.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
@@ -82,11 +86,24 @@ def exact_sample(df: DataFrame, rate: float, key: str = "wafer_id", seed: int =
         F.col("_b").alias("bb"), (k - (F.col("_cum") - F.col("_n"))).alias("need"))
     one = boundary.select(F.struct("bb", "need")).scalar()
     bb, need = one["bb"], one["need"]
-    below = tagged.filter(F.col("_b") < bb)
-    edge = (tagged.filter(F.col("_b") == bb)
-            .withColumn("_rn", F.row_number().over(Window.orderBy("_h", key)))
-            .filter(F.col("_rn") <= need).drop("_rn"))
-    return below.unionByName(edge).drop("_h", "_b")
+
+    below = tagged.filter(F.col("_b") < bb).select(*cols)
+    edge = tagged.filter(F.col("_b") == bb)
+    gkeys = ["_h", key, "_rh"]
+    groups = edge.groupBy(*gkeys).agg(F.count(F.lit(1)).alias("_c"),
+                                      F.first(F.struct(*[F.col(c) for c in cols])).alias("_row"))
+    ranked = groups.withColumn("_cum", F.sum("_c").over(
+        Window.orderBy(*gkeys).rowsBetween(Window.unboundedPreceding, 0)))
+    whole = ranked.filter(F.col("_cum") <= need).select(*gkeys)
+    whole_rows = join_small(edge, whole, gkeys, "left_semi").select(*cols)
+    part = ranked.filter((F.col("_cum") > need) & (F.col("_cum") - F.col("_c") < need)).select(
+        "_row", (need - (F.col("_cum") - F.col("_c"))).alias("_m"))
+    chunk = F.lit(copies_per_chunk)
+    chunks = (part.select("_row", "_m", F.explode(F.sequence(F.lit(0), F.ceil(F.col("_m") / chunk) - 1)).alias("_k"))
+              .repartition("_k"))
+    copies = chunks.select("_row", F.explode(F.sequence(
+        F.lit(1), F.least(chunk, F.col("_m") - F.col("_k") * chunk))).alias("_i")).select("_row.*")
+    return below.unionByName(whole_rows).unionByName(copies)
 
 
 def append_batches(batches: list[DataFrame]) -> DataFrame:

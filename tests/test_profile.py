@@ -141,3 +141,14 @@ def test_unique_counts_approx_close(spark):
     ap = {r["column"]: r["unique_count"] for r in P.unique_counts(t, approx=True).collect()}
     for c in ex:
         assert abs(ap[c] - ex[c]) <= max(2, 0.05 * ex[c])
+
+
+def test_exact_sample_with_a_hot_key(spark):
+    from datetime import datetime
+    rows = [{"wafer_id": "HOT"}] * 600 + [{"wafer_id": f"W{i:05d}"} for i in range(1200)]
+    df = frame(spark, rows, with_date=False)
+    for rate in (0.05, 0.3, 0.5, 0.9):
+        s = SR.exact_sample(df, rate, bucket_bits=2, copies_per_chunk=7)
+        assert s.count() == math.floor(1800 * rate)
+        assert s.exceptAll(df).count() == 0                          # only real rows
+        assert s.groupBy("wafer_id").count().filter("wafer_id != 'HOT' and count > 1").count() == 0
