@@ -74,9 +74,23 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
                        for c, t in df.dtypes])
 
 
+def prepare(spark: SparkSession) -> None:
+    """Session settings every query relies on: UTC session time (event times are
+    UTC wall clock) and a checkpoint/staging folder (the cluster's, when set)."""
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    from fabflow.session import checkpoint_root
+    checkpoint_root(spark)
+
+
 def register(name: str, oracle: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            prepare(spark)
+            return fn(spark, sf_dir)
+        run.__name__ = fn.__name__
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
         if oracle is not None:
             ORACLE[name] = oracle
         return fn
