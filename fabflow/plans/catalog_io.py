@@ -426,3 +426,16 @@ def q_str_delivery_stats(spark, d):
     out, q, ck = staging_path(spark, "good"), staging_path(spark, "quarantine"), staging_path(spark, "ck")
     J.start_archive(spark, src, out, ck, quarantine=q).awaitTermination()
     return rounded(J.delivery_stats_frame(spark.read.parquet(out), spark.read.parquet(q)))
+
+
+from fabflow.streaming import alerts as AL  # noqa: E402
+from fabflow.plans.catalog import ORACLE as _ORACLE  # noqa: E402
+
+
+@register("str_alerts_distributed", _ORACLE["str_alerts"])
+def q_str_alerts_distributed(spark, d):
+    # same alerts as str_alerts, run lengths from DataFrame operations per micro-batch
+    src, out, ck = _stream_dirs(spark, d)
+    limits = SPC.control_limits(telemetry(spark, d), "temperature_c", "equipment_id", k=2.0)
+    AL.start_alerts_distributed(spark, src, limits, out, ck, min_run=2, max_files_per_trigger=3).awaitTermination()
+    return _ntz(spark.read.parquet(out).drop("batch_id"))

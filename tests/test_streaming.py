@@ -142,3 +142,24 @@ def test_alert_run_resets_after_silence(spark, scratch):
     J.start_alerts(spark, src + "/b*", limits, scratch + "/out2", scratch + "/ck2", min_run=3,
                    max_files_per_trigger=1).awaitTermination()
     assert sorted(r.wafer_id for r in spark.read.parquet(scratch + "/out2").collect()) == ["W00000002", "W00000003"]
+
+
+def test_distributed_alerts_carry_state_and_reset(spark, scratch):
+    from fabflow.streaming import alerts as AL
+    base = datetime(2024, 1, 1)
+    temps = [350, 390, 391, 350, 392, 393, 394, 350, 395, 396]
+    ts = [base + timedelta(minutes=i) for i in range(8)] + [base + timedelta(hours=6), base + timedelta(hours=6, minutes=1)]
+    rows = [{"wafer_id": f"W{i:08d}", "timestamp": t, "temperature_c": float(v)} for i, (t, v) in enumerate(zip(ts, temps))]
+    df = frame(spark, rows, with_date=False)
+    limits = spark.createDataFrame([("EQ001", 380.0, 320.0)], "equipment_id string, ucl double, lcl double")
+    src = scratch + "/src"
+    for i, (a, b) in enumerate([(0, 2), (2, 5), (5, 8), (8, 10)]):
+        _write_batch(df.filter(F.col("wafer_id").between(f"W{a:08d}", f"W{b - 1:08d}")), src, i)
+        time.sleep(1.1)
+    AL.start_alerts_distributed(spark, src + "/b*", limits, scratch + "/out", scratch + "/ck", min_run=2,
+                                reset_after_seconds=3600, max_files_per_trigger=1).awaitTermination()
+    got = sorted((r.wafer_id, r.run_length) for r in spark.read.parquet(scratch + "/out").collect())
+    # run 390,391 spans batches 0/1; 392..394 spans 1/2; after 6 h of silence 395,396 restart at 1
+    assert got == [("W00000002", 2), ("W00000005", 2), ("W00000006", 3), ("W00000009", 2)]
+    state = spark.read.parquet(scratch + "/ck/alert-state")
+    assert state.select("batch_id").distinct().count() == 4
