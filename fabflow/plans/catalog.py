@@ -959,9 +959,10 @@ from fabflow.plans import catalog_io  # noqa: E402,F401  (registers IO and strea
 from fabflow.operators import quantiles as QT  # noqa: E402
 
 
-@register("agg_describe_bounded", sql(_describe_sql("telemetry_raw", _PROC), round_cols=_DESC_ROUND))
-def q_agg_describe_bounded(spark, d):
-    return rounded(P.describe_numeric(_raw(spark, d), exact="bounded"))
+@register("agg_describe_percentile", sql(_describe_sql("telemetry_raw", _PROC), round_cols=_DESC_ROUND))
+def q_agg_describe_percentile(spark, d):
+    # the single-pass path: Spark's exact percentile aggregate
+    return rounded(P.describe_numeric(_raw(spark, d), exact=True))
 
 
 @register("agg_exact_quantiles_lineitem", sql("\nUNION ALL\n".join(
