@@ -80,7 +80,7 @@ def anomaly_summary(df: DataFrame, group=None, flag: str = "is_anomaly") -> Data
     )
 
 
-def anomaly_stats(df: DataFrame, group=None, flag: str = "is_anomaly", exact: bool | str = "bounded") -> DataFrame:
+def anomaly_stats(df: DataFrame, group=None, flag: str = "is_anomaly", exact: bool | str = "auto") -> DataFrame:
     """describe() of the four process readings over anomalous rows only."""
     cols = [c for c in C.PROCESS_COLUMNS if c in df.columns]
     return describe_numeric(df.filter(F.col(flag)), cols, group, exact)
@@ -129,20 +129,28 @@ def duplicate_key_profile(df: DataFrame, key: str = "wafer_id", group=None) -> D
 
 
 # AGG-9, 10 ------------------------------------------------------------------
-def describe_numeric(df: DataFrame, columns=None, group=None, exact: bool | str = "bounded",
-                     accuracy: int = 10000) -> DataFrame:
+PERCENTILE_MAX_ROWS = 5_000_000
+
+
+def describe_numeric(df: DataFrame, columns=None, group=None, exact: bool | str = "auto",
+                     accuracy: int = 10000, percentile_max_rows: int = PERCENTILE_MAX_ROWS) -> DataFrame:
     """count, mean, sample std, min, 25/50/75 % (linear interpolation), max per column.
 
-    Quartiles:
-    * ``exact="bounded"`` (default): exact quartiles in bounded memory
+    Quartiles (all exact except ``False``):
+    * ``exact="bounded"``: exact quartiles in bounded memory
       (:func:`fabflow.operators.quantiles.exact_quantiles`, a few aggregate
       passes), safe for whole-table profiles of continuous readings at scale;
     * ``exact=True``: Spark's exact ``percentile`` in one pass, whose buffer
-      holds every distinct value of a group (fine for small groups only);
+      holds every distinct value of a group (fine for small inputs only);
+    * ``exact="auto"`` (default): one row count (a size check), then ``True``
+      up to ``percentile_max_rows`` rows and ``"bounded"`` beyond; both give
+      identical results;
     * ``exact=False``: the ``percentile_approx`` sketch (rank error 1/accuracy).
     """
     g = _g(group)
     cols = list(columns) if columns else numeric_columns(df, g)
+    if exact == "auto":
+        exact = True if df.count() <= percentile_max_rows else "bounded"
     if exact == "bounded":
         from fabflow.operators.quantiles import exact_quantiles
         per = {}
@@ -210,7 +218,7 @@ def describe_categorical(df: DataFrame, columns=None, group=None) -> DataFrame:
             .select(*g, "column", "count", "unique", F.col("_b.v").alias("top"), (-F.col("_b.neg")).alias("freq")))
 
 
-def describe_all(df: DataFrame, group=None, exact: bool | str = "bounded") -> DataFrame:
+def describe_all(df: DataFrame, group=None, exact: bool | str = "auto") -> DataFrame:
     """describe(include='all'): numeric and categorical statistics in one long table."""
     g = _g(group)
     num = describe_numeric(df, None, g, exact)
@@ -383,7 +391,7 @@ SUMMARY_TYPES = ("head", "tail", "sample", "dtypes", "info", "describe", "descri
                  "duplicates", "unique", "value_counts", "anomalies", "corr", "memory")
 
 
-def profile(df: DataFrame, summary_type: str, group=None, order=("timestamp", "wafer_id"), exact="bounded") -> DataFrame:
+def profile(df: DataFrame, summary_type: str, group=None, order=("timestamp", "wafer_id"), exact="auto") -> DataFrame:
     """The named summary as a DataFrame; ``group=["source_file"]`` gives it per file."""
     from fabflow.operators import sorting as SR
     g = _g(group)

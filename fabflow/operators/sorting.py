@@ -11,6 +11,7 @@ and only that bucket is ranked.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -58,8 +59,12 @@ def sort_by_size(df: DataFrame, measure: str) -> DataFrame:
     return df.orderBy(F.desc(measure))
 
 
+TAKE_ORDERED_MAX_ROWS = 100_000
+
+
 def exact_sample(df: DataFrame, rate: float, key: str = "wafer_id", seed: int = 42,
-                 bucket_bits: int = 20, copies_per_chunk: int = 1_000_000) -> DataFrame:
+                 bucket_bits: int = 20, copies_per_chunk: int = 1_000_000,
+                 take_ordered_max: int = TAKE_ORDERED_MAX_ROWS) -> DataFrame:
     """Exactly ``floor(rows * rate)`` rows without replacement, chosen by seeded hash order.
 
     Order: md5 of ``seed:key``, then the key, then a hash of the whole row.
@@ -69,17 +74,24 @@ def exact_sample(df: DataFrame, rate: float, key: str = "wafer_id", seed: int =
     are collapsed to one group with a copy count before ranking, so a key
     holding a third of all rows is one ranked group, not a third of the data
     in one task; a partially taken group is regenerated in chunks spread over
-    tasks. No global sort, no driver round trip.
+    tasks. No global sort. When the sample size (one row count) is at most
+    ``take_ordered_max`` rows, a bounded take-ordered (``orderBy().limit(k)``,
+    at most k rows held per task) gives the same rows with fewer jobs.
     """
     from fabflow.operators.joins import join_small
     cols = df.columns
+    n = df.count()                                   # size check: one number
+    k_rows = math.floor(n * float(rate))
+    if k_rows <= take_ordered_max:
+        return (df.withColumn("_h", sample_key(key, seed))
+                .withColumn("_rh", F.xxhash64(*[F.col(c) for c in cols]))
+                .orderBy("_h", key, "_rh").limit(k_rows).select(*cols))
     hexd = (bucket_bits + 3) // 4
     tagged = (df.withColumn("_h", sample_key(key, seed))
               .withColumn("_rh", F.xxhash64(*[F.col(c) for c in cols]))
               .withColumn("_b", F.shiftright(F.conv(F.substring("_h", 1, hexd), 16, 10).cast("long"),
                                              4 * hexd - bucket_bits)))
-    total = df.agg(F.count(F.lit(1))).scalar()
-    k = F.floor(total * F.lit(float(rate)))
+    k = F.lit(k_rows)
     counts = tagged.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
     cum = counts.withColumn("_cum", F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)))
     boundary = cum.filter((F.col("_cum") >= k) & (F.col("_cum") - F.col("_n") < k)).select(
