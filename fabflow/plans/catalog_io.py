@@ -396,14 +396,14 @@ from fabflow.plans import medallion as M  # noqa: E402
 from fabflow.plans.catalog import _SILVER_OUT  # noqa: E402
 
 
-@register("med_silver_pipeline", sql("SELECT * FROM silver_clean",
+@register("med_silver_table", sql("SELECT * FROM silver_clean",
                                       round_cols=("temperature_c", "pressure_torr", "yield_rate",
                                                   "temperature_deviation_c", "pressure_deviation_torr")))
-def q_med_silver_pipeline(spark, d):
+def q_med_silver_table(spark, d):
     # bronze (clean) -> silver table through the gate, then the redelivered rows upserted on top
     path = staging_path(spark, "silver-table")
-    M.silver_pipeline(M.bronze(telemetry(spark, d)), path)
-    M.silver_pipeline(M.bronze(telemetry(spark, d)), path)          # rerun: idempotent
+    M.build_silver_table(M.bronze(telemetry(spark, d)), path)
+    M.build_silver_table(M.bronze(telemetry(spark, d)), path)          # rerun: idempotent
     return rounded(_ntz(spark.read.parquet(path).select(*_SILVER_OUT)))
 
 

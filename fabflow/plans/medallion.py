@@ -111,7 +111,7 @@ def ml_features(silver_df: DataFrame, rows: int = 5, bucket_seconds: int | str =
     return anomaly_score(f, "temperature_c", "equipment_id")
 
 
-def silver_pipeline(bronze_df: DataFrame, table_path: str, install_date: str = C.DEFAULT_INSTALL_DATE,
+def build_silver_table(bronze_df: DataFrame, table_path: str, install_date: str = C.DEFAULT_INSTALL_DATE,
                     rules: str = "native", lookback_days: int | None = None) -> dict:
     """MED-3: latest row per wafer -> derived columns -> quality gate -> upsert into the silver table.
 

@@ -97,14 +97,14 @@ def test_silver_columns_and_rules(spark):
     assert (r.quality_flag, r.quality_score) == ("PASS", 75)
 
 
-def test_silver_pipeline_gates_and_upserts(spark, scratch):
+def test_build_silver_table_gates_and_upserts(spark, scratch):
     from fabflow.operators.quality import QualityGateError
     path = scratch + "/silver"
-    r = M.silver_pipeline(M.bronze(telemetry(spark, SF_SMALL)), path)
+    r = M.build_silver_table(M.bronze(telemetry(spark, SF_SMALL)), path)
     assert r["is_valid"] and spark.read.parquet(path).count() == 1000
     bad = M.bronze(telemetry_raw(spark, SF_SMALL))       # unknown chamber -> critical failure
     with pytest.raises(QualityGateError):
-        M.silver_pipeline(bad, path)
+        M.build_silver_table(bad, path)
     assert spark.read.parquet(path).count() == 1000
 
 
