@@ -360,71 +360,26 @@ def histogram(df: DataFrame, column: str, bins: int = 50, lo=None, hi=None) -> D
     """Equal-width histogram: ``bins`` bins over [lo, hi] (default min..max), last bin closed.
 
     Values outside [lo, hi] are not counted. Every bin is present, empty ones
-    with count 0. Bounds are scalar subqueries; the bin table has exactly
-    ``bins`` rows.
+    with count 0. Default bounds are one bounded action (a single row: min,
+    max); as literals they reach the scan as pushed filters. The bin table has
+    exactly ``bins`` rows.
     """
     spark = df.sparkSession
     v = _value(df, column).cast("double")
     if lo is None or hi is None:
-        stats = df.agg(F.struct(F.min(v).alias("mn"), F.max(v).alias("mx"))).scalar()  # one subquery
-        mn, mx = stats["mn"], stats["mx"]
-        same = mn == mx
-        lo_c = F.when(same, mn - 0.5).otherwise(mn) if lo is None else F.lit(float(lo))
-        hi_c = F.when(same, mx + 0.5).otherwise(mx) if hi is None else F.lit(float(hi))
-    else:
-        lo_c, hi_c = F.lit(float(lo)), F.lit(float(hi))
+        mn, mx = df.agg(F.min(v), F.max(v)).first()
+        if mn is not None and mn == mx:
+            mn, mx = mn - 0.5, mx + 0.5
+        lo = mn if lo is None else lo
+        hi = mx if hi is None else hi
+    lo_c = F.lit(None).cast("double") if lo is None else F.lit(float(lo))
+    hi_c = F.lit(None).cast("double") if hi is None else F.lit(float(hi))
     width = (hi_c - lo_c) / F.lit(float(bins))
     counted = (df.select(v.alias("_v")).filter((F.col("_v") >= lo_c) & (F.col("_v") <= hi_c))
                .select(F.least(F.floor((F.col("_v") - lo_c) / width), F.lit(bins - 1)).cast("int").alias("bin"))
                .groupBy("bin").agg(F.count(F.lit(1)).alias("count")))
     all_bins = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
-    return (F.broadcast(all_bins).join(counted, "bin", "left")
+    return (all_bins.join(F.broadcast(counted), "bin", "left")
             .select("bin", (lo_c + F.col("bin") * width).alias("lower"),
                     (lo_c + (F.col("bin") + 1) * width).alias("upper"),
                     F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count")))
-
-
-# ---------------------------------------------------------------------------
-# One entry point per summary type (the profiler menu), whole table or per file.
-# ---------------------------------------------------------------------------
-SUMMARY_TYPES = ("head", "tail", "sample", "dtypes", "info", "describe", "describe_all", "shape", "nulls",
-                 "duplicates", "unique", "value_counts", "anomalies", "corr", "memory")
-
-
-def profile(df: DataFrame, summary_type: str, group=None, order=("timestamp", "wafer_id"), exact="auto") -> DataFrame:
-    """The named summary as a DataFrame; ``group=["source_file"]`` gives it per file."""
-    from fabflow.operators import sorting as SR
-    g = _g(group)
-    if summary_type == "head":
-        return SR.head_rows(df, 5, order, g or None)
-    if summary_type == "tail":
-        return SR.tail_rows(df, 5, order, g or None)
-    if summary_type == "sample":
-        return SR.sample_rows(df, 5)
-    if summary_type in ("dtypes", "info"):
-        return table_info(df, g)
-    if summary_type == "describe":
-        return describe_numeric(df, None, g, exact)
-    if summary_type == "describe_all":
-        return describe_all(df, g, exact)
-    if summary_type == "shape":
-        return shape(df, g)
-    if summary_type == "nulls":
-        return null_profile(df, g, nulls_only=True)
-    if summary_type == "duplicates":
-        rows = duplicate_row_profile(df, g)
-        if "wafer_id" in df.columns:
-            rows = rows.join(duplicate_key_profile(df, "wafer_id", g), g, "left") if g else \
-                rows.withColumn("duplicate_keys", duplicate_key_profile(df, "wafer_id").scalar())
-        return rows
-    if summary_type == "unique":
-        return unique_counts(df, g)
-    if summary_type == "value_counts":
-        return value_counts(df, group=g)
-    if summary_type == "anomalies":
-        return anomaly_summary(df, g)
-    if summary_type == "corr":
-        return correlation_matrix(df, None, g)
-    if summary_type == "memory":
-        return column_bytes(df, g)
-    raise ValueError(f"unknown summary type {summary_type!r}; one of {SUMMARY_TYPES}")
