@@ -334,18 +334,43 @@ def validate(df: DataFrame, layer: str = "silver", rules: str = "native") -> tup
     return report, quality_gate(report)
 
 
-def validate_dataframe(df: DataFrame, layer: str = "silver", rules: str = "native") -> dict:
+def _details(rule: Rule | None, r: dict) -> dict:
+    """Per-kind details with the familiar keys, from one report row."""
+    if r.get("error"):
+        return {"error": r["error"]}
+    kind = r["rule"]
+    if kind == "unique":
+        return {"duplicates": r["unexpected_count"]}
+    if kind == "not_null":
+        return {"null_count": r["unexpected_count"]}
+    if kind == "in_set":
+        return {"invalid_count": r["unexpected_count"], "valid_values": list(rule.values) if rule else None}
+    if kind == "range":
+        return {"min": r["expected_min"], "max": r["expected_max"], "out_of_range": r["unexpected_count"],
+                "pass_rate": r["pass_rate"]}
+    if kind in ("mean", "max"):
+        return {"expected_min": rule.lo if rule else r["expected_min"], "expected_max": rule.hi if rule else r["expected_max"],
+                "actual": r["observed"]}
+    if kind == "schema_superset":
+        missing = (r["details"] or "").split(";")[0].removeprefix("missing=")
+        return {"missing": [m for m in missing.split(",") if m], "layer": rule.layer if rule else None}
+    return {"details": r["details"]}
+
+
+def validate_dataframe(df: DataFrame, layer: str = "silver", rules: str | list[Rule] = "native") -> dict:
     """Validator-style summary dict: total_validations, passed, failed, critical_failures, results.
 
     One Spark job (the fused report); only the report rows (at most 16) reach
     the driver. Each result carries ``validation``, ``column``, ``success``,
-    ``critical`` and a ``details`` dict.
+    ``critical`` and ``details`` with per-kind keys (duplicates, null_count,
+    invalid_count / valid_values, min / max / out_of_range / pass_rate,
+    expected_min / expected_max / actual, missing / layer).
     """
-    rows = [r.asDict() for r in validation_report(df, rules, layer).collect()]
-    keys = ("element_count", "unexpected_count", "pass_rate", "observed", "expected_min", "expected_max",
-            "details", "error")
+    rule_list = rule_set(rules, layer) if isinstance(rules, str) else list(rules)
+    by_name = {r.validation: r for r in rule_list}
+    rows = [r.asDict() for r in validation_report(df, rule_list, layer).collect()]
     results = [{"validation": r["validation"], "column": r["column"], "success": r["success"],
-                "critical": r["critical"], "details": {k: r[k] for k in keys if r[k] is not None}} for r in rows]
+                "critical": r["critical"], "details": _details(by_name.get(r["validation"]), r)} for r in rows]
     passed = sum(1 for r in results if r["success"])
     crit = sum(1 for r in results if not r["success"] and r["critical"])
     return {"total_validations": len(results), "passed": passed, "failed": len(results) - passed,

@@ -79,6 +79,13 @@ def test_validator_style_api(spark):
     assert {"validation", "column", "success", "critical", "details"} <= set(s["results"][1])
     b = validate_dataframe(M.bronze(telemetry_raw(spark, SF_SMALL)), layer="bronze")
     assert not is_valid(b) and b["critical_failures"] == 3
+    d = {r["validation"]: r["details"] for r in b["results"]}
+    assert d["wafer_id_uniqueness"] == {"duplicates": 100}
+    assert d["temperature_c_not_null"] == {"null_count": 11}
+    assert d["equipment_id_values"] == {"invalid_count": 10, "valid_values": ["EQ001", "EQ002", "EQ003", "EQ004"]}
+    assert d["temperature_c_range"]["out_of_range"] == 0 and d["temperature_c_range"]["pass_rate"] == 1.0
+    assert d["schema_columns"] == {"missing": [], "layer": "bronze"}
+    assert abs(d["yield_rate_mean"]["actual"] - 0.943641) < 1e-6
 
 
 def test_profile_dispatcher_covers_every_summary(spark):
