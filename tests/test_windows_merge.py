@@ -114,3 +114,28 @@ def test_key_partitioning_keeps_a_key_in_one_partition(spark):
     p = key_partitioned(t, 3).withColumn("pid", F.spark_partition_id())
     per_key = p.groupBy("equipment_id").agg(F.countDistinct("pid").alias("parts")).collect()
     assert all(r.parts == 1 for r in per_key)
+
+
+def test_join_small_broadcasts_within_the_check_and_shuffles_beyond(spark):
+    from fabflow.operators.joins import join_small
+    t = telemetry_raw(spark, SF_SMALL)
+    small = t.groupBy("equipment_id").agg(F.avg("temperature_c").alias("m"))
+    j = join_small(t, small, "equipment_id", "left", max_rows=10)
+    plan = j._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and j.count() == t.count()
+    big = t.groupBy("wafer_id").agg(F.max("timestamp").alias("m"))
+    k = join_small(t, big, "wafer_id", "left", max_rows=10)       # beyond the check: ordinary join
+    assert k.count() == t.count()
+    assert "LocalTableScan" not in k._jdf.queryExecution().executedPlan().toString()
+
+
+def test_upsert_with_lookback_prunes_but_finds_recent_moves(spark, scratch):
+    path = scratch + "/t"
+    rows = [{"wafer_id": "W1", "timestamp": datetime(2024, 3, 1, 1)},
+            {"wafer_id": "W2", "timestamp": datetime(2024, 3, 9, 1)}]
+    MG.upsert_partitioned(frame(spark, rows), path)
+    moved = frame(spark, [{"wafer_id": "W2", "timestamp": datetime(2024, 3, 10, 2), "temperature_c": 351.0}])
+    res = MG.upsert_partitioned(moved, path, lookback_days=2)
+    out = {r.wafer_id: (str(r.date), r.temperature_c) for r in spark.read.parquet(path).collect()}
+    assert out == {"W1": ("2024-03-01", 350.0), "W2": ("2024-03-10", 351.0)}
+    assert res["emptied_partitions"] == 1
