@@ -89,8 +89,10 @@ def run_alerts_batch(readings: DataFrame, limits: DataFrame, min_run: int = 3, c
     entry_bp = F.greatest(base, F.col("_carry"), F.when(F.col("_first_gap"), F.col("_off")))
     prefix = buckets.select(key, "_bk", "_off", entry_bp.alias("_entry"))
 
-    # per reading: global index and last break at or before it
-    out = join_small(rows, prefix, [key, "_bk"], "inner")
+    # per reading: global index and last break at or before it. The readings are
+    # already hash-partitioned and sorted by (chamber, bucket) from the window, so
+    # this join shuffles only the small prefix table.
+    out = rows.join(prefix, [key, "_bk"], "inner")
     gi = F.col("_off") + F.col("_li")
     last_bp = F.greatest(F.col("_entry"), F.col("_off") + F.col("_lbp"))
     out = out.withColumn("run_length", F.when(F.col("beyond"), gi - last_bp).otherwise(F.lit(0)).cast("long"))
