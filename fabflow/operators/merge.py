@@ -58,7 +58,7 @@ def upsert_partitioned(incoming: DataFrame, table_path: str, key: str = "wafer_i
     if not _path_exists(spark, table_path):
         dedup_latest(incoming, key, order).write.mode("overwrite").partitionBy(partition_col).parquet(table_path)
         return {"touched_partitions": None, "emptied_partitions": 0}
-    stored = spark.read.parquet(table_path).select(*cols)
+    stored = spark.read.schema(incoming.select(*cols).schema).parquet(table_path).select(*cols)
     search = stored
     if lookback_days is not None:
         span = incoming.agg(F.struct(F.min(partition_col).alias("lo"), F.max(partition_col).alias("hi"))).scalar()

@@ -139,3 +139,11 @@ def test_upsert_with_lookback_prunes_but_finds_recent_moves(spark, scratch):
     out = {r.wafer_id: (str(r.date), r.temperature_c) for r in spark.read.parquet(path).collect()}
     assert out == {"W1": ("2024-03-01", 350.0), "W2": ("2024-03-10", 351.0)}
     assert res["emptied_partitions"] == 1
+
+
+def test_upsert_into_an_empty_table_folder(spark, scratch):
+    path = scratch + "/t"
+    empty = frame(spark, [{}]).limit(0)
+    empty.write.mode("overwrite").partitionBy("date").parquet(path)      # folder with no data files
+    MG.upsert_partitioned(frame(spark, [{"wafer_id": "W1"}]), path)
+    assert spark.read.parquet(path).count() == 1
