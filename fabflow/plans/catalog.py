@@ -124,11 +124,13 @@ _REPORT_COLS = [n for n, _ in Q.REPORT_FIELDS]
 _DUCK_TYPES = {"string": "VARCHAR", "boolean": "BOOLEAN", "bigint": "BIGINT", "double": "DOUBLE"}
 
 
-def _branch(vals: dict, from_: str | None = "a") -> str:
-    parts = []
+def _branch(vals: dict, from_: str | None = "a", group: str | None = None) -> str:
+    parts = [f"a.{group} AS {group}"] if group else []
     for n, t in Q.REPORT_FIELDS:
         v = vals.get(n, "NULL")
         parts.append(f"CAST({v} AS {_DUCK_TYPES[t]}) AS \"{n}\"")
+    if group:
+        from_ = "a"
     return "SELECT " + ", ".join(parts) + (f" FROM {from_}" if from_ else "")
 
 
@@ -136,9 +138,11 @@ def _q(s) -> str:
     return "'" + str(s).replace("'", "''") + "'"
 
 
-def report_sql(rules: list, subject: str, subject_cols: list[str]) -> str:
+def report_sql(rules: list, subject: str, subject_cols: list[str], group: str | None = None) -> str:
     aggs = ["count(*) AS total"]
     branches = []
+    def branch(vals, from_="a"):
+        return _branch(vals, from_, group)
     for i, r in enumerate(rules):
         ignore = r.null_policy == "ignore"
         base = {"validation": _q(r.validation), "column": _q(r.column) if r.column else "NULL",
@@ -146,35 +150,35 @@ def report_sql(rules: list, subject: str, subject_cols: list[str]) -> str:
         if r.kind == "schema_superset":
             missing = sorted(set(r.columns) - set(subject_cols))
             det = "missing=" + ",".join(missing) + (f";layer={r.layer}" if r.layer else "")
-            branches.append(_branch({**base, "success": "TRUE" if not missing else "FALSE",
+            branches.append(branch({**base, "success": "TRUE" if not missing else "FALSE",
                                      "unexpected_count": str(len(missing)), "details": _q(det)}, None))
             continue
         if r.kind == "schema_ordered":
             ok = list(subject_cols) == list(r.columns)
-            branches.append(_branch({**base, "success": "TRUE" if ok else "FALSE",
+            branches.append(branch({**base, "success": "TRUE" if ok else "FALSE",
                                      "details": "NULL" if ok else _q("actual=" + ",".join(subject_cols))}, None))
             continue
         if r.column not in subject_cols:
             if r.optional:
                 continue
-            branches.append(_branch({**base, "success": "FALSE", "critical": "TRUE" if (ignore or r.critical) else "FALSE",
+            branches.append(branch({**base, "success": "FALSE", "critical": "TRUE" if (ignore or r.critical) else "FALSE",
                                      "error": _q(f"column {r.column!r} not found")}, None))
             continue
         c = r.column
         if r.kind == "unique":
             aggs += [f"count(DISTINCT {c}) AS d{i}", f"count({c}) AS n{i}"]
             b = f"n{i}" if ignore else "total"
-            branches.append(_branch({**base, "success": f"{b} = d{i}", "element_count": b,
+            branches.append(branch({**base, "success": f"{b} = d{i}", "element_count": b,
                                      "unexpected_count": f"{b} - d{i}"}))
         elif r.kind == "not_null":
             aggs.append(f"count(*) FILTER (WHERE {c} IS NULL) AS u{i}")
-            branches.append(_branch({**base, "success": f"u{i} = 0", "element_count": "total",
+            branches.append(branch({**base, "success": f"u{i} = 0", "element_count": "total",
                                      "unexpected_count": f"u{i}"}))
         elif r.kind == "in_set":
             vals = ", ".join(_q(v) if isinstance(v, str) else str(v) for v in r.values)
             aggs += [f"count(*) FILTER (WHERE {c} NOT IN ({vals})) AS u{i}", f"count({c}) AS n{i}"]
             b = f"n{i}" if ignore else "total"
-            branches.append(_branch({**base, "success": f"u{i} = 0", "element_count": b, "unexpected_count": f"u{i}",
+            branches.append(branch({**base, "success": f"u{i} = 0", "element_count": b, "unexpected_count": f"u{i}",
                                      "details": _q("valid=" + ",".join(str(v) for v in r.values))}))
         elif r.kind == "range":
             aggs += [f"count(*) FILTER (WHERE {c} < {r.lo} OR {c} > {r.hi}) AS u{i}", f"count({c}) AS n{i}"]
@@ -186,21 +190,24 @@ def report_sql(rules: list, subject: str, subject_cols: list[str]) -> str:
                 rate = f"CASE WHEN total > 0 THEN CAST(total - u{i} AS DOUBLE) / total ELSE 0.0 END"
                 ok = f"{rate} >= {r.tolerance}"
                 b = "total"
-            branches.append(_branch({**base, "success": ok, "element_count": b, "unexpected_count": f"u{i}",
+            branches.append(branch({**base, "success": ok, "element_count": b, "unexpected_count": f"u{i}",
                                      "pass_rate": rate, "expected_min": str(float(r.lo)),
                                      "expected_max": str(float(r.hi)), "details": _q(f"tolerance={r.tolerance}")}))
         elif r.kind == "mean":
             aggs += [f"avg(CAST({c} AS DOUBLE)) AS m{i}", f"count({c}) AS n{i}"]
-            branches.append(_branch({**base, "success": f"coalesce(m{i} BETWEEN {r.lo} AND {r.hi}, FALSE)",
+            branches.append(branch({**base, "success": f"coalesce(m{i} BETWEEN {r.lo} AND {r.hi}, FALSE)",
                                      "element_count": f"n{i}", "observed": f"m{i}",
                                      "expected_min": str(float(r.lo)), "expected_max": str(float(r.hi))}))
         elif r.kind == "max":
             aggs += [f"max({c}) AS x{i}", f"count({c}) AS n{i}"]
             ok = f"coalesce(x{i} BETWEEN TIMESTAMP '{r.lo}' AND TIMESTAMP '{r.hi}', FALSE)"
-            branches.append(_branch({**base, "success": ok, "element_count": f"n{i}",
+            branches.append(branch({**base, "success": ok, "element_count": f"n{i}",
                                      "observed": f"epoch_us(x{i}) / 1e6",
                                      "details": _q(f"between={r.lo}..{r.hi}")}))
-    agg_cte = f"SELECT {', '.join(aggs)} FROM {subject}"
+    if group:
+        agg_cte = f"SELECT {group}, {', '.join(aggs)} FROM {subject} GROUP BY {group}"
+    else:
+        agg_cte = f"SELECT {', '.join(aggs)} FROM {subject}"
     return agg_cte, "\nUNION ALL\n".join(branches)
 
 
