@@ -450,3 +450,13 @@ def q_str_alerts_distributed(spark, d):
     limits = SPC.control_limits(telemetry(spark, d), "temperature_c", "equipment_id", k=2.0)
     AL.start_alerts_distributed(spark, src, limits, out, ck, min_run=2, max_files_per_trigger=3).awaitTermination()
     return _ntz(spark.read.parquet(out).drop("batch_id"))
+
+
+@register("win_batch_ordinal_per_file", sql("""
+SELECT CAST(dense_rank() OVER (ORDER BY date) AS INTEGER) AS batch_no, count(*) OVER () AS batch_total,
+       n AS row_count
+FROM (SELECT date, count(*) AS n FROM bronze_raw GROUP BY date) g"""))
+def q_win_batch_ordinal_per_file(spark, d):
+    # files of the one-file-per-date archive, numbered by path (= by date)
+    a = _archive_one_file_per_date(spark, d)
+    return W.batch_ordinal(a).select("batch_no", "batch_total", "row_count")
