@@ -448,7 +448,7 @@ def q_str_alerts_distributed(spark, d):
     # same alerts as str_alerts, run lengths from DataFrame operations per micro-batch
     src, out, ck = _stream_dirs(spark, d)
     limits = SPC.control_limits(telemetry(spark, d), "temperature_c", "equipment_id", k=2.0)
-    AL.start_alerts_distributed(spark, src, limits, out, ck, min_run=2, max_files_per_trigger=3).awaitTermination()
+    AL.start_alerts_distributed(spark, src, limits, out, ck, min_run=2, max_files_per_trigger=10).awaitTermination()
     return _ntz(spark.read.parquet(out).drop("batch_id"))
 
 
