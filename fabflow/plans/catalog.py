@@ -992,3 +992,10 @@ def q_win_rolling_mean_auto_buckets(spark, d):
     # per-chamber bucket widths sized for ~500 rows each, 10-row frame
     return rounded(W.rolling_mean(_raw(spark, d), "yield_rate", rows=10, bucket_seconds="auto",
                                   target_rows_per_bucket=500))
+
+
+@register("agg_total_bytes", sql(
+    "SELECT CAST(sum(bytes) AS BIGINT) AS bytes, round(sum(bytes) / (1024e0 * 1024e0), 2) AS megabytes FROM ("
+    + _bytes_sql() + ") t"))
+def q_agg_total_bytes(spark, d):
+    return P.total_bytes(_raw(spark, d))

@@ -460,3 +460,12 @@ def q_win_batch_ordinal_per_file(spark, d):
     # files of the one-file-per-date archive, numbered by path (= by date)
     a = _archive_one_file_per_date(spark, d)
     return W.batch_ordinal(a).select("batch_no", "batch_total", "row_count")
+
+
+@register("srt_tail_rows_per_file", sql("""
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY date ORDER BY timestamp DESC, wafer_id DESC) AS rn FROM bronze_raw) t
+WHERE rn <= 5"""))
+def q_srt_tail_rows_per_file(spark, d):
+    a = _archive_one_file_per_date(spark, d)
+    return _ntz(SR.tail_rows(a, 5, group="source_file").select(*C.RAW_COLUMNS, "date"))
