@@ -3,7 +3,10 @@
 Plain Parquet tables refuse ``MERGE INTO``; the upsert is expressed as:
 
 1. touched dates = dates of the incoming rows + dates where their keys are stored now
-2. merged = latest row per key over (stored rows of touched dates + incoming)
+   (a bounded list collected once)
+2. merged = latest row per key over (stored rows of touched dates + incoming); the
+   stored side is filtered by a literal list of dates, so the scan reads only
+   those partition folders
 3. merged is written to a staging folder under ``spark.checkpoint.dir`` first,
    which cuts the lineage to the table being replaced (a failed job cannot
    lose input), then copied over the touched partitions with dynamic
@@ -66,7 +69,9 @@ def upsert_partitioned(incoming: DataFrame, table_path: str, key: str = "wafer_i
                                                             F.date_add(span["hi"], lookback_days)))
     moved_from = search.join(incoming.select(key).distinct(), on=key, how="left_semi").select(partition_col)
     touched = incoming.select(partition_col).unionByName(moved_from).distinct()
-    affected = stored.join(touched, on=partition_col, how="left_semi")
+    touched_vals = sorted(r[0] for r in touched.collect())    # bounded: distinct partition values
+    # a literal IN list on the partition column prunes the stored scan to the touched folders
+    affected = stored.filter(F.col(partition_col).isin(touched_vals)) if touched_vals else stored.limit(0)
     merged = merge_latest(affected, incoming.select(*cols), key, order)
 
     stage = staging_path(spark, "upsert")
@@ -74,7 +79,6 @@ def upsert_partitioned(incoming: DataFrame, table_path: str, key: str = "wafer_i
     staged = spark.read.schema(merged.schema).parquet(stage).select(*cols)
 
     # Partitions touched but absent from the merge result became empty.
-    touched_vals = [r[0] for r in touched.collect()]          # bounded: distinct partition values
     kept_vals = {r[0] for r in staged.select(partition_col).distinct().collect()}
     emptied = [v for v in touched_vals if v not in kept_vals]
 

@@ -121,7 +121,10 @@ def build_silver_table(bronze_df: DataFrame, table_path: str, install_date: str
     """
     from fabflow.operators import quality as Q
     from fabflow.operators.merge import upsert_partitioned
-    s = silver(bronze_df, install_date)
-    gate = Q.assert_valid(Q.validation_report(s, rules, "silver"))
-    counts = upsert_partitioned(s, table_path, "wafer_id", "timestamp", "date", lookback_days)
+    s = silver(bronze_df, install_date).persist()    # gate and upsert read the increment once
+    try:
+        gate = Q.assert_valid(Q.validation_report(s, rules, "silver"))
+        counts = upsert_partitioned(s, table_path, "wafer_id", "timestamp", "date", lookback_days)
+    finally:
+        s.unpersist()
     return {**gate, **counts}

@@ -147,3 +147,17 @@ def test_upsert_into_an_empty_table_folder(spark, scratch):
     empty.write.mode("overwrite").partitionBy("date").parquet(path)      # folder with no data files
     MG.upsert_partitioned(frame(spark, [{"wafer_id": "W1"}]), path)
     assert spark.read.parquet(path).count() == 1
+
+
+def test_upsert_reads_only_touched_partitions(spark, scratch):
+    path = scratch + "/t"
+    rows = [{"wafer_id": f"W{d}", "timestamp": datetime(2024, 3, d, 1)} for d in range(1, 11)]
+    MG.upsert_partitioned(frame(spark, rows), path)
+    inc = frame(spark, [{"wafer_id": "W3", "timestamp": datetime(2024, 3, 3, 5), "temperature_c": 352.0}])
+    stored = spark.read.parquet(path)
+    q = stored.filter(F.col("date").isin([datetime(2024, 3, 3).date()]))
+    assert "PartitionFilters: [isnotnull(date" in q._jdf.queryExecution().executedPlan().toString()
+    res = MG.upsert_partitioned(inc, path)
+    assert res["touched_partitions"] == 1
+    out = spark.read.parquet(path)
+    assert out.count() == 10 and out.filter(F.col("temperature_c") == 352.0).count() == 1
