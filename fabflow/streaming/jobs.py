@@ -78,12 +78,15 @@ def start_archive(spark: SparkSession, source: str, sink: str, checkpoint: str,
         return _trigger(w, trigger).start()
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        good = bronze_frame(good_rows(batch))
-        bad = batch.filter(F.col(CORRUPT).isNotNull() | F.col("timestamp").isNull()).select(
-            F.col(CORRUPT).alias("raw"), F.col("_ts_text").alias("timestamp_text"), "wafer_id",
-            F.lit(batch_id).alias("batch_id"))
-        write_batch_idempotent(good, sink, batch_id)
-        write_batch_idempotent(bad.drop("batch_id"), quarantine, batch_id, ())
+        batch = batch.persist()                  # good and quarantined rows from one read
+        try:
+            good = bronze_frame(good_rows(batch))
+            bad = batch.filter(F.col(CORRUPT).isNotNull() | F.col("timestamp").isNull()).select(
+                F.col(CORRUPT).alias("raw"), F.col("_ts_text").alias("timestamp_text"), "wafer_id")
+            write_batch_idempotent(good, sink, batch_id)
+            write_batch_idempotent(bad, quarantine, batch_id, ())
+        finally:
+            batch.unpersist()
 
     w = parsed.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     return _trigger(w, trigger).start()
