@@ -999,3 +999,27 @@ def q_win_rolling_mean_auto_buckets(spark, d):
     + _bytes_sql() + ") t"))
 def q_agg_total_bytes(spark, d):
     return P.total_bytes(_raw(spark, d))
+
+
+def _phi_sql(z: str) -> str:
+    a1, a2, a3, a4, a5 = SPC.ERF_A
+    x = f"(abs({z}) / sqrt(2e0))"
+    t = f"(1e0 / (1e0 + {SPC.ERF_P!r} * {x}))"
+    poly = f"(((((({a5!r} * {t} + {a4!r}) * {t} + {a3!r}) * {t} + {a2!r}) * {t} + {a1!r}) * {t}))"
+    return f"(0.5e0 * (1e0 + sign({z}) * (1e0 - {poly} * exp(-{x} * {x}))))"
+
+
+_KS_SERIES = " + ".join(f"{2.0 * (-1) ** (k - 1)!r} * exp({-2.0 * k * k!r} * lam * lam)" for k in range(1, 101))
+
+
+@register("spc_ks_normal", sql(f"""
+SELECT statistic, n, least(greatest({_KS_SERIES}, 0e0), 1e0) AS p_value FROM (
+  SELECT statistic, n, sqrt(CAST(n AS DOUBLE)) * statistic AS lam FROM (
+    SELECT max(greatest(cum / n - phi, phi - (cum - c) / n)) AS statistic, max(n) AS n FROM (
+      SELECT x, c, phi, sum(c) OVER (ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
+             (SELECT count(*) FROM telemetry WHERE temperature_c IS NOT NULL) AS n
+      FROM (SELECT x, count(*) AS c, {_phi_sql('(x - 350e0) / 5e0')} AS phi
+            FROM (SELECT temperature_c AS x FROM telemetry WHERE temperature_c IS NOT NULL) v GROUP BY x) g) r) s) t""",
+                               round_cols=("statistic", "p_value")))
+def q_spc_ks_normal(spark, d):
+    return rounded(SPC.ks_normal(_telemetry(spark, d), "temperature_c"))

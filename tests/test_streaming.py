@@ -163,3 +163,15 @@ def test_distributed_alerts_carry_state_and_reset(spark, scratch):
     assert got == [("W00000002", 2), ("W00000005", 2), ("W00000006", 3), ("W00000009", 2)]
     state = spark.read.parquet(scratch + "/ck/alert-state")
     assert state.select("batch_id").distinct().count() == 4
+
+
+def test_distributed_ks_matches_spark_ml(spark):
+    from fabflow.functions import synth as SY
+    from fabflow.sources.bridge import telemetry
+    for df in (telemetry(spark, SF_SMALL), spark.range(5000).select(SY.normal(350, 5, 3, "id", 1).alias("temperature_c"))):
+        ours = SPC.ks_normal(df, "temperature_c").first()
+        few = SPC.ks_normal(df, "temperature_c", buckets=4).first()
+        ml = SPC.normal_ks_test(df, "temperature_c").first()
+        assert abs(ours.statistic - ml.statistic) < 1e-6
+        assert abs(ours.statistic - few.statistic) < 1e-12          # bucketing does not change D
+        assert abs(ours.p_value - ml.pValue) < 1e-2                 # asymptotic vs finite-n distribution
