@@ -60,7 +60,8 @@ def main():
         df.filter((F.col(c) < 0) | (F.col(c) > 1e9)).count()
     df.select(F.avg("temperature_c")).collect(); df.select(F.avg("yield_rate")).collect()
     out["dq_per_check"] = round(time.perf_counter() - t, 2)
-    timed("describe_exact", P.describe_numeric(df))
+    timed("describe_default_auto", P.describe_numeric(df))
+    timed("describe_percentile", P.describe_numeric(df, exact=True))
     timed("describe_bounded", P.describe_numeric(df, exact="bounded", accuracy=10000))
     timed("describe_approx", P.describe_numeric(df, exact=False))
     timed("dedup_latest_hot_key", DD.dedup_latest(df))
@@ -71,6 +72,23 @@ def main():
     timed("histogram", P.histogram(df, "temperature_c", 50))
     timed("exact_sample_1pct", SR.exact_sample(df.filter(F.col("wafer_id") != "W_HOT"), 0.01))
     timed("silver", M.silver(df))
+    from fabflow.operators.spc import control_limits, ks_normal
+    from fabflow.streaming.alerts import run_alerts_batch
+    timed("ks_normal", ks_normal(df, "temperature_c"))
+    alerts, _ = run_alerts_batch(df, control_limits(df, "temperature_c", "equipment_id", k=1.0), 3,
+                                 target_rows_per_bucket=200_000)
+    timed("alerts_distributed", alerts)
+    from fabflow.operators.merge import upsert_partitioned
+    silver_path = f"{root}/silver"
+    t = time.perf_counter()
+    M.silver(df).drop("silver_ingestion_time").write.mode("overwrite").partitionBy("date").parquet(silver_path)
+    out["silver_write"] = round(time.perf_counter() - t, 2)
+    inc = (spark.read.parquet(silver_path).filter(F.col("wafer_id").substr(-2, 2) == "07")
+           .withColumn("temperature_c", F.col("temperature_c") + 0.5))      # 1 % of wafers re-delivered
+    t = time.perf_counter()
+    res = upsert_partitioned(inc, silver_path)
+    out["upsert_1pct"] = round(time.perf_counter() - t, 2)
+    out["upsert_touched_partitions"] = res["touched_partitions"]
     out["dedup_rows"] = DD.dedup_latest(df).count()
     out["scratch"] = root
     print(json.dumps(out))
