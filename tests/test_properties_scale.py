@@ -79,3 +79,14 @@ def test_distributed_alerts_equal_gaps_and_islands(spark, rows, min_run, reset):
                 want.add((wafer, run))
             last = ts
     assert got == want
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.tuples(st.integers(0, 6), st.integers(0, 2)), min_size=1, max_size=80), st.floats(0, 1),
+       st.integers(1, 4))
+def test_bucketed_sample_equals_sorted_limit(spark, rows, rate, bits):
+    from fabflow.operators import sorting as SR
+    df = spark.createDataFrame([(f"K{k}", float(v)) for k, v in rows], "wafer_id string, v double")
+    got = SR.exact_sample(df, rate, bucket_bits=bits, copies_per_chunk=2, take_ordered_max=0)
+    ref = SR.exact_sample(df, rate)                      # take-ordered path: sort by the same key and limit
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, ref.collect()))
