@@ -738,7 +738,7 @@ SELECT count(*) AS total, count(*) FILTER (WHERE b) AS detected,
        coalesce(CAST(count(*) FILTER (WHERE b) AS DOUBLE) / count(*) * 100e0, 0e0) AS rate_pct,
        min(CASE WHEN b THEN temperature_c END) AS detected_min, max(CASE WHEN b THEN temperature_c END) AS detected_max
 FROM (SELECT t.temperature_c, coalesce(t.temperature_c > l.ucl OR t.temperature_c < l.lcl, FALSE) AS b
-      FROM telemetry_raw t, lim l) x""", {"lim": _LIMITS_SQL}, round_cols=("rate_pct",)))
+      FROM telemetry_raw t, lim l) x""", {"lim": _LIMITS_SQL}, round_cols=("rate_pct", "detected_min", "detected_max")))
 def q_spc_detection_summary(spark, d):
     return rounded(SPC.detection_summary(_raw(spark, d), _telemetry(spark, d), "temperature_c"))
 
@@ -750,7 +750,7 @@ SELECT equipment_id, count(*) AS total, count(*) FILTER (WHERE b) AS detected,
 FROM (SELECT t.equipment_id, t.temperature_c,
              coalesce(t.temperature_c > l.ucl OR t.temperature_c < l.lcl, FALSE) AS b
       FROM telemetry_raw t LEFT JOIN lim l ON t.equipment_id = l.equipment_id) x
-GROUP BY equipment_id""", {"lim": _LIMITS_EQ_SQL}, round_cols=("rate_pct",)))
+GROUP BY equipment_id""", {"lim": _LIMITS_EQ_SQL}, round_cols=("rate_pct", "detected_min", "detected_max")))
 def q_spc_detection_per_equipment(spark, d):
     return rounded(SPC.detection_summary(_raw(spark, d), _telemetry(spark, d), "temperature_c", "equipment_id"))
 
