@@ -220,9 +220,10 @@ def ks_normal(df: DataFrame, column: str, mean: float | None = None, std: float
 
     D = max over distinct values x of max(F_n(x) - Phi(x), Phi(x) - F_n(x-)).
     F_n needs running counts over the sorted values: values are grouped (ties
-    collapse map-side), bucketed by Phi itself (about equal counts per bucket
-    for data near the model), ranked inside each bucket by a window, and
-    offset by a prefix over at most ``buckets`` bucket totals. The p-value is
+    collapse map-side), bucketed by the normal CDF under the data's own mean
+    and std (about equal counts per bucket for bell-shaped data, whatever the
+    model), ranked inside each bucket by a window, and offset by a prefix over
+    at most ``buckets`` bucket totals. The p-value is
     the asymptotic Kolmogorov series with ``terms`` terms. mean/std default to
     the process model (350, 5).
     """
@@ -233,8 +234,12 @@ def ks_normal(df: DataFrame, column: str, mean: float | None = None, std: float
     vals = df.select(v.alias("x")).filter(F.col("x").isNotNull() & ~F.isnan(F.col("x")))
     counts = vals.groupBy("x").agg(F.count(F.lit(1)).alias("c"))
     phi = normal_cdf((F.col("x") - F.lit(mu)) / F.lit(sd))
+    # buckets use Phi under the data's own mean and std (any monotone map keeps the
+    # order), so they stay balanced even when the data sits far from the model
+    own = vals.agg(F.struct(F.avg("x").alias("m"), F.stddev_pop("x").alias("s"))).scalar()
+    spread = F.when(own["s"] > 0, own["s"]).otherwise(F.lit(1.0))
     counts = counts.withColumn("_phi", phi).withColumn(
-        "_b", F.least(F.floor(F.col("_phi") * buckets), F.lit(buckets - 1)).cast("int"))
+        "_b", F.least(F.floor(normal_cdf((F.col("x") - own["m"]) / spread) * buckets), F.lit(buckets - 1)).cast("int"))
     totals = counts.groupBy("_b").agg(F.sum("c").alias("_bn"))
     prefix = totals.withColumn("_before", F.coalesce(F.sum("_bn").over(
         Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))

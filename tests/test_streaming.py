@@ -175,3 +175,11 @@ def test_distributed_ks_matches_spark_ml(spark):
         assert abs(ours.statistic - ml.statistic) < 1e-6
         assert abs(ours.statistic - few.statistic) < 1e-12          # bucketing does not change D
         assert abs(ours.p_value - ml.pValue) < 1e-2                 # asymptotic vs finite-n distribution
+
+
+def test_ks_buckets_stay_balanced_far_from_the_model(spark):
+    from fabflow.functions import synth as SY
+    df = spark.range(4000).select(SY.normal(400, 5, 9, "id", 1).alias("temperature_c"))   # far from N(350, 5)
+    r = SPC.ks_normal(df, "temperature_c", buckets=16).first()
+    assert r.statistic > 0.99                                      # D is still correct
+    assert abs(r.statistic - SPC.ks_normal(df, "temperature_c", buckets=1).first().statistic) < 1e-12
