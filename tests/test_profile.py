@@ -1,6 +1,5 @@
 import math
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -146,7 +145,6 @@ def test_unique_counts_approx_close(spark):
 
 
 def test_exact_sample_with_a_hot_key(spark):
-    from datetime import datetime
     rows = [{"wafer_id": "HOT"}] * 600 + [{"wafer_id": f"W{i:05d}"} for i in range(1200)]
     df = frame(spark, rows, with_date=False)
     for rate in (0.05, 0.3, 0.5, 0.9):
