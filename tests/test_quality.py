@@ -127,3 +127,14 @@ def test_freshness_rule(spark):
     assert rep["timestamp_max"]["success"] is False
     rep = report_dict(Q.validation_report(M.silver(frame(spark, [{}])), "suite"))
     assert rep["timestamp_max"]["success"] is True
+
+
+def test_all_null_column(spark):
+    rows = [{"wafer_id": f"W{i}", "temperature_c": None} for i in range(5)]
+    rep = report_dict(Q.validation_report(frame(spark, rows), "native", "bronze"))
+    assert rep["temperature_c_not_null"]["unexpected_count"] == 5
+    assert rep["temperature_c_mean"]["success"] is False and rep["temperature_c_mean"]["observed"] is None
+    assert rep["temperature_c_range"]["unexpected_count"] == 0          # nulls are never out of range
+    assert rep["temperature_c_range"]["pass_rate"] == 1.0
+    suite = report_dict(Q.validation_report(M.silver(frame(spark, rows)), "suite"))
+    assert suite["temperature_c_range"]["element_count"] == 0 and suite["temperature_c_range"]["success"] is True
