@@ -380,3 +380,43 @@ def validate_dataframe(df: DataFrame, layer: str = "silver", rules: str | list[R
 def is_valid(summary: dict) -> bool:
     """True iff no critical validation failed."""
     return summary["critical_failures"] == 0
+
+
+# Expectation-style configuration -> rules. Critical by type: unique, not-null, in-set.
+_CONFIG_KINDS = {
+    "expect_table_columns_to_match_ordered_list": "schema_ordered",
+    "expect_column_values_to_be_unique": "unique",
+    "expect_column_values_to_not_be_null": "not_null",
+    "expect_column_values_to_be_in_set": "in_set",
+    "expect_column_values_to_be_between": "range",
+    "expect_column_mean_to_be_between": "mean",
+    "expect_column_max_to_be_between": "max",
+}
+_CRITICAL_KINDS = {"unique", "not_null", "in_set"}
+
+
+def rules_from_config(configs: list[dict], null_policy: str = "ignore") -> list[Rule]:
+    """Rules from expectation-style configs: ``{"expectation_type": ..., "kwargs": {...}}``.
+
+    Supported kwargs: ``column``, ``column_list``, ``value_set``, ``min_value``,
+    ``max_value``, ``mostly``. An unknown type raises ``ValueError``.
+    """
+    rules = []
+    for cfg in configs:
+        etype = cfg["expectation_type"]
+        kind = _CONFIG_KINDS.get(etype)
+        if kind is None:
+            raise ValueError(f"unsupported expectation type {etype!r}")
+        kw = cfg.get("kwargs", {})
+        crit = kind in _CRITICAL_KINDS
+        if kind == "schema_ordered":
+            rules.append(Rule(kind, name="table_columns_match_ordered_list", critical=crit,
+                              columns=tuple(kw["column_list"]), null_policy=null_policy))
+        elif kind == "in_set":
+            rules.append(Rule(kind, kw["column"], critical=crit, values=tuple(kw["value_set"]), null_policy=null_policy))
+        elif kind in ("range", "mean", "max"):
+            rules.append(Rule(kind, kw["column"], critical=crit, lo=kw.get("min_value"), hi=kw.get("max_value"),
+                              tolerance=float(kw.get("mostly", 1.0)), null_policy=null_policy))
+        else:
+            rules.append(Rule(kind, kw["column"], critical=crit, null_policy=null_policy))
+    return rules
