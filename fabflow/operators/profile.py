@@ -281,7 +281,12 @@ def value_counts(df: DataFrame, columns=("equipment_id", "is_anomaly"), group=No
 
 # AGG-16 ---------------------------------------------------------------------
 def correlation_matrix(df: DataFrame, columns=None, group=None, digits: int = 3) -> DataFrame:
-    """Pearson correlation of every pair of numeric columns (pairwise complete), long form."""
+    """Pearson correlation of every pair of numeric columns (pairwise complete), long form.
+
+    covar_pop / sqrt(var_pop * var_pop) over the rows where both values are
+    present; a constant column (zero variance) gives NULL instead of raising
+    a division-by-zero under ANSI mode, which ``corr`` would in a small group.
+    """
     g = _g(group)
     cols = list(columns) if columns else numeric_columns(df, g)
     vals = {c: _value(df, c).cast("double") for c in cols}
@@ -290,13 +295,16 @@ def correlation_matrix(df: DataFrame, columns=None, group=None, digits: int = 3)
         for j, b in enumerate(cols):
             if j < i:
                 continue
-            alias = f"_c{i}_{j}"
-            aggs.append(F.corr(vals[a], vals[b]).alias(alias))
+            both = vals[a].isNotNull() & vals[b].isNotNull()
+            x, y = F.when(both, vals[a]), F.when(both, vals[b])
+            aggs += [F.covar_pop(x, y).alias(f"_cv{i}_{j}"), F.var_pop(x).alias(f"_vx{i}_{j}"),
+                     F.var_pop(y).alias(f"_vy{i}_{j}")]
     for i, a in enumerate(cols):
         for j, b in enumerate(cols):
-            alias = f"_c{min(i, j)}_{max(i, j)}"
+            k = f"{min(i, j)}_{max(i, j)}"
+            r = F.try_divide(F.col(f"_cv{k}"), F.sqrt(F.col(f"_vx{k}") * F.col(f"_vy{k}")))
             rows.append(F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
-                                 F.round(F.col(alias), digits).alias("correlation")))
+                                 F.round(r, digits).alias("correlation")))
     wide = df.groupBy(*g).agg(*aggs)
     return wide.select(*g, F.inline(F.array(*rows)))
 
@@ -401,7 +409,7 @@ def profile(df: DataFrame, summary_type: str, group=None, order=("timestamp", "w
     if summary_type == "tail":
         return SR.tail_rows(df, 5, order, g or None)
     if summary_type == "sample":
-        return SR.sample_rows(df, 5)
+        return SR.sample_rows(df, 5, group=g or None)
     if summary_type in ("dtypes", "info"):
         return table_info(df, g)
     if summary_type == "describe":

@@ -50,9 +50,18 @@ def sample_key(key: str, seed: int = 42) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
 
 
-def sample_rows(df: DataFrame, n: int = 5, key: str = "wafer_id", seed: int = 42) -> DataFrame:
-    """min(n, rows) rows chosen by the seeded hash order (bounded take-ordered)."""
-    return df.withColumn("_h", sample_key(key, seed)).orderBy("_h", key).limit(n).drop("_h")
+def sample_rows(df: DataFrame, n: int = 5, key: str = "wafer_id", seed: int = 42, group=None) -> DataFrame:
+    """min(n, rows) rows chosen by the seeded hash order (per group when given).
+
+    Whole table: a bounded take-ordered. Per group: a rank filter on the same
+    order, which Spark runs as a group limit before the shuffle.
+    """
+    h = df.withColumn("_h", sample_key(key, seed))
+    if not group:
+        return h.orderBy("_h", key).limit(n).drop("_h")
+    g = [group] if isinstance(group, str) else list(group)
+    w = Window.partitionBy(*g).orderBy("_h", key)
+    return h.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn", "_h")
 
 
 def sort_by_size(df: DataFrame, measure: str) -> DataFrame:

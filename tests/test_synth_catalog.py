@@ -104,3 +104,19 @@ def test_generate_batch_and_json(spark, scratch):
     assert b.agg(F.min("wafer_id")).first()[0] == "W00005000"
     SY.generate_to_json(spark, 2000, scratch + "/gen")
     assert read_json_lines(spark, scratch + "/gen").filter(F.col("timestamp").isNotNull()).count() == 2000
+
+
+def test_profile_dispatcher_per_file(spark, scratch):
+    from fabflow.operators.profile import SUMMARY_TYPES, profile
+    from fabflow.sinks.files import date_partitioned_archive
+    from fabflow.sources.bridge import telemetry_raw
+    from fabflow.sources.files import read_parquet_files
+    date_partitioned_archive(telemetry_raw(spark, SF_SMALL), scratch + "/a", "overwrite")
+    a = read_parquet_files(spark, scratch + "/a")
+    files = a.select("source_file").distinct().count()
+    for kind in SUMMARY_TYPES:
+        out = profile(a, kind, group=["source_file"])
+        assert "source_file" in out.columns and out.select("source_file").distinct().count() >= 1, kind
+    s = profile(a, "sample", group=["source_file"])
+    assert s.groupBy("source_file").count().agg(F.max("count")).first()[0] <= 5
+    assert s.select("source_file").distinct().count() == files
