@@ -183,3 +183,20 @@ def test_ks_buckets_stay_balanced_far_from_the_model(spark):
     r = SPC.ks_normal(df, "temperature_c", buckets=16).first()
     assert r.statistic > 0.99                                      # D is still correct
     assert abs(r.statistic - SPC.ks_normal(df, "temperature_c", buckets=1).first().statistic) < 1e-12
+
+
+def test_batch_writers_accept_an_empty_micro_batch(spark, scratch):
+    from fabflow.sources.files import parse_wire
+    from fabflow.streaming import alerts as AL
+    empty = parse_wire(SK.to_wire(frame(spark, [{}], with_date=False).limit(0))
+                       .withColumn("_corrupt_record", F.lit(None).cast("string")))
+    J.gate_batch_writer(scratch + "/g", scratch + "/q", scratch + "/r")(empty, 0)
+    assert spark.read.parquet(scratch + "/r").count() == 14          # a report even for no rows
+    limits = spark.createDataFrame([("EQ001", 380.0, 320.0)], "equipment_id string, ucl double, lcl double")
+    one = parse_wire(SK.to_wire(frame(spark, [{"temperature_c": 390.0}], with_date=False))
+                     .withColumn("_corrupt_record", F.lit(None).cast("string")))
+    w = AL.alerts_batch_writer(limits, scratch + "/a", scratch + "/s", min_run=1)
+    w(one, 0)
+    w(empty, 1)
+    st = spark.read.parquet(scratch + "/s")
+    assert st.filter("batch_id = 1").select("run").first()[0] == 1   # state carried through the empty batch
