@@ -204,7 +204,7 @@ def _run_alerts(min_run: int, reset_ms: int | None = None):
             state.remove()
             return
         run, last_ts, last_wafer = (state.get if state.exists else (0, None, None))
-        frames = [b for b in batches]
+        frames = [b for b in batches if len(b)]
         if not frames:
             return
         pdf = pd.concat(frames, ignore_index=True).sort_values(["timestamp", "wafer_id"], kind="mergesort")
