@@ -107,8 +107,9 @@ def ml_features(silver_df: DataFrame, rows: int = 5, bucket_seconds: int | str =
     from fabflow.operators.spc import anomaly_score
     from fabflow.operators.windows import rolling_mean
     base = silver_df.select(*C.BRONZE_COLUMNS)
-    f = rolling_mean(base, ["temperature_c", "yield_rate"], rows=rows, bucket_seconds=bucket_seconds)
-    return anomaly_score(f, "temperature_c", "equipment_id")
+    # z-score statistics come from the readings alone (before the window work)
+    scored = anomaly_score(base, "temperature_c", "equipment_id")
+    return rolling_mean(scored, ["temperature_c", "yield_rate"], rows=rows, bucket_seconds=bucket_seconds)
 
 
 def build_silver_table(bronze_df: DataFrame, table_path: str, install_date: str = C.DEFAULT_INSTALL_DATE,
