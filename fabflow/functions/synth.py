@@ -120,7 +120,8 @@ def inject_anomalies(df: DataFrame, rate: float = C.ANOMALY_RATE, seed: int = 42
     k = F.col(key)
     kind = choice(C.ANOMALY_TYPES, seed, k, "kind")
     sign = choice([-1.0, 1.0], seed, k, "sign")
-    j = df.join(chosen, key, "left").withColumn("_kind", F.when(F.col("_sel"), kind))
+    from fabflow.operators.joins import join_small
+    j = join_small(df, chosen, key, "left").withColumn("_kind", F.when(F.col("_sel"), kind))
     t, p = F.col("_kind"), F.lit(C.TEMP_MEAN)
     return j.select(
         "timestamp", key, "equipment_id",
