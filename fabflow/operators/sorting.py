@@ -69,6 +69,7 @@ def sort_by_size(df: DataFrame, measure: str) -> DataFrame:
 
 
 TAKE_ORDERED_MAX_ROWS = 100_000
+TAKE_ORDERED_MERGE_ROWS = 50_000_000
 
 
 def exact_sample(df: DataFrame, rate: float, key: str = "wafer_id", seed: int = 42,
@@ -84,14 +85,17 @@ def exact_sample(df: DataFrame, rate: float, key: str = "wafer_id", seed: int =
     holding a third of all rows is one ranked group, not a third of the data
     in one task; a partially taken group is regenerated in chunks spread over
     tasks. No global sort. When the sample size (one row count) is at most
-    ``take_ordered_max`` rows, a bounded take-ordered (``orderBy().limit(k)``,
-    at most k rows held per task) gives the same rows with fewer jobs.
+    ``take_ordered_max`` rows and k x input partitions stays under
+    ``TAKE_ORDERED_MERGE_ROWS`` (what the final merge task reads), a bounded
+    take-ordered (``orderBy().limit(k)``, at most k rows held per task) gives
+    the same rows with fewer jobs.
     """
     from fabflow.operators.joins import join_small
     cols = df.columns
     n = df.count()                                   # size check: one number
     k_rows = math.floor(n * float(rate))
-    if k_rows <= take_ordered_max:
+    # take-ordered merges (input partitions x k) rows in one final task; bound that too
+    if k_rows <= take_ordered_max and k_rows * df.rdd.getNumPartitions() <= TAKE_ORDERED_MERGE_ROWS:
         return (df.withColumn("_h", sample_key(key, seed))
                 .withColumn("_rh", F.xxhash64(*[F.col(c) for c in cols]))
                 .orderBy("_h", key, "_rh").limit(k_rows).select(*cols))
