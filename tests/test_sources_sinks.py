@@ -98,3 +98,14 @@ def test_json_lines_append(spark, scratch):
     SK.write_json_lines(df, scratch + "/j")
     SK.append_json_lines(df, scratch + "/j", encoding="millis")
     assert SF.read_json_lines(spark, scratch + "/j").filter(F.col("timestamp").isNotNull()).count() == 2
+
+
+def test_batch_label_from_archive_file_name(spark, scratch):
+    import shutil
+    df = frame(spark, [{}], with_date=False)
+    df.coalesce(1).write.mode("overwrite").parquet(scratch + "/tmp")
+    part = [f for f in os.listdir(scratch + "/tmp") if f.endswith(".parquet")][0]
+    os.makedirs(scratch + "/arch")
+    shutil.copy(os.path.join(scratch, "tmp", part), os.path.join(scratch, "arch", "kafka_batch_20241024_153045_100_records.parquet"))
+    r = SF.read_parquet_files(spark, scratch + "/arch/*.parquet").select(SF.batch_label().alias("label")).first()
+    assert r.label == "153045"
