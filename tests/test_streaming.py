@@ -200,3 +200,8 @@ def test_batch_writers_accept_an_empty_micro_batch(spark, scratch):
     w(empty, 1)
     st = spark.read.parquet(scratch + "/s")
     assert st.filter("batch_id = 1").select("run").first()[0] == 1   # state carried through the empty batch
+
+
+def test_delivery_stats_helper():
+    assert J.delivery_stats(98, 2) == {"sent": 98, "failed": 2, "success_rate": 98.0}
+    assert J.delivery_stats(0, 0)["success_rate"] == 0.0
