@@ -109,3 +109,11 @@ def test_batch_label_from_archive_file_name(spark, scratch):
     shutil.copy(os.path.join(scratch, "tmp", part), os.path.join(scratch, "arch", "kafka_batch_20241024_153045_100_records.parquet"))
     r = SF.read_parquet_files(spark, scratch + "/arch/*.parquet").select(SF.batch_label().alias("label")).first()
     assert r.label == "153045"
+
+
+def test_write_parquet_bronze_schema_and_compression(spark, scratch):
+    df = frame(spark, [{}], with_date=False).withColumn("extra", F.lit(1))
+    SK.write_parquet_bronze(df.withColumn("defect_count", F.col("defect_count").cast("int")), scratch + "/b")
+    back = spark.read.parquet(scratch + "/b")
+    assert back.schema == C.RAW_SCHEMA
+    assert any(f.endswith(".snappy.parquet") for f in os.listdir(scratch + "/b"))
