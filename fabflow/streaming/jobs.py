@@ -134,12 +134,15 @@ def window_profile(stream: DataFrame, window: str = "1 hour", delay: str = "10 m
             .agg(F.count(F.lit(1)).alias("wafers"),
                  F.sum(F.col("temperature_c")).alias("sum_temperature_c"),
                  F.count(F.col("temperature_c")).alias("n_temperature_c"),
+                 F.avg("temperature_c").alias("mean_temperature_c"),
+                 F.avg("yield_rate").alias("mean_yield"),
                  F.min("temperature_c").alias("min_temperature_c"),
                  F.max("temperature_c").alias("max_temperature_c"),
                  F.sum("defect_count").alias("total_defects"),
                  F.count_if("is_anomaly").alias("anomalies"))
             .select("equipment_id", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                    "wafers", "sum_temperature_c", "n_temperature_c", "min_temperature_c", "max_temperature_c",
+                    "wafers", "sum_temperature_c", "n_temperature_c", "mean_temperature_c", "mean_yield",
+                    "min_temperature_c", "max_temperature_c",
                     "total_defects", "anomalies"))
 
 
