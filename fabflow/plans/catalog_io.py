@@ -170,7 +170,7 @@ def q_str_dedup(spark, d):
 SELECT equipment_id, date_trunc('hour', timestamp) AS window_start,
        date_trunc('hour', timestamp) + INTERVAL 1 HOUR AS window_end,
        count(*) AS wafers, sum(temperature_c) AS sum_temperature_c, count(temperature_c) AS n_temperature_c,
-       avg(temperature_c) AS mean_temperature_c, avg(yield_rate) AS mean_yield,
+       avg(CAST(temperature_c AS DECIMAL(18,6))) AS mean_temperature_c, avg(CAST(yield_rate AS DECIMAL(18,6))) AS mean_yield,
        min(temperature_c) AS min_temperature_c, max(temperature_c) AS max_temperature_c,
        CAST(sum(defect_count) AS BIGINT) AS total_defects, count(*) FILTER (WHERE is_anomaly) AS anomalies
 FROM telemetry_raw GROUP BY 1, 2, 3

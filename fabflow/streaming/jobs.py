@@ -134,8 +134,8 @@ def window_profile(stream: DataFrame, window: str = "1 hour", delay: str = "10 m
             .agg(F.count(F.lit(1)).alias("wafers"),
                  F.sum(F.col("temperature_c")).alias("sum_temperature_c"),
                  F.count(F.col("temperature_c")).alias("n_temperature_c"),
-                 F.avg("temperature_c").alias("mean_temperature_c"),
-                 F.avg("yield_rate").alias("mean_yield"),
+                 F.avg(F.col("temperature_c").cast("decimal(18,6)")).cast("double").alias("mean_temperature_c"),
+                 F.avg(F.col("yield_rate").cast("decimal(18,6)")).cast("double").alias("mean_yield"),
                  F.min("temperature_c").alias("min_temperature_c"),
                  F.max("temperature_c").alias("max_temperature_c"),
                  F.sum("defect_count").alias("total_defects"),
