@@ -48,19 +48,24 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and staged tables.
 
     Read from ``spark.checkpoint.dir`` (the cluster names a shared folder
-    there). Only when it is unset, as in local tests, fall back to a fresh
-    scratch folder.
+    there), else from the SparkContext's checkpoint directory. Only when
+    neither is set, as in local tests, a fresh scratch folder becomes the
+    context's checkpoint directory (``spark.checkpoint.dir`` itself cannot be
+    changed once the session runs).
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root
+    sc = spark.sparkContext
+    root = sc.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="fabflow-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="fabflow-ckpt-"))
+        root = sc.getCheckpointDir()
     return root
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Make sure RDD/DataFrame ``checkpoint()`` has a directory; return the staging root."""
     root = checkpoint_root(spark)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)

@@ -13,9 +13,7 @@ SF_MED = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from fabflow.session import get_session
-    s = get_session("local[4]", 4)
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="fabflow-test-ckpt-"))
+    s = get_session("local[4]", 4)          # falls back to a scratch checkpoint folder when none is set
     yield s
     s.stop()
 

@@ -117,3 +117,28 @@ def test_write_parquet_bronze_schema_and_compression(spark, scratch):
     back = spark.read.parquet(scratch + "/b")
     assert back.schema == C.RAW_SCHEMA
     assert any(f.endswith(".snappy.parquet") for f in os.listdir(scratch + "/b"))
+
+
+def test_checkpoint_root_without_configured_dir():
+    from fabflow.session import checkpoint_root
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Ctx:
+        def __init__(self):
+            self.dir = None
+
+        def getCheckpointDir(self):
+            return self.dir
+
+        def setCheckpointDir(self, d):
+            self.dir = "file:" + d + "/uuid"
+
+    class Session:
+        conf, sparkContext = Conf(), Ctx()
+
+    s = Session()
+    first = checkpoint_root(s)
+    assert first.startswith("file:") and checkpoint_root(s) == first     # created once, then reused
