@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fabflow.llm import bpe_tree
+from fabflow.llm import bpe_tree, piece_counts, simhash_grid
 from fabflow.llm.rows import read_table
 
 
@@ -19,8 +19,20 @@ def op1_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
         public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN))
 
 
+def op3_simhash_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = simhash_grid.near_duplicates(read_table(spark, sf_dir, "documents"), width=3, bits=2)
+    return near.select("doc_id", simhash_grid.hex_of("fp").alias("fingerprint"), near["component"].alias("component_id"))
+
+
+def op5_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_counts.count_tokens(read_table(spark, sf_dir, "documents"),
+                                     public_tokenizers.path("piece_bpe_32k.model"), 4096)
+
+
 QUERIES = {
     "op1_bpe_tree": op1_bpe_tree,
+    "op3_simhash_grid": op3_simhash_grid,
+    "op5_piece_counts": op5_piece_counts,
 }
 
 ORACLE: dict[str, str] = {}
