@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fabflow.llm import bpe_tree, piece_counts, simhash_grid
+from fabflow.llm import bpe_tree, decontaminate, piece_counts, simhash_grid
 from fabflow.llm.rows import read_table
 
 
@@ -29,10 +29,18 @@ def op5_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      public_tokenizers.path("piece_bpe_32k.model"), 4096)
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.digests(decontaminate.contaminated(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), width=10))
+
+
 QUERIES = {
     "op1_bpe_tree": op1_bpe_tree,
     "op3_simhash_grid": op3_simhash_grid,
     "op5_piece_counts": op5_piece_counts,
+    "op7_decontaminate": op7_decontaminate,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op7_decontaminate": decontaminate.ORACLE_OP7,
+}
