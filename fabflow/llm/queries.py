@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fabflow.llm import bpe_tree, decontaminate, piece_counts, simhash_grid
+from fabflow.llm import bpe_tree, decontaminate, piece_counts, simhash_grid, toxicity_mil
 from fabflow.llm.rows import read_table
 
 
@@ -34,11 +34,18 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), width=10))
 
 
+def op8_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxicity_mil.train(docs, read_table(spark, sf_dir, "labels"), "toxic", folds=3, held_out=1)
+    return toxicity_mil.predictions(toxicity_mil.score(docs, model), "doc_id", 3, 1, 0.7)
+
+
 QUERIES = {
     "op1_bpe_tree": op1_bpe_tree,
     "op3_simhash_grid": op3_simhash_grid,
     "op5_piece_counts": op5_piece_counts,
     "op7_decontaminate": op7_decontaminate,
+    "op8_toxicity_mil": op8_toxicity_mil,
 }
 
 ORACLE: dict[str, str] = {
