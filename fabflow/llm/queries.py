@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fabflow.llm import bpe_tree, decontaminate, piece_counts, simhash_grid, toxicity_mil
+from fabflow.llm import bpe_tree, decontaminate, piece_counts, simhash_grid, substring_blocks, toxicity_mil
 from fabflow.llm.rows import read_table
 
 
@@ -40,14 +41,21 @@ def op8_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_mil.predictions(toxicity_mil.score(docs, model), "doc_id", 3, 1, 0.7)
 
 
+def op10_substring_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring_blocks.remove_repeats(read_table(spark, sf_dir, "documents"), width=13)
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_bpe_tree": op1_bpe_tree,
     "op3_simhash_grid": op3_simhash_grid,
     "op5_piece_counts": op5_piece_counts,
     "op7_decontaminate": op7_decontaminate,
     "op8_toxicity_mil": op8_toxicity_mil,
+    "op10_substring_blocks": op10_substring_blocks,
 }
 
 ORACLE: dict[str, str] = {
     "op7_decontaminate": decontaminate.ORACLE_OP7,
+    "op10_substring_blocks": substring_blocks.ORACLE_OP10,
 }
