@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fabflow.llm import bpe_tree, decontaminate, piece_counts, simhash_grid, substring_blocks, toxicity_mil
+from fabflow.llm import bpe_tree, decontaminate, pairwise_quality, piece_counts, simhash_grid, substring_blocks, toxicity_mil
 from fabflow.llm.rows import read_table
 
 
@@ -20,6 +20,12 @@ def op1_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
         public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN))
 
 
+def op2_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = pairwise_quality.train(docs, read_table(spark, sf_dir, "labels"), "quality", folds=4, held_out=2)
+    return pairwise_quality.predictions(pairwise_quality.score(docs, model), "doc_id", 4, 2, 0.7)
+
+
 def op3_simhash_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = simhash_grid.near_duplicates(read_table(spark, sf_dir, "documents"), width=3, bits=2)
     return near.select("doc_id", simhash_grid.hex_of("fp").alias("fingerprint"), near["component"].alias("component_id"))
@@ -48,6 +54,7 @@ def op10_substring_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe_tree": op1_bpe_tree,
+    "op2_pairwise_quality": op2_pairwise_quality,
     "op3_simhash_grid": op3_simhash_grid,
     "op5_piece_counts": op5_piece_counts,
     "op7_decontaminate": op7_decontaminate,
