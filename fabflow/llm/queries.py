@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fabflow.llm import bpe_tree, decontaminate, pairwise_quality, piece_counts, simhash_grid, substring_blocks, toxicity_mil
+from fabflow.llm import bpe_tree, decontaminate, pairwise_quality, piece_counts, simhash_grid, substring_blocks, suffix_rules, toxicity_mil
 from fabflow.llm.rows import read_table
 
 
@@ -31,6 +31,10 @@ def op3_simhash_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.select("doc_id", simhash_grid.hex_of("fp").alias("fingerprint"), near["component"].alias("component_id"))
 
 
+def op4_suffix_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_rules.judge(read_table(spark, sf_dir, "documents")).drop("n_covered", "longest")
+
+
 def op5_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_counts.count_tokens(read_table(spark, sf_dir, "documents"),
                                      public_tokenizers.path("piece_bpe_32k.model"), 4096)
@@ -56,6 +60,7 @@ QUERIES = {
     "op1_bpe_tree": op1_bpe_tree,
     "op2_pairwise_quality": op2_pairwise_quality,
     "op3_simhash_grid": op3_simhash_grid,
+    "op4_suffix_rules": op4_suffix_rules,
     "op5_piece_counts": op5_piece_counts,
     "op7_decontaminate": op7_decontaminate,
     "op8_toxicity_mil": op8_toxicity_mil,
@@ -63,6 +68,7 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op4_suffix_rules": suffix_rules.ORACLE_OP4,
     "op7_decontaminate": decontaminate.ORACLE_OP7,
     "op10_substring_blocks": substring_blocks.ORACLE_OP10,
 }
