@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fabflow.llm import bpe_tree, decontaminate, pairwise_quality, piece_counts, simhash_grid, substring_blocks, suffix_rules, toxicity_mil
+from fabflow.llm import bpe_tree, decontaminate, license_join, pairwise_quality, piece_counts, simhash_grid, substring_blocks, suffix_rules, toxicity_mil
 from fabflow.llm.rows import read_table
 
 
@@ -51,6 +51,10 @@ def op8_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_mil.predictions(toxicity_mil.score(docs, model), "doc_id", 3, 1, 0.7)
 
 
+def op9_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_join.scan(read_table(spark, sf_dir, "documents"))
+
+
 def op10_substring_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substring_blocks.remove_repeats(read_table(spark, sf_dir, "documents"), width=13)
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -64,11 +68,13 @@ QUERIES = {
     "op5_piece_counts": op5_piece_counts,
     "op7_decontaminate": op7_decontaminate,
     "op8_toxicity_mil": op8_toxicity_mil,
+    "op9_license_join": op9_license_join,
     "op10_substring_blocks": op10_substring_blocks,
 }
 
 ORACLE: dict[str, str] = {
     "op4_suffix_rules": suffix_rules.ORACLE_OP4,
     "op7_decontaminate": decontaminate.ORACLE_OP7,
+    "op9_license_join": license_join.oracle_sql(),
     "op10_substring_blocks": substring_blocks.ORACLE_OP10,
 }
