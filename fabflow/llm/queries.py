@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fabflow.llm import bpe_tree, decontaminate, license_join, pairwise_quality, piece_counts, simhash_grid, substring_blocks, suffix_rules, toxicity_mil
+from fabflow.llm import bpe_tree, decontaminate, license_join, pairwise_quality, piece_counts, simhash_grid, substring_blocks, suffix_rules, toxicity_mil, url_segments
 from fabflow.llm.rows import read_table
 
 
@@ -40,6 +40,10 @@ def op5_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      public_tokenizers.path("piece_bpe_32k.model"), 4096)
 
 
+def op6_url_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_segments.judge(read_table(spark, sf_dir, "pages")).drop("log_odds")
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digests(decontaminate.contaminated(
         read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), width=10))
@@ -66,6 +70,7 @@ QUERIES = {
     "op3_simhash_grid": op3_simhash_grid,
     "op4_suffix_rules": op4_suffix_rules,
     "op5_piece_counts": op5_piece_counts,
+    "op6_url_segments": op6_url_segments,
     "op7_decontaminate": op7_decontaminate,
     "op8_toxicity_mil": op8_toxicity_mil,
     "op9_license_join": op9_license_join,
