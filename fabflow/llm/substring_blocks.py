@@ -203,7 +203,7 @@ def first_holders(table: pa.Table) -> pa.Table:
                            for i, (s, e) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if e > s])
 
 
-def cut(table: pa.Table, firsts: pa.Table, width: int, schema: pa.Schema) -> pa.Table:
+def cut(table: pa.Table, firsts: pa.Table, width: int, tidy: bool, schema: pa.Schema) -> pa.Table:
     """The chunk's documents without the words under windows that a smaller id holds."""
     col = lambda name, kind: np.concatenate([np.zeros(0, kind), *[np.frombuffer(x.as_py(), kind) for x in firsts.column(name)]])
     a, b, first = col("a", "<u8"), col("b", "<u8"), col("least", "<i8")
@@ -212,7 +212,8 @@ def cut(table: pa.Table, firsts: pa.Table, width: int, schema: pa.Schema) -> pa.
     ids = table.column("order_id").to_numpy(zero_copy_only=False)
     n_words, n_removed, kept = [], [], []
     for data, i in zip(table.column("text"), ids, strict=True):
-        words, gone = (data.as_py() or b"").split(), None
+        data = data.as_py() or b""
+        words, gone = data.split(), None
         if len(words) >= width and len(a):
             h = word_hashes(words)
             wa = roll(h[:, 0], width)
@@ -229,17 +230,21 @@ def cut(table: pa.Table, firsts: pa.Table, width: int, schema: pa.Schema) -> pa.
                 np.add.at(edges, maybe[late], 1)
                 np.add.at(edges, maybe[late] + width, -1)
                 gone = np.cumsum(edges)[:-1] > 0
+        lost = 0 if gone is None else int(gone.sum())
         n_words.append(len(words))
-        n_removed.append(0 if gone is None else int(gone.sum()))
-        kept.append(b" ".join(words if gone is None else [w for w, g in zip(words, gone.tolist(), strict=True) if not g]))
+        n_removed.append(lost)
+        if lost:
+            words = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
+        kept.append(b" ".join(words) if lost or tidy else data)
     held = [table.column(n) for n in schema.names[:-3]]
     return pa.Table.from_arrays([*held, pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
                                  pa.array(kept, pa.binary())], names=schema.names)
 
 
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text", keep: Sequence[str] = (), width: int = 13,
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text", keep: Sequence[str] = (), width: int = 13, tidy: bool = True,
                    chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """``id_col`` and ``keep`` plus ``n_words``, ``n_removed`` and ``kept`` (UTF-8, words joined by one space).
+    """``id_col`` and ``keep`` plus ``n_words``, ``n_removed`` and ``kept`` (UTF-8, words joined by one space;
+    without ``tidy`` a text that loses nothing keeps its own white space).
 
     One row per input row; ids are integers. Windows are judged on the input, whatever else is
     removed; a window that only repeats within its own document, or in rows of the same id, stays.
@@ -275,7 +280,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text", ke
     def finish(table: pa.Table, answers: pa.Table) -> pa.Table:
         types = [table.schema.field(c) for c in columns[:-3]]
         schema = pa.schema([*types, ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.binary())])
-        return cut(table, answers, width, schema)
+        return cut(table, answers, width, tidy, schema)
 
     done = dealt.groupBy("chunk").cogroup(firsts.groupBy("chunk")).applyInArrow(finish, out)
     return done.select(*[F.col(f"k{i}").alias(n) for i, n in enumerate(names)], "n_words", "n_removed", "kept")
