@@ -65,7 +65,8 @@ def unigrams(pages: DataFrame, text: str, min_count: int = MIN_COUNT, max_word:
 def viterbi(name: str, words: dict[tuple[int, int], float], total: float) -> list[str]:
     """Most probable split of a name; ``words`` maps (start, length) to log probability.
 
-    A stretch that is no word costs log(10 / total) - length * log(10). Among equal splits the one
+    A stretch that is no word costs log(10 / total) - length * log(10), with a total of 100 at least so
+    that more pieces always cost more. Among equal splits the one
     whose last piece is longest wins.
     """
     n = len(name)
@@ -73,7 +74,7 @@ def viterbi(name: str, words: dict[tuple[int, int], float], total: float) -> lis
     by_end: dict[int, list[tuple[int, float]]] = {}
     for (start, size), p in words.items():
         by_end.setdefault(start + size, []).append((start, p))
-    unknown, floor = log(10) - log(max(total, 1.0)), log(10)
+    unknown, floor = log(10) - log(max(total, 100.0)), log(10)
     lead, lead_at = 0.0, 0       # best start of an unknown stretch: its score grows with start, falls with length
     for end in range(1, n + 1):
         options = [(best[s] + p, -s) for s, p in by_end.get(end, ())]
