@@ -2,28 +2,36 @@
 
 Plain Parquet tables refuse ``MERGE INTO``; the upsert is expressed as:
 
-1. touched dates = dates of the incoming rows + dates where their keys are stored now
-   (a bounded list collected once)
-2. merged = latest row per key over (stored rows of touched dates + incoming); the
-   stored side is filtered by a literal list of dates, so the scan reads only
-   those partition folders
-3. merged is written to a staging folder under ``spark.checkpoint.dir`` first,
-   which cuts the lineage to the table being replaced (a failed job cannot
-   lose input), then copied over the touched partitions with dynamic
-   partition overwrite
-4. touched partitions that end up with no rows (every key moved out) are
-   removed explicitly; dynamic overwrite alone would leave their old files
-
-Rerunning with the same input is a no-op on the data (idempotent).
+1. touched partitions = those of the incoming rows + those where their keys are stored now
+   (collected once, checked against ``max_partitions``); null is a partition like any other
+2. merged = latest row per key over (stored rows of touched partitions + incoming); the
+   stored side is filtered by literal values, so the scan reads only those folders
+3. merged is written to ``<table>.upsert/data``, which cuts the lineage to the table being
+   replaced, followed by ``<table>.upsert/plan``, the list of touched partitions and whether
+   each still has rows
+4. the staged data is copied over the touched partitions with dynamic partition overwrite,
+   touched partitions that lost all rows are removed, then the staging folder goes
+
+A run that stops before the plan is complete has changed nothing; one that stops after it is
+finished by the next upsert (or ``recover_upsert``) from the staged data, since step 4 can be
+repeated. Rerunning with the same input is a no-op on the data.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fabflow.operators.dedup import dedup_latest
-from fabflow.session import staging_path
+
+#: Spark's folder name for the null partition, and the characters it escapes in folder names.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+ESCAPED = re.compile(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""")
+PLAN = "value string, empty boolean, schema string"
 
 
 def merge_latest(current: DataFrame, incoming: DataFrame, key="wafer_id", order="timestamp") -> DataFrame:
@@ -31,64 +39,105 @@ def merge_latest(current: DataFrame, incoming: DataFrame, key="wafer_id", order=
     return dedup_latest(current.unionByName(incoming), key, order)
 
 
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def _path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, p = _fs(spark, path)
     return fs.exists(p)
 
 
 def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, p = _fs(spark, path)
     if fs.exists(p):
         fs.delete(p, True)
 
 
+def _stage(table_path: str) -> str:
+    return table_path.rstrip("/") + ".upsert"
+
+
+def _in_partitions(column: str, values: list) -> Column:
+    """Rows whose partition value is listed (None stands for null); a literal filter, so folders are pruned."""
+    some = [v for v in values if v is not None]
+    cond = F.col(column).isin(some) if some else F.lit(False)
+    return cond | F.col(column).isNull() if None in values else cond
+
+
+def _finish(spark: SparkSession, table_path: str, partition_col: str) -> dict:
+    """Step 4 from a complete staging folder; may be repeated."""
+    stage = _stage(table_path)
+    plan = spark.read.schema(PLAN).parquet(f"{stage}/plan").collect()   # one row per touched partition
+    if any(not r["empty"] for r in plan):
+        schema = T.StructType.fromJson(json.loads(plan[0]["schema"]))
+        (spark.read.schema(schema).parquet(f"{stage}/data").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(table_path))
+    for r in plan:
+        if r["empty"]:
+            folder = NULL_PARTITION if r["value"] is None else ESCAPED.sub(lambda m: f"%{ord(m[0]):02X}", r["value"])
+            _delete(spark, f"{table_path.rstrip('/')}/{partition_col}={folder}")
+    _delete(spark, stage)
+    return {"touched_partitions": len(plan), "emptied_partitions": sum(r["empty"] for r in plan)}
+
+
+def recover_upsert(spark: SparkSession, table_path: str, partition_col: str = "date") -> dict | None:
+    """Finish an upsert that stopped half-way, or clear one that had not begun to change the table."""
+    stage = _stage(table_path)
+    if _path_exists(spark, f"{stage}/plan/_SUCCESS"):
+        return _finish(spark, table_path, partition_col)
+    _delete(spark, stage)
+    return None
+
+
 def upsert_partitioned(incoming: DataFrame, table_path: str, key: str = "wafer_id", order: str = "timestamp",
-                       partition_col: str = "date", lookback_days: int | None = None) -> dict:
+                       partition_col: str = "date", lookback_days: int | None = None, verify_lookback: bool = True,
+                       max_partitions: int = 100_000) -> dict:
     """Upsert ``incoming`` into the Parquet table at ``table_path`` partitioned by ``partition_col``.
 
     Returns counts of touched and emptied partitions. Only touched partitions
     are read and rewritten. Finding keys that moved to another date scans the
-    stored key column; ``lookback_days`` bounds that scan to partitions within
-    that many days of the incoming dates (partition pruning), for feeds whose
-    redeliveries are known to arrive within that delay.
+    stored key column alone. ``lookback_days`` states how late a redelivery may
+    be; by default the rest of the key column is still checked and an older copy
+    raises ValueError before anything is written. ``verify_lookback=False`` skips
+    that check and with it the scan, for feeds that guarantee the delay. Rows
+    without a date, incoming or stored, are in the null partition and always
+    searched. One writer per table at a time.
     """
     spark = incoming.sparkSession
     cols = incoming.columns
+    recover_upsert(spark, table_path, partition_col)
     if not _path_exists(spark, table_path):
         dedup_latest(incoming, key, order).write.mode("overwrite").partitionBy(partition_col).parquet(table_path)
         return {"touched_partitions": None, "emptied_partitions": 0}
     stored = spark.read.schema(incoming.select(*cols).schema).parquet(table_path).select(*cols)
+    keys = incoming.select(key).filter(F.col(key).isNotNull()).distinct()
     search = stored
     if lookback_days is not None:
-        span = incoming.agg(F.struct(F.min(partition_col).alias("lo"), F.max(partition_col).alias("hi"))).scalar()
-        search = stored.filter(F.col(partition_col).between(F.date_sub(span["lo"], lookback_days),
-                                                            F.date_add(span["hi"], lookback_days)))
-    moved_from = search.join(incoming.select(key).distinct(), on=key, how="left_semi").select(partition_col)
-    touched = incoming.select(partition_col).unionByName(moved_from).distinct()
-    touched_vals = sorted(r[0] for r in touched.collect())    # bounded: distinct partition values
-    # a literal IN list on the partition column prunes the stored scan to the touched folders
-    affected = stored.filter(F.col(partition_col).isin(touched_vals)) if touched_vals else stored.limit(0)
+        span = incoming.agg(F.min(partition_col).alias("lo"), F.max(partition_col).alias("hi")).first()
+        near = F.col(partition_col).isNull()
+        if span["lo"] is not None:
+            near = near | F.col(partition_col).between(F.date_sub(F.lit(span["lo"]), lookback_days),
+                                                       F.date_add(F.lit(span["hi"]), lookback_days))
+        search = stored.filter(near)
+        if verify_lookback:
+            far = stored.filter(~near).select(key).join(keys, key, "left_semi").limit(1).collect()
+            if far:
+                raise ValueError(f"key {far[0][0]!r} is stored more than {lookback_days} days from the incoming dates")
+    moved_from = search.join(keys, on=key, how="left_semi").select(partition_col)
+    touched = [r[0] for r in incoming.select(partition_col).unionByName(moved_from).distinct()
+               .limit(max_partitions + 1).collect()]
+    if len(touched) > max_partitions:
+        raise ValueError(f"more than {max_partitions} partitions touched: {partition_col!r} is too fine to partition by")
+    if not touched:
+        return {"touched_partitions": 0, "emptied_partitions": 0}
+    affected = stored.filter(_in_partitions(partition_col, touched))
     merged = merge_latest(affected, incoming.select(*cols), key, order)
 
-    stage = staging_path(spark, "upsert")
-    merged.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
-    staged = spark.read.schema(merged.schema).parquet(stage).select(*cols)
-
-    # Partitions touched but absent from the merge result became empty.
-    kept_vals = {r[0] for r in staged.select(partition_col).distinct().collect()}
-    emptied = [v for v in touched_vals if v not in kept_vals]
-
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        staged.write.mode("overwrite").partitionBy(partition_col).parquet(table_path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-    for v in emptied:
-        _delete(spark, f"{table_path.rstrip('/')}/{partition_col}={v}")
-    _delete(spark, stage)
-    return {"touched_partitions": len(touched_vals), "emptied_partitions": len(emptied)}
+    stage = _stage(table_path)
+    merged.write.mode("overwrite").partitionBy(partition_col).parquet(f"{stage}/data")
+    held = {r[0] for r in spark.read.schema(merged.schema).parquet(f"{stage}/data").select(partition_col).distinct().collect()}
+    plan = [(None if v is None else str(v), v not in held, merged.schema.json()) for v in touched]
+    spark.createDataFrame(plan, PLAN).coalesce(1).write.mode("overwrite").parquet(f"{stage}/plan")
+    return _finish(spark, table_path, partition_col)

@@ -44,14 +44,20 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process (``local``, ``local[n]``), so that they share a disk."""
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and staged tables.
 
     Read from ``spark.checkpoint.dir`` (the cluster names a shared folder
     there), else from the SparkContext's checkpoint directory. Only when
-    neither is set, as in local tests, a fresh scratch folder becomes the
-    context's checkpoint directory (``spark.checkpoint.dir`` itself cannot be
-    changed once the session runs).
+    neither is set and the master is local, as in tests, a fresh scratch folder
+    becomes the context's checkpoint directory (``spark.checkpoint.dir`` itself
+    cannot be changed once the session runs). On any other master a folder of
+    one machine would lose data, so a missing setting raises.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
@@ -59,6 +65,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if not root:
+        if not is_local(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share: staged tables are written there")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="fabflow-ckpt-"))
         root = sc.getCheckpointDir()
     return root

@@ -22,7 +22,7 @@ def telemetry_from_events(events: DataFrame) -> DataFrame:
     burst = (F.col("event_type") == "error") & (F.col("value") > F.lit(100.0))
     return e.select(
         F.col("ts").alias("timestamp"),
-        F.concat(F.lit("W"), F.lpad(F.col("event_id").cast("string"), 8, "0")).alias("wafer_id"),
+        F.format_string("W%08d", F.col("event_id")).alias("wafer_id"),
         F.concat(F.lit("EQ00"), (F.col("user_id") % 4 + 1).cast("string")).alias("equipment_id"),
         (F.lit(345.0) + F.col("value") / F.lit(10.0)).alias("temperature_c"),
         (F.lit(10.0) + (F.col("k") - F.lit(49.5)) / F.lit(25.0)).alias("pressure_torr"),
@@ -59,7 +59,7 @@ def telemetry_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 # SQL text of the same two views (runs unchanged in Spark SQL and DuckDB);
 # the query catalogue prefixes oracle queries with it.
 TELEMETRY_SQL = """SELECT ts AS timestamp,
-       concat('W', lpad(cast(event_id AS string), 8, '0')) AS wafer_id,
+       printf('W%08d', event_id) AS wafer_id,
        concat('EQ00', cast(user_id % 4 + 1 AS string)) AS equipment_id,
        345e0 + value / 10e0 AS temperature_c,
        10e0 + (k - 49.5e0) / 25e0 AS pressure_torr,

@@ -11,14 +11,17 @@ from fabflow.sources.files import CORRUPT, parse_wire, wire_schema_with_corrupt
 
 
 def kafka_source_options(bootstrap: str, topic: str, group: str | None = None,
-                         starting: str = "earliest", max_offsets_per_trigger: int | None = None) -> dict:
+                         starting: str = "earliest", max_offsets_per_trigger: int | None = None,
+                         fail_on_data_loss: bool | None = None) -> dict:
     """Options for ``readStream.format("kafka")``: subscribe, start at earliest.
 
     Offsets are tracked in the query checkpoint (committed only after the sink
-    write), not auto-committed to the broker.
+    write), not auto-committed to the broker. Lost offsets fail the query (Spark's
+    default) unless the caller says otherwise with ``fail_on_data_loss=False``.
     """
-    opts = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic, "startingOffsets": starting,
-            "failOnDataLoss": "false"}
+    opts = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic, "startingOffsets": starting}
+    if fail_on_data_loss is not None:
+        opts["failOnDataLoss"] = str(fail_on_data_loss).lower()
     if group:
         opts["kafka.group.id"] = group
     if max_offsets_per_trigger:

@@ -161,3 +161,82 @@ def test_upsert_reads_only_touched_partitions(spark, scratch):
     assert res["touched_partitions"] == 1
     out = spark.read.parquet(path)
     assert out.count() == 10 and out.filter(F.col("temperature_c") == 352.0).count() == 1
+
+
+def test_upsert_keeps_and_moves_rows_without_a_date(spark, scratch):
+    path = scratch + "/t"
+    d1, d2 = datetime(2024, 3, 1, 1), datetime(2024, 3, 2, 1)
+    MG.upsert_partitioned(frame(spark, [{"wafer_id": "A", "timestamp": d1}, {"wafer_id": "B", "timestamp": None},
+                                        {"wafer_id": "C", "timestamp": None}]), path)
+    MG.upsert_partitioned(frame(spark, [{"wafer_id": "D", "timestamp": None}, {"wafer_id": "A", "timestamp": d2}]), path)
+    out = {r.wafer_id: r.date and str(r.date) for r in spark.read.parquet(path).collect()}
+    assert out == {"A": "2024-03-02", "B": None, "C": None, "D": None}
+    res = MG.upsert_partitioned(frame(spark, [{"wafer_id": w, "timestamp": d2} for w in "BCD"]), path, lookback_days=1)
+    assert res["emptied_partitions"] == 1
+    assert [str(r.date) for r in spark.read.parquet(path).collect()] == ["2024-03-02"] * 4
+
+
+def test_upsert_outside_the_stated_delay_raises_before_writing(spark, scratch):
+    path = scratch + "/t"
+    MG.upsert_partitioned(frame(spark, [{"wafer_id": "W1", "timestamp": datetime(2024, 3, 1, 1)}]), path)
+    late = frame(spark, [{"wafer_id": "W1", "timestamp": datetime(2024, 3, 20, 1)}])
+    with pytest.raises(ValueError, match="W1"):
+        MG.upsert_partitioned(late, path, lookback_days=2)
+    assert spark.read.parquet(path).count() == 1
+
+
+def test_upsert_that_stopped_half_way_is_finished_by_the_next(spark, scratch, monkeypatch):
+    path = scratch + "/t"
+    MG.upsert_partitioned(frame(spark, [{"wafer_id": "W1", "timestamp": datetime(2024, 3, 1, 1)},
+                                        {"wafer_id": "W2", "timestamp": datetime(2024, 3, 2, 1)}]), path)
+    moved = frame(spark, [{"wafer_id": "W1", "timestamp": datetime(2024, 3, 2, 5)}])
+
+    def stop(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:                       # after the overwrite, before the emptied folder goes
+        m.setattr(MG, "_delete", stop)
+        m.setattr(MG, "recover_upsert", lambda *_: None)
+        with pytest.raises(RuntimeError):
+            MG.upsert_partitioned(moved, path)
+    assert spark.read.parquet(path).count() == 3           # the stale copy is still there
+    MG.upsert_partitioned(frame(spark, [{"wafer_id": "W3", "timestamp": datetime(2024, 3, 4)}]), path)
+    assert sorted(r.wafer_id for r in spark.read.parquet(path).collect()) == ["W1", "W2", "W3"]
+
+
+def test_upsert_leaves_the_session_overwrite_mode_alone(spark, scratch):
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    for _ in range(2):
+        MG.upsert_partitioned(frame(spark, [{}]), scratch + "/t")
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
+
+
+def test_rows_without_a_key_are_not_copies_of_each_other(spark):
+    rows = [{"wafer_id": None, "temperature_c": 1.0}, {"wafer_id": None, "temperature_c": 2.0}, {"wafer_id": None, "temperature_c": 2.0},
+            {"wafer_id": "W1"}, {"wafer_id": "W1", "temperature_c": 3.0}]
+    assert DD.dedup_latest(frame(spark, rows)).count() == 3
+
+
+def test_ids_beyond_eight_digits_stay_distinct(spark):
+    from fabflow.sources.bridge import telemetry_from_events
+    ev = spark.createDataFrame([(100000001, 1), (1000000010, 1), (7, 1)], "event_id long, user_id long").selectExpr(
+        "*", "timestamp_ntz'2024-01-01 00:00:00' as ts", "'x' as event_type", "1e0 as value", "'{\"k\": 1}' as props")
+    assert sorted(r.wafer_id for r in telemetry_from_events(ev).collect()) == ["W00000007", "W100000001", "W1000000010"]
+
+
+def test_no_shared_folder_on_a_cluster_raises(spark):
+    from fabflow import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Faked:
+        conf = type("Conf", (), {"get": staticmethod(lambda *_: None)})
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.staging_path(Faked(), "x")
+    assert session.is_local("local[4]") and not session.is_local("local-cluster[2,1,1024]")
