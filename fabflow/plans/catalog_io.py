@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from fabflow import constants as C
 from fabflow.operators import spc as SPC
+from fabflow.operators.merge import _path_exists
 from fabflow.operators import windows as W
 from fabflow.plans.catalog import register, rounded, sql
 from fabflow.session import staging_path
@@ -20,6 +21,7 @@ from fabflow.sinks import kafka as KS
 from fabflow.sources import files as SF
 from fabflow.sources import kafka as KF
 from fabflow.sources.bridge import telemetry, telemetry_raw
+from fabflow.streaming import alerts as AL
 from fabflow.streaming import jobs as J
 
 _RAW = list(C.RAW_COLUMNS)
@@ -199,8 +201,8 @@ WHERE beyond AND run_length >= 2""", {"lim": _ALERT_LIMITS}))
 def q_str_alerts(spark, d):
     src, out, ck = _stream_dirs(spark, d)
     limits = SPC.control_limits(telemetry(spark, d), "temperature_c", "equipment_id", k=2.0)
-    J.start_alerts(spark, src, limits, out, ck, min_run=2).awaitTermination()
-    return _ntz(spark.read.parquet(out)).withColumn("run_length", F.col("run_length").cast("bigint"))
+    AL.start_alerts(spark, src, limits, out, ck, min_run=2).awaitTermination()
+    return _ntz(spark.read.parquet(out).drop("batch_id"))
 
 
 def _gate_oracle():
@@ -391,16 +393,56 @@ def q_srt_head_rows_per_file(spark, d):
     return _ntz(SR.head_rows(a, 5, group="source_file").select(*C.RAW_COLUMNS, "date"))
 
 
-@register("str_progress_metrics")
+_COUNTERS = """count(*) AS rows, count(*) FILTER (WHERE is_anomaly) AS anomalies,
+       count(*) FILTER (WHERE equipment_id NOT IN ('EQ001', 'EQ002', 'EQ003', 'EQ004')) AS unknown_equipment"""
+
+
+@register("str_progress_metrics", sql(f"SELECT {_COUNTERS}, 0::BIGINT AS malformed FROM telemetry_raw"))
 def q_str_progress_metrics(spark, d):
-    # Per-batch observed counters and rates of an archive stream (run metrics: rows-only check).
+    # counters of all batches of an archive stream add up to the table's
+    src, out, ck = _stream_dirs(spark, d)
+    metrics = staging_path(spark, "metrics")
+    J.start_archive(spark, src, out, ck, max_files_per_trigger=10, metrics=metrics).awaitTermination()
+    names = ("rows", "anomalies", "unknown_equipment", "malformed")
+    return J.progress_counters(spark, metrics).agg(*[F.sum(c).alias(c) for c in names])
+
+
+@register("str_progress_counters", sql(f"SELECT date AS first_date, {_COUNTERS} FROM bronze_raw GROUP BY date"))
+def q_str_progress_counters(spark, d):
+    # one batch per file and one file per event date: every batch's counters are that date's
     src, out, ck = _stream_dirs(spark, d)
-    q = J.start_archive(spark, src, out, ck, max_files_per_trigger=10)
-    q.awaitTermination()
-    rows = J.progress_counters(q)
-    schema = "batch_id bigint, input_rows bigint, rows_per_second double, rows bigint, anomalies bigint, unknown_equipment bigint"
-    return spark.createDataFrame([(r.get("batch_id"), r.get("input_rows"), float(r.get("rows_per_second") or 0.0),
-                                   r.get("rows"), r.get("anomalies"), r.get("unknown_equipment")) for r in rows], schema)
+    metrics = staging_path(spark, "metrics")
+    J.start_archive(spark, src, out, ck, max_files_per_trigger=1, metrics=metrics).awaitTermination()
+    return J.progress_counters(spark, metrics).select("first_date", "rows", "anomalies", "unknown_equipment")
+
+
+_SPLIT = """SELECT count(*) FILTER (WHERE n % 53 <> 0 AND n % 59 <> 0) AS good,
+       count(*) FILTER (WHERE n % 53 = 0 OR n % 59 = 0) AS quarantined
+FROM (SELECT CAST(substr(wafer_id, 2) AS BIGINT) AS n FROM telemetry_raw) t"""
+
+
+def _split_counts(spark, good_paths, bad_path):
+    good = spark.read.parquet(*good_paths).agg(F.count(F.lit(1)).alias("good"))
+    return good.withColumn("quarantined", spark.read.parquet(bad_path).agg(F.count(F.lit(1))).scalar())
+
+
+@register("str_archive_quarantine", sql(_SPLIT))
+def q_str_archive_quarantine(spark, d):
+    # no folder named: malformed rows still go beside the sink, rows in = good + quarantined
+    src, out, ck = (staging_path(spark, n) for n in ("lines", "good", "ck"))
+    _corrupted_lines(spark, d, src)
+    J.start_archive(spark, src, out, ck, max_files_per_trigger=8).awaitTermination()
+    return _split_counts(spark, [out], J.default_quarantine(out))
+
+
+@register("str_gate_quarantine", sql(_SPLIT))
+def q_str_gate_quarantine(spark, d):
+    # parsed rows reach one of the gate's two sinks, malformed ones the third
+    src, out, ck = (staging_path(spark, n) for n in ("lines", "gate", "ck"))
+    _corrupted_lines(spark, d, src)
+    J.start_gate(spark, src, out + "/good", out + "/bad", out + "/reports", ck, max_files_per_trigger=8).awaitTermination()
+    sinks = [p for p in (out + "/good", out + "/bad") if _path_exists(spark, p)]     # a sink no batch reached is not there
+    return _split_counts(spark, sinks, out + "/bad-malformed")
 
 
 # --- medallion pipeline, tables, delivery stats ---
@@ -440,16 +482,15 @@ def q_str_delivery_stats(spark, d):
     return rounded(J.delivery_stats_frame(spark.read.parquet(out), spark.read.parquet(q)))
 
 
-from fabflow.streaming import alerts as AL  # noqa: E402
 from fabflow.plans.catalog import ORACLE as _ORACLE  # noqa: E402
 
 
 @register("str_alerts_distributed", _ORACLE["str_alerts"])
 def q_str_alerts_distributed(spark, d):
-    # same alerts as str_alerts, run lengths from DataFrame operations per micro-batch
+    # same alerts as str_alerts, over many micro-batches
     src, out, ck = _stream_dirs(spark, d)
     limits = SPC.control_limits(telemetry(spark, d), "temperature_c", "equipment_id", k=2.0)
-    AL.start_alerts_distributed(spark, src, limits, out, ck, min_run=2, max_files_per_trigger=10).awaitTermination()
+    AL.start_alerts(spark, src, limits, out, ck, min_run=2, max_files_per_trigger=10).awaitTermination()
     return _ntz(spark.read.parquet(out).drop("batch_id"))
 
 

@@ -1,9 +1,7 @@
 """Consecutive out-of-limit runs per chamber, computed without a per-chamber task.
 
-The stateful ``applyInPandasWithState`` version (``jobs.alerts``) sends a
-chamber's rows of a micro-batch to one Python task. Here the run length of
-every reading is computed with DataFrame operations spread over
-(chamber, time bucket) partitions, and only one state row per chamber is
+The run length of every reading is computed with DataFrame operations spread
+over (chamber, time bucket) partitions, and only one state row per chamber is
 carried between micro-batches:
 
 * a *break* position is a reading that is inside the limits (the run after it
@@ -15,7 +13,10 @@ carried between micro-batches:
   micro-batches by the carried state (run at the end, last event time).
 
 The result equals the batch definition (gaps and islands over the whole
-ordered sequence per chamber), which the oracle checks.
+ordered sequence per chamber), which the oracle checks, as long as readings
+arrive in event order between micro-batches. A reading that arrives a batch
+late is counted where it arrives: it extends or ends the run open at that
+time, and alerts already written are not renumbered.
 """
 
 from __future__ import annotations
@@ -117,35 +118,43 @@ def _state_before(spark, state_path: str, batch_id: int) -> DataFrame | None:
 
 
 def alerts_batch_writer(limits: DataFrame, sink: str, state_path: str, min_run: int = 3,
-                        reset_after_seconds: int | None = None, target_rows_per_bucket: int = 1_000_000):
+                        reset_after_seconds: int | None = None, target_rows_per_bucket: int = 1_000_000,
+                        quarantine: str | None = None):
     """foreachBatch body: distributed run lengths, alerts appended, chamber state versioned by batch id.
 
     Re-running a batch id reads the state of the batch before it and replaces
-    its own alert and state partitions (idempotent on retry).
+    its own alert and state partitions (idempotent on retry). Only the states of
+    the last two batches are kept: a batch is only ever retried while it is the
+    newest. Malformed rows go to ``quarantine`` (by default beside the sink).
     """
-    from fabflow.streaming.jobs import good_rows, write_batch_idempotent
+    from fabflow.operators.merge import _delete
+    from fabflow.streaming.jobs import default_quarantine, good_rows, malformed_rows, write_batch_idempotent
+    quarantine = quarantine or default_quarantine(sink)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         prior = _state_before(spark, state_path, batch_id)
-        readings = good_rows(batch).persist()
+        batch = batch.persist()
+        readings = good_rows(batch)
         try:
             alerts, state = run_alerts_batch(readings, limits, min_run, "temperature_c", reset_after_seconds,
                                              prior, target_rows_per_bucket=target_rows_per_bucket)
             write_batch_idempotent(alerts, sink, batch_id, ())
             write_batch_idempotent(state, state_path, batch_id, ())
+            write_batch_idempotent(malformed_rows(batch), quarantine, batch_id, ())
+            _delete(spark, f"{state_path}/batch_id={batch_id - 2}")
         finally:
-            readings.unpersist()
+            batch.unpersist()
     return run
 
 
-def start_alerts_distributed(spark, source: str, limits: DataFrame, sink: str, checkpoint: str,
-                             min_run: int = 3, reset_after_seconds: int | None = None,
-                             trigger: str = "available_now", max_files_per_trigger: int | None = None):
-    """STR-10 without a per-chamber task: run lengths from DataFrame operations per micro-batch."""
+def start_alerts(spark, source: str, limits: DataFrame, sink: str, checkpoint: str,
+                 min_run: int = 3, reset_after_seconds: int | None = None, trigger: str = "available_now",
+                 max_files_per_trigger: int | None = None, quarantine: str | None = None):
+    """STR-10: readings that extend a run of ``min_run`` or more out-of-limit readings of a chamber."""
     from fabflow.streaming.jobs import _trigger, read_wire_stream
     state_path = checkpoint.rstrip("/") + "/alert-state"
     s = read_wire_stream(spark, source, max_files_per_trigger)
-    w = (s.writeStream.foreachBatch(alerts_batch_writer(limits, sink, state_path, min_run, reset_after_seconds))
-         .option("checkpointLocation", checkpoint))
+    body = alerts_batch_writer(limits, sink, state_path, min_run, reset_after_seconds, quarantine=quarantine)
+    w = s.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
     return _trigger(w, trigger).start()

@@ -12,12 +12,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from fabflow import constants as C
 from fabflow.operators import quality as Q
@@ -56,35 +54,72 @@ def good_rows(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col(CORRUPT).isNull() & F.col("timestamp").isNotNull())
 
 
-def observed(df: DataFrame, name: str = "telemetry_batch") -> DataFrame:
-    """Attach per-batch counters (rows, anomalies, unknown chambers) to the query progress."""
-    return df.observe(name, F.count(F.lit(1)).alias("rows"),
-                      F.count_if(F.col("is_anomaly")).alias("anomalies"),
-                      F.count_if(~F.col("equipment_id").isin(C.VALID_EQUIPMENT)).alias("unknown_equipment"))
+def malformed_rows(parsed: DataFrame) -> DataFrame:
+    """What ``good_rows`` leaves out, with the text it came from."""
+    return parsed.filter(F.col(CORRUPT).isNotNull() | F.col("timestamp").isNull()).select(
+        F.col(CORRUPT).alias("raw"), F.col("_ts_text").alias("timestamp_text"), "wafer_id")
+
+
+def default_quarantine(sink: str) -> str:
+    """Where malformed rows go unless the caller names a folder: beside the sink."""
+    return sink.rstrip("/") + "-quarantine"
+
+
+class StreamPair:
+    """A query and the query that writes the malformed rows of the same source; looks like the first one."""
+
+    def __init__(self, main: StreamingQuery, quarantine: StreamingQuery):
+        self.main, self.quarantine = main, quarantine
+
+    def awaitTermination(self, timeout: int | None = None):
+        done = [q.awaitTermination(timeout) for q in (self.main, self.quarantine)]
+        return None if timeout is None else all(done)
+
+    def stop(self) -> None:
+        self.main.stop()
+        self.quarantine.stop()
+
+    def __getattr__(self, name: str):
+        return getattr(self.main, name)
+
+
+def _with_quarantine(main: StreamingQuery, spark: SparkSession, source: str, quarantine: str, checkpoint: str,
+                     trigger: str, max_files_per_trigger: int | None = None) -> StreamPair:
+    """Add the quarantine query of a stateful stream, whose own plan can only take good rows."""
+    bad = malformed_rows(read_wire_stream(spark, source, max_files_per_trigger))
+    w = (bad.writeStream.format("parquet").outputMode("append").option("path", quarantine)
+         .option("checkpointLocation", checkpoint.rstrip("/") + "-quarantine"))
+    return StreamPair(main, _trigger(w, trigger).start())
+
+
+def batch_counters(batch: DataFrame) -> DataFrame:
+    """One row: good rows, malformed rows, anomalies and unknown chambers of a micro-batch."""
+    good = F.col(CORRUPT).isNull() & F.col("timestamp").isNotNull()
+    return batch.agg(F.count_if(good).alias("rows"), F.count_if(~good).alias("malformed"),
+                     F.count_if(good & F.col("is_anomaly")).alias("anomalies"),
+                     F.count_if(good & ~F.col("equipment_id").isin(C.VALID_EQUIPMENT)).alias("unknown_equipment"),
+                     F.min(F.when(good, F.to_date("timestamp"))).alias("first_date"))
 
 
 def start_archive(spark: SparkSession, source: str, sink: str, checkpoint: str,
                   max_files_per_trigger: int | None = None, trigger: str = "available_now",
-                  quarantine: str | None = None) -> StreamingQuery:
+                  quarantine: str | None = None, metrics: str | None = None) -> StreamingQuery:
     """Consume -> parse -> bronze -> Parquet partitioned by event date (STR-1..4, 7).
 
-    Malformed rows go to ``quarantine`` (a second sink in the same batch) when given.
+    Malformed rows go to ``quarantine`` (by default beside the sink) in the same batch, so rows in =
+    good + quarantined. With ``metrics`` every batch also writes its counters there, one row per
+    batch id, exact over any number of batches and restarts (:func:`progress_counters` reads them).
     """
     parsed = read_wire_stream(spark, source, max_files_per_trigger)
-    if quarantine is None:
-        out = observed(bronze_frame(good_rows(parsed)))
-        w = (out.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
-             .partitionBy("date").option("path", sink))
-        return _trigger(w, trigger).start()
+    quarantine = quarantine or default_quarantine(sink)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()                  # good and quarantined rows from one read
         try:
-            good = bronze_frame(good_rows(batch))
-            bad = batch.filter(F.col(CORRUPT).isNotNull() | F.col("timestamp").isNull()).select(
-                F.col(CORRUPT).alias("raw"), F.col("_ts_text").alias("timestamp_text"), "wafer_id")
-            write_batch_idempotent(good, sink, batch_id)
-            write_batch_idempotent(bad, quarantine, batch_id, ())
+            write_batch_idempotent(bronze_frame(good_rows(batch)), sink, batch_id)
+            write_batch_idempotent(malformed_rows(batch), quarantine, batch_id, ())
+            if metrics:
+                write_batch_idempotent(batch_counters(batch), metrics, batch_id, ())
         finally:
             batch.unpersist()
 
@@ -93,11 +128,22 @@ def start_archive(spark: SparkSession, source: str, sink: str, checkpoint: str,
 
 
 def start_json_append(spark: SparkSession, source: str, sink: str, checkpoint: str,
-                      trigger: str = "available_now") -> StreamingQuery:
-    """Append records continuously to JSON lines (STR-5)."""
-    parsed = good_rows(read_wire_stream(spark, source)).select(*C.RAW_COLUMNS)
-    w = (parsed.writeStream.format("json").outputMode("append").option("checkpointLocation", checkpoint)
-         .option("timestampFormat", C.ISO_FORMAT + "XXX").option("ignoreNullFields", "false").option("path", sink))
+                      trigger: str = "available_now", quarantine: str | None = None) -> StreamingQuery:
+    """Append records continuously to JSON lines (STR-5); malformed ones to ``quarantine``."""
+    parsed = read_wire_stream(spark, source)
+    quarantine = quarantine or default_quarantine(sink)
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            (good_rows(batch).select(*C.RAW_COLUMNS).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
+             .option("timestampFormat", C.ISO_FORMAT + "XXX").option("ignoreNullFields", "false").json(sink))
+            write_batch_idempotent(malformed_rows(batch), quarantine, batch_id, ())
+        finally:
+            batch.unpersist()
+
+    w = parsed.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     return _trigger(w, trigger).start()
 
 
@@ -120,11 +166,13 @@ def dedup_stream(stream: DataFrame, delay: str = "1 hour", key: str = "wafer_id"
 
 
 def start_dedup(spark: SparkSession, source: str, sink: str, checkpoint: str, delay: str = "1 hour",
-                trigger: str = "available_now") -> StreamingQuery:
+                trigger: str = "available_now", quarantine: str | None = None) -> StreamPair:
+    """Write each key once (STR-8); malformed rows go to ``quarantine`` through a query of their own."""
     s = dedup_stream(good_rows(read_wire_stream(spark, source)).select(*C.RAW_COLUMNS), delay)
     w = (s.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
          .option("path", sink))
-    return _trigger(w, trigger).start()
+    return _with_quarantine(_trigger(w, trigger).start(), spark, source, quarantine or default_quarantine(sink),
+                            checkpoint, trigger)
 
 
 def window_profile(stream: DataFrame, window: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
@@ -147,25 +195,33 @@ def window_profile(stream: DataFrame, window: str = "1 hour", delay: str = "10 m
 
 
 def start_window_profile(spark: SparkSession, source: str, sink: str, checkpoint: str, window: str = "1 hour",
-                         delay: str = "10 minutes", trigger: str = "available_now") -> StreamingQuery:
+                         delay: str = "10 minutes", trigger: str = "available_now",
+                         quarantine: str | None = None) -> StreamPair:
+    """Write closed windows' KPIs (STR-9); malformed rows go to ``quarantine`` through a query of their own."""
     s = window_profile(good_rows(read_wire_stream(spark, source)), window, delay)
     w = (s.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
          .option("path", sink))
-    return _trigger(w, trigger).start()
+    return _with_quarantine(_trigger(w, trigger).start(), spark, source, quarantine or default_quarantine(sink),
+                            checkpoint, trigger)
 
 
 def gate_batch_writer(good_sink: str, quarantine_sink: str, report_sink: str, layer: str = "bronze",
-                      rules: str = "native") -> Callable[[DataFrame, int], None]:
+                      rules: str = "native", malformed_sink: str | None = None) -> Callable[[DataFrame, int], None]:
     """foreachBatch body: validate the batch (one aggregate), then route it (DQ-17).
 
     A batch with no critical failure goes to ``good_sink``; otherwise it goes
-    whole to ``quarantine_sink``. The batch's report rows go to ``report_sink``
+    whole to ``quarantine_sink``. Rows that cannot be parsed have no bronze form
+    and go to ``malformed_sink`` (by default ``<quarantine_sink>-malformed``). The batch's report rows go to ``report_sink``
     with the batch id and the batch's first event date. All three writes are
     idempotent per batch id (a retried batch replaces its own output).
     """
+    malformed_sink = malformed_sink or quarantine_sink.rstrip("/") + "-malformed"
+
     def run(batch: DataFrame, batch_id: int) -> None:
-        bronze = bronze_frame(good_rows(batch)).persist()   # read the micro-batch once
+        batch = batch.persist()                             # read the micro-batch once
+        bronze = bronze_frame(good_rows(batch))
         try:
+            write_batch_idempotent(malformed_rows(batch), malformed_sink, batch_id, ())
             report = Q.validation_report(bronze, rules, layer)
             rows = report.withColumn("batch_date", F.lit(None).cast("date")).collect()  # one row per rule
             first_date = bronze.agg(F.min("date")).first()[0]
@@ -176,103 +232,22 @@ def gate_batch_writer(good_sink: str, quarantine_sink: str, report_sink: str, la
             ok = not any((not r["success"]) and r["critical"] for r in rows)
             write_batch_idempotent(bronze, good_sink if ok else quarantine_sink, batch_id)
         finally:
-            bronze.unpersist()
+            batch.unpersist()
     return run
 
 
 def start_gate(spark: SparkSession, source: str, good_sink: str, quarantine_sink: str, report_sink: str,
                checkpoint: str, max_files_per_trigger: int | None = 1, trigger: str = "available_now",
-               layer: str = "bronze", rules: str = "native") -> StreamingQuery:
+               layer: str = "bronze", rules: str = "native", malformed_sink: str | None = None) -> StreamingQuery:
     parsed = read_wire_stream(spark, source, max_files_per_trigger)
-    w = (parsed.writeStream.foreachBatch(gate_batch_writer(good_sink, quarantine_sink, report_sink, layer, rules))
+    w = (parsed.writeStream.foreachBatch(gate_batch_writer(good_sink, quarantine_sink, report_sink, layer, rules, malformed_sink))
          .option("checkpointLocation", checkpoint))
     return _trigger(w, trigger).start()
 
 
-# ---------------------------------------------------------------------------
-# STR-10: out-of-limit alerts with a consecutive-violation run per chamber.
-# ---------------------------------------------------------------------------
-ALERT_SCHEMA = T.StructType([
-    T.StructField("equipment_id", T.StringType()), T.StructField("timestamp", T.TimestampType()),
-    T.StructField("wafer_id", T.StringType()), T.StructField("temperature_c", T.DoubleType()),
-    T.StructField("run_length", T.LongType()),
-])
-ALERT_STATE = T.StructType([T.StructField("run", T.LongType()), T.StructField("last_ts", T.TimestampType()),
-                            T.StructField("last_wafer", T.StringType())])
-
-
-def _run_alerts(min_run: int, reset_ms: int | None = None):
-    def fn(key, batches, state: GroupState):
-        if state.hasTimedOut:                      # no reading for reset_after: the run is over
-            state.remove()
-            return
-        run, last_ts, last_wafer = (state.get if state.exists else (0, None, None))
-        frames = [b for b in batches if len(b)]
-        if not frames:
-            return
-        pdf = pd.concat(frames, ignore_index=True).sort_values(["timestamp", "wafer_id"], kind="mergesort")
-        out = []
-        gap = pd.Timedelta(milliseconds=reset_ms) if reset_ms is not None else None
-        for ts, wafer, temp, beyond in zip(pdf["timestamp"], pdf["wafer_id"], pdf["temperature_c"], pdf["beyond"]):
-            if gap is not None and last_ts is not None and pd.Timestamp(ts) - pd.Timestamp(last_ts) > gap:
-                run = 0                            # silence longer than reset_after ends the run
-            run = run + 1 if beyond else 0
-            if beyond and run >= min_run:
-                out.append((key[0], ts, wafer, temp, run))
-            last_ts, last_wafer = ts, wafer
-        state.update((int(run), last_ts, last_wafer))
-        if reset_ms is not None:
-            state.setTimeoutTimestamp(int(pd.Timestamp(last_ts).timestamp() * 1000) + reset_ms)
-        if out:
-            yield pd.DataFrame(out, columns=[f.name for f in ALERT_SCHEMA.fields])
-    return fn
-
-
-def alerts(stream: DataFrame, limits: DataFrame, min_run: int = 3, column: str = "temperature_c",
-           reset_after_seconds: int | None = None, watermark: str = "1 hour") -> DataFrame:
-    """Readings that extend a run of >= ``min_run`` consecutive out-of-limit readings of a chamber.
-
-    ``limits`` is a static frame (equipment_id, ucl, lcl) joined to the stream;
-    only four narrow columns reach the stateful step, whose state per chamber
-    is one counter. Rows arrive in event order within a batch; across batches
-    the state carries the open run. With ``reset_after_seconds`` an event-time
-    gap longer than that between consecutive readings of a chamber ends its
-    run, and an event-time timeout drops the state of a chamber that stays
-    silent (state TTL behind the watermark).
-    """
-    from fabflow.operators.joins import join_small
-    j = join_small(stream, limits.select("equipment_id", "ucl", "lcl"), "equipment_id", "left")
-    beyond = F.coalesce((F.col(column) > F.col("ucl")) | (F.col(column) < F.col("lcl")), F.lit(False))
-    narrow = j.select("equipment_id", "timestamp", "wafer_id", F.col(column).alias("temperature_c"),
-                      beyond.alias("beyond"))
-    if reset_after_seconds is None:
-        return narrow.groupBy("equipment_id").applyInPandasWithState(
-            _run_alerts(min_run), ALERT_SCHEMA, ALERT_STATE, "append", GroupStateTimeout.NoTimeout)
-    return narrow.withWatermark("timestamp", watermark).groupBy("equipment_id").applyInPandasWithState(
-        _run_alerts(min_run, reset_after_seconds * 1000), ALERT_SCHEMA, ALERT_STATE, "append",
-        GroupStateTimeout.EventTimeTimeout)
-
-
-def start_alerts(spark: SparkSession, source: str, limits: DataFrame, sink: str, checkpoint: str,
-                 min_run: int = 3, trigger: str = "available_now",
-                 max_files_per_trigger: int | None = None, reset_after_seconds: int | None = None) -> StreamingQuery:
-    s = alerts(good_rows(read_wire_stream(spark, source, max_files_per_trigger)), limits, min_run,
-               reset_after_seconds=reset_after_seconds)
-    w = (s.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
-         .option("path", sink))
-    return _trigger(w, trigger).start()
-
-
-def progress_counters(query: StreamingQuery, name: str = "telemetry_batch") -> list[dict]:
-    """Per-batch observed counters and rates from the query's recent progress (STR-7, AGG-22/24)."""
-    out = []
-    for p in query.recentProgress:
-        metrics = getattr(p, "observedMetrics", None) or {}
-        m = metrics.get(name)
-        m = m.asDict() if m is not None and hasattr(m, "asDict") else (m or {})
-        out.append({"batch_id": p.batchId, "input_rows": p.numInputRows,
-                    "rows_per_second": p.processedRowsPerSecond, **m})
-    return out
+def progress_counters(spark: SparkSession, metrics: str) -> DataFrame:
+    """Per-batch counters written by :func:`start_archive` (STR-7, AGG-22/24): one row per batch id."""
+    return spark.read.parquet(metrics).select("batch_id", "rows", "malformed", "anomalies", "unknown_equipment", "first_date")
 
 
 def delivery_stats(sent: int, failed: int) -> dict:

@@ -1,3 +1,4 @@
+import glob
 import os
 import time
 from datetime import datetime, timedelta
@@ -9,6 +10,7 @@ from fabflow.operators import spc as SPC
 from fabflow.plans import medallion as M
 from fabflow.sinks import files as SK
 from fabflow.sources.bridge import telemetry_raw
+from fabflow.streaming import alerts as AL
 from fabflow.streaming import jobs as J
 from conftest import SF_SMALL
 from helpers import frame
@@ -17,13 +19,14 @@ from helpers import frame
 def test_stream_archive_equals_batch_and_restart_adds_nothing(spark, scratch):
     t = telemetry_raw(spark, SF_SMALL)
     SK.write_json_lines(t, scratch + "/src")
-    q = J.start_archive(spark, scratch + "/src", scratch + "/out", scratch + "/ck", max_files_per_trigger=2)
+    q = J.start_archive(spark, scratch + "/src", scratch + "/out", scratch + "/ck", max_files_per_trigger=2,
+                        metrics=scratch + "/m")
     q.awaitTermination()
     out = spark.read.parquet(scratch + "/out")
     assert out.count() == 1100
     batch = M.bronze(t).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
     assert out.select(*C.BRONZE_COLUMNS).exceptAll(batch).count() == 0
-    assert sum(p.get("rows", 0) for p in J.progress_counters(q)) == 1100
+    assert J.progress_counters(spark, scratch + "/m").agg(F.sum("rows")).first()[0] == 1100
     J.start_archive(spark, scratch + "/src", scratch + "/out", scratch + "/ck").awaitTermination()
     assert spark.read.parquet(scratch + "/out").count() == 1100
 
@@ -63,7 +66,7 @@ def test_alert_state_carries_across_batches(spark, scratch):
     for i, (a, b) in enumerate([(0, 2), (2, 5), (5, 8)]):
         _write_batch(df.filter(F.col("wafer_id").between(f"W{a:08d}", f"W{b - 1:08d}")), src, i)
         time.sleep(1.1)
-    J.start_alerts(spark, src + "/b*", limits, scratch + "/out", scratch + "/ck", min_run=2,
+    AL.start_alerts(spark, src + "/b*", limits, scratch + "/out", scratch + "/ck", min_run=2,
                    max_files_per_trigger=1).awaitTermination()
     got = sorted((r.wafer_id, r.run_length) for r in spark.read.parquet(scratch + "/out").collect())
     assert got == [("W00000002", 2), ("W00000005", 2), ("W00000006", 3)]
@@ -134,18 +137,15 @@ def test_alert_run_resets_after_silence(spark, scratch):
     for i, (a, b) in enumerate([(0, 2), (2, 5)]):
         _write_batch(df.filter(F.col("wafer_id").between(f"W{a:08d}", f"W{b - 1:08d}")), src, i)
         time.sleep(1.1)
-    J.start_alerts(spark, src + "/b*", limits, scratch + "/out", scratch + "/ck", min_run=3,
+    AL.start_alerts(spark, src + "/b*", limits, scratch + "/out", scratch + "/ck", min_run=3,
                    max_files_per_trigger=1, reset_after_seconds=3600).awaitTermination()
-    out = spark.read.parquet(scratch + "/out") if os.path.exists(scratch + "/out") else None
-    got = [] if out is None else [r.wafer_id for r in out.collect()]
-    assert got == []
-    J.start_alerts(spark, src + "/b*", limits, scratch + "/out2", scratch + "/ck2", min_run=3,
+    assert not glob.glob(scratch + "/out/**/*.parquet", recursive=True)      # no alert was written
+    AL.start_alerts(spark, src + "/b*", limits, scratch + "/out2", scratch + "/ck2", min_run=3,
                    max_files_per_trigger=1).awaitTermination()
     assert sorted(r.wafer_id for r in spark.read.parquet(scratch + "/out2").collect()) == ["W00000002", "W00000003"]
 
 
 def test_distributed_alerts_carry_state_and_reset(spark, scratch):
-    from fabflow.streaming import alerts as AL
     base = datetime(2024, 1, 1)
     temps = [350, 390, 391, 350, 392, 393, 394, 350, 395, 396]
     ts = [base + timedelta(minutes=i) for i in range(8)] + [base + timedelta(hours=6), base + timedelta(hours=6, minutes=1)]
@@ -156,13 +156,13 @@ def test_distributed_alerts_carry_state_and_reset(spark, scratch):
     for i, (a, b) in enumerate([(0, 2), (2, 5), (5, 8), (8, 10)]):
         _write_batch(df.filter(F.col("wafer_id").between(f"W{a:08d}", f"W{b - 1:08d}")), src, i)
         time.sleep(1.1)
-    AL.start_alerts_distributed(spark, src + "/b*", limits, scratch + "/out", scratch + "/ck", min_run=2,
+    AL.start_alerts(spark, src + "/b*", limits, scratch + "/out", scratch + "/ck", min_run=2,
                                 reset_after_seconds=3600, max_files_per_trigger=1).awaitTermination()
     got = sorted((r.wafer_id, r.run_length) for r in spark.read.parquet(scratch + "/out").collect())
     # run 390,391 spans batches 0/1; 392..394 spans 1/2; after 6 h of silence 395,396 restart at 1
     assert got == [("W00000002", 2), ("W00000005", 2), ("W00000006", 3), ("W00000009", 2)]
     state = spark.read.parquet(scratch + "/ck/alert-state")
-    assert state.select("batch_id").distinct().count() == 4
+    assert sorted(r[0] for r in state.select("batch_id").distinct().collect()) == [2, 3]     # older states are removed
 
 
 def test_distributed_ks_matches_spark_ml(spark):
@@ -187,7 +187,6 @@ def test_ks_buckets_stay_balanced_far_from_the_model(spark):
 
 def test_batch_writers_accept_an_empty_micro_batch(spark, scratch):
     from fabflow.sources.files import parse_wire
-    from fabflow.streaming import alerts as AL
     empty = parse_wire(SK.to_wire(frame(spark, [{}], with_date=False).limit(0))
                        .withColumn("_corrupt_record", F.lit(None).cast("string")))
     J.gate_batch_writer(scratch + "/g", scratch + "/q", scratch + "/r")(empty, 0)
@@ -205,3 +204,55 @@ def test_batch_writers_accept_an_empty_micro_batch(spark, scratch):
 def test_delivery_stats_helper():
     assert J.delivery_stats(98, 2) == {"sent": 98, "failed": 2, "success_rate": 98.0}
     assert J.delivery_stats(0, 0)["success_rate"] == 0.0
+
+
+WIRE = ('{"timestamp":"2024-01-01T0%d:00:00","wafer_id":"W%d","equipment_id":"EQ001","temperature_c":350.0,'
+        '"pressure_torr":10.0,"yield_rate":0.9,"defect_count":1,"is_anomaly":false}')
+
+
+def _half_malformed(path, files=5):
+    os.makedirs(path)
+    for i in range(files):
+        with open(f"{path}/{i}.json", "w") as f:
+            f.write(WIRE % (i, i) + "\n" + ("not json" if i % 2 else WIRE.replace("2024-01-01T0%d:00:00", "at %d") % (i, 9)) + "\n")
+
+
+def test_no_stream_drops_malformed_rows(spark, scratch):
+    src = scratch + "/src"
+    _half_malformed(src)
+    limits = spark.createDataFrame([("EQ001", 340.0, 320.0)], "equipment_id string, ucl double, lcl double")
+    starts = {
+        "archive": lambda o, c: J.start_archive(spark, src, o, c),
+        "json": lambda o, c: J.start_json_append(spark, src, o, c),
+        "dedup": lambda o, c: J.start_dedup(spark, src, o, c),
+        "windows": lambda o, c: J.start_window_profile(spark, src, o, c),
+        "alerts": lambda o, c: AL.start_alerts(spark, src, limits, o, c, min_run=1),
+    }
+    for name, start in starts.items():
+        out = f"{scratch}/{name}"
+        start(out, f"{scratch}/ck-{name}").awaitTermination()
+        bad = spark.read.parquet(J.default_quarantine(out))
+        assert bad.count() == 5 and bad.filter("raw = 'not json'").count() == 2, name
+    J.start_gate(spark, src, scratch + "/g", scratch + "/b", scratch + "/r", scratch + "/ck-gate", max_files_per_trigger=None).awaitTermination()
+    assert spark.read.parquet(scratch + "/b-malformed").count() == 5
+    for name in ("archive", "dedup", "alerts"):
+        assert spark.read.parquet(f"{scratch}/{name}").count() == 5
+
+
+def test_counters_outlive_the_retained_progress(spark, scratch):
+    src = scratch + "/src"
+    _half_malformed(src)
+    before = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        J.start_archive(spark, src, scratch + "/o", scratch + "/c", max_files_per_trigger=1, metrics=scratch + "/m").awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", before)
+    rows = J.progress_counters(spark, scratch + "/m").collect()
+    assert len(rows) == 5 and all((r["rows"], r["malformed"]) == (1, 1) for r in rows)
+
+
+def test_lost_offsets_fail_unless_the_caller_says_otherwise():
+    from fabflow.sources.kafka import kafka_source_options
+    assert "failOnDataLoss" not in kafka_source_options("h:1", "t")
+    assert kafka_source_options("h:1", "t", fail_on_data_loss=False)["failOnDataLoss"] == "false"
