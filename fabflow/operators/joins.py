@@ -1,26 +1,25 @@
-"""Joining a large frame with a small per-key table, behind a size check.
+"""Joining a large frame with a small per-key table.
 
-A per-key aggregate (limits, statistics, brackets) has no static size
-estimate, so Spark plans a shuffle join and only adaptive execution turns it
-into a broadcast, after the large side has already been shuffled by a key
-that may have only a handful of values. Here the small side is collected
-with ``limit(max_rows + 1)`` (a bounded action); if it fits, it is
-broadcast from the driver and the large side is never shuffled; if not, the
-ordinary shuffle join (with adaptive skew handling) is used.
+A per-key aggregate (limits, statistics, brackets) has no size estimate before
+it runs, so Spark plans a shuffle join and only adaptive execution turns it
+into a broadcast, after the large side has been shuffled by a key that may
+have only a handful of values. Here the small side is written to the shared
+checkpoint folder and read back: Spark then knows its size in bytes and
+broadcasts it exactly when it is within ``spark.sql.autoBroadcastJoinThreshold``;
+beyond that the ordinary shuffle join with adaptive skew handling runs. The
+aggregate is computed once either way, and no row passes through the driver.
+The write runs when the join is built.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-DEFAULT_MAX_ROWS = 100_000
+from fabflow.session import staging_path
 
 
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "left", max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    """``big.join(small, on, how)``, broadcasting ``small`` when it has at most ``max_rows`` rows."""
-    rows = small.limit(max_rows + 1).collect()
-    if len(rows) <= max_rows:
-        local = big.sparkSession.createDataFrame(rows, small.schema)
-        return big.join(F.broadcast(local), on, how)
-    return big.join(small, on, how)
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "left") -> DataFrame:
+    """``big.join(small, on, how)`` with ``small`` staged, so that its size in bytes decides the join."""
+    path = staging_path(big.sparkSession, "join-side")
+    small.write.mode("overwrite").parquet(path)
+    return big.join(big.sparkSession.read.schema(small.schema).parquet(path), on, how)

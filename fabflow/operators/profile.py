@@ -11,12 +11,14 @@ third of all rows is combined map-side before the shuffle.
 from __future__ import annotations
 
 import itertools
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fabflow import constants as C
 from fabflow.functions.scalar import safe_percentage
+from fabflow.operators import sorting as SR
 
 NUMERIC_TYPES = ("double", "float", "bigint", "int", "smallint", "tinyint")
 FIXED_WIDTH = {"double": 8, "bigint": 8, "timestamp": 8, "timestamp_ntz": 8, "int": 4, "date": 4,
@@ -80,7 +82,7 @@ def anomaly_summary(df: DataFrame, group=None, flag: str = "is_anomaly") -> Data
     )
 
 
-def anomaly_stats(df: DataFrame, group=None, flag: str = "is_anomaly", exact: bool | str = "auto") -> DataFrame:
+def anomaly_stats(df: DataFrame, group=None, flag: str = "is_anomaly", exact: bool | str = "bounded") -> DataFrame:
     """describe() of the four process readings over anomalous rows only."""
     cols = [c for c in C.PROCESS_COLUMNS if c in df.columns]
     return describe_numeric(df.filter(F.col(flag)), cols, group, exact)
@@ -129,28 +131,21 @@ def duplicate_key_profile(df: DataFrame, key: str = "wafer_id", group=None) -> D
 
 
 # AGG-9, 10 ------------------------------------------------------------------
-PERCENTILE_MAX_ROWS = 5_000_000
-
-
-def describe_numeric(df: DataFrame, columns=None, group=None, exact: bool | str = "auto",
-                     accuracy: int = 10000, percentile_max_rows: int = PERCENTILE_MAX_ROWS) -> DataFrame:
+def describe_numeric(df: DataFrame, columns=None, group=None, exact: bool | str = "bounded",
+                     accuracy: int = 10000) -> DataFrame:
     """count, mean, sample std, min, 25/50/75 % (linear interpolation), max per column.
 
     Quartiles (all exact except ``False``):
-    * ``exact="bounded"``: exact quartiles in bounded memory
-      (:func:`fabflow.operators.quantiles.exact_quantiles`, a few aggregate
-      passes), safe for whole-table profiles of continuous readings at scale;
-    * ``exact=True``: Spark's exact ``percentile`` in one pass, whose buffer
-      holds every distinct value of a group (fine for small inputs only);
-    * ``exact="auto"`` (default): one row count (a size check), then ``True``
-      up to ``percentile_max_rows`` rows and ``"bounded"`` beyond; both give
-      identical results;
+    * ``exact="bounded"`` (default, at every size): exact quartiles in bounded
+      memory (:func:`fabflow.operators.quantiles.exact_quantiles`, a few aggregate
+      passes over a deterministic frame);
+    * ``exact=True``: Spark's exact ``percentile`` in one pass with identical
+      results, whose buffer holds every distinct value of a group (for callers
+      who know their input to be small);
     * ``exact=False``: the ``percentile_approx`` sketch (rank error 1/accuracy).
     """
     g = _g(group)
     cols = list(columns) if columns else numeric_columns(df, g)
-    if exact == "auto":
-        exact = True if df.count() <= percentile_max_rows else "bounded"
     if exact == "bounded":
         from fabflow.operators.quantiles import exact_quantiles
         per = {}
@@ -218,12 +213,34 @@ def describe_categorical(df: DataFrame, columns=None, group=None) -> DataFrame:
             .select(*g, "column", "count", "unique", F.col("_b.v").alias("top"), (-F.col("_b.neg")).alias("freq")))
 
 
-def describe_all(df: DataFrame, group=None, exact: bool | str = "auto") -> DataFrame:
-    """describe(include='all'): numeric and categorical statistics in one long table."""
+TIME_TYPES = ("timestamp", "timestamp_ntz", "date")
+
+
+def describe_times(df: DataFrame, columns=None, group=None, exact: bool | str = "bounded") -> DataFrame:
+    """count and mean, min, quartiles and max as timestamps, per timestamp or date column."""
     g = _g(group)
-    num = describe_numeric(df, None, g, exact)
-    cat = describe_categorical(df, None, g)
-    return num.unionByName(cat, allowMissingColumns=True)
+    cols = list(columns) if columns else [c for c, t in df.dtypes if t in TIME_TYPES and c not in g]
+    # microseconds are whole numbers below 2^53, so the numeric statistics are exact to the microsecond
+    micros = df.select(*g, *[F.unix_micros(F.col(c).cast("timestamp")).alias(c) for c in cols])
+    stats = ["mean", "min", "p25", "p50", "p75", "max"]
+    num = describe_numeric(micros, cols, g, exact)
+    at = {s: F.timestamp_micros(F.round(F.col(s)).cast("bigint")).cast("timestamp_ntz").alias(f"{s}_time") for s in stats}
+    return num.select(*g, "column", "count", *at.values())
+
+
+def describe_all(df: DataFrame, group=None, exact: bool | str = "bounded") -> DataFrame:
+    """describe(include='all'): numeric, timestamp and categorical statistics in one long table.
+
+    Timestamps have a mean, range and quartiles (``*_time`` columns), no unique, top and freq.
+    """
+    g = _g(group)
+    parts = [describe_numeric(df, None, g, exact)]
+    times = [c for c, t in df.dtypes if t in TIME_TYPES and c not in g]
+    if times:
+        parts.append(describe_times(df, times, g, exact))
+    if texts := [c for c, t in df.dtypes if t not in NUMERIC_TYPES and c not in g and c not in times]:
+        parts.append(describe_categorical(df, texts, g))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 # AGG-11..14 -----------------------------------------------------------------
@@ -396,44 +413,59 @@ def histogram(df: DataFrame, column: str, bins: int = 50, lo=None, hi=None) -> D
 # ---------------------------------------------------------------------------
 # One entry point per summary type (the profiler menu), whole table or per file.
 # ---------------------------------------------------------------------------
-SUMMARY_TYPES = ("head", "tail", "sample", "dtypes", "info", "describe", "describe_all", "shape", "nulls",
-                 "duplicates", "unique", "value_counts", "anomalies", "corr", "memory")
 
-
-def profile(df: DataFrame, summary_type: str, group=None, order=("timestamp", "wafer_id"), exact="auto") -> DataFrame:
+def profile(df: DataFrame, summary_type: str, group=None, order=("timestamp", "wafer_id"), exact="bounded") -> DataFrame:
     """The named summary as a DataFrame; ``group=["source_file"]`` gives it per file."""
-    from fabflow.operators import sorting as SR
-    g = _g(group)
-    if summary_type == "head":
-        return SR.head_rows(df, 5, order, g or None)
-    if summary_type == "tail":
-        return SR.tail_rows(df, 5, order, g or None)
-    if summary_type == "sample":
-        return SR.sample_rows(df, 5, group=g or None)
-    if summary_type in ("dtypes", "info"):
-        return table_info(df, g)
-    if summary_type == "describe":
-        return describe_numeric(df, None, g, exact)
-    if summary_type == "describe_all":
-        return describe_all(df, g, exact)
-    if summary_type == "shape":
-        return shape(df, g)
-    if summary_type == "nulls":
-        return null_profile(df, g, nulls_only=True)
-    if summary_type == "duplicates":
-        rows = duplicate_row_profile(df, g)
-        if "wafer_id" in df.columns:
-            rows = rows.join(duplicate_key_profile(df, "wafer_id", g), g, "left") if g else \
-                rows.withColumn("duplicate_keys", duplicate_key_profile(df, "wafer_id").scalar())
+    if summary_type not in SUMMARIES:
+        raise ValueError(f"unknown summary type {summary_type!r}; one of {SUMMARY_TYPES}")
+    return SUMMARIES[summary_type](df, _g(group), order, exact)
+
+
+def _duplicates(df: DataFrame, g: list[str]) -> DataFrame:
+    rows = duplicate_row_profile(df, g)
+    if "wafer_id" not in df.columns:
         return rows
-    if summary_type == "unique":
-        return unique_counts(df, g)
-    if summary_type == "value_counts":
-        return value_counts(df, group=g)
-    if summary_type == "anomalies":
-        return anomaly_summary(df, g)
-    if summary_type == "corr":
-        return correlation_matrix(df, None, g)
-    if summary_type == "memory":
-        return column_bytes(df, g)
-    raise ValueError(f"unknown summary type {summary_type!r}; one of {SUMMARY_TYPES}")
+    keys = duplicate_key_profile(df, "wafer_id", g)
+    return rows.join(keys, g, "left") if g else rows.withColumn("duplicate_keys", keys.scalar())
+
+
+def info(df: DataFrame, group=None) -> DataFrame:
+    """Column, type, non-null count and bytes of every column, with the table's total bytes on each row."""
+    g = _g(group)
+    table, total = table_info(df, g), total_bytes(df, g).select(*g, F.col("bytes").alias("total_bytes"))
+    return table.join(total, g, "left") if g else table.withColumn("total_bytes", total.scalar())
+
+
+def anomalies(df: DataFrame, group=None, flag: str = "is_anomaly", exact="bounded") -> DataFrame:
+    """The anomaly summary and the statistics of the anomalous rows in one long table (``part`` tells which).
+
+    Without the flag column there are no anomalies to speak of: the result is empty.
+    """
+    g = _g(group)
+    if flag not in df.columns:
+        empty = df.withColumn(flag, F.lit(False)).limit(0)
+        return anomalies(empty, g, flag, exact).filter(F.lit(False))
+    summary = anomaly_summary(df, g).withColumn("part", F.lit("summary"))
+    stats = anomaly_stats(df, group=g, exact=exact).withColumn("part", F.lit("statistics"))
+    return summary.unionByName(stats, allowMissingColumns=True)
+
+
+#: The names users ask for, each with its operator.
+SUMMARIES = {
+    "head": lambda df, g, order, exact: SR.head_rows(df, 5, order, g or None),
+    "tail": lambda df, g, order, exact: SR.tail_rows(df, 5, order, g or None),
+    "sample": lambda df, g, order, exact: SR.sample_rows(df, 5, group=g or None),
+    "dtypes": lambda df, g, order, exact: table_info(df, g),
+    "info": lambda df, g, order, exact: info(df, g),
+    "describe": lambda df, g, order, exact: describe_numeric(df, None, g, exact),
+    "describe_all": lambda df, g, order, exact: describe_all(df, g, exact),
+    "shape": lambda df, g, order, exact: shape(df, g),
+    "nulls": lambda df, g, order, exact: null_profile(df, g, nulls_only=True),
+    "duplicates": lambda df, g, order, exact: _duplicates(df, g),
+    "unique": lambda df, g, order, exact: unique_counts(df, g),
+    "value_counts": lambda df, g, order, exact: value_counts(df, group=g),
+    "anomalies": lambda df, g, order, exact: anomalies(df, g, exact=exact),
+    "corr": lambda df, g, order, exact: correlation_matrix(df, None, g),
+    "memory": lambda df, g, order, exact: column_bytes(df, g),
+}
+SUMMARY_TYPES = tuple(SUMMARIES)

@@ -68,13 +68,8 @@ def sort_by_size(df: DataFrame, measure: str) -> DataFrame:
     return df.orderBy(F.desc(measure))
 
 
-TAKE_ORDERED_MAX_ROWS = 100_000
-TAKE_ORDERED_MERGE_ROWS = 50_000_000
-
-
 def exact_sample(df: DataFrame, rate: float, key: str = "wafer_id", seed: int = 42,
-                 bucket_bits: int = 20, copies_per_chunk: int = 1_000_000,
-                 take_ordered_max: int = TAKE_ORDERED_MAX_ROWS) -> DataFrame:
+                 bucket_bits: int = 20, copies_per_chunk: int = 1_000_000, take_ordered: bool = False) -> DataFrame:
     """Exactly ``floor(rows * rate)`` rows without replacement, chosen by seeded hash order.
 
     Order: md5 of ``seed:key``, then the key, then a hash of the whole row.
@@ -84,18 +79,16 @@ def exact_sample(df: DataFrame, rate: float, key: str = "wafer_id", seed: int =
     are collapsed to one group with a copy count before ranking, so a key
     holding a third of all rows is one ranked group, not a third of the data
     in one task; a partially taken group is regenerated in chunks spread over
-    tasks. No global sort. When the sample size (one row count) is at most
-    ``take_ordered_max`` rows and k x input partitions stays under
-    ``TAKE_ORDERED_MERGE_ROWS`` (what the final merge task reads), a bounded
-    take-ordered (``orderBy().limit(k)``, at most k rows held per task) gives
-    the same rows with fewer jobs.
+    tasks. No global sort; the same path at every size. A caller who knows the
+    sample to be small may ask for ``take_ordered``: ``orderBy().limit(k)`` gives
+    the same rows with fewer jobs, and one task merges k rows per input partition.
+    The row count and the boundary bucket are found when the sample is built.
     """
     from fabflow.operators.joins import join_small
     cols = df.columns
     n = df.count()                                   # size check: one number
     k_rows = math.floor(n * float(rate))
-    # take-ordered merges (input partitions x k) rows in one final task; bound that too
-    if k_rows <= take_ordered_max and k_rows * df.rdd.getNumPartitions() <= TAKE_ORDERED_MERGE_ROWS:
+    if take_ordered or k_rows == 0:
         return (df.withColumn("_h", sample_key(key, seed))
                 .withColumn("_rh", F.xxhash64(*[F.col(c) for c in cols]))
                 .orderBy("_h", key, "_rh").limit(k_rows).select(*cols))
@@ -109,8 +102,8 @@ def exact_sample(df: DataFrame, rate: float, key: str = "wafer_id", seed: int =
     cum = counts.withColumn("_cum", F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)))
     boundary = cum.filter((F.col("_cum") >= k) & (F.col("_cum") - F.col("_n") < k)).select(
         F.col("_b").alias("bb"), (k - (F.col("_cum") - F.col("_n"))).alias("need"))
-    one = boundary.select(F.struct("bb", "need")).scalar()
-    bb, need = one["bb"], one["need"]
+    one = boundary.first()                           # two numbers
+    bb, need = F.lit(one["bb"]), F.lit(one["need"])
 
     below = tagged.filter(F.col("_b") < bb).select(*cols)
     edge = tagged.filter(F.col("_b") == bb)

@@ -157,32 +157,42 @@ def detector_quality(target: DataFrame, baseline: DataFrame, column: str, truth:
                  F.try_divide(tp.cast("double"), (tp + fn).cast("double")).alias("recall"))
 
 
+#: Terms of the Poisson tail that are summed; beyond the mean they fall at least geometrically.
+TAIL_TERMS = 400
+
+
 def poisson_chi_square(df: DataFrame, column: str = "defect_count", lam: float | None = None,
                        max_k: int = 20) -> DataFrame:
     """Chi-square statistic of observed counts against a Poisson pmf.
 
-    Counts 0..max_k-1 get their own cell; the last cell is ``>= max_k``.
-    ``lam`` defaults to the sample mean. Output: statistic, degrees of freedom, cells.
+    Counts 0..max_k-1 get their own cell; the last cell is ``>= max_k``, for any
+    ``max_k``. ``lam`` defaults to the sample mean, which costs one more degree of
+    freedom: cells - 2 when it is fitted, cells - 1 when it is given. Nulls are
+    left out; a negative count raises. Output: statistic, degrees of freedom, cells.
     """
+    from pyspark.sql import Window
     v = F.col(column)
     st = df.agg(F.struct(F.count(v).alias("n"), F.avg(v.cast("double")).alias("m"))).scalar()
     total = st["n"]
     lam_c = F.lit(float(lam)) if lam is not None else st["m"]
-    cell = F.least(v, F.lit(max_k)).cast("int")
-    obs = df.filter(v.isNotNull()).groupBy(cell.alias("k")).agg(F.count(F.lit(1)).alias("observed"))
-    cells = df.sparkSession.range(max_k + 1).select(F.col("id").cast("int").alias("k"))
-    pmf = F.exp(-lam_c + F.col("k") * F.log(lam_c) - F.log(F.factorial(F.col("k"))))
-    joined = (F.broadcast(cells).join(obs, "k", "left")
-              .withColumn("observed", F.coalesce("observed", F.lit(0)))
-              .withColumn("p", pmf))
-    # last cell: 1 - P(k < max_k)
-    from pyspark.sql import Window
-    head_p = F.sum(F.when(F.col("k") < max_k, F.col("p"))).over(Window.partitionBy())
-    joined = joined.withColumn("p", F.when(F.col("k") == max_k, F.lit(1.0) - head_p).otherwise(F.col("p")))
+    whole = F.when(v < 0, F.raise_error(F.lit(f"negative count in {column}"))).otherwise(F.least(v, F.lit(max_k)))
+    obs = df.filter(v.isNotNull()).groupBy(whole.cast("int").alias("k")).agg(F.count(F.lit(1)).alias("observed"))
+    cells = df.sparkSession.range(max_k + 1 + TAIL_TERMS).select(F.col("id").cast("int").alias("k"))
+    # ln k! as a running sum over the cells (a few hundred rows); a mean of zero puts everything in cell 0
+    ln_factorial = F.sum(F.log(F.greatest(F.col("k"), F.lit(1)).cast("double"))).over(Window.orderBy("k"))
+    pmf = F.when(lam_c > 0, F.exp(-lam_c + F.col("k") * F.log(lam_c) - ln_factorial)).otherwise((F.col("k") == 0).cast("double"))
+    # last cell: 1 - P(k < max_k), or the sum of the tail itself where that difference would cancel
+    every = Window.partitionBy()
+    head = F.coalesce(F.sum(F.when(F.col("k") < max_k, F.col("p"))).over(every), F.lit(0.0))
+    tail = F.sum(F.when(F.col("k") >= max_k, F.col("p"))).over(every)
+    last = F.when(head < 0.5, F.lit(1.0) - head).otherwise(tail)
+    pmfs = (cells.withColumn("p", pmf).withColumn("p", F.when(F.col("k") == max_k, last).otherwise(F.col("p")))
+            .filter(F.col("k") <= max_k))
+    joined = F.broadcast(pmfs).join(obs, "k", "left").withColumn("observed", F.coalesce("observed", F.lit(0)))
     exp_ = F.col("p") * total
     return joined.agg(F.sum(F.when(exp_ > 0, (F.col("observed") - exp_) ** 2 / exp_).otherwise(F.lit(0.0)))
                       .alias("chi_square"),
-                      (F.count(F.lit(1)) - 2).alias("degrees_of_freedom"),
+                      (F.count(F.lit(1)) - (2 if lam is None else 1)).alias("degrees_of_freedom"),
                       F.count(F.lit(1)).alias("cells"))
 
 

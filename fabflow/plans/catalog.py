@@ -441,6 +441,7 @@ def q_agg_describe_lineitem(spark, d):
     return rounded(P.describe_numeric(read_table(spark, d, "lineitem")))
 
 
+_TIME_STATS = ("mean", "min", "p25", "p50", "p75", "max")
 _CAT = ["timestamp", "wafer_id", "equipment_id", "is_anomaly"]
 
 
@@ -455,12 +456,34 @@ GROUP BY col"""
 
 @register("agg_describe_all", sql(f"""
 SELECT "column", count, NULL::BIGINT AS "unique", NULL::VARCHAR AS top, NULL::BIGINT AS freq,
-       mean, std, min, p25, p50, p75, max FROM ({_describe_sql('telemetry_raw', _PROC)}) n
+       mean, std, min, p25, p50, p75, max, {", ".join(f"NULL::TIMESTAMP AS {s}_time" for s in _TIME_STATS)}
+FROM ({_describe_sql('telemetry_raw', _PROC)}) n
 UNION ALL
-SELECT "column", count, "unique", top, freq, NULL, NULL, NULL, NULL, NULL, NULL, NULL
-FROM ({_categorical_sql('telemetry_raw', _CAT)}) c""", round_cols=_DESC_ROUND))
+SELECT "column", count, "unique", top, freq, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
+FROM ({_categorical_sql('telemetry_raw', [c for c in _CAT if c != 'timestamp'])}) c
+UNION ALL
+SELECT 'timestamp', count(timestamp), NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+       {", ".join(f"date_trunc('second', make_timestamp(CAST(round({e}) AS BIGINT)))" for e in (
+           "avg(us)", "min(us)", "quantile_cont(us, 0.25)", "quantile_cont(us, 0.5)", "quantile_cont(us, 0.75)", "max(us)"))}
+FROM (SELECT timestamp, CAST(epoch_us(timestamp) AS DOUBLE) AS us FROM telemetry_raw) t""", round_cols=_DESC_ROUND))
 def q_agg_describe_all(spark, d):
-    return rounded(P.describe_all(_raw(spark, d)))
+    # timestamps to the second: a mean of 10^15 microseconds in doubles is not exact to the last one
+    out = P.describe_all(_raw(spark, d))
+    return rounded(out.withColumns({f"{s}_time": F.date_trunc("second", f"{s}_time").cast("timestamp_ntz") for s in _TIME_STATS}))
+
+
+@register("agg_anomalies_menu", sql(f"""
+SELECT 'summary' AS part, count(*) FILTER (WHERE is_anomaly) AS anomaly_count,
+       coalesce(CAST(count(*) FILTER (WHERE is_anomaly) AS DOUBLE) / CAST(count(*) AS DOUBLE) * 100e0, 0e0) AS anomaly_rate_pct,
+       count(*) FILTER (WHERE NOT is_anomaly) AS normal_count, NULL::VARCHAR AS "column", NULL::BIGINT AS count,
+       NULL::DOUBLE AS mean, NULL::DOUBLE AS std, NULL::DOUBLE AS min, NULL::DOUBLE AS p25, NULL::DOUBLE AS p50, NULL::DOUBLE AS p75, NULL::DOUBLE AS max
+FROM telemetry_raw
+UNION ALL
+SELECT 'statistics', NULL, NULL, NULL, "column", count, mean, std, min, p25, p50, p75, max
+FROM ({_describe_sql('(SELECT * FROM telemetry_raw WHERE is_anomaly)', list(C.PROCESS_COLUMNS))}) s""",
+    round_cols=_DESC_ROUND + ("anomaly_rate_pct",)))
+def q_agg_anomalies_menu(spark, d):
+    return rounded(P.profile(_raw(spark, d), "anomalies"))
 
 
 @register("agg_shape", sql(f"""
@@ -470,9 +493,12 @@ def q_agg_shape(spark, d):
     return P.shape(_raw(spark, d))
 
 
-@register("agg_table_info", sql("\nUNION ALL\n".join(
+_INFO_SQL = "\nUNION ALL\n".join(
     f"SELECT '{c}' AS \"column\", count({c}) AS non_null_count, '{t}' AS dtype FROM telemetry_raw"
-    for c, t in _RAW_TYPES.items())))
+    for c, t in _RAW_TYPES.items())
+
+
+@register("agg_table_info", sql(_INFO_SQL))
 def q_agg_table_info(spark, d):
     return P.table_info(_raw(spark, d))
 
@@ -509,6 +535,12 @@ def _bytes_sql():
     return "SELECT *, round(bytes / (1024e0 * 1024e0), 2) AS megabytes FROM (" + "\nUNION ALL\n".join(parts) + ") b"
 
 
+@register("agg_info_menu", sql(
+    "SELECT i.*, (SELECT CAST(sum(bytes) AS BIGINT) FROM (" + _bytes_sql() + ") t) AS total_bytes FROM (" + _INFO_SQL + ") i"))
+def q_agg_info_menu(spark, d):
+    return P.profile(_raw(spark, d), "info")
+
+
 @register("agg_column_bytes", sql(_bytes_sql()))
 def q_agg_column_bytes(spark, d):
     return P.column_bytes(_raw(spark, d))
@@ -790,22 +822,36 @@ def q_spc_expected_vs_actual(spark, d):
     return rounded(SPC.expected_vs_actual(_telemetry(spark, d)))
 
 
-@register("spc_poisson_chi_square", sql("""
+def _poisson_oracle(max_k: int, lam: str, lost: int) -> str:
+    pmf = "exp(-lam + {k} * ln(lam) - lgamma({k} + 1))"
+    return sql(f"""
 SELECT sum(CASE WHEN e > 0 THEN (o - e) * (o - e) / e ELSE 0e0 END) AS chi_square,
-       count(*) - 2 AS degrees_of_freedom, count(*) AS cells
+       count(*) - {lost} AS degrees_of_freedom, count(*) AS cells
 FROM (SELECT c.k, CAST(coalesce(ob.n, 0) AS DOUBLE) AS o,
-             (CASE WHEN c.k = 20 THEN 1e0 - (SELECT sum(exp(-lam + k2 * ln(lam) - ln(CAST(factorial(CAST(k2 AS INTEGER)) AS DOUBLE))))
-                                               FROM range(20) r2(k2), stats)
-                   ELSE exp(-lam + c.k * ln(lam) - ln(CAST(factorial(CAST(c.k AS INTEGER)) AS DOUBLE))) END) * total AS e
-      FROM (SELECT i AS k FROM range(21) r(i)) c CROSS JOIN stats
-      LEFT JOIN (SELECT least(defect_count, 20) AS k, count(*) AS n FROM telemetry
+             (CASE WHEN c.k = {max_k} AND head < 0.5e0 THEN 1e0 - head
+                   WHEN c.k = {max_k} THEN (SELECT sum({pmf.format(k="k2")}) FROM range({max_k}, {max_k + 401}) r2(k2), stats)
+                   ELSE {pmf.format(k="c.k")} END) * total AS e
+      FROM (SELECT i AS k FROM range({max_k + 1}) r(i)) c CROSS JOIN stats
+      CROSS JOIN (SELECT sum({pmf.format(k="k2")}) AS head FROM range({max_k}) r2(k2), stats) hd
+      LEFT JOIN (SELECT least(defect_count, {max_k}) AS k, count(*) AS n FROM telemetry
                  WHERE defect_count IS NOT NULL GROUP BY 1) ob ON ob.k = c.k) x""",
-          {"stats": "SELECT avg(CAST(defect_count AS DOUBLE)) AS lam, count(defect_count) AS total FROM telemetry"},
-          round_cols=("chi_square",)))
+               {"stats": f"SELECT {lam} AS lam, count(defect_count) AS total FROM telemetry"}, round_cols=("chi_square",))
+
+
+_FITTED = "avg(CAST(defect_count AS DOUBLE))"
+
+
+@register("spc_poisson_chi_square", _poisson_oracle(20, _FITTED, 2))
 def q_spc_poisson_chi_square(spark, d):
     return rounded(SPC.poisson_chi_square(_telemetry(spark, d)))
 
 
+@register("spc_poisson_chi_square_given", _poisson_oracle(12, "4.5e0", 1))
+def q_spc_poisson_chi_square_given(spark, d):
+    # a given mean is not fitted: one degree of freedom more
+    return rounded(SPC.poisson_chi_square(_telemetry(spark, d), lam=4.5, max_k=12))
+
+
 @register("spc_normal_ks_test")
 def q_spc_normal_ks_test(spark, d):
     # Statistic from Spark ML's distributed one-sample test: rows-only check.

@@ -56,7 +56,7 @@ OPS = {
     "rolling": lambda d: W.rolling_mean(d, "temperature_c"),
     "trend": lambda d: W.daily_defect_trend(d),
     "share": lambda d: W.share_of_total(d, "equipment_id"),
-    "sample": lambda d: SR.exact_sample(d, 0.5, take_ordered_max=0),
+    "sample": lambda d: SR.exact_sample(d, 0.5),
     "silver": lambda d: M.silver(d),
 }
 

@@ -92,9 +92,9 @@ def test_exact_sample_size_and_stability(spark):
     t = telemetry_raw(spark, SF_SMALL).dropDuplicates(["wafer_id"])
     n = t.count()
     for rate in (0.01, 0.1, 0.5):
-        s = SR.exact_sample(t, rate)
+        s = SR.exact_sample(t, rate, take_ordered=True)
         assert s.count() == math.floor(n * rate)
-        b = SR.exact_sample(t, rate, take_ordered_max=0)          # bucketed path: same rows
+        b = SR.exact_sample(t, rate)          # bucketed path: same rows
         assert sorted(map(tuple, b.collect())) == sorted(map(tuple, s.collect()))
     a = {r.wafer_id for r in SR.exact_sample(t, 0.1).collect()}
     b = {r.wafer_id for r in SR.exact_sample(t.repartition(7), 0.1).collect()}
@@ -148,8 +148,36 @@ def test_exact_sample_with_a_hot_key(spark):
     rows = [{"wafer_id": "HOT"}] * 600 + [{"wafer_id": f"W{i:05d}"} for i in range(1200)]
     df = frame(spark, rows, with_date=False)
     for rate in (0.05, 0.3, 0.5, 0.9):
-        s = SR.exact_sample(df, rate, bucket_bits=2, copies_per_chunk=7, take_ordered_max=0)
+        s = SR.exact_sample(df, rate, bucket_bits=2, copies_per_chunk=7)
         assert s.count() == math.floor(1800 * rate)
         real = {tuple(r) for r in df.collect()}
         assert all(tuple(r) in real for r in s.collect())            # only real rows
         assert s.groupBy("wafer_id").count().filter("wafer_id != 'HOT' and count > 1").count() == 0
+
+
+def test_poisson_cells_above_twenty_keep_their_mass(spark):
+    import math
+    from fabflow.operators import spc as SPC
+    counts = [24 + i % 9 for i in range(900)] + [None]
+    df = spark.createDataFrame([(c,) for c in counts], "defect_count long")
+    lam, top = 28.0, 40
+    p = [math.exp(-lam + k * math.log(lam) - math.lgamma(k + 1)) for k in range(top)]
+    p.append(1 - sum(p))
+    seen = [sum(min(c, top) == k for c in counts if c is not None) for k in range(top + 1)]
+    want = sum((o - 900 * q) ** 2 / (900 * q) for o, q in zip(seen, p))
+    got = SPC.poisson_chi_square(df, lam=lam, max_k=top).first()
+    assert abs(got.chi_square - want) < 1e-6 * want and got.degrees_of_freedom == 40
+    assert SPC.poisson_chi_square(df, max_k=top).first().degrees_of_freedom == 39
+    with pytest.raises(Exception, match="negative count"):
+        SPC.poisson_chi_square(spark.createDataFrame([(-1,), (2,)], "defect_count long")).collect()
+
+
+def test_menu_anomalies_and_info(spark):
+    t = telemetry_raw(spark, SF_SMALL)
+    got = P.profile(t, "anomalies").collect()
+    assert [r["part"] for r in got].count("summary") == 1 and sum(r["part"] == "statistics" for r in got) == 4
+    assert P.profile(t.drop("is_anomaly"), "anomalies").count() == 0
+    info = P.profile(t, "info").collect()
+    assert {r["total_bytes"] for r in info} == {P.total_bytes(t).first()["bytes"]}
+    times = {r["column"]: r for r in P.describe_all(t).collect()}["timestamp"]
+    assert times["min_time"] <= times["p25_time"] <= times["p50_time"] <= times["max_time"] and times["top"] is None

@@ -87,6 +87,6 @@ def test_distributed_alerts_equal_gaps_and_islands(spark, rows, min_run, reset):
 def test_bucketed_sample_equals_sorted_limit(spark, rows, rate, bits):
     from fabflow.operators import sorting as SR
     df = spark.createDataFrame([(f"K{k}", float(v)) for k, v in rows], "wafer_id string, v double")
-    got = SR.exact_sample(df, rate, bucket_bits=bits, copies_per_chunk=2, take_ordered_max=0)
-    ref = SR.exact_sample(df, rate)                      # take-ordered path: sort by the same key and limit
+    got = SR.exact_sample(df, rate, bucket_bits=bits, copies_per_chunk=2)
+    ref = SR.exact_sample(df, rate, take_ordered=True)                      # take-ordered path: sort by the same key and limit
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, ref.collect()))

@@ -120,13 +120,17 @@ def test_join_small_broadcasts_within_the_check_and_shuffles_beyond(spark):
     from fabflow.operators.joins import join_small
     t = telemetry_raw(spark, SF_SMALL)
     small = t.groupBy("equipment_id").agg(F.avg("temperature_c").alias("m"))
-    j = join_small(t, small, "equipment_id", "left", max_rows=10)
+    j = join_small(t, small, "equipment_id", "left")
     plan = j._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and j.count() == t.count()
     big = t.groupBy("wafer_id").agg(F.max("timestamp").alias("m"))
-    k = join_small(t, big, "wafer_id", "left", max_rows=10)       # beyond the check: ordinary join
-    assert k.count() == t.count()
-    assert "LocalTableScan" not in k._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000")
+    try:
+        k = join_small(t, big, "wafer_id", "left")                # beyond the threshold in bytes: ordinary join
+        assert "BroadcastHashJoin" not in k._jdf.queryExecution().executedPlan().toString()
+        assert k.count() == t.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_upsert_with_lookback_prunes_but_finds_recent_moves(spark, scratch):
