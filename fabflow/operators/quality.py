@@ -4,8 +4,9 @@ A rule set is a list of :class:`Rule`. :func:`validation_report` turns every
 row-level rule into aggregate expressions, evaluates *all* of them in one
 global ``agg`` (one scan, one row per map task shuffled), and reshapes the
 single result row into one report row per rule with ``inline``. The exact
-distinct count of a uniqueness rule is a separate key-only subquery, so its
-shuffle carries keys only. Schema
+distinct count of a uniqueness rule is a separate key-only subquery: a second
+read of the input that shuffles keys only. A rule that cannot be evaluated on
+the columns as they are is a failed critical row, never a failed report. Schema
 rules and rules that reference missing columns are resolved from metadata and
 never start a job.
 
@@ -21,7 +22,9 @@ Two semantics are supported (see ``null_policy``):
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -165,6 +168,27 @@ def _numeric_bound(v):
     return None if v is None or isinstance(v, str) else float(v)
 
 
+def _check_bounds(rule: Rule, kind: str) -> None:
+    """Raise ValueError where a bound can never be compared with a column of this type."""
+    for bound in (rule.lo, rule.hi):
+        if bound is None or (kind == "string" and isinstance(bound, str)):
+            continue
+        if kind == "boolean":
+            raise ValueError(f"{rule.column} is boolean and has no order to bound")
+        if kind.startswith("timestamp") or kind == "date":
+            if isinstance(bound, str):
+                datetime.fromisoformat(bound)
+        elif isinstance(bound, str):
+            float(bound)
+
+
+def _outside(c: Column, lo, hi) -> Column:
+    """Value below or above the bounds that are given; null for a null value."""
+    below = F.lit(False) if lo is None else c < lo
+    above = F.lit(False) if hi is None else c > hi
+    return F.when(c.isNotNull(), below | above)
+
+
 class _Compiler:
     def __init__(self, df: DataFrame):
         self.df = df
@@ -198,6 +222,20 @@ class _Compiler:
             self._total = self.agg(F.count(F.lit(1)))
         return self._total
 
+    def attempt(self, rule: Rule) -> Column | None:
+        """``compile``, with whatever cannot be evaluated on these columns as a failed critical row."""
+        before, n = list(self.aggs), self._n
+        try:
+            row = self.compile(rule)
+            new = self.aggs[len(before):]
+            if new:
+                self.df.agg(*new).schema                        # analysis only, no job
+            return row
+        except (AnalysisException, TypeError, ValueError) as e:
+            self.aggs, self._n = before, n
+            reason = str(e).split("\n")[0][:200]
+            return _row(rule, success=False, critical=True, error=reason)
+
     def compile(self, rule: Rule) -> Column | None:
         ignore = rule.null_policy == "ignore"
         if rule.kind == "schema_superset":
@@ -213,6 +251,22 @@ class _Compiler:
             return _row(rule, success=False, critical=True if ignore else rule.critical,
                         error=f"column {rule.column!r} not found")
         c = F.col(rule.column)
+        kind = self.types[rule.column]
+        bounds = [b for b in (rule.lo, rule.hi) if b is not None]
+        if rule.kind in ("range", "mean", "max") and kind == "string" and not any(isinstance(b, str) for b in bounds):
+            # numbers kept as text: judged as numbers, an error where some text is none
+            number = c.try_cast("double")
+            wrong = self.agg(F.count_if(c.isNotNull() & number.isNull()))
+            failed = _row(rule, success=False, critical=True,
+                          error=F.concat(wrong.cast("string"), F.lit(f" values of {rule.column} are no numbers")))
+            return F.when(wrong > 0, failed).otherwise(self.evaluate(rule, number, "double"))
+        return self.evaluate(rule, c, kind)
+
+    def evaluate(self, rule: Rule, c: Column, kind: str) -> Column:
+        """The report row of a rule over one column expression of type ``kind``."""
+        ignore = rule.null_policy == "ignore"
+        if rule.kind in ("range", "mean", "max"):
+            _check_bounds(rule, kind)
         if rule.kind == "unique":
             distinct = self.distinct_count(c)
             base = self.agg(F.count(c)) if ignore else self.total()
@@ -221,12 +275,17 @@ class _Compiler:
             nulls = self.agg(F.count_if(c.isNull()))
             return _row(rule, success=nulls == 0, element_count=self.total(), unexpected=nulls)
         if rule.kind == "in_set":
-            bad = self.agg(F.count_if(~c.isin(list(rule.values))))
+            values = list(rule.values)
+            if kind == "string" and not all(isinstance(v, str) for v in values):
+                number = c.try_cast("double")     # text that is no number is not in a set of numbers
+                bad = self.agg(F.count_if(c.isNotNull() & ~F.coalesce(number.isin(values), F.lit(False))))
+            else:
+                bad = self.agg(F.count_if(~c.isin(values)))
             base = self.agg(F.count(c)) if ignore else self.total()
             return _row(rule, success=bad == 0, element_count=base, unexpected=bad,
                         details="valid=" + _lit_list(rule.values))
         if rule.kind == "range":
-            out = self.agg(F.count_if((c < F.lit(rule.lo)) | (c > F.lit(rule.hi))))
+            out = self.agg(F.count_if(_outside(c, rule.lo, rule.hi)))
             if ignore:
                 base = self.agg(F.count(c))
                 rate = F.when(base > 0, (base - out) / base)
@@ -240,22 +299,21 @@ class _Compiler:
                         details=f"tolerance={rule.tolerance}")
         if rule.kind == "mean":
             m = self.agg(F.avg(c.cast("double")))
-            ok = F.coalesce(m.between(F.lit(rule.lo), F.lit(rule.hi)), F.lit(False))
+            ok = F.coalesce(~_outside(m, rule.lo, rule.hi), F.lit(False))
             return _row(rule, success=ok, element_count=self.agg(F.count(c)), observed=m,
-                        expected_min=float(rule.lo), expected_max=float(rule.hi))
+                        expected_min=_numeric_bound(rule.lo), expected_max=_numeric_bound(rule.hi))
         if rule.kind == "max":
-            t = self.types[rule.column]
-            if t.startswith("timestamp") or t == "date":
+            if kind.startswith("timestamp") or kind == "date":
                 mx = self.agg(F.max(c.cast("timestamp")))
-                lo, hi = F.to_timestamp(F.lit(rule.lo)), F.to_timestamp(F.lit(rule.hi))
+                lo, hi = (None if v is None else F.to_timestamp(F.lit(v)) for v in (rule.lo, rule.hi))
                 observed = F.unix_micros(mx) / F.lit(1e6)
                 bmin = bmax = None
-                details = f"between={rule.lo}..{rule.hi}"
+                details = "between=" + "..".join("" if v is None else str(v) for v in (rule.lo, rule.hi))
             else:
                 mx = self.agg(F.max(c.cast("double")))
-                lo, hi = F.lit(float(rule.lo)), F.lit(float(rule.hi))
-                observed, bmin, bmax, details = mx, float(rule.lo), float(rule.hi), None
-            ok = F.coalesce(mx.between(lo, hi), F.lit(False))
+                lo, hi = _numeric_bound(rule.lo), _numeric_bound(rule.hi)
+                observed, bmin, bmax, details = mx, lo, hi, None
+            ok = F.coalesce(~_outside(mx, lo, hi), F.lit(False))
             return _row(rule, success=ok, element_count=self.agg(F.count(c)), observed=observed,
                         expected_min=bmin, expected_max=bmax, details=details)
         raise ValueError(f"unknown rule kind {rule.kind!r}")
@@ -267,7 +325,7 @@ def validation_report(df: DataFrame, rules: list[Rule] | str = "native", layer:
         rules = rule_set(rules, layer)
     comp = _Compiler(df)
     comp.total()
-    rows = [r for r in (comp.compile(rule) for rule in rules) if r is not None]
+    rows = [r for r in (comp.attempt(rule) for rule in rules) if r is not None]
     one = df.agg(*comp.aggs)
     if comp.post:
         one = one.withColumns(comp.post)

@@ -20,18 +20,36 @@ def _bucket(ts: str, bucket_seconds: int):
     return F.floor(_micros(ts) / F.lit(bucket_seconds * 1_000_000)).cast("long")
 
 
-def auto_bucket_width(df: DataFrame, key: str, ts: str, target_rows: int = 1_000_000):
-    """One bucket width (microseconds, a scalar subquery) sized for the busiest key.
+#: Time quantiles kept per key: 32 coarse steps of 32 fine ones.
+COARSE, FINE = 32, 32
 
-    Per key: span / (rows / target_rows); the minimum over keys is used, so the
-    key with a third of all rows gets about ``target_rows`` rows per bucket and
-    quieter keys get smaller buckets. One small aggregate, no join.
+
+def row_count_buckets(df: DataFrame, key: str, ts: str, target_rows: int = 1_000_000, out: str = "_bk") -> DataFrame:
+    """``df`` with a bucket number per key that rises with time and holds about ``target_rows`` rows.
+
+    Split points are the key's own time quantiles (a sketch, one aggregate), as many as its row
+    count asks for up to 1,024 buckets, so a burst of rows in one hour is cut as finely as a quiet
+    year; only rows of one and the same microsecond cannot be parted. Rows without a timestamp sort
+    first and have the lowest bucket, -1.
     """
-    st = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min(_micros(ts)).alias("_t0"),
-                             F.max(_micros(ts)).alias("_t1"))
-    buckets = F.greatest(F.lit(1.0), F.col("_n") / F.lit(float(target_rows)))
-    width = F.greatest(F.lit(1_000_000.0), F.ceil((F.col("_t1") - F.col("_t0") + 1) / buckets))
-    return st.agg(F.min(width).cast("long")).scalar()
+    from fabflow.operators.joins import join_small
+    steps = COARSE * FINE
+    probs = [i / steps for i in range(1, steps)]
+    n = F.count(F.lit(1))
+    st = df.groupBy(key).agg(F.least(F.lit(steps), F.ceil(n / F.lit(float(target_rows)))).cast("int").alias("_need"),
+                             F.percentile_approx(_micros(ts), probs, 50_000).alias("_q"))
+    # every (1024 / need)-th quantile is a split point, the last of a few equal ones closes the bucket
+    wanted = F.transform(F.sequence(F.lit(1), F.col("_need") - 1),
+                         lambda i: F.element_at("_q", F.greatest(F.lit(1), F.floor(i * F.lit(steps) / F.col("_need")).cast("int"))))
+    splits = F.when((F.col("_need") > 1) & F.col("_q").isNotNull(), F.array_distinct(wanted)).otherwise(F.array().cast("array<bigint>"))
+    st = st.select(F.col(key).alias("_key"), splits.alias("_splits")).withColumn(
+        "_coarse", F.filter("_splits", lambda x, i: (i + 1) % FINE == 0))
+    tagged = join_small(df.withColumn("_key", F.col(key)).withColumn("_us", _micros(ts)), st, "_key", "left")
+    block = F.size(F.filter("_coarse", lambda x: x <= F.col("_us"))) * FINE
+    inside = F.size(F.filter(F.slice("_splits", F.col("_block") + 1, FINE), lambda x: x <= F.col("_us")))
+    bucket = F.when(F.col("_us").isNull(), F.lit(-1)).otherwise(F.coalesce(F.col("_block") + F.col("_inside"), F.lit(0)))
+    return (tagged.withColumn("_block", block).withColumn("_inside", inside)
+            .withColumn(out, bucket.cast("long")).drop("_key", "_us", "_splits", "_coarse", "_block", "_inside"))
 
 
 def rolling_mean(df: DataFrame, column, key: str = "equipment_id", order=("timestamp", "wafer_id"),
@@ -44,9 +62,10 @@ def rolling_mean(df: DataFrame, column, key: str = "equipment_id", order=("times
 
     Exact for any bucket width: a bucket's halo is the latest ``rows-1`` rows
     before it, found among the per-bucket tails (each tail row is copied to at
-    most ``rows-1`` later buckets). ``bucket_seconds="auto"`` sizes buckets per
-    key from its row count and time span (about ``target_rows_per_bucket``
-    rows each), so neither a hot key nor a short backfill makes one huge task.
+    most ``rows-1`` later buckets). ``bucket_seconds="auto"`` cuts each key at its
+    own time quantiles into buckets of about ``target_rows_per_bucket`` rows, so
+    neither a hot key nor a burst makes one huge task. Rows without a timestamp
+    come first, as in the plain window.
     """
     o = list(order)
     cols = [column] if isinstance(column, str) else list(column)
@@ -55,10 +74,10 @@ def rolling_mean(df: DataFrame, column, key: str = "equipment_id", order=("times
     if rows <= 1:
         return df.withColumns({n: F.col(c).cast("double") for c, n in zip(cols, outs)})
     if bucket_seconds == "auto":
-        width = auto_bucket_width(df, key, ts, target_rows_per_bucket)
-        tagged = df.withColumn("_bk", F.floor(_micros(ts) / width).cast("long"))
+        tagged = row_count_buckets(df, key, ts, target_rows_per_bucket).select(*df.columns, "_bk")
     else:
-        tagged = df.withColumn("_bk", _bucket(ts, int(bucket_seconds)))
+        # no timestamp: below every real bucket
+        tagged = df.withColumn("_bk", F.coalesce(_bucket(ts, int(bucket_seconds)), F.lit(-(1 << 62))))
     # last rows-1 rows of every (key, bucket)
     desc = Window.partitionBy(key, "_bk").orderBy(*[F.col(c).desc() for c in o])
     tails = (tagged.select(key, "_bk", *o, *cols)

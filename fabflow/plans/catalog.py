@@ -1069,3 +1069,64 @@ SELECT statistic, n, least(greatest({_KS_SERIES}, 0e0), 1e0) AS p_value FROM (
                                round_cols=("statistic", "p_value")))
 def q_spc_ks_normal(spark, d):
     return rounded(SPC.ks_normal(_telemetry(spark, d), "temperature_c"))
+
+
+@register("win_rolling_mean_burst", sql("""
+SELECT *, avg(temperature_c) OVER (PARTITION BY equipment_id ORDER BY timestamp NULLS FIRST, wafer_id
+                                   ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS temperature_c_rolling_mean
+FROM (SELECT * REPLACE (CASE WHEN CAST(substr(wafer_id, 2) AS BIGINT) % 10 = 0 THEN NULL
+                             WHEN CAST(substr(wafer_id, 2) AS BIGINT) % 10 < 9 THEN date_trunc('day', timestamp) ELSE timestamp END AS timestamp)
+      FROM telemetry) t""", round_cols=_READINGS + ("temperature_c_rolling_mean",)))
+def q_win_rolling_mean_burst(spark, d):
+    # most readings of a day on its first instant, every tenth without a time
+    n = F.substring("wafer_id", 2, 1 << 20).cast("bigint") % 10
+    t = _telemetry(spark, d).withColumn("timestamp", F.when(n == 0, F.lit(None)).when(n < 9, F.date_trunc("day", "timestamp").cast("timestamp_ntz"))
+                                        .otherwise(F.col("timestamp")))
+    return rounded(W.rolling_mean(t, "temperature_c", rows=5, target_rows_per_bucket=300))
+
+
+@register("dq_error_as_failure", sql("""
+SELECT 'wafer_id' AS "column", 'mean' AS rule, false AS success, true AS critical, true AS has_error
+UNION ALL SELECT 'is_anomaly', 'range', false, true, true
+UNION ALL SELECT 'temperature_c', 'mean', avg(temperature_c) BETWEEN 345e0 AND 355e0, false, false FROM telemetry_raw"""))
+def q_dq_error_as_failure(spark, d):
+    # a mean over ids and a range over a flag cannot be evaluated; the third rule still is
+    rules = [Q.Rule("mean", "wafer_id", lo=0.0, hi=1.0), Q.Rule("range", "is_anomaly", lo="a", hi="b"),
+             Q.Rule("mean", "temperature_c", lo=345.0, hi=355.0)]
+    return Q.validation_report(_raw(spark, d), rules).select("column", "rule", "success", "critical",
+                                                             F.col("error").isNotNull().alias("has_error"))
+
+
+@register("dq_one_sided", sql("""
+SELECT 'temperature_c' AS "column", 'mean' AS rule, avg(temperature_c) >= 300e0 AS success FROM telemetry_raw
+UNION ALL SELECT 'yield_rate', 'max', max(yield_rate) <= 0.5e0 FROM telemetry_raw
+UNION ALL SELECT 'pressure_torr', 'range', count(*) FILTER (WHERE pressure_torr < 9e0) <= 0.01e0 * count(pressure_torr) FROM telemetry_raw
+UNION ALL SELECT 'timestamp', 'max', max(timestamp) >= TIMESTAMP '2024-01-01 00:00:00' FROM telemetry_raw"""))
+def q_dq_one_sided(spark, d):
+    kind = {"mean": "expect_column_mean_to_be_between", "max": "expect_column_max_to_be_between", "range": "expect_column_values_to_be_between"}
+    asked = [("mean", "temperature_c", {"min_value": 300}), ("max", "yield_rate", {"max_value": 0.5}),
+             ("range", "pressure_torr", {"min_value": 9, "mostly": 0.99}), ("max", "timestamp", {"min_value": "2024-01-01 00:00:00"})]
+    rules = Q.rules_from_config([{"expectation_type": kind[k], "kwargs": {"column": c, **kw}} for k, c, kw in asked])
+    return Q.validation_report(_raw(spark, d), rules).select("column", "rule", "success")
+
+
+@register("jn_upsert_moved_and_null_dates", sql("""
+SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY wafer_id ORDER BY timestamp DESC NULLS LAST, temperature_c DESC NULLS LAST) AS rn
+FROM (SELECT * REPLACE (CASE WHEN CAST(substr(wafer_id, 2) AS BIGINT) % 7 = 0 THEN NULL ELSE date END AS date) FROM bronze_clean
+      UNION ALL
+      SELECT timestamp + INTERVAL 3 DAY, wafer_id, equipment_id, temperature_c + 1e0, pressure_torr, yield_rate, defect_count, is_anomaly,
+             CASE WHEN CAST(substr(wafer_id, 2) AS BIGINT) % 20 = 0 THEN NULL ELSE CAST(timestamp + INTERVAL 3 DAY AS DATE) END
+      FROM bronze_clean WHERE CAST(substr(wafer_id, 2) AS BIGINT) % 10 = 0) u) r WHERE rn = 1""", round_cols=_READINGS))
+def q_jn_upsert_moved_and_null_dates(spark, d):
+    # every seventh row stored without a date; every tenth redelivered three days later with a changed reading, half of those without a date
+    from fabflow.session import staging_path
+    path, n = staging_path(spark, "upsert"), F.substring("wafer_id", 2, 1 << 20).cast("bigint")
+    base = bronze_clean(spark, d)
+    later = (base.filter(n % 10 == 0).withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 3 DAYS"))
+             .withColumn("temperature_c", F.col("temperature_c") + F.lit(1.0))
+             .withColumn("date", F.when(n % 20 != 0, F.to_date("timestamp"))))
+    MG.upsert_partitioned(base.withColumn("date", F.when(n % 7 != 0, F.col("date"))), path)
+    MG.upsert_partitioned(later, path)
+    MG.upsert_partitioned(later, path)                                   # delivered again: nothing changes
+    out = spark.read.schema(base.schema).parquet(path).select(*base.columns)
+    return rounded(out.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")))

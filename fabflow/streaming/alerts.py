@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fabflow.operators.joins import join_small
-from fabflow.operators.windows import auto_bucket_width
+from fabflow.operators.windows import row_count_buckets
 
 STATE_SCHEMA = T.StructType([T.StructField("equipment_id", T.StringType()), T.StructField("run", T.LongType()),
                              T.StructField("last_ts", T.TimestampType())])
@@ -52,8 +52,7 @@ def run_alerts_batch(readings: DataFrame, limits: DataFrame, min_run: int = 3, c
     beyond = F.coalesce((F.col(column) > F.col("ucl")) | (F.col(column) < F.col("lcl")), F.lit(False))
     rows = j.select(key, F.col("timestamp").cast("timestamp").alias("ts"), "wafer_id",
                     F.col(column).alias("value"), beyond.alias("beyond"))
-    width = auto_bucket_width(rows, key, "ts", target_rows_per_bucket)
-    rows = rows.withColumn("_bk", F.floor(_micros("ts") / width).cast("long"))
+    rows = row_count_buckets(rows, key, "ts", target_rows_per_bucket)
 
     # inside each (chamber, bucket): local index and running maximum of break positions
     w = Window.partitionBy(key, "_bk").orderBy("ts", "wafer_id")

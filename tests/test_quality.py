@@ -162,3 +162,31 @@ def test_rules_from_expectation_config_equal_the_suite(spark):
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
     with pytest.raises(ValueError):
         Q.rules_from_config([{"expectation_type": "expect_something_else", "kwargs": {}}])
+
+
+def test_rule_errors_are_failed_critical_rows(spark):
+    df = spark.createDataFrame([("a", "1.5", [1]), ("b", "x", [2]), (None, None, None)], "k string, v string, l array<int>")
+    rules = [Q.Rule("mean", "v", lo=0.0, hi=2.0, critical=False), Q.Rule("range", "l", lo=0, hi=1, critical=False),
+             Q.Rule("max", "v", lo=0.0, hi=2.0, critical=False), Q.Rule("not_null", "k", critical=False),
+             Q.Rule("in_set", "v", values=(1.5, 2), critical=True)]
+    rows = {(r["rule"], r["column"]): r for r in Q.validation_report(df, rules).collect()}
+    assert len(rows) == 5
+    for k in (("mean", "v"), ("range", "l"), ("max", "v")):
+        assert not rows[k]["success"] and rows[k]["critical"] and rows[k]["error"], k
+    assert "1 values of v" in rows["mean", "v"]["error"]
+    assert rows["not_null", "k"]["error"] is None and rows["not_null", "k"]["unexpected_count"] == 1
+    assert rows["in_set", "v"]["unexpected_count"] == 1
+    numbers = df.filter("v <> 'x'")
+    assert Q.validation_report(numbers, rules[:1]).first()["success"]
+
+
+def test_one_sided_bounds(spark):
+    df = spark.createDataFrame([(1.0, "2024-01-05"), (3.0, "2024-02-05")], "x double, d string").selectExpr("x", "to_date(d) as d")
+    def rule(kind, col, **kw):
+        return Q.rules_from_config([{"expectation_type": kind, "kwargs": {"column": col, **kw}}])[0]
+    cases = [(rule("expect_column_mean_to_be_between", "x", min_value=1.5), True), (rule("expect_column_mean_to_be_between", "x", max_value=1.5), False),
+             (rule("expect_column_max_to_be_between", "x", min_value=3), True), (rule("expect_column_max_to_be_between", "x", max_value=2), False),
+             (rule("expect_column_max_to_be_between", "d", min_value="2024-02-01"), True), (rule("expect_column_max_to_be_between", "d", max_value="2024-02-01"), False),
+             (rule("expect_column_values_to_be_between", "x", min_value=2, mostly=0.9), False), (rule("expect_column_values_to_be_between", "x", max_value=9), True)]
+    for r, want in cases:
+        assert Q.validation_report(df, [r]).first()["success"] is want, r

@@ -244,3 +244,31 @@ def test_no_shared_folder_on_a_cluster_raises(spark):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.staging_path(Faked(), "x")
     assert session.is_local("local[4]") and not session.is_local("local-cluster[2,1,1024]")
+
+
+def _plain_rolling(df, rows):
+    from pyspark.sql import Window
+    w = Window.partitionBy("equipment_id").orderBy("timestamp", "wafer_id").rowsBetween(-(rows - 1), 0)
+    return {r.wafer_id: r.m for r in df.select("wafer_id", F.avg("temperature_c").over(w).alias("m")).collect()}
+
+
+def test_rolling_mean_takes_rows_without_a_timestamp_first(spark):
+    base = datetime(2024, 1, 1)
+    rows = [{"wafer_id": f"W{i}", "timestamp": None if i < 2 else base + timedelta(hours=i), "temperature_c": float(i * i)} for i in range(6)]
+    df = frame(spark, rows, with_date=False)
+    for kw in ({"bucket_seconds": 3600}, {"bucket_seconds": "auto", "target_rows_per_bucket": 2}):
+        got = {r.wafer_id: r.m for r in W.rolling_mean(df, "temperature_c", rows=3, out="m", **kw).collect()}
+        assert got == pytest.approx(_plain_rolling(df, 3)), kw
+
+
+def test_a_burst_is_cut_by_rows_not_by_time(spark):
+    start = datetime(2024, 1, 1)
+    late = spark.range(4000).selectExpr("format_string('W%08d', id) as wafer_id", "'EQ001' as equipment_id",
+                                        "timestampadd(MILLISECOND, cast(id * 900 as int), timestamp_ntz'2024-06-01 00:00:00') as timestamp",
+                                        "cast(id % 17 as double) as temperature_c")
+    one = frame(spark, [{"wafer_id": "W_FIRST", "timestamp": start}], with_date=False).select(*late.columns)
+    df = one.unionByName(late)
+    sizes = [r["count"] for r in W.row_count_buckets(df, "equipment_id", "timestamp", 100).groupBy("_bk").count().collect()]
+    assert max(sizes) <= 200 and len(sizes) > 20
+    got = {r.wafer_id: r.m for r in W.rolling_mean(df, "temperature_c", rows=5, out="m", target_rows_per_bucket=100).collect()}
+    assert got == pytest.approx(_plain_rolling(df, 5))
