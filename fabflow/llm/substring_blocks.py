@@ -64,6 +64,16 @@ def places(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return ((hashes >> _U(32)) * _U(buckets) & _U(0xFFFFFFFF00000000)) | (hashes & _U(0xFFFFFFFF))
 
 
+def pack(values: np.ndarray) -> bytes:
+    """An array by byte planes: high bytes of sorted or small numbers stand together, where the shuffle's compression sees them."""
+    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+
+
+def unpack(data: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
 def _by_bucket(keys: np.ndarray) -> Iterator[tuple[int, int, int]]:
     """``(bucket, from, to)`` over sorted places."""
     owner = keys >> _U(32)
@@ -103,10 +113,10 @@ def _table(schema: pa.Schema, rows: list[tuple]) -> pa.Table:
 _PROBES = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("keys", pa.binary()), ("blocks", pa.binary())])
 _HITS = pa.schema([("chunk", pa.int64()), ("keys", pa.binary())])
 _WINDOWS = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("a", pa.binary()), ("b", pa.binary()),
-                      ("least", pa.binary()), ("most", pa.binary())])
+                      ("least", pa.binary()), ("span", pa.binary())])
 _FIRST = pa.schema([("chunk", pa.int64()), ("a", pa.binary()), ("b", pa.binary()), ("least", pa.binary())])
 _DDL = {_PROBES: "bucket long, chunk long, keys binary, blocks binary", _HITS: "chunk long, keys binary",
-        _WINDOWS: "bucket long, chunk long, a binary, b binary, least binary, most binary",
+        _WINDOWS: "bucket long, chunk long, a binary, b binary, least binary, span binary",
         _FIRST: "chunk long, a binary, b binary, least binary"}
 
 
@@ -118,7 +128,7 @@ def send_probes(table: pa.Table, width: int, buckets: int) -> pa.Table:
     last = np.append(keys[1:] != keys[:-1], True) if len(keys) else np.zeros(0, bool)
     keys, block = keys[last], (both[last] & _U(1)).astype(bool)
     chunk = table.column("chunk")[0].as_py()
-    return _table(_PROBES, [(b, chunk, keys[a:e].astype("<u4").tobytes(), np.packbits(block[a:e]).tobytes())
+    return _table(_PROBES, [(b, chunk, pack(keys[a:e].astype("<u4")), np.packbits(block[a:e]).tobytes())
                             for b, a, e in _by_bucket(keys)])
 
 
@@ -126,7 +136,7 @@ def meet(table: pa.Table) -> pa.Table:
     """In a bucket: to each chunk its probes that two chunks have and that are a block of one."""
     bucket = table.column("bucket")[0].as_py()
     chunks = table.column("chunk").to_pylist()
-    parts = [np.frombuffer(k.as_py(), "<u4") for k in table.column("keys")]
+    parts = [unpack(k.as_py(), "<u4") for k in table.column("keys")]
     block = np.concatenate([np.unpackbits(np.frombuffer(b.as_py(), np.uint8), count=len(p))
                             for b, p in zip(table.column("blocks"), parts, strict=True)])
     keys, owner = np.concatenate(parts), np.repeat(np.arange(len(parts)), [len(p) for p in parts])
@@ -139,7 +149,7 @@ def meet(table: pa.Table) -> pa.Table:
     order = np.argsort(owner, kind="stable")
     keys, owner = keys[order], owner[order]
     edges = np.searchsorted(owner, np.arange(len(parts) + 1))
-    return _table(_HITS, [(chunks[i], keys[edges[i]:edges[i + 1]].tobytes())
+    return _table(_HITS, [(chunks[i], pack(keys[edges[i]:edges[i + 1]]))
                           for i in range(len(parts)) if edges[i + 1] > edges[i]])
 
 
@@ -155,7 +165,7 @@ def send_windows(table: pa.Table, hits: pa.Table, width: int, buckets: int) -> p
         starts = np.nonzero(np.append(True, k[1:] != k[:-1]))[0]
         ends = np.append(starts[1:], len(k)) - 1
         own = (d[starts] != d[ends]) & (np.add.reduceat(block[order].astype(np.int64), starts) > 0)
-        known = np.sort(np.concatenate([k[starts[own]], *[np.frombuffer(x.as_py(), "<u8") for x in hits.column("keys")]]))
+        known = np.sort(np.concatenate([k[starts[own]], *[unpack(x.as_py(), "<u8") for x in hits.column("keys")]]))
     hit = np.zeros(len(keys), bool)
     if len(keys) and len(known):
         at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
@@ -177,35 +187,36 @@ def send_windows(table: pa.Table, hits: pa.Table, width: int, buckets: int) -> p
     order = np.lexsort((b, a))
     a, b, ids = a[order], b[order], ids[order]
     starts = np.nonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))[0]
-    a, b, least, most = a[starts], b[starts], np.minimum.reduceat(ids, starts), np.maximum.reduceat(ids, starts)
+    a, b, least = a[starts], b[starts], np.minimum.reduceat(ids, starts)
+    span = np.maximum.reduceat(ids, starts) - least              # zero but for windows in several documents of the chunk
     chunk = table.column("chunk")[0].as_py()
-    return _table(_WINDOWS, [(o, chunk, a[s:e].tobytes(), b[s:e].tobytes(), least[s:e].tobytes(), most[s:e].tobytes())
+    return _table(_WINDOWS, [(o, chunk, pack(a[s:e]), pack(b[s:e]), pack(least[s:e]), pack(span[s:e]))
                              for o, s, e in _by_bucket(places(a, buckets) & _U(0xFFFFFFFF00000000))])
 
 
 def first_holders(table: pa.Table) -> pa.Table:
     """In a bucket: to each chunk the windows that some document of it has after a smaller id."""
     chunks = table.column("chunk").to_pylist()
-    col = lambda name, kind: [np.frombuffer(x.as_py(), kind) for x in table.column(name)]
+    col = lambda name, kind: [unpack(x.as_py(), kind) for x in table.column(name)]
     parts = col("a", "<u8")
-    a, b, least, most = np.concatenate(parts), *[np.concatenate(col(n, k)) for n, k in (("b", "<u8"), ("least", "<i8"), ("most", "<i8"))]
+    a, b, least, span = np.concatenate(parts), *[np.concatenate(col(n, k)) for n, k in (("b", "<u8"), ("least", "<i8"), ("span", "<i8"))]
     owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
     order = np.lexsort((b, a))
-    a, b, least, most, owner = a[order], b[order], least[order], most[order], owner[order]
+    a, b, least, span, owner = a[order], b[order], least[order], span[order], owner[order]
     starts = np.nonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))[0]
     first = np.repeat(np.minimum.reduceat(least, starts), np.diff(np.append(starts, len(a))))
-    late = first < most
+    late = first < least + span
     a, b, first, owner = a[late], b[late], first[late], owner[late]
     order = np.argsort(owner, kind="stable")
     a, b, first, owner = a[order], b[order], first[order], owner[order]
     edges = np.searchsorted(owner, np.arange(len(parts) + 1))
-    return _table(_FIRST, [(chunks[i], a[s:e].tobytes(), b[s:e].tobytes(), first[s:e].tobytes())
+    return _table(_FIRST, [(chunks[i], pack(a[s:e]), pack(b[s:e]), pack(first[s:e]))
                            for i, (s, e) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if e > s])
 
 
 def cut(table: pa.Table, firsts: pa.Table, width: int, tidy: bool, schema: pa.Schema) -> pa.Table:
     """The chunk's documents without the words under windows that a smaller id holds."""
-    col = lambda name, kind: np.concatenate([np.zeros(0, kind), *[np.frombuffer(x.as_py(), kind) for x in firsts.column(name)]])
+    col = lambda name, kind: np.concatenate([np.zeros(0, kind), *[unpack(x.as_py(), kind) for x in firsts.column(name)]])
     a, b, first = col("a", "<u8"), col("b", "<u8"), col("least", "<i8")
     order = np.argsort(a, kind="stable")
     a, b, first = a[order], b[order], first[order]
