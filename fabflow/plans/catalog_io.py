@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fabflow import constants as C
+from fabflow.operators import quality as Q
 from fabflow.operators import spc as SPC
 from fabflow.operators.merge import _path_exists
 from fabflow.operators import windows as W
@@ -511,3 +512,32 @@ WHERE rn <= 5"""))
 def q_srt_tail_rows_per_file(spark, d):
     a = _archive_one_file_per_date(spark, d)
     return _ntz(SR.tail_rows(a, 5, group="source_file").select(*C.RAW_COLUMNS, "date"))
+
+
+@register("win_batch_label", sql("""
+SELECT CAST(dense_rank() OVER (ORDER BY source_file) AS INTEGER) AS batch_no, count(*) OVER () AS batch_total, source_file,
+       substr(source_file, 31, 6) AS batch_label, n AS row_count
+FROM (SELECT concat('/archive/sensor_data_', strftime(timestamp, '%Y%m%d_%H0000'), '.parquet') AS source_file, count(*) AS n
+      FROM telemetry GROUP BY 1) g"""))
+def q_win_batch_label(spark, d):
+    # files named as an archive names them: the label is the time in the name
+    t = telemetry(spark, d)
+    name = F.concat(F.lit("/archive/sensor_data_"), F.date_format("timestamp", "yyyyMMdd_HH"), F.lit("0000.parquet"))
+    return W.batch_ordinal(t.withColumn("source_file", name))
+
+
+@register("snk_key_partitions", sql("SELECT equipment_id, 1::BIGINT AS partitions, count(*) AS messages FROM telemetry_raw GROUP BY 1"))
+def q_snk_key_partitions(spark, d):
+    dealt = KS.key_partitioned(telemetry_raw(spark, d), 5).withColumn("_p", F.spark_partition_id())
+    return dealt.groupBy("equipment_id").agg(F.count_distinct("_p").alias("partitions"), F.count(F.lit(1)).alias("messages"))
+
+
+@register("dq_details", sql(" UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS null_count, count(*) FILTER (WHERE {c} IS NULL) = 0 AS success FROM bronze_raw"
+    for c in ("timestamp", "wafer_id", "equipment_id", "temperature_c", "pressure_torr", "yield_rate"))))
+def q_dq_details(spark, d):
+    # the driver-side summary's details of the not-null rules, for the columns written out in the oracle
+    found = Q.validate_dataframe(SK.bronze_frame(telemetry_raw(spark, d)), "bronze",
+                                 [Q.Rule("not_null", c) for c in ("timestamp", "wafer_id", "equipment_id", "temperature_c", "pressure_torr", "yield_rate")])
+    return spark.createDataFrame([(r["column"], r["details"]["null_count"], r["success"]) for r in found["results"]],
+                                 "column string, null_count bigint, success boolean")
