@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from fabflow.llm.rows import map_texts, staged
 
-#: Bytes of pattern text in one automaton (one broadcast).
+#: Bytes of patterns and their item ids in one automaton (one broadcast).
 BLOCK_BYTES = 2 << 20
 #: Every byte to itself, A-Z to lower case, other ASCII without digits and letters to a space.
 NORMAL = bytes(c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
@@ -104,7 +104,8 @@ def contaminated(df: DataFrame, items: DataFrame, keep: Sequence[str] = ("doc_id
     repeated items count once. Without items nothing is hit. Whole texts are read.
     """
     windows = staged(item_windows(items, item_id, item_text, width), "item-windows")
-    total = windows.agg(F.coalesce(F.sum(F.length("pattern") + 2), F.lit(0)).alias("b")).first()["b"]
+    size = F.length("pattern") + 2 + F.length(F.array_join("items", ","))
+    total = windows.agg(F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()["b"]
     blocks = max(1, -(-total // BLOCK_BYTES))
     part = F.pmod(F.xxhash64("pattern"), F.lit(blocks))
     sc, out = df.sparkSession.sparkContext, df.select(*[F.col(f"`{k}`").alias(f"key{i}") for i, k in enumerate(keep)],

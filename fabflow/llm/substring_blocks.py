@@ -268,7 +268,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text", ke
     total = text_bytes(df, text)
     chunks = max(16, -(-total // chunk_bytes))
     buckets = max(16, -(-total // bucket_bytes))
-    key = F.pmod(F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text}`")), F.lit(chunks))
+    # the input partition is part of the key, so that rows repeated very often do not meet in one chunk
+    key = F.pmod(F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text}`"), F.spark_partition_id()), F.lit(chunks))
     held = [F.col(f"`{n}`").alias(f"k{i}") for i, n in enumerate(names)]
     dealt = df.select(key.alias("chunk"), F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(int(NO_ID))).alias("order_id"),
                       bytes_of(text).alias("text"), *held)
