@@ -39,7 +39,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     keyed = docs.withColumn("key", F.coalesce("doc_id", nameless))
     near = simhash_grid.near_duplicates(keyed, id_col="key", width=3, bits=2)
     first = near.filter(F.col("key") == F.col("component")).select("key").distinct()
-    return keyed.join(first, "key").dropDuplicates(["key"]).select(*COLUMNS)
+    # repeated rows fall together before they are dealt by key, one per task
+    return keyed.dropDuplicates(["key"]).join(first, "key").select(*COLUMNS)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
