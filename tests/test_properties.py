@@ -77,8 +77,11 @@ def test_dedup_keeps_latest_per_key(spark, rows):
     sdf, data = _frame(spark, rows)
     pdf = pd.DataFrame(data, columns=C.RAW_COLUMNS)
     got = DD.dedup_latest(sdf).toPandas()
-    assert len(got) == pdf["wafer_id"].nunique(dropna=False)
-    for key, grp in pdf.groupby("wafer_id", dropna=False):
-        pick = got[got["wafer_id"].isna()] if pd.isna(key) else got[got["wafer_id"] == key]
+    # rows without a key are not copies of each other: only identical ones collapse
+    keyless = pdf[pdf["wafer_id"].isna()]
+    assert got["wafer_id"].isna().sum() == len(set(map(str, keyless.itertuples(index=False))))
+    assert len(got) == pdf["wafer_id"].nunique() + got["wafer_id"].isna().sum()
+    for key, grp in pdf.groupby("wafer_id"):
+        pick = got[got["wafer_id"] == key]
         assert len(pick) == 1
         assert pick["timestamp"].iloc[0] == grp["timestamp"].max()

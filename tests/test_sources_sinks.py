@@ -127,6 +127,8 @@ def test_checkpoint_root_without_configured_dir():
             return default
 
     class Ctx:
+        master = "local[2]"
+
         def __init__(self):
             self.dir = None
 
