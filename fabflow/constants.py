@@ -68,10 +68,9 @@ WAFER_ID_FORMAT = "W%08d"
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 ARCHIVE_PREFIX = "bronze/wafer-telemetry"
 DEFAULT_PARTITION_KEY = "unknown"
-ARCHIVE_BATCH_ROWS = 100
 DEFAULT_INSTALL_DATE = "2024-01-01"
 
-# Column lists in their fixed order.
+# Column lists in their order.
 PROCESS_COLUMNS = ["temperature_c", "pressure_torr", "yield_rate", "defect_count"]
 RAW_COLUMNS = [
     "timestamp", "wafer_id", "equipment_id",
@@ -88,7 +87,7 @@ NATIVE_NOT_NULL = ["wafer_id", "equipment_id", "timestamp", "temperature_c", "yi
 SUITE_NOT_NULL = ["wafer_id", "equipment_id", "timestamp"]
 
 # ---------------------------------------------------------------------------
-# Schemas.
+# Schemas.
 # ---------------------------------------------------------------------------
 RAW_SCHEMA = T.StructType([
     T.StructField("timestamp", T.TimestampType(), True),

@@ -141,6 +141,7 @@ def inject_anomalies(df: DataFrame, rate: float = C.ANOMALY_RATE, seed: int = 42
 def golden_pattern(ids: DataFrame, id_col: str = "id", base_time: str = DEFAULT_BASE_TIME) -> DataFrame:
     """Closed-form deterministic messages for ordinal i (exact expected values)."""
     i = F.col(id_col)
+    # The pattern's starting values, steps and periods.
     return ids.select(
         (F.lit(base_time).cast("timestamp_ntz") - F.make_dt_interval(secs=i)).alias("timestamp"),
         format_wafer_id(i).alias("wafer_id"),

@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 
 from fabflow import constants as C
 
+# The report's column names and types.
 REPORT_FIELDS = [
     ("validation", "string"), ("column", "string"), ("rule", "string"),
     ("success", "boolean"), ("critical", "boolean"),
