@@ -18,11 +18,21 @@ from fabflow.llm.rows import read_table, staged
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Toxicity scores from which a document is rejected.
 TOXIC = 0.7
+#: Documents in one batch between Spark and a Python worker, at most.
+BATCH_ROWS = 2000
+
+
+def _documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The columns of documents, in batches small enough for whole texts to pass through the workers."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+    return docs.select(*COLUMNS)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose toxicity score stays under TOXIC; the model is fitted on this stage's own input."""
-    docs = docs.select(*COLUMNS)
+    docs = _documents(spark, docs)
     model = toxicity_mil.train(docs, read_table(spark, sf_dir, "labels"))
     return toxicity_mil.score(docs, model, keep=COLUMNS).filter(F.col("score") < TOXIC).select(*COLUMNS)
 
@@ -33,7 +43,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Rows that repeat an id are one document. Rows without an id are told apart by their text and
     yield to any row with an id.
     """
-    docs = docs.select(*COLUMNS)
+    docs = _documents(spark, docs)
     # ids of rows without one lie above 2^62, by a hash of the text
     nameless = F.lit(1 << 62) + F.xxhash64("text").bitwiseAND(F.lit((1 << 61) - 1))
     keyed = docs.withColumn("key", F.coalesce("doc_id", nameless))
@@ -45,7 +55,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages of 13 words or more that an earlier document has; no row goes."""
-    cut = substring_blocks.remove_repeats(docs.select(*COLUMNS), keep=["lang", "source", "n_chars"], width=13, tidy=False)
+    cut = substring_blocks.remove_repeats(_documents(spark, docs), keep=["lang", "source", "n_chars"], width=13, tidy=False)
     text = F.col("kept").cast("string")
     return cut.select("doc_id", text.alias("text"), "lang", "source",
                       F.when(F.col("n_removed") > 0, F.length(text).cast("long")).otherwise(F.col("n_chars")).alias("n_chars"))
@@ -53,14 +63,14 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows without any 10-word window of a benchmark item."""
-    found = decontaminate.contaminated(docs.select(*COLUMNS), read_table(spark, sf_dir, "benchmark"), keep=COLUMNS, width=10)
+    found = decontaminate.contaminated(_documents(spark, docs), read_table(spark, sf_dir, "benchmark"), keep=COLUMNS, width=10)
     return found.filter(F.col("n_hit") == 0).select(*COLUMNS)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids (packed little-endian uint32), their count, and digests of the ids and of the decoded bytes."""
     keep = [c for c in COLUMNS if c != "text"]
-    encoded = bpe_tree.encode_decode(docs.select(*COLUMNS), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+    encoded = bpe_tree.encode_decode(_documents(spark, docs), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
                                      public_tokenizers.PATTERN, keep=keep)
     return bpe_tree.digests(encoded, [*keep, "ids"])
 

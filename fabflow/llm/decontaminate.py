@@ -108,9 +108,10 @@ def contaminated(df: DataFrame, items: DataFrame, keep: Sequence[str] = ("doc_id
     total = windows.agg(F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()["b"]
     blocks = max(1, -(-total // BLOCK_BYTES))
     part = F.pmod(F.xxhash64("pattern"), F.lit(blocks))
-    sc, out = df.sparkSession.sparkContext, df.select(*[F.col(f"`{k}`").alias(f"key{i}") for i, k in enumerate(keep)],
-                                                      F.col(f"`{text}`").alias("scanned"))
-    names = [f"key{i}" for i in range(len(keep))]
+    sc = df.sparkSession.sparkContext
+    names = ["scanned" if k == text else f"key{i}" for i, k in enumerate(keep)]    # the text travels once
+    out = df.select(*[F.col(f"`{k}`").alias(n) for k, n in zip(keep, names, strict=True) if k != text],
+                    F.col(f"`{text}`").cast("string").alias("scanned"))
     for b in range(blocks):
         rows = [tuple(r) for r in windows.filter(part == b).select("pattern", "n", "items").toLocalIterator()]
         shared = sc.broadcast({"patterns": rows})
@@ -122,7 +123,8 @@ def contaminated(df: DataFrame, items: DataFrame, keep: Sequence[str] = ("doc_id
             return lambda data: scan(data, state["automaton"])
 
         last = b + 1 == blocks
-        held = [*names, *[c for c in out.columns if c not in names and c != "scanned"], *([] if last else ["scanned"])]
+        found = [c for c in out.columns if c not in names and c != "scanned"]
+        held = [*names, *found, *([] if last or "scanned" in names else ["scanned"])]
         out = map_texts(out, held, "scanned", make, [(f"{f}_{b}", t) for f, t in FIELDS])
         if not last:
             out = staged(out, "scanned")
@@ -132,7 +134,7 @@ def contaminated(df: DataFrame, items: DataFrame, keep: Sequence[str] = ("doc_id
     n_hit = (F.aggregate(F.zip_with("first_words_0", "end_words_0", lambda a, e: e - a), F.lit(0).cast("int"), lambda s, x: s + x)
              if blocks == 1 else F.size(F.array_distinct(positions)))
     return out.select(
-        *[F.col(f"key{i}").alias(k) for i, k in enumerate(keep)],
+        *[F.col(n).alias(k) for k, n in zip(keep, names, strict=True)],
         F.col("n_words_0").alias("n_words"), n_hit.cast("long").alias("n_hit"),
         F.array_sort(F.array_distinct(every("items"))).alias("items"),
         *[every(f).alias(f) for f in ("first_words", "end_words", "from_chars", "to_chars")])

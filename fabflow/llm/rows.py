@@ -33,33 +33,37 @@ def map_texts(df: DataFrame, keep: Sequence[str], text: str, make: Callable[[],
 
     ``make()`` runs once per task and returns ``row(utf8_bytes) -> tuple``. A null text arrives as
     ``b""``. Only ``keep`` and ``text`` reach Python; other columns, whatever their names, do not.
-    Rows go back in slices of about FLUSH_BYTES of input, so memory does not grow with the task.
+    The text travels once, also where it is kept. Rows go back in slices of about FLUSH_BYTES of
+    input, so memory does not grow with the task.
     """
     names = [n for n, _ in fields]
     if clash := set(keep) & set(names):
         raise ValueError(f"key columns share names with result columns: {sorted(clash)}")
     types = [ARROW[t] for _, t in fields]
-    n_keep = len(keep)
-    src = df.select(*[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keep)], bytes_of(text).alias("text"))
-    schema = T.StructType([T.StructField(k, df.schema[k].dataType) for k in keep]
+    others = [k for k in keep if k != text]
+    held = [others.index(k) if k != text else len(others) for k in keep]        # where each kept column stands
+    at = len(others)
+    src = df.select(*[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(others)], bytes_of(text).alias("text"))
+    schema = T.StructType([T.StructField(k, df.schema[k].dataType if k != text else T.BinaryType()) for k in keep]
                           + [T.StructField(n, T._parse_datatype_string(t)) for n, t in fields])
     out_names = [*keep, *names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = make()
         for batch in batches:
-            texts, start, rows, size = batch.column(n_keep), 0, [], 0
+            texts, start, rows, size = batch.column(at), 0, [], 0
             for i in range(batch.num_rows):
                 data = texts[i].as_py() or b""
                 rows.append(row(data))
                 size += len(data) + 64
                 if size >= FLUSH_BYTES or i + 1 == batch.num_rows:
-                    cols = [batch.column(k).slice(start, i + 1 - start) for k in range(n_keep)]
+                    cols = [batch.column(k).slice(start, i + 1 - start) for k in held]
                     cols += [pa.array(list(c), t) for c, t in zip(zip(*rows), types, strict=True)]
                     yield pa.RecordBatch.from_arrays(cols, names=out_names)
                     start, rows, size = i + 1, [], 0
 
-    return src.mapInArrow(run, schema)
+    out = src.mapInArrow(run, schema)
+    return out.withColumn(text, F.col(f"`{text}`").cast(df.schema[text].dataType)) if text in keep else out
 
 
 class Memo:
