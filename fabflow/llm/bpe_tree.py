@@ -36,7 +36,7 @@ from fabflow.llm.rows import Memo, map_texts
 #: Bytes up to which a piece or window is merged directly (the tree's leaf).
 LEAF_BYTES = 6
 #: Entries of each cache generation.
-CACHE = 250_000
+CACHE = 150_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:

@@ -139,7 +139,7 @@ def score(df: DataFrame, model: dict, keep: Sequence[str] = ("doc_id",), text: s
 
     def make():
         state = shared.value
-        memo = state.setdefault("memo", None) or Memo(400_000)
+        memo = state.setdefault("memo", None) or Memo(200_000)
         state["memo"] = memo
         weights, bias = state["weights"], state["bias"]
 
