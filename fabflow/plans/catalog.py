@@ -1,6 +1,6 @@
 """Registered queries (Spark) and their DuckDB oracle SQL.
 
-Each query takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the
+Each query takes ``(spark, sf_dir)`` and returns a DataFrame over the
 whole input tables. Subjects are the ``telemetry`` / ``telemetry_raw`` views
 over ``events`` (see :mod:`fabflow.sources.bridge`) and, for the generic
 operators, ``lineitem``. Double outputs are rounded to 6 decimals on both
