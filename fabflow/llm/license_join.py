@@ -1,7 +1,12 @@
 """License scans: an exact set-similarity join of text blocks with notice templates. DataFrame functions only.
 
-A block (a line) matches a template when it holds at least ``threshold`` of the template's distinct
-words. The join runs on tokens in one global order, rarest in the corpus first:
+A block matches a template when it holds at least ``threshold`` of the template's distinct words.
+Blocks are the lines and, for notices that wrap, runs of words over line ends: each twice the longest
+template, one starting every longest template, so any stretch of that many words stands whole in one.
+Runs inside one line are left out, as the line holds their words. Words of two unrelated lines can
+add up to a short template ("... der den mit." before "Licensed under the Apache License"), so over line
+ends the needed words must also stand in the template's order, within twice its length. The join runs
+on tokens in one global order, rarest in the corpus first:
 
 * prefix filter: a template of n words with needed overlap o shares at least one of its n - o + 1
   rarest words with every matching block, and a block one of its own such prefix;
@@ -67,6 +72,15 @@ def _needed(template: str, threshold: float) -> int:
     return ceil(len(set(template.split())) * threshold - 1e-9)
 
 
+def _in_order(words: Column, template: Column) -> Column:
+    """Length of the longest common subsequence of two word arrays."""
+    def row(above: Column, word: Column) -> Column:
+        return F.aggregate(F.sequence(F.lit(1), F.size(template)), F.array(F.lit(0)), lambda left, j: F.concat(left, F.array(
+            F.when(F.get(template, j - 1) == word, F.get(above, j - 1) + 1).otherwise(F.greatest(F.get(above, j), F.get(left, j - 1))))))
+
+    return F.array_max(F.aggregate(words, F.array_repeat(F.lit(0), F.size(template) + 1), row))
+
+
 def base_places(df: DataFrame, keep: Sequence[str], text: str, phrases: Sequence[tuple[str, str]] = PHRASES) -> DataFrame:
     """``keep`` plus word count, places of the phrases' words standing together, first, last and labels."""
     body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
@@ -112,33 +126,48 @@ def token_order(df: DataFrame, text: str, templates: Sequence[tuple[str, str]] =
 
 def template_blocks(df: DataFrame, keep: Sequence[str], text: str, templates: Sequence[tuple[str, str]] = TEMPLATES,
                     threshold: float = THRESHOLD) -> DataFrame:
-    """Every matching (block, template): ``keep``, ``block`` (line number), ``template``, ``label``, ``containment``."""
+    """Every matching (block, template): ``keep``, ``block`` (the line it starts in), ``template``, ``label``, ``containment``.
+
+    Blocks overlap, so one notice can be found in more than one.
+    """
     spark, order = df.sparkSession, token_order(df, text, templates)
     place = {w: i for i, w in enumerate(order)}
     sides = []
     for number, (template, label) in enumerate(templates):
         own, need = sorted({place[w] for w in template.split()}), _needed(template, threshold)
-        sides += [(order[p], at, number, label, len(own), need, [order[q] for q in own])
+        sides += [(order[p], at, number, label, len(own), need, [order[q] for q in own], template.split())
                   for at, p in enumerate(own[:len(own) - need + 1])]
     prefixes = F.broadcast(spark.createDataFrame(
-        sides, "word string, t_at int, template int, label string, t_size int, need int, t_words array<string>"))
+        sides, "word string, t_at int, template int, label string, t_size int, need int, t_words array<string>, t_text array<string>"))
     least = min(s[5] for s in sides)
     rare = sorted({s[0] for s in sides})
     hint = rf"(?i)(?<![A-Za-z0-9\x80-\x{{10FFFF}}])(?:{'|'.join(rare)})(?![A-Za-z0-9\x80-\x{{10FFFF}}])"
     body = F.col(f"`{text}`").cast("string")
-    lines = (df.filter(body.rlike(hint)).select(*[F.col(f"`{k}`") for k in keep], F.posexplode(F.split(body, "\n")).alias("block", "line"))
-             .filter(F.col("line").rlike(hint)))
-    # the line's template words in the global order: the order of the first array stays
-    blocks = (lines.select(*[F.col(f"`{k}`") for k in keep], "block",
-                           F.array_intersect(F.array(*[F.lit(w) for w in order]), words_of(F.col("line"))).alias("b_words"))
+    span = max(len(t.split()) for t, _ in templates)
+    lines = F.transform(F.split(body, "\n"), lambda line, i: F.transform(words_of(line), lambda w: F.struct(i.alias("at"), w.alias("w"))))
+    last = F.greatest(F.ceil(F.size("words") / span).cast("int") - 2, F.lit(0))      # a later run adds no word
+    runs = F.transform(F.sequence(F.lit(0), last), lambda k: F.slice("words", k * span + 1, 2 * span))
+    wrapped = F.filter(runs, lambda r: F.get(r, F.lit(0))["at"] < F.get(r, F.size(r) - 1)["at"])
+    cut = (df.filter(body.rlike(hint)).select(*[F.col(f"`{k}`") for k in keep], lines.alias("lines"))
+           .withColumn("words", F.flatten("lines"))
+           .select(*[F.col(f"`{k}`") for k in keep], F.explode(F.concat("lines", wrapped)).alias("run"))
+           .select(*[F.col(f"`{k}`") for k in keep], F.get("run", F.lit(0))["at"].alias("block"), F.col("run")["w"].alias("words"),
+                   (F.get("run", F.lit(0))["at"] < F.get("run", F.size("run") - 1)["at"]).alias("over"))
+           .filter(F.arrays_overlap("words", F.array(*[F.lit(w) for w in rare]))))
+    # the block's template words in the global order: the order of the first array stays
+    blocks = (cut.select(*[F.col(f"`{k}`") for k in keep], "block",
+                         F.array_intersect(F.array(*[F.lit(w) for w in order]), F.col("words")).alias("b_words"),
+                         F.when(F.col("over"), F.col("words")).alias("run"))
               .filter(F.size("b_words") >= least))
     prefix = F.slice("b_words", 1, F.size("b_words") - least + 1)
     pairs = blocks.select("*", F.posexplode(prefix).alias("b_at", "word")).join(prefixes, "word")
     ahead = 1 + F.least(F.size("b_words") - F.col("b_at") - 1, F.col("t_size") - F.col("t_at") - 1)
     first = F.size(F.array_intersect(F.slice("b_words", 1, F.col("b_at")), "t_words")) == 0   # each pair once
     share = F.size(F.array_intersect("b_words", "t_words"))
+    starts = F.sequence(F.lit(0), F.size("run") - 1, F.size("t_text"))
+    stands = F.exists(starts, lambda k: _in_order(F.slice("run", k + 1, 2 * F.size("t_text")), F.col("t_text")) >= F.col("need"))
     return (pairs.filter((F.size("b_words") >= F.col("need")) & (ahead >= F.col("need")))
-            .filter(first).filter(share >= F.col("need"))
+            .filter(first).filter(share >= F.col("need")).filter(F.col("run").isNull() | stands)
             .select(*[F.col(f"`{k}`") for k in keep], "block", "template", "label", (share / F.col("t_size")).alias("containment")))
 
 

@@ -93,6 +93,21 @@ def test_license_rows(spark):
     assert license_join.scan(empty(spark)).count() == 0
 
 
+def test_license_notices_that_wrap(spark):
+    bsd = "Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that"
+    filler = "\n".join(f"line{i} of nothing" for i in range(40))
+    narrow = "\n".join("Permission is hereby granted, free of charge, to any person obtaining a copy of this software".split())
+    spread = "you may not use " + " ".join(f"s{i}" for i in range(60)) + " this file except in compliance with the license"
+    apart = "licensed under\n" + " ".join(f"s{i}" for i in range(60)) + "\nthe mit license"
+    docs = [(1, bsd), *[(10 + k, "w " * k + f"\n{filler}\n{narrow}\n{filler}") for k in range(0, 34, 3)], (2, spread), (3, apart), (4, filler),
+            (5, "Der schheitau der den mit.\nLicensed under the Apache License, Version 2.0.")]
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in license_join.scan(frame(spark, docs)).collect()}
+    assert got[1] == ("bsd", 1.0) and all(got[10 + k] == ("mit", 1.0) for k in range(0, 34, 3))
+    assert got[2] == ("apache-2.0", 1.0) and got[3] == got[4] == ("", 0.0)
+    assert got[5] == ("apache-2.0", 1.0)
+    assert license_join.template_blocks(frame(spark, [(1, f"\n\n{bsd}")], False), ["doc_id"], "text").first()["block"] == 2
+
+
 def test_license_plan_runs_no_python(spark):
     df = license_join.scan(frame(spark))
     plan = df._jdf.queryExecution().executedPlan().toString()
