@@ -38,15 +38,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each SimHash component (3-word shingles, 2 bits) the row of the smallest id.
+    """Of each SimHash component (3-word shingles, 2 bits) the row least by (doc_id, hash of the text).
 
-    Rows that repeat an id are one document. Rows without an id are told apart by their text and
-    yield to any row with an id.
+    Rows without an id come last. Rows equal in id and text are one document; rows that share an id
+    but not the text are different documents.
     """
     docs = _documents(spark, docs)
-    # ids of rows without one lie above 2^62, by a hash of the text
-    nameless = F.lit(1 << 62) + F.xxhash64("text").bitwiseAND(F.lit((1 << 61) - 1))
-    keyed = docs.withColumn("key", F.coalesce("doc_id", nameless))
+    key = F.struct(F.isnull("doc_id").alias("nameless"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64("text").alias("mark"))
+    keyed = docs.withColumn("key", key)
     near = simhash_grid.near_duplicates(keyed, id_col="key", width=3, bits=2)
     first = near.filter(F.col("key") == F.col("component")).select("key").distinct()
     # repeated rows fall together before they are dealt by key, one per task

@@ -12,6 +12,7 @@ sys.path.insert(0, os.path.dirname(__file__))
 
 from llm_frames import DOCS, LONG, NAME_WORD, SHARED, SPACE_WORD, empty, frame, lower  # noqa: E402
 
+import corpus_pipeline  # noqa: E402
 from fabflow.llm import decontaminate, graph, simhash_grid, substring_blocks  # noqa: E402
 
 
@@ -80,6 +81,16 @@ def test_links_find_every_component_crowded_or_not(spark):
             assert [found.get(signed(p), signed(p)) for p in prints] == want, (bits, crowd)
 
 
+def test_pipeline_keeps_different_texts_of_one_id(spark):
+    texts = [" ".join(f"{c}{i * 31 % 97}" for i in range(60)) for c in "abcd"]
+    rows = [(7, texts[0]), (7, texts[1]), (7, texts[1]), (3, texts[0]), (8, texts[2]), (9, texts[2]), (9, texts[3]),
+            (None, texts[3]), (None, None), (None, "alone here"), (None, "alone here")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.drop_near_copies(spark, docs, "").select("doc_id", "text").collect()
+    want = [(3, texts[0]), (7, texts[1]), (8, texts[2]), (9, texts[3]), (None, None), (None, "alone here")]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
 def test_segment_counts_are_a_lower_bound(spark):
     prints = clusters(9, 10)
     df = spark.createDataFrame([(signed(p),) for p in prints], "fp long")
