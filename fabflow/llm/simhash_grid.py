@@ -8,10 +8,12 @@ share a cell are compared. At the contract's two bits r is 1: 33 cells.
 
 Exact copies fall together before the grid (one row per distinct fingerprint). Cells of up to
 ``crowd`` fingerprints are compared pair by pair on the real fingerprints. Crowded cells are not:
-their fingerprints are entered under every word within r bits, and those that meet under a word are
+at two bits their fingerprints are entered under every word within r bits, and those that meet under a word are
 linked to the smallest one there. Fingerprints at distance at most 2r share such a word and those
 that share one are within 2r, so this finds the same components, without pairs, and a word has at
-most as many members as there are words within r bits of it (65 for r = 1), whatever the data.
+most as many members as there are words within r bits of it (65 for r = 1), whatever the data. At one
+bit those that share a word can be two bits apart, so there a fingerprint is linked to each of the 64
+words one bit from it that is a fingerprint too.
 """
 
 from __future__ import annotations
@@ -87,7 +89,7 @@ def links(distinct: DataFrame, bits: int = 2, crowd: int = CROWD) -> DataFrame:
     """Edges ``(a, b)`` whose components are those of all pairs of ``fp`` at ``bits`` or fewer.
 
     ``distinct(fp)`` holds each fingerprint once. Every pair outside crowded cells appears; in
-    crowded cells a star per shared word stands for its pairs. ``bits`` is 1 or 2 (radius one).
+    crowded cells, at two bits, a star per shared word stands for its pairs. ``bits`` is 1 or 2 (radius one).
     """
     if bits not in (1, 2):
         raise ValueError("the grid is built for a distance of one or two bits")
@@ -99,12 +101,14 @@ def links(distinct: DataFrame, bits: int = 2, crowd: int = CROWD) -> DataFrame:
            .select("fps", F.explode("fps").alias("a"))
            .select("a", F.explode("fps").alias("b")).filter("a < b").filter(within).distinct())
     word = F.when(F.col("bit") < 64, F.col("fp").bitwiseXOR(F.expr("shiftleft(1L, bit)"))).otherwise(F.col("fp"))
-    many = (shared.filter(F.col("n") > crowd).select("fp").distinct()
-            .select("fp", F.explode(F.sequence(F.lit(0), F.lit(64))).alias("bit"))
-            .groupBy(word.alias("word")).agg(F.collect_list("fp").alias("fps")).filter("size(fps) > 1")
-            .select(F.array_min("fps").alias("a"), F.explode("fps").alias("b")).filter("a <> b"))
-    if bits == 1:  # a shared word may be one bit from either
-        many = many.filter(within)
+    crowded = shared.filter(F.col("n") > crowd).select("fp").distinct()
+    words = crowded.select("fp", F.explode(F.sequence(F.lit(0), F.lit(64 if bits == 2 else 63))).alias("bit")).select("fp", word.alias("word"))
+    if bits == 1:  # those that share a word may be two bits apart: only words that are fingerprints link
+        many = (words.join(distinct.select(F.col("fp").alias("b")), F.col("word") == F.col("b"))
+                .select(F.col("fp").alias("a"), "b").filter("a < b"))
+    else:
+        many = (words.groupBy("word").agg(F.collect_list("fp").alias("fps")).filter("size(fps) > 1")
+                .select(F.array_min("fps").alias("a"), F.explode("fps").alias("b")).filter("a <> b"))
     return few.unionByName(many)
 
 

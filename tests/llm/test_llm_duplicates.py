@@ -81,6 +81,12 @@ def test_links_find_every_component_crowded_or_not(spark):
             assert [found.get(signed(p), signed(p)) for p in prints] == want, (bits, crowd)
 
 
+def test_links_at_one_bit_in_a_crowded_cell(spark):
+    df = spark.createDataFrame([(0b0100,), (0b1100,), (0b1101,), (0b1001,)], "fp long")
+    found = {r["node"]: r["root"] for r in graph.components(simhash_grid.links(df, 1, 1)).collect()}
+    assert found == dict.fromkeys((0b0100, 0b1100, 0b1101, 0b1001), 0b0100)
+
+
 def test_pipeline_keeps_different_texts_of_one_id(spark):
     texts = [" ".join(f"{c}{i * 31 % 97}" for i in range(60)) for c in "abcd"]
     rows = [(7, texts[0]), (7, texts[1]), (7, texts[1]), (3, texts[0]), (8, texts[2]), (9, texts[2]), (9, texts[3]),
