@@ -17,14 +17,17 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
     """``(text, label)`` of up to ``per_class`` labelled rows of either class, and the full class counts.
 
     Only rows outside the held-out fold are read. Ids labelled more than once or in two ways count
-    by their mean label, ties as 1; null ids and null labels teach nothing. The sample takes the
-    rows least by hash, so it is the same on every run and every partitioning.
+    by their mean label, ties as 1; null ids and null labels teach nothing. Rows equal in id and text
+    count once; labels of ids that are not in ``docs`` do not count. The sample takes the rows least
+    by hash, so it is the same on every run and every partitioning.
     """
     ids = (labels.filter(F.col(id_col).isNotNull() & F.col(label).isNotNull() & (fold(id_col, folds) != held_out))
            .groupBy(F.col(id_col).alias("id")).agg((F.avg(label) >= 0.5).cast("int").alias("label")))
-    counts = {r["label"]: r["n"] for r in ids.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    order = [F.xxhash64("id"), F.col("id")]
-    sample = [ids.filter(F.col("label") == v).orderBy(*order).limit(per_class) for v in (0, 1)]
-    wanted = F.broadcast(sample[0].unionByName(sample[1]))       # at most 2 * per_class rows of two numbers
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text")).join(wanted, "id")
+    body = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text")).withColumn("mark", F.xxhash64("text"))
+    present = body.select("id", "mark").distinct().join(ids, "id")
+    counts = {r["label"]: r["n"] for r in present.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    order = [F.xxhash64("id"), F.col("id"), F.col("mark")]
+    sample = [present.filter(F.col("label") == v).orderBy(*order).limit(per_class) for v in (0, 1)]
+    wanted = F.broadcast(sample[0].unionByName(sample[1]))       # at most 2 * per_class rows of three numbers
+    rows = body.join(wanted, ["id", "mark"]).dropDuplicates(["id", "mark"])
     return rows.select("text", "label"), counts

@@ -35,6 +35,18 @@ def test_sample_leaves_the_held_out_fold(spark):
     assert sum(counts.values()) == sum(zlib.crc32(str(i).encode()) % 3 != 1 for i in range(200))
 
 
+def test_training_sample_counts_only_labels_of_rows_that_are_there(spark):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(20)] + [(3, "text 3")] * 30 + [(4, "other")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int")
+    every, counts = L.training_sample(docs, labels, "toxic", 3, 1, 50)
+    taught = [i for i in range(20) if zlib.crc32(str(i).encode()) % 3 != 1]
+    want = [(f"text {i}", i % 2) for i in taught] + [("other", 0)] * (4 in taught)
+    assert sorted(map(tuple, every.collect())) == sorted(want)
+    assert counts == {v: sum(x == v for _, x in want) for v in (0, 1)}
+    few, again = L.training_sample(docs, labels, "toxic", 3, 1, 2)
+    assert again == counts and sorted(r["label"] for r in few.collect()) == [0, 0, 1, 1]
+
+
 def synthetic(spark):
     """Toxic words in a few sentences of long texts; shouting and symbols in bad ones."""
     rng = np.random.default_rng(3)
