@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fabflow.llm import bpe_tree, decontaminate, license_join, pairwise_quality, piece_counts, simhash_grid, substring_blocks, suffix_rules, toxicity_mil, url_segments
+from fabflow.llm import bpe_tree, decontaminate, license_join, pairwise_quality, piece_counts, simhash_grid, substring_blocks, suffix_rules, toxicity_mil, url_segments, vector_codes
 from fabflow.llm.rows import read_table
 
 
@@ -64,6 +64,13 @@ def op10_substring_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
+    code = F.array_join(F.transform("codes", lambda c: F.lpad(F.lower(F.hex(c)), 2, "0")), "")
+    return coded.select("vec_id", code.alias("code"), "error", "label_error",
+                        F.lit(vector_codes.digest(books)).alias("codebooks_sha256"))
+
+
 QUERIES = {
     "op1_bpe_tree": op1_bpe_tree,
     "op2_pairwise_quality": op2_pairwise_quality,
@@ -75,6 +82,7 @@ QUERIES = {
     "op8_toxicity_mil": op8_toxicity_mil,
     "op9_license_join": op9_license_join,
     "op10_substring_blocks": op10_substring_blocks,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 ORACLE: dict[str, str] = {
@@ -82,4 +90,5 @@ ORACLE: dict[str, str] = {
     "op7_decontaminate": decontaminate.ORACLE_OP7,
     "op9_license_join": license_join.oracle_sql(),
     "op10_substring_blocks": substring_blocks.ORACLE_OP10,
+    "op13_vector_codes": vector_codes.ORACLE_OP13,
 }
