@@ -10,7 +10,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fabflow.llm import bpe_tree, decontaminate, license_join, pairwise_quality, piece_counts, simhash_grid, substring_blocks, suffix_rules, toxicity_mil, url_segments, vector_codes
+from fabflow.llm import (
+    bpe_tree, decontaminate, language_id, license_join, pairwise_quality, piece_counts, simhash_grid, source_divergence,
+    substring_blocks, suffix_rules, toxicity_mil, url_segments, vector_codes,
+)
 from fabflow.llm.rows import read_table
 
 
@@ -64,6 +67,15 @@ def op10_substring_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return language_id.predictions(language_id.score(docs, language_id.train(docs, folds=4, held_out=2)), "doc_id", 4, 2)
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded, books = vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
     code = F.array_join(F.transform("codes", lambda c: F.lpad(F.lower(F.hex(c)), 2, "0")), "")
@@ -82,6 +94,8 @@ QUERIES = {
     "op8_toxicity_mil": op8_toxicity_mil,
     "op9_license_join": op9_license_join,
     "op10_substring_blocks": op10_substring_blocks,
+    "op11_language_id": op11_language_id,
+    "op12_source_divergence": op12_source_divergence,
     "op13_vector_codes": op13_vector_codes,
 }
 
@@ -90,5 +104,6 @@ ORACLE: dict[str, str] = {
     "op7_decontaminate": decontaminate.ORACLE_OP7,
     "op9_license_join": license_join.oracle_sql(),
     "op10_substring_blocks": substring_blocks.ORACLE_OP10,
+    "op12_source_divergence": source_divergence.ORACLE_OP12,
     "op13_vector_codes": vector_codes.ORACLE_OP13,
 }
