@@ -1,13 +1,21 @@
 """Benchmark decontamination with one Aho-Corasick automaton over normalised test items.
 
 Texts and items are normalised alike: A-Z lower-cased, every other ASCII character that is no letter
-or digit becomes a separator, all else stays. The words of an item, ten at a time, are the patterns;
-the automaton reads a document's words, joined by single spaces, once. Normalising keeps every byte
-in its place until the words are joined, so a match is mapped back by its word number to the bytes
+or digit becomes a separator, all else stays. Words become symbols of one alphabet (words that no
+item has share one), so the automaton reads a document once, word by word.
+
+A hit is a run of ``width`` words in common with an item. Its patterns are not the items' overlapping
+windows but their consecutive blocks of ``(width + 1) // 2`` words: every window holds one such block
+whole, so each match of a window is met by a block, which is then extended to both sides as far as
+text and item agree; runs of ``width`` words or more count. So the automaton is as large as the items,
+not ``width`` times that. An item of fewer words is one pattern as it stands.
+
+Normalising keeps every byte in its place, so a run is mapped back by its word numbers to the bytes
 and code points of the original text.
 
-The patterns are broadcast. Their total size is measured first; above BLOCK_BYTES they are dealt by
-hash over as many automata as needed, each used in a pass of its own over the texts.
+The items are broadcast. Their size is measured first; above BLOCK_BYTES of text (or a million
+different words) they are dealt by hash over as many automata as needed, each used in a pass of its
+own over the texts.
 """
 
 from __future__ import annotations
@@ -22,8 +30,10 @@ from pyspark.sql import functions as F
 
 from fabflow.llm.rows import map_texts, staged
 
-#: Bytes of patterns and their item ids in one automaton (one broadcast).
-BLOCK_BYTES = 2 << 20
+#: Bytes of normalised items and their ids in one automaton (one broadcast).
+BLOCK_BYTES = 16 << 20
+#: Different words one automaton can have symbols for (code points without surrogates).
+MAX_WORDS = 1_000_000
 #: Every byte to itself, A-Z to lower case, other ASCII without digits and letters to a space.
 NORMAL = bytes(c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
 
@@ -32,34 +42,77 @@ def words_of(data: bytes) -> list[bytes]:
     return data.translate(NORMAL).split()
 
 
-def item_windows(items: DataFrame, item_id: str, text: str, width: int) -> DataFrame:
-    """Distinct windows of the items: ``pattern`` (words between single spaces), ``n``, ``items``.
+def item_bodies(items: DataFrame, item_id: str, text: str) -> DataFrame:
+    """Distinct items that have words: ``body`` (words between single spaces), ``n`` words, ``items``.
 
-    An item of fewer than ``width`` words is one window; an item without words has none. ``items``
-    lists the distinct ids as sorted strings (null ids are left out, their windows stay).
+    ``items`` lists the distinct ids as sorted strings (null ids are left out, their text stays).
     """
     def make():
         def row(data: bytes):
             w = words_of(data)
-            n = min(width, len(w))
-            return ([b" ".join(w[i:i + n]).decode("latin-1") for i in range(len(w) - n + 1)] if n else [], n)
+            return b" ".join(w).decode("latin-1"), len(w)
 
         return row
 
-    cut = map_texts(items, [item_id], text, make, [("patterns", "array<string>"), ("n", "int")])
-    return (cut.select(F.col(f"`{item_id}`").cast("string").alias("item"), "n", F.explode("patterns").alias("pattern"))
-            .groupBy("pattern", "n").agg(F.array_sort(F.collect_set("item")).alias("items")))
-
-
-def _automaton(patterns: Sequence[tuple[str, int, list[str]]]) -> ahocorasick.Automaton:
-    found = ahocorasick.Automaton()
-    for pattern, n, items in patterns:
-        found.add_word(f" {pattern} ", (len(pattern) + 2, n, items))
-    found.make_automaton()
-    return found
-
-
-def scan(data: bytes, automaton: ahocorasick.Automaton | None):
+    cut = map_texts(items, [item_id], text, make, [("body", "string"), ("n", "int")]).filter("n > 0")
+    return (cut.select(F.col(f"`{item_id}`").cast("string").alias("item"), "n", "body")
+            .groupBy("body", "n").agg(F.array_sort(F.collect_set("item")).alias("items")))
+
+
+class Matcher:
+    """Finds the runs a text has in common with any of the items."""
+
+    def __init__(self, rows: Sequence[tuple[str, list[str]]], width: int):
+        self.width, self.names, self.symbols, self.bodies = width, [], {}, []
+        places: dict[str, list[tuple[int, int]]] = {}
+        block = (width + 1) // 2
+        for number, (body, names) in enumerate(rows):
+            own = "".join([self._symbol(w) for w in body.encode("latin-1").split(b" ")])
+            self.names.append(names)
+            self.bodies.append(own)
+            if len(own) < width:
+                places.setdefault(own, []).append((number, -1))
+            else:
+                for at in range(0, len(own) - block + 1, block):
+                    places.setdefault(own[at:at + block], []).append((number, at))
+        self.automaton = ahocorasick.Automaton()
+        for pattern, where in places.items():
+            self.automaton.add_word(pattern, (len(pattern), where))
+        self.automaton.make_automaton()
+
+    def _symbol(self, word: bytes) -> str:
+        got = self.symbols.get(word)
+        if got is None:
+            code = len(self.symbols) + 1
+            got = self.symbols[word] = chr(code if code < 0xD800 else code + 0x800)
+        return got
+
+    def runs(self, words: list[bytes]) -> list[tuple[int, int, int]]:
+        """``(first word, end word, item number)`` of every maximal common run that counts."""
+        get = self.symbols.get
+        text = "".join([get(w, "\0") for w in words])
+        found, done = [], {}
+        for end, (size, where) in self.automaton.iter(text):
+            start = end - size + 1
+            for number, at in where:
+                if at < 0:
+                    found.append((start, end + 1, number))
+                    continue
+                own, lane = self.bodies[number], (number, start - at)
+                if done.get(lane, -1) > start:                    # inside a run that is known already
+                    continue
+                low, high, shift = start, end + 1, at - start
+                while low > 0 and low + shift > 0 and text[low - 1] == own[low - 1 + shift]:
+                    low -= 1
+                while high < len(text) and high + shift < len(own) and text[high] == own[high + shift]:
+                    high += 1
+                done[lane] = high
+                if high - low >= self.width:
+                    found.append((low, high, number))
+        return found
+
+
+def scan(data: bytes, matcher: Matcher | None):
     """``(n_words, first words, end words, from, to, items)`` of one text.
 
     The ranges are maximal runs of hit words, as word numbers (end exclusive) and as code points of
@@ -68,19 +121,14 @@ def scan(data: bytes, automaton: ahocorasick.Automaton | None):
     normal = data.translate(NORMAL)
     words = normal.split()
     none = (len(words), [], [], [], [], [])
-    if not automaton or not words:
-        return none
-    joined = (b" " + b" ".join(words) + b" ").decode("latin-1")
-    hits = list(automaton.iter(joined))
+    hits = matcher.runs(words) if matcher and words else []
     if not hits:
         return none
-    at = np.cumsum([0, *(len(w) + 1 for w in words)])        # place of the space before each word
     covered, items = np.zeros(len(words) + 1, np.int64), set()
-    for end, (size, n, names) in hits:
-        k = int(np.searchsorted(at, end - size + 1))
-        covered[k] += 1
-        covered[k + n] -= 1
-        items.update(names)
+    for low, high, number in hits:
+        covered[low] += 1
+        covered[high] -= 1
+        items.update(matcher.names[number])
     inside = np.concatenate(([0], np.cumsum(covered)[:-1] > 0, [0])).astype(np.int8)
     edges = np.diff(inside)
     first, last = np.nonzero(edges == 1)[0].tolist(), np.nonzero(edges == -1)[0].tolist()
@@ -103,24 +151,27 @@ def contaminated(df: DataFrame, items: DataFrame, keep: Sequence[str] = ("doc_id
     Null and empty texts have no words; null and empty items no windows; repeated rows stay and
     repeated items count once. Without items nothing is hit. Whole texts are read.
     """
-    windows = staged(item_windows(items, item_id, item_text, width), "item-windows")
-    size = F.length("pattern") + 2 + F.length(F.array_join("items", ","))
-    total = windows.agg(F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()["b"]
-    blocks = max(1, -(-total // BLOCK_BYTES))
-    part = F.pmod(F.xxhash64("pattern"), F.lit(blocks))
+    bodies = staged(item_bodies(items, item_id, item_text), "item-bodies")
+    size = F.length("body") + F.length(F.array_join("items", ","))
+    total, words = bodies.agg(F.coalesce(F.sum(size), F.lit(0)),
+                              F.coalesce(F.sum("n"), F.lit(0))).first()
+    if words > MAX_WORDS:
+        words = bodies.select(F.explode(F.split("body", " ")).alias("w")).distinct().count()
+    blocks = max(1, -(-total // BLOCK_BYTES), -(-words // MAX_WORDS))
+    part = F.pmod(F.xxhash64("body"), F.lit(blocks))
     sc = df.sparkSession.sparkContext
     names = ["scanned" if k == text else f"key{i}" for i, k in enumerate(keep)]    # the text travels once
     out = df.select(*[F.col(f"`{k}`").alias(n) for k, n in zip(keep, names, strict=True) if k != text],
                     F.col(f"`{text}`").cast("string").alias("scanned"))
     for b in range(blocks):
-        rows = [tuple(r) for r in windows.filter(part == b).select("pattern", "n", "items").toLocalIterator()]
-        shared = sc.broadcast({"patterns": rows})
+        rows = [tuple(r) for r in bodies.filter(part == b).select("body", "items").toLocalIterator()]
+        shared = sc.broadcast({"items": rows})
 
         def make(shared=shared):
             state = shared.value
-            if "automaton" not in state:
-                state["automaton"] = _automaton(state["patterns"]) if state["patterns"] else None
-            return lambda data: scan(data, state["automaton"])
+            if "matcher" not in state:
+                state["matcher"] = Matcher(state.pop("items"), width) if state["items"] else None     # once per worker process
+            return lambda data: scan(data, state["matcher"])
 
         last = b + 1 == blocks
         found = [c for c in out.columns if c not in names and c != "scanned"]

@@ -232,7 +232,7 @@ def blocks(table: DataFrame, limit: int) -> Iterator[dict[str, tuple[int, int]]]
 
 
 def recount(docs: DataFrame, table: DataFrame, langs: DataFrame, block: dict[str, tuple[int, int]]) -> DataFrame:
-    """``(lang, source, shard, slot, n)`` for the shards of one block: partial counts of each task."""
+    """``(lang, shard, source, slot, n)`` for the shards of one block, written; its broadcast is gone afterwards."""
     mine = F.lit(False)
     for lang, (first, last) in block.items():
         mine = mine | ((F.col("lang") == lang) & F.col("shard").between(first, last))
@@ -290,7 +290,10 @@ def recount(docs: DataFrame, table: DataFrame, langs: DataFrame, block: dict[str
                     waiting, size = {}, 0
         yield from flush()
 
-    return docs.filter(F.col("lang").isin(list(block))).mapInArrow(run, "lang string, source string, shard long, slot int, n long")
+    part = docs.filter(F.col("lang").isin(list(block))).mapInArrow(run, "lang string, source string, shard long, slot int, n long")
+    counts = staged(part.groupBy("lang", "shard", "source", "slot").agg(F.sum("n").alias("n")), "divergence-counts")
+    shared.destroy()
+    return counts
 
 
 def shares(counts: np.ndarray, total: np.ndarray) -> np.ndarray:
@@ -380,8 +383,7 @@ def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
         part = recount(rows, table, langs, block)
         cells = part if cells is None else cells.unionByName(part)
     if cells is None:
-        cells = rows.sparkSession.createDataFrame([], "lang string, source string, shard long, slot int, n long")
-    cells = staged(cells.groupBy("lang", "shard", "source", "slot").agg(F.sum("n").alias("n")), "divergence-counts")
+        cells = rows.sparkSession.createDataFrame([], "lang string, shard long, source string, slot int, n long")
 
     of = cells.groupBy(F.col("lang").alias("l"), F.col("source").alias("s")).agg(F.sum("n").alias("total"))
     marks = (groups.join(of, F.expr("lang = l and source = s"), "left").join(langs, "lang")

@@ -3,28 +3,31 @@
 Rules decide the urls they fit, the longest rule first. For all others a multinomial naive Bayes
 model decides, learnt from the urls that the rules decide, over the words of host and path. Names
 such as ``thedailynews`` are split first: the words' unigram counts come from the pages' own text
-(every page), and Viterbi picks the split of highest probability. A word unknown to the counts costs
-``10 / (N * 10^length)``, so unknown stretches stay whole rather than fall into letters.
-
-Nothing here is collected or broadcast: names are made distinct, their substrings (up to MAX_WORD
-letters) are joined with the counts, and each name is split from the few substrings that are words.
-The model is a table of word counts by class, joined by word. Urls with equal host and path are
-scored once and weigh by their number.
+(every word of every page, however rare or long), and Viterbi picks the split of highest probability.
+A word unknown to the counts costs ``10 / (N * 10^length)``, so unknown stretches stay whole rather
+than fall into letters.
+
+Names are made distinct and each is split from the few substrings that are words, which three
+equality joins find: substrings of up to SHORT letters meet the counts of such words as a broadcast
+(at most 26 + 26^2 + 26^3 rows; single letters stand in every name, so as join keys they would all
+be hot), those of up to STEM letters meet them by shuffle, and longer words are met by their first
+STEM letters and compared in full. So a name of n letters makes about STEM * n rows, not n^2. The model is
+a table of word counts by class, joined by word. Urls with equal host and path are scored once and
+weigh by their number.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from math import log
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Letters of the longest unigram.
-MAX_WORD = 16
-#: Unigrams seen fewer times than this in the corpus do not count as words.
-MIN_COUNT = 3
+#: Letters up to which words are few enough to broadcast, and from which longer words are met by a common start.
+SHORT, STEM = 3, 16
 #: Rules as (verdict, host, path start).
 RULES = (
     ("allow", "org", "/"),
@@ -54,12 +57,11 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]] =
     return name, verdict
 
 
-def unigrams(pages: DataFrame, text: str, min_count: int = MIN_COUNT, max_word: int = MAX_WORD) -> DataFrame:
-    """``word, n``: lower-case runs of letters in the pages' visible text, over all pages."""
+def unigrams(pages: DataFrame, text: str) -> DataFrame:
+    """``word, n``: lower-case runs of letters (any script) in the pages' visible text, over all pages."""
     visible = F.lower(F.regexp_replace(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")), r"<[^>]*>", " "))
     words = F.explode(F.regexp_extract_all(visible, F.lit(r"[\p{L}]+"), F.lit(0)))
-    return (pages.select(words.alias("word")).filter(F.col("word").rlike(f"^[a-z]{{1,{max_word}}}$"))
-            .groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= min_count))
+    return pages.select(words.alias("word")).groupBy("word").agg(F.count("*").alias("n"))
 
 
 def viterbi(name: str, words: dict[tuple[int, int], float], total: float) -> list[str]:
@@ -90,14 +92,32 @@ def viterbi(name: str, words: dict[tuple[int, int], float], total: float) -> lis
     return out[::-1]
 
 
-def segment(names: DataFrame, counts: DataFrame, max_word: int = MAX_WORD) -> DataFrame:
+def word_places(names: DataFrame, counts: DataFrame) -> DataFrame:
+    """``name, start, size, n`` for every place of every counted word inside a name of lower-case letters."""
+    length = F.length("name")
+    starts = names.select("name", F.explode(F.sequence(F.lit(1), length)).alias("start"))
+    room = length - F.col("start") + 1
+
+    def cuts(low: int, high: int) -> DataFrame:
+        return (starts.filter(room >= low)
+                .select("name", "start", F.explode(F.sequence(F.lit(low), F.least(F.lit(high), room))).alias("size"))
+                .select("name", "start", "size", F.substring("name", F.col("start"), F.col("size")).alias("word")))
+
+    letters = counts.filter(F.col("word").rlike("^[a-z]+$"))
+    size = F.length("word")
+    short = cuts(1, SHORT).join(F.broadcast(letters.filter(size <= SHORT)), "word")
+    middle = cuts(SHORT + 1, STEM).join(letters.filter((size > SHORT) & (size <= STEM)), "word")
+    stems = letters.filter(size > STEM).select(F.substring("word", 1, STEM).alias("stem"), F.col("word").alias("whole"), "n")
+    long = (cuts(STEM, STEM).withColumnRenamed("word", "stem").join(stems, "stem")
+            .filter(F.substring("name", F.col("start"), F.length("whole")) == F.col("whole"))
+            .withColumn("size", F.length("whole")))
+    return reduce(DataFrame.unionByName, [t.select("name", "start", "size", "n") for t in (short, middle, long)])
+
+
+def segment(names: DataFrame, counts: DataFrame) -> DataFrame:
     """``name, words`` for every distinct name of lower-case letters."""
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total")).first()["total"]
-    length = F.length("name")
-    cuts = (names.select("name", F.explode(F.sequence(F.lit(1), length)).alias("start"))
-            .select("name", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(max_word), length - F.col("start") + 1))).alias("size"))
-            .select("name", "start", "size", F.substring("name", F.col("start"), F.col("size")).alias("word")))
-    found = (cuts.join(counts, "word").groupBy("name")
+    found = (word_places(names, counts).groupBy("name")
              .agg(F.collect_list(F.struct((F.col("start") - 1).alias("start"), "size", F.col("n").cast("double").alias("n"))).alias("found")))
     rows = names.join(found, "name", "left").select("name", "found")
 

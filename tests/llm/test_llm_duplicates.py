@@ -196,6 +196,35 @@ def test_decontamination_rows(spark, monkeypatch):
     assert sorted(map(tuple, decontaminate.digests(decontaminate.contaminated(frame(spark), items)).collect()), key=str) == want
 
 
+def test_decontamination_of_random_overlaps(spark, monkeypatch):
+    rng = random.Random(12)
+    items = [(f"i{i}", " ".join(rng.choice("abc") for _ in range(rng.choice([1, 2, 4, 6, 7, 9, 12, 17, 30])))) for i in range(40)] + [("far", "q " * 40)]
+    docs = []
+    for i in range(60):
+        words = []
+        for _ in range(rng.randint(0, 4)):
+            words += [rng.choice("abcz") for _ in range(rng.randint(0, 12))]
+            w = rng.choice(items)[1].split()
+            a = rng.randint(0, len(w))
+            words += w[a:rng.randint(a, len(w))]
+        docs.append((i, " ".join(words)))
+    table = spark.createDataFrame(items, "item_id string, text string")
+    for width, limit in ((7, 1 << 20), (10, 200), (2, 300), (1, 1 << 20)):
+        monkeypatch.setattr(decontaminate, "BLOCK_BYTES", limit)
+        got = decontaminate.digests(decontaminate.contaminated(frame(spark, docs), table, width=width)).collect()
+        assert sorted(map(tuple, got), key=str) == sorted(brute_hits(docs, items, width), key=str), width
+
+
+def test_a_large_benchmark_is_one_pass_over_the_texts(spark):
+    rng = random.Random(13)
+    items = [(f"i{i}", " ".join(f"w{rng.randrange(200_000)}" for _ in range(120))) for i in range(3000)]       # 2.5 MB; its windows are 25 MB
+    docs = [(1, "before " + items[77][1] + " after"), (2, "nothing at all"), (3, " ".join(items[5][1].split()[50:59])), (4, " ".join(items[5][1].split()[50:60]))]
+    found = decontaminate.contaminated(frame(spark, docs), spark.createDataFrame(items, "item_id string, text string"))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    got = {r["doc_id"]: (r["n_hit"], list(r["items"])) for r in found.collect()}
+    assert got == {1: (120, ["i77"]), 2: (0, []), 3: (0, []), 4: (10, ["i5"])}
+
+
 def test_decontamination_of_nothing(spark):
     none = spark.createDataFrame([], "item_id string, text string")
     assert decontaminate.contaminated(frame(spark), none).filter("n_hit > 0").count() == 0

@@ -59,6 +59,36 @@ def test_suffix_rule_rows(spark):
     assert suffix_rules.judge(empty(spark)).count() == 0
 
 
+def common(a, b):
+    """Length of the longest common subsequence."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b, 1):
+            new.append(row[j - 1] + 1 if x == y else max(row[j], new[-1]))
+        row = new
+    return row[-1]
+
+
+def brute_match(run, number):
+    """Whether the run reads as the template, by trying every stretch and every place of every required word."""
+    text = license_join.TEMPLATES[number][0].split()
+    need = license_join._needed(" ".join(text), license_join.THRESHOLD)
+    required, excluded = license_join.tell_apart(number, license_join.TEMPLATES, license_join.THRESHOLD)
+    if len(set(run) & set(text)) < need:
+        return False
+    for i, w in enumerate(run):
+        if w not in text:
+            continue
+        stretch = run[i:i + 2 * len(text)]
+        stretch = stretch[:next((k for k, x in enumerate(stretch) if x in excluded), len(stretch))]
+        good = [any(x == r and common(stretch[:p], text[:text.index(r)]) + 1 + common(stretch[p + 1:], text[text.index(r) + 1:]) >= need
+                    for p, x in enumerate(stretch)) for r in required]
+        if all(good) and (required or common(stretch, text) >= need):
+            return True
+    return False
+
+
 def brute_license(text):
     words = NAME_WORD.findall(lower(text))
     places, base, more, share = [], set(), set(), 0.0
@@ -68,13 +98,13 @@ def brute_license(text):
             if words[p:p + len(parts)] == parts:
                 places.append(p)
                 base.add(label)
-    for line in (text or "").split("\n"):
-        own = set(NAME_WORD.findall(lower(line)))
-        for template, label in license_join.TEMPLATES:
-            t = set(template.split())
-            if len(own & t) >= license_join._needed(template, license_join.THRESHOLD):
+    span = max(len(t.split()) for t, _ in license_join.TEMPLATES)
+    for k in range(max(-(-len(words) // span) - 2, 0) + 1):
+        run = words[k * span:(k + 2) * span]
+        for number, (template, label) in enumerate(license_join.TEMPLATES):
+            if brute_match(run, number):
                 more.add(label)
-                share = max(share, len(own & t) / len(t))
+                share = max(share, len(set(run) & set(template.split())) / len(set(template.split())))
     return (len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)),
             ",".join(sorted(base | more)), 1.0 if base else round(share, 6))
 
@@ -84,8 +114,9 @@ def test_license_rows(spark):
     docs = list(DOCS)
     for i in range(60):        # template words dropped, doubled, shuffled, mixed with others and with other scripts
         words = rng.choice(license_join.TEMPLATES)[0].split()
-        words = [w for w in words if rng.random() > 0.12] + rng.choices(["the", "K", "İmit", "étude", "of"], k=rng.randint(0, 3))
-        rng.shuffle(words)
+        words = [w for w in words if rng.random() > 0.12] + rng.choices(["the", "K", "İmit", "étude", "of", "nc", "sa"], k=rng.randint(0, 3))
+        if rng.random() < 0.4:
+            rng.shuffle(words)
         docs.append((100 + i, "x y\n" + rng.choice([" ", ", ", "--"]).join(w.upper() if rng.random() < 0.3 else w for w in words) + "\nz"))
     docs += [(200, "Cc\n\nBY cc-by"), (201, "no licence at all"), (201, "cc by")]
     rows = license_join.scan(frame(spark, docs)).collect()
@@ -103,11 +134,50 @@ def test_license_notices_that_wrap(spark):
             (5, "Der schheitau der den mit.\nLicensed under the Apache License, Version 2.0.")]
     got = {r["doc_id"]: (r["labels"], r["score"]) for r in license_join.scan(frame(spark, docs)).collect()}
     assert got[1] == ("bsd", 1.0) and all(got[10 + k] == ("mit", 1.0) for k in range(0, 34, 3))
-    assert got[2] == ("apache-2.0", 1.0) and got[3] == got[4] == ("", 0.0)
+    assert got[2] == got[3] == got[4] == ("", 0.0)
     assert got[5] == ("apache-2.0", 1.0)
     assert license_join.template_blocks(frame(spark, [(1, f"\n\n{bsd}")], False), ["doc_id"], "text").first()["block"] == 2
 
 
+#: (text, labels): notices as people write them, and prose that holds the same words.
+NOTICES = [
+    ("Licensed under CC BY-NC 4.0.", "cc-by,cc-by-nc-4.0"), ("licensed under\nCC-BY-SA 4.0", "cc-by,cc-by-sa-4.0"), ("Licensed under CC BY 4.0", "cc-by,cc-by-4.0"),
+    ("Text is licensed under CC BY-NC 4.0. Pictures are licensed under CC BY-SA 4.0.", "cc-by,cc-by-nc-4.0,cc-by-sa-4.0"),
+    ("Text licensed under CC BY 4.0; data licensed under CC BY-NC 4.0", "cc-by,cc-by-4.0,cc-by-nc-4.0"),
+    ("Released under the MIT License.", "mit"), ("This library is licensed under the terms of the MIT license", "mit"),
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy\n of this software", "mit"),
+    ("Licensed under the Apache License, Version 2.0 (the License);", "apache-2.0"),
+    ("you may not use this file except in compliance with the License.", "apache-2.0"),
+    ("This work is licensed under the GNU General Public License, version 3", "gpl,gpl-3.0"),
+    ("This program is free software: you can redistribute it and/or modify it under", "gpl"),
+    ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted", "bsd"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "mpl-2.0"),
+    ("This is free and unencumbered software released into the public domain.", "unlicense"),
+    ("This work is licensed under a Creative Commons Attribution license", "cc-by"),
+    ("She was released from MIT in June. A search began under the bridge; a driving license was found under her desk.", ""),
+    ("the license under which mit was released", ""), ("A license of 2 parts by 4 poets, under 0 laws, cc nobody: licensed", ""),
+    ("Der schheitau der den mit.\nThe licensed under writer had a license", ""), ("version 2 of the apache tale was licensed, under 0 license", ""),
+    ("free software person, granted a copy: permission to charge is hereby any", ""), ("licensed under cc by 4 men in raleigh nc 0 times", "cc-by"),
+    ("released " + "x " * 30 + "under the mit " + "y " * 30 + "license", ""),
+]
+
+
+def test_license_labels_are_right_on_notices_and_prose(spark):
+    filler = "word " * 40
+    docs = [(i, t) for i, (t, _) in enumerate(NOTICES)] + [(100 + i, filler + t + " " + filler) for i, (t, _) in enumerate(NOTICES)]
+    got = {r["doc_id"]: r["labels"] for r in license_join.scan(frame(spark, docs)).collect()}
+    want = {k + i: labels for i, (_, labels) in enumerate(NOTICES) for k in (0, 100)}
+    found = {(i, x) for i, labels in got.items() for x in labels.split(",") if x}
+    true = {(i, x) for i, labels in want.items() for x in labels.split(",") if x}
+    assert found == true, (found - true, true - found)              # precision and recall are both 1
+
+
+def test_words_that_tell_licences_apart():
+    told = {t: license_join.tell_apart(i, license_join.TEMPLATES, license_join.THRESHOLD) for i, (t, _) in enumerate(license_join.TEMPLATES)}
+    assert told["licensed under cc by nc 4 0"] == (["nc"], []) and told["licensed under cc by 4 0"] == ([], ["nc", "sa"])
+    assert told["licensed under the mit license"] == ([], [])
+
+
 def test_license_plan_runs_no_python(spark):
     df = license_join.scan(frame(spark))
     plan = df._jdf.queryExecution().executedPlan().toString()
@@ -196,5 +266,67 @@ def test_url_odds_equal_brute_force(spark):
         assert got[i] == pytest.approx(want, abs=1e-8)
 
 
+def test_words_of_any_count_and_length_split_names(spark):
+    long = "pneumonoultramicroscopicsilicovolcanoconiosis"
+    pages = spark.createDataFrame([("the blue garden a Blue garden " + long + " " + long[:20] + " äöü ab",), ("blue<b>x</b> nothing",)], "html string")
+    counts = url_segments.unigrams(pages, "html")
+    assert {r["word"]: r["n"] for r in counts.collect()} == {"the": 1, "blue": 3, "garden": 2, "a": 1, long: 1, long[:20]: 1, "äöü": 1, "ab": 1, "x": 1, "nothing": 1}
+    names = spark.createDataFrame([("bluegarden",), ("the" + long + "garden",), (long[:20] + "blue",), ("zzz",), ("abx",)], "name string")
+    places = {(r["name"], r["start"], r["size"], r["n"]) for r in url_segments.word_places(names, counts).collect()}
+    words = {r["word"]: r["n"] for r in counts.collect()}
+    assert places == {(n, i + 1, k, words[n[i:i + k]]) for (n,) in names.collect() for i in range(len(n)) for k in range(1, len(n) - i + 1) if n[i:i + k] in words}
+    got = {r["name"]: r["words"] for r in url_segments.segment(names, counts).collect()}
+    assert got["bluegarden"] == ["blue", "garden"] and got["the" + long + "garden"] == ["the", long, "garden"]
+    assert got[long[:20] + "blue"] == [long[:20], "blue"] and got["zzz"] == ["zzz"]
+
+
+def test_url_odds_with_split_names_equal_brute_force(spark):
+    rng = random.Random(9)
+    words = ["blue", "garden", "news", "the", "a", "s", "new", "day", "unseen"]
+    urls = [f"http://{''.join(rng.choices(words, k=rng.randint(1, 3)))}.{rng.choice(['com', 'net', 'org'])}/"
+            f"{rng.choice(['fr/', 'de/', ''])}{''.join(rng.choices(words, k=2))}" for _ in range(60)]
+    html = [" ".join(rng.choices(words[:-1], k=5)) + (" äß " if i % 9 == 0 else "") for i in range(60)]
+    pages = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(zip(urls, html, strict=True))], "page_id long, url string, html string")
+    got = {r["page_id"]: r["log_odds"] for r in url_segments.judge(pages).collect()}
+    counts = {}
+    for w in " ".join(html).split():
+        counts[w] = counts.get(w, 0) + 1
+    total = sum(counts.values())
+
+    def split(name):
+        def score(parts):
+            return sum(log(counts[w]) - log(total) if w in counts else log(10) - log(max(total, 100)) - len(w) * log(10) for w in parts)
+        best = [(0.0, [])]                                       # plain dynamic programme over all pieces
+        for end in range(1, len(name) + 1):
+            best.append(max((best[i][0] + score([name[i:end]]), best[i][1] + [name[i:end]]) for i in range(end)))
+        return best[-1]
+
+    def tokens(u):
+        host, path, _, verdict = brute_url(u)
+        out = []
+        for t in re.findall(r"[0-9]+|[^\x00-\x2F0-9\x3A-\x60\x7B-\x7F]+", f"{host} {lower(path)}"):
+            parts = url_segments.viterbi(t, {(i, k): log(counts[t[i:i + k]]) - log(total) for i in range(len(t))
+                                             for k in range(1, len(t) - i + 1) if t[i:i + k] in counts}, float(total))
+            best = split(t)[0]
+            mine = sum(log(counts[w]) - log(total) if w in counts else log(10) - log(max(total, 100)) - len(w) * log(10) for w in parts)
+            assert mine == pytest.approx(best)
+            out += parts
+        return out, verdict
+
+    seen, docs = {"allow": {}, "block": {}, None: {}}, {"allow": 0, "block": 0, None: 0}
+    for u in urls:
+        ts, v = tokens(u)
+        docs[v] += 1
+        for t in ts:
+            seen[v][t] = seen[v].get(t, 0) + 1
+    assert all(docs.values())
+    vocabulary = {t for v in seen.values() for t in v}
+    size = {v: sum(seen[v].values()) + len(vocabulary) + 1 for v in seen}
+    for i, u in enumerate(urls):
+        want = log((docs["allow"] + 1) / (docs["block"] + 1)) + sum(
+            log((seen["allow"].get(t, 0) + 1) / size["allow"]) - log((seen["block"].get(t, 0) + 1) / size["block"]) for t in tokens(u)[0])
+        assert got[i] == pytest.approx(want, abs=1e-8)
+
+
 def test_url_empty_table(spark):
     assert url_segments.judge(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
