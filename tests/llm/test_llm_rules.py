@@ -157,7 +157,7 @@ NOTICES = [
     ("She was released from MIT in June. A search began under the bridge; a driving license was found under her desk.", ""),
     ("the license under which mit was released", ""), ("A license of 2 parts by 4 poets, under 0 laws, cc nobody: licensed", ""),
     ("Der schheitau der den mit.\nThe licensed under writer had a license", ""), ("version 2 of the apache tale was licensed, under 0 license", ""),
-    ("free software person, granted a copy: permission to charge is hereby any", ""), ("licensed under cc by 4 men in raleigh nc 0 times", "cc-by"),
+    ("free software person, granted a copy: permission to charge is hereby any", ""), ("Licensed under CC BY 4.0 in Raleigh, NC", "cc-by,cc-by-4.0"),
     ("released " + "x " * 30 + "under the mit " + "y " * 30 + "license", ""),
 ]
 
