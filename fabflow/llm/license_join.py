@@ -271,7 +271,7 @@ lc AS (SELECT r, k, i, f, need, word, a, side, x, t, 0 AS p, list_transform(rang
        UNION ALL SELECT r, k, i, f, need, word, a, side, x, t, p + 1,
               list_transform(range(0, len(t) + 1), lambda j: CASE WHEN j = 0 THEN 0 ELSE list_max(list_transform(range(1, j + 1),
                   lambda q: CASE WHEN t[q] = x[p + 1] THEN v[q] + 1 ELSE v[q + 1] END)) END) FROM lc WHERE p < len(x)),
-an2 AS (SELECT r, k, i, f, need, word, a, sum(list_max(v)) + CASE WHEN word = '' THEN 0 ELSE 1 END AS ordered FROM lc WHERE p = len(x) GROUP BY ALL),
+an2 AS (SELECT r, k, i, f, need, word, a, sum(list_max(v)) + max(CASE WHEN word = '' THEN 0 ELSE 1 END) AS ordered FROM lc WHERE p = len(x) GROUP BY r, k, i, f, need, word, a),
 ok AS (SELECT r, k, i, f, count(DISTINCT word) AS c FROM an2 WHERE ordered >= need GROUP BY ALL),
 fo AS (SELECT DISTINCT m.r, m.k, m.i, m.c, label, n FROM ok JOIN tp USING (i) JOIN m USING (r, k, i) WHERE ok.c = kinds),
 ma AS (SELECT r, list_distinct(list(label)) AS more, max(c / n) AS share FROM fo GROUP BY 1)
