@@ -13,7 +13,10 @@ The write runs when the join is built.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from fabflow.session import staging_path
 
@@ -23,3 +26,18 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "left") -> DataF
     path = staging_path(big.sparkSession, "join-side")
     small.write.mode("overwrite").parquet(path)
     return big.join(big.sparkSession.read.schema(small.schema).parquet(path), on, how)
+
+
+def renamed(df: DataFrame, names, prefix: str = "_o") -> DataFrame:
+    """``df`` with a prefix on the given columns, for joins with a frame that has the same names."""
+    return df.withColumnsRenamed({n: prefix + n for n in names})
+
+
+def same(names, prefix: str = "_o") -> Column:
+    """Equality of the given columns with their ``renamed`` partners, null equal to null."""
+    return reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(prefix + n)) for n in names], F.lit(True))
+
+
+def join_groups(left: DataFrame, right: DataFrame, names, how: str = "left") -> DataFrame:
+    """``left`` and ``right`` joined on the given columns, null equal to null; the columns appear once."""
+    return left.join(renamed(right, names), same(names), how).drop(*["_o" + n for n in names])

@@ -3,35 +3,28 @@
 Plain Parquet tables refuse ``MERGE INTO``; the upsert is expressed as:
 
 1. touched partitions = those of the incoming rows + those where their keys are stored now
-   (collected once, checked against ``max_partitions``); null is a partition like any other
+   (collected once, checked against ``max_partitions``); null is a partition like any other.
+   Where keys are stored comes from a bucketed key table (:mod:`fabflow.operators.key_table`,
+   no shuffle of the stored side) or, without one, from the stored key column
 2. merged = latest row per key over (stored rows of touched partitions + incoming); the
    stored side is filtered by literal values, so the scan reads only those folders
-3. merged is written to ``<table>.upsert/data``, which cuts the lineage to the table being
-   replaced, followed by ``<table>.upsert/plan``, the list of touched partitions and whether
-   each still has rows
-4. the staged data is copied over the touched partitions with dynamic partition overwrite,
-   touched partitions that lost all rows are removed, then the staging folder goes
-
-A run that stops before the plan is complete has changed nothing; one that stops after it is
-finished by the next upsert (or ``recover_upsert``) from the staged data, since step 4 can be
-repeated. Rerunning with the same input is a no-op on the data.
+3. merged is written beside the table, which cuts the lineage to the files being replaced
+4. Spark's dynamic partition overwrite copies it over the touched partitions; touched
+   partitions without any row left are overwritten with none
+
+A run that stops before step 4 has changed nothing; one that stops after it is completed by the
+next upsert (or ``recover_upsert``), since step 4 can be repeated from what step 3 wrote. Rerunning
+with the same input is a no-op on the data. Where a table format with MERGE INTO is installed, use that.
 """
 
 from __future__ import annotations
 
-import json
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fabflow.operators.dedup import dedup_latest
-
-#: Spark's folder name for the null partition, and the characters it escapes in folder names.
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
-ESCAPED = re.compile(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""")
-PLAN = "value string, empty boolean, schema string"
+from fabflow.session import delete_path, path_exists
 
 
 def merge_latest(current: DataFrame, incoming: DataFrame, key="wafer_id", order="timestamp") -> DataFrame:
@@ -39,22 +32,6 @@ def merge_latest(current: DataFrame, incoming: DataFrame, key="wafer_id", order=
     return dedup_latest(current.unionByName(incoming), key, order)
 
 
-def _fs(spark: SparkSession, path: str):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return fs.exists(p)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    fs, p = _fs(spark, path)
-    if fs.exists(p):
-        fs.delete(p, True)
-
-
 def _stage(table_path: str) -> str:
     return table_path.rstrip("/") + ".upsert"
 
@@ -66,66 +43,95 @@ def _in_partitions(column: str, values: list) -> Column:
     return cond | F.col(column).isNull() if None in values else cond
 
 
-def _finish(spark: SparkSession, table_path: str, partition_col: str) -> dict:
-    """Step 4 from a complete staging folder; may be repeated."""
+def stored_schema(spark: SparkSession, table_path: str, incoming: T.StructType, partition_col: str) -> T.StructType:
+    """The table's own columns, the partition column with the incoming type (folder names have none).
+
+    Incoming columns that the table lacks, or has with another type, raise ValueError; an empty table
+    takes the incoming columns.
+    """
+    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    try:
+        own = files.parquet(table_path).schema
+    except Exception as e:  # noqa: BLE001  a folder without data files
+        if "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return incoming
+        raise
+    types = {f.name: f.dataType for f in own}
+    wrong = [f.name for f in incoming if f.name != partition_col and types.get(f.name) != f.dataType]
+    if wrong:
+        raise ValueError(f"incoming columns {wrong} are not in the table or have another type there")
+    return T.StructType([T.StructField(f.name, f.dataType) for f in own] + [T.StructField(partition_col, incoming[partition_col].dataType)])
+
+
+def _finish(spark: SparkSession, table_path: str, partition_col: str, schema: T.StructType) -> int:
+    """Step 4 from complete staged data; may be repeated. Returns the number of emptied partitions."""
     stage = _stage(table_path)
-    plan = spark.read.schema(PLAN).parquet(f"{stage}/plan").collect()   # one row per touched partition
-    if any(not r["empty"] for r in plan):
-        schema = T.StructType.fromJson(json.loads(plan[0]["schema"]))
-        (spark.read.schema(schema).parquet(f"{stage}/data").write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(table_path))
-    for r in plan:
-        if r["empty"]:
-            folder = NULL_PARTITION if r["value"] is None else ESCAPED.sub(lambda m: f"%{ord(m[0]):02X}", r["value"])
-            _delete(spark, f"{table_path.rstrip('/')}/{partition_col}={folder}")
-    _delete(spark, stage)
-    return {"touched_partitions": len(plan), "emptied_partitions": sum(r["empty"] for r in plan)}
-
-
-def recover_upsert(spark: SparkSession, table_path: str, partition_col: str = "date") -> dict | None:
+    plain = T.StructType([f for f in schema if f.name != partition_col])
+    emptied = [r["folder"] for r in spark.read.schema("folder string").parquet(f"{stage}/emptied").collect()]   # one per emptied partition
+    (spark.read.schema(schema).parquet(f"{stage}/data").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(table_path))
+    for folder in emptied:
+        spark.createDataFrame([], plain).write.mode("overwrite").parquet(folder)
+    delete_path(spark, stage)
+    return len(emptied)
+
+
+def recover_upsert(spark: SparkSession, table_path: str, schema: T.StructType, partition_col: str = "date") -> int | None:
     """Finish an upsert that stopped half-way, or clear one that had not begun to change the table."""
     stage = _stage(table_path)
-    if _path_exists(spark, f"{stage}/plan/_SUCCESS"):
-        return _finish(spark, table_path, partition_col)
-    _delete(spark, stage)
+    if path_exists(spark, f"{stage}/data/_SUCCESS"):
+        return _finish(spark, table_path, partition_col, schema)
+    delete_path(spark, stage)
     return None
 
 
 def upsert_partitioned(incoming: DataFrame, table_path: str, key: str = "wafer_id", order: str = "timestamp",
                        partition_col: str = "date", lookback_days: int | None = None, verify_lookback: bool = True,
-                       max_partitions: int = 100_000) -> dict:
+                       max_partitions: int = 100_000, key_table: str | None = None) -> dict:
     """Upsert ``incoming`` into the Parquet table at ``table_path`` partitioned by ``partition_col``.
 
     Returns counts of touched and emptied partitions. Only touched partitions
-    are read and rewritten. Finding keys that moved to another date scans the
-    stored key column alone. ``lookback_days`` states how late a redelivery may
+    are read and rewritten, with all columns the table has: stored columns that
+    the increment lacks keep their values and are null in incoming rows; columns
+    the table lacks, or of another type, raise ValueError before anything is written.
+
+    ``key_table`` names the bucketed key table that says where keys are stored;
+    it is brought up to date afterwards. Without one, finding keys that moved to
+    another date scans the stored key column. ``lookback_days`` then states how late a redelivery may
     be; by default the rest of the key column is still checked and an older copy
     raises ValueError before anything is written. ``verify_lookback=False`` skips
     that check and with it the scan, for feeds that guarantee the delay. Rows
     without a date, incoming or stored, are in the null partition and always
     searched. One writer per table at a time.
     """
+    from fabflow.operators import key_table as KT
     spark = incoming.sparkSession
-    cols = incoming.columns
-    recover_upsert(spark, table_path, partition_col)
-    if not _path_exists(spark, table_path):
+    if not path_exists(spark, table_path):
         dedup_latest(incoming, key, order).write.mode("overwrite").partitionBy(partition_col).parquet(table_path)
+        if key_table:
+            KT.build_key_table(spark, table_path, key_table, key, partition_col, incoming.schema)
         return {"touched_partitions": None, "emptied_partitions": 0}
-    stored = spark.read.schema(incoming.select(*cols).schema).parquet(table_path).select(*cols)
+    schema = stored_schema(spark, table_path, incoming.schema, partition_col)
+    recover_upsert(spark, table_path, schema, partition_col)
+    cols = schema.names
+    stored = spark.read.schema(schema).parquet(table_path).select(*cols)
     keys = incoming.select(key).filter(F.col(key).isNotNull()).distinct()
-    search = stored
-    if lookback_days is not None:
-        span = incoming.agg(F.min(partition_col).alias("lo"), F.max(partition_col).alias("hi")).first()
-        near = F.col(partition_col).isNull()
-        if span["lo"] is not None:
-            near = near | F.col(partition_col).between(F.date_sub(F.lit(span["lo"]), lookback_days),
-                                                       F.date_add(F.lit(span["hi"]), lookback_days))
-        search = stored.filter(near)
-        if verify_lookback:
-            far = stored.filter(~near).select(key).join(keys, key, "left_semi").limit(1).collect()
-            if far:
-                raise ValueError(f"key {far[0][0]!r} is stored more than {lookback_days} days from the incoming dates")
-    moved_from = search.join(keys, on=key, how="left_semi").select(partition_col)
+    if key_table:
+        moved_from = KT.stored_partitions(spark, key_table, keys, key, partition_col)
+    else:
+        search = stored
+        if lookback_days is not None:
+            span = incoming.agg(F.min(partition_col).alias("lo"), F.max(partition_col).alias("hi")).first()
+            near = F.col(partition_col).isNull()
+            if span["lo"] is not None:
+                near = near | F.col(partition_col).between(F.date_sub(F.lit(span["lo"]), lookback_days),
+                                                           F.date_add(F.lit(span["hi"]), lookback_days))
+            search = stored.filter(near)
+            if verify_lookback:
+                far = stored.filter(~near).select(key).join(keys, key, "left_semi").limit(1).collect()
+                if far:
+                    raise ValueError(f"key {far[0][0]!r} is stored more than {lookback_days} days from the incoming dates")
+        moved_from = search.join(keys, on=key, how="left_semi").select(partition_col)
     touched = [r[0] for r in incoming.select(partition_col).unionByName(moved_from).distinct()
                .limit(max_partitions + 1).collect()]
     if len(touched) > max_partitions:
@@ -133,11 +139,19 @@ def upsert_partitioned(incoming: DataFrame, table_path: str, key: str = "wafer_i
     if not touched:
         return {"touched_partitions": 0, "emptied_partitions": 0}
     affected = stored.filter(_in_partitions(partition_col, touched))
-    merged = merge_latest(affected, incoming.select(*cols), key, order)
+    fresh = incoming.select(*[F.col(f.name) if f.name in incoming.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+    merged = merge_latest(affected, fresh, key, order)
 
     stage = _stage(table_path)
-    merged.write.mode("overwrite").partitionBy(partition_col).parquet(f"{stage}/data")
-    held = {r[0] for r in spark.read.schema(merged.schema).parquet(f"{stage}/data").select(partition_col).distinct().collect()}
-    plan = [(None if v is None else str(v), v not in held, merged.schema.json()) for v in touched]
-    spark.createDataFrame(plan, PLAN).coalesce(1).write.mode("overwrite").parquet(f"{stage}/plan")
-    return _finish(spark, table_path, partition_col)
+    data = f"{stage}/data"
+    # the folders of the touched partitions as Spark names them, and which of them keep no row
+    folders = (spark.read.schema(schema).parquet(table_path).filter(_in_partitions(partition_col, touched))
+               .select(F.col(partition_col).alias("_p"), F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("folder")).distinct())
+    left = merged.select(F.col(partition_col).alias("_q")).distinct()
+    (folders.join(left, F.col("_p").eqNullSafe(F.col("_q")), "left_anti").select("folder")
+     .coalesce(1).write.mode("overwrite").parquet(f"{stage}/emptied"))
+    merged.write.mode("overwrite").partitionBy(partition_col).parquet(data)
+    emptied = _finish(spark, table_path, partition_col, schema)
+    if key_table:
+        KT.record_keys(dedup_latest(incoming, key, order), key_table, key, partition_col)
+    return {"touched_partitions": len(touched), "emptied_partitions": emptied}

@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 
 from fabflow import constants as C
 from fabflow.functions.scalar import safe_percentage
+from fabflow.operators import comoments as CM
 from fabflow.operators import sorting as SR
+from fabflow.operators.joins import join_groups, renamed, same
 
 NUMERIC_TYPES = ("double", "float", "bigint", "int", "smallint", "tinyint")
 FIXED_WIDTH = {"double": 8, "bigint": 8, "timestamp": 8, "timestamp_ntz": 8, "int": 4, "date": 4,
@@ -135,10 +137,12 @@ def describe_numeric(df: DataFrame, columns=None, group=None, exact: bool | str
                      accuracy: int = 10000) -> DataFrame:
     """count, mean, sample std, min, 25/50/75 % (linear interpolation), max per column.
 
+    Every column has a row in every group (null groups included); without a value its count is 0
+    and the rest null. An empty table has one row per column, or none when grouped.
+
     Quartiles (all exact except ``False``):
     * ``exact="bounded"`` (default, at every size): exact quartiles in bounded
-      memory (:func:`fabflow.operators.quantiles.exact_quantiles`, a few aggregate
-      passes over a deterministic frame);
+      memory by histogram levels (:mod:`fabflow.operators.quantiles`);
     * ``exact=True``: Spark's exact ``percentile`` in one pass with identical
       results, whose buffer holds every distinct value of a group (for callers
       who know their input to be small);
@@ -146,37 +150,27 @@ def describe_numeric(df: DataFrame, columns=None, group=None, exact: bool | str
     """
     g = _g(group)
     cols = list(columns) if columns else numeric_columns(df, g)
+    moments = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
     if exact == "bounded":
-        from fabflow.operators.quantiles import exact_quantiles
+        from fabflow.operators.quantiles import quantile_table
+        out = quantile_table(df, cols, [0.25, 0.5, 0.75], g, moments).withColumnRenamed("quantiles", "_q")
+    else:
         per = {}
         for c in cols:
             vd = _value(df, c).cast("double")
-            per[c] = [("count", F.count(vd)), ("mean", F.avg(vd)), ("std", F.stddev_samp(vd)),
-                      ("min", F.min(vd)), ("max", F.max(vd))]
-        base = _agg_long(df, g, per)
-        q = exact_quantiles(df, cols, [0.25, 0.5, 0.75], g, accuracy=accuracy)
-        wide = q.groupBy(*g, "column").pivot("q_index", [0, 1, 2]).agg(F.first("quantile"))
-        wide = wide.select(*g, "column", F.col("0").alias("p25"), F.col("1").alias("p50"), F.col("2").alias("p75"))
-        return base.join(wide, g + ["column"]).select(*g, "column", "count", "mean", "std", "min",
-                                                      "p25", "p50", "p75", "max")
-    per = {}
-    for c in cols:
-        v = _value(df, c)
-        vd = v.cast("double")
-        q = F.percentile(vd, [0.25, 0.5, 0.75]) if exact else F.percentile_approx(vd, [0.25, 0.5, 0.75], accuracy)
-        per[c] = [("count", F.count(v)), ("mean", F.avg(vd)), ("std", F.stddev_samp(vd)),
-                  ("min", F.min(vd)), ("_q", q), ("max", F.max(vd))]
-    out = _agg_long(df, g, per)
+            q = F.percentile(vd, [0.25, 0.5, 0.75]) if exact else F.percentile_approx(vd, [0.25, 0.5, 0.75], accuracy)
+            per[c] = [("count", F.count(vd)), ("_q", q), *[(name, f(vd)) for name, f in moments.items()]]
+        out = _agg_long(df, g, per)
     return out.select(*g, "column", "count", "mean", "std", "min",
-                      F.col("_q")[0].cast("double").alias("p25"), F.col("_q")[1].cast("double").alias("p50"),
-                      F.col("_q")[2].cast("double").alias("p75"), "max")
+                      *[F.col("_q")[i].cast("double").alias(name) for i, name in enumerate(("p25", "p50", "p75"))], "max")
 
 
-def _typed_long(df: DataFrame, cols: list[str], group: list[str]) -> tuple[DataFrame, list[str]]:
+def _typed_long(df: DataFrame, cols: list[str], group: list[str], missing: bool = False) -> tuple[DataFrame, list[str], Column]:
     """(group..., column, one nullable slot per input type) for the given columns.
 
     Values keep their own type (no per-row text cast); NaN reads as missing;
-    rows whose value is missing are dropped. Returns the frame and slot names.
+    rows whose value is missing are dropped unless ``missing`` asks for them.
+    Returns the frame, the slot names and the test for a present value.
     """
     types = dict(df.dtypes)
     slot_types = sorted({types[c] for c in cols})
@@ -192,7 +186,7 @@ def _typed_long(df: DataFrame, cols: list[str], group: list[str]) -> tuple[DataF
     present = F.lit(False)
     for t in slot_types:
         present = present | F.col(slot[t]).isNotNull()
-    return long.filter(present), [slot[t] for t in slot_types]
+    return long if missing else long.filter(present), [slot[t] for t in slot_types], present
 
 
 def _as_text(slots: list[str]) -> Column:
@@ -200,44 +194,64 @@ def _as_text(slots: list[str]) -> Column:
     return F.coalesce(*[F.col(s).cast("string") for s in slots])
 
 
+def _every_column(out: DataFrame, cols: list[str], g: list[str], counts: list[str]) -> DataFrame:
+    """Without a group, one row for each of ``cols`` also from an empty table (``counts`` 0, the rest null)."""
+    if g:
+        return out
+    listed = out.sparkSession.createDataFrame([(c,) for c in cols], "column string")
+    return F.broadcast(listed).join(out, "column", "left").fillna(0, counts).select(*out.columns)
+
+
 def describe_categorical(df: DataFrame, columns=None, group=None) -> DataFrame:
-    """count, unique, top (most frequent; smallest on ties), freq per non-numeric column."""
+    """count, unique, top (most frequent; smallest on ties), freq per non-numeric column.
+
+    Columns without a value have count and unique 0, no top and no freq.
+    """
     g = _g(group)
     cols = list(columns) if columns else [c for c, t in df.dtypes if t not in NUMERIC_TYPES and c not in g]
-    long, slots = _typed_long(df, cols, g)
+    long, slots, present = _typed_long(df, cols, g, missing=True)
     counts = (long.groupBy(*g, "column", *slots).agg(F.count(F.lit(1)).alias("_n"))
-              .select(*g, "column", _as_text(slots).alias("value"), "_n"))
-    best = F.min(F.struct((-F.col("_n")).alias("neg"), F.col("value").alias("v")))
-    return (counts.groupBy(*g, "column")
-            .agg(F.sum("_n").alias("count"), F.count(F.lit(1)).alias("unique"), best.alias("_b"))
-            .select(*g, "column", "count", "unique", F.col("_b.v").alias("top"), (-F.col("_b.neg")).alias("freq")))
+              .select(*g, "column", _as_text(slots).alias("value"), "_n", present.alias("_has")))
+    best = F.min(F.when(F.col("_has"), F.struct((-F.col("_n")).alias("neg"), F.col("value").alias("v"))))
+    out = (counts.groupBy(*g, "column")
+           .agg(F.coalesce(F.sum(F.when(F.col("_has"), F.col("_n"))), F.lit(0)).alias("count"), F.count_if("_has").alias("unique"), best.alias("_b"))
+           .select(*g, "column", "count", "unique", F.col("_b.v").alias("top"), (-F.col("_b.neg")).alias("freq")))
+    return _every_column(out, cols, g, ["count", "unique"])
 
 
 TIME_TYPES = ("timestamp", "timestamp_ntz", "date")
 
 
+def _micros(df: DataFrame, cols: list[str]) -> list[Column]:
+    """Times as microseconds: whole numbers below 2^53, so the numeric statistics are exact to the microsecond."""
+    return [F.unix_micros(F.col(c).cast("timestamp")).alias(c) for c in cols]
+
+
+def _as_times(num: DataFrame, g: list[str]) -> DataFrame:
+    stats = ["mean", "min", "p25", "p50", "p75", "max"]
+    at = {s: F.timestamp_micros(F.round(F.col(s)).cast("bigint")).cast("timestamp_ntz").alias(f"{s}_time") for s in stats}
+    return num.select(*g, "column", "count", *at.values())
+
+
 def describe_times(df: DataFrame, columns=None, group=None, exact: bool | str = "bounded") -> DataFrame:
     """count and mean, min, quartiles and max as timestamps, per timestamp or date column."""
     g = _g(group)
     cols = list(columns) if columns else [c for c, t in df.dtypes if t in TIME_TYPES and c not in g]
-    # microseconds are whole numbers below 2^53, so the numeric statistics are exact to the microsecond
-    micros = df.select(*g, *[F.unix_micros(F.col(c).cast("timestamp")).alias(c) for c in cols])
-    stats = ["mean", "min", "p25", "p50", "p75", "max"]
-    num = describe_numeric(micros, cols, g, exact)
-    at = {s: F.timestamp_micros(F.round(F.col(s)).cast("bigint")).cast("timestamp_ntz").alias(f"{s}_time") for s in stats}
-    return num.select(*g, "column", "count", *at.values())
+    return _as_times(describe_numeric(df.select(*g, *_micros(df, cols)), cols, g, exact), g)
 
 
 def describe_all(df: DataFrame, group=None, exact: bool | str = "bounded") -> DataFrame:
     """describe(include='all'): numeric, timestamp and categorical statistics in one long table.
 
-    Timestamps have a mean, range and quartiles (``*_time`` columns), no unique, top and freq.
+    Timestamps have a mean, range and quartiles (``*_time`` columns), no unique, top and freq; they
+    share the passes of the numeric columns.
     """
     g = _g(group)
-    parts = [describe_numeric(df, None, g, exact)]
-    times = [c for c, t in df.dtypes if t in TIME_TYPES and c not in g]
-    if times:
-        parts.append(describe_times(df, times, g, exact))
+    numbers, times = numeric_columns(df, g), [c for c, t in df.dtypes if t in TIME_TYPES and c not in g]
+    parts = []
+    if numbers or times:
+        num = describe_numeric(df.select(*g, *numbers, *_micros(df, times)), numbers + times, g, exact)
+        parts = ([num.filter(F.col("column").isin(numbers))] if numbers else []) + ([_as_times(num.filter(F.col("column").isin(times)), g)] if times else [])
     if texts := [c for c, t in df.dtypes if t not in NUMERIC_TYPES and c not in g and c not in times]:
         parts.append(describe_categorical(df, texts, g))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
@@ -269,7 +283,7 @@ def table_info(df: DataFrame, group=None) -> DataFrame:
 
 
 def unique_counts(df: DataFrame, group=None, columns=None, approx: bool = False, rsd: float = 0.01) -> DataFrame:
-    """Distinct non-null values per column (NaN excluded).
+    """Distinct non-null values per column (NaN excluded; 0 for a column without a value).
 
     Exact: (column, typed value) grouping, whose shuffle grows with the number
     of distinct values. ``approx=True``: one pass of HyperLogLog sketches
@@ -280,9 +294,10 @@ def unique_counts(df: DataFrame, group=None, columns=None, approx: bool = False,
     if approx:
         per = {c: [("unique_count", F.approx_count_distinct(_value(df, c), rsd))] for c in cols}
         return _agg_long(df, g, per)
-    long, slots = _typed_long(df, cols, g)
-    distinct_vals = long.select(*g, "column", *slots).distinct()
-    return distinct_vals.groupBy(*g, "column").agg(F.count(F.lit(1)).alias("unique_count"))
+    long, slots, present = _typed_long(df, cols, g, missing=True)
+    values = long.select(*g, "column", *slots).distinct()
+    out = values.groupBy(*g, "column").agg(F.count_if(present).alias("unique_count"))
+    return _every_column(out, cols, g, ["unique_count"])
 
 
 # AGG-15 ---------------------------------------------------------------------
@@ -290,7 +305,7 @@ def value_counts(df: DataFrame, columns=("equipment_id", "is_anomaly"), group=No
     """Frequency of each value per column (nulls dropped), most frequent first."""
     g = _g(group)
     cols = [c for c in columns if c in df.columns]
-    long, slots = _typed_long(df, cols, g)
+    long, slots, _ = _typed_long(df, cols, g)
     return (long.groupBy(*g, "column", *slots).agg(F.count(F.lit(1)).alias("count"))
             .select(*g, "column", _as_text(slots).alias("value"), "count")
             .orderBy(*g, "column", F.desc("count"), "value"))
@@ -300,30 +315,36 @@ def value_counts(df: DataFrame, columns=("equipment_id", "is_anomaly"), group=No
 def correlation_matrix(df: DataFrame, columns=None, group=None, digits: int = 3) -> DataFrame:
     """Pearson correlation of every pair of numeric columns (pairwise complete), long form.
 
-    covar_pop / sqrt(var_pop * var_pop) over the rows where both values are
-    present; a constant column (zero variance) gives NULL instead of raising
-    a division-by-zero under ANSI mode, which ``corr`` would in a small group.
+    One pass of matrix products over the rows where both values are present
+    (:mod:`fabflow.operators.comoments`), whatever the number of columns. A
+    constant column (zero variance) and a pair that is never present together
+    give NULL; infinite values give NaN. Every pair has a row in every group.
     """
     g = _g(group)
     cols = list(columns) if columns else numeric_columns(df, g)
-    vals = {c: _value(df, c).cast("double") for c in cols}
-    aggs, rows = [], []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            if j < i:
-                continue
-            both = vals[a].isNotNull() & vals[b].isNotNull()
-            x, y = F.when(both, vals[a]), F.when(both, vals[b])
-            aggs += [F.covar_pop(x, y).alias(f"_cv{i}_{j}"), F.var_pop(x).alias(f"_vx{i}_{j}"),
-                     F.var_pop(y).alias(f"_vy{i}_{j}")]
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            k = f"{min(i, j)}_{max(i, j)}"
-            r = F.try_divide(F.col(f"_cv{k}"), F.sqrt(F.col(f"_vx{k}") * F.col(f"_vy{k}")))
-            rows.append(F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
-                                 F.round(r, digits).alias("correlation")))
-    wide = df.groupBy(*g).agg(*aggs)
-    return wide.select(*g, F.inline(F.array(*rows)))
+    marks = [f"_g{i}" for i, _ in enumerate(g)]
+    values = df.select(*[F.col(c).alias(m) for c, m in zip(g, marks, strict=True)], *[_value(df, c).cast("double").alias(f"_x{i}") for i, c in enumerate(cols)])
+    sums = CM.pair_sums(values, marks, len(cols), CM.centres(values.select(*[f"_x{i}" for i, _ in enumerate(cols)]), len(cols)))
+    keys = [*marks, "i", "j"]
+    back = sums.select(*[F.col(m).alias("_o" + m) for m in marks], F.col("j").alias("_oi"), F.col("i").alias("_oj"),
+                       F.col("sx").alias("sy"), F.col("sxx").alias("syy"), F.col("wild").alias("wild_y"))
+    n = F.col("n")
+
+    def spread(squares: str, total: str) -> Column:
+        v = F.col(squares) - F.col(total) * F.col(total) / n
+        return F.when(v > F.lit(CM.NOISE) * F.col(squares), v)
+
+    r = F.when(F.col("wild") + F.col("wild_y") > 0, F.lit(float("nan"))).otherwise(
+        F.try_divide(F.col("sxy") - F.col("sx") * F.col("sy") / n, F.sqrt(spread("sxx", "sx") * spread("syy", "sy"))))
+    found = sums.join(back, same(keys)).select(*keys, F.round(r, digits).alias("correlation"))
+    listed = df.sparkSession.createDataFrame([(i, j, a, b) for i, a in enumerate(cols) for j, b in enumerate(cols)],
+                                             "i int, j int, column_a string, column_b string")
+    if g:
+        every = values.select(*marks).distinct().crossJoin(F.broadcast(listed))        # groups times pairs: the rows of the result
+    else:
+        every = listed
+    out = every.join(renamed(found, keys), same(keys), "left")
+    return out.select(*[F.col(m).alias(c) for m, c in zip(marks, g, strict=True)], "column_a", "column_b", "correlation")
 
 
 # AGG-17 ---------------------------------------------------------------------
@@ -426,14 +447,14 @@ def _duplicates(df: DataFrame, g: list[str]) -> DataFrame:
     if "wafer_id" not in df.columns:
         return rows
     keys = duplicate_key_profile(df, "wafer_id", g)
-    return rows.join(keys, g, "left") if g else rows.withColumn("duplicate_keys", keys.scalar())
+    return join_groups(rows, keys, g) if g else rows.withColumn("duplicate_keys", keys.scalar())
 
 
 def info(df: DataFrame, group=None) -> DataFrame:
     """Column, type, non-null count and bytes of every column, with the table's total bytes on each row."""
     g = _g(group)
     table, total = table_info(df, g), total_bytes(df, g).select(*g, F.col("bytes").alias("total_bytes"))
-    return table.join(total, g, "left") if g else table.withColumn("total_bytes", total.scalar())
+    return join_groups(table, total, g) if g else table.withColumn("total_bytes", total.scalar())
 
 
 def anomalies(df: DataFrame, group=None, flag: str = "is_anomaly", exact="bounded") -> DataFrame:

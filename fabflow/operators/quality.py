@@ -320,19 +320,30 @@ class _Compiler:
         raise ValueError(f"unknown rule kind {rule.kind!r}")
 
 
-def validation_report(df: DataFrame, rules: list[Rule] | str = "native", layer: str = "silver") -> DataFrame:
-    """One row per rule (columns :data:`REPORT_FIELDS`), from one aggregate pass."""
-    if isinstance(rules, str):
-        rules = rule_set(rules, layer)
+def _report(df: DataFrame, rules: list[Rule], row_of) -> DataFrame:
     comp = _Compiler(df)
     comp.total()
-    rows = [r for r in (comp.attempt(rule) for rule in rules) if r is not None]
+    rows = [r for r in (row_of(comp, rule) for rule in rules) if r is not None]
     one = df.agg(*comp.aggs)
     if comp.post:
         one = one.withColumns(comp.post)
     return one.select(F.inline(F.array(*rows)))
 
 
+def validation_report(df: DataFrame, rules: list[Rule] | str = "native", layer: str = "silver") -> DataFrame:
+    """One row per rule (columns :data:`REPORT_FIELDS`), from one aggregate pass.
+
+    All rules are analysed together; only where that fails is each tried on its own, so that the
+    rules at fault become failed rows and the others still count.
+    """
+    if isinstance(rules, str):
+        rules = rule_set(rules, layer)
+    try:
+        return _report(df, rules, _Compiler.compile)
+    except (AnalysisException, TypeError, ValueError):
+        return _report(df, rules, _Compiler.attempt)
+
+
 def validation_summary(report: DataFrame) -> DataFrame:
     """total_validations, passed, failed, critical_failures (one row)."""
     return report.agg(

@@ -6,7 +6,7 @@ leave each map task). Global top-n uses ``orderBy().limit()`` (a bounded
 take-ordered). Samples order by a seeded hash of a key, so they are stable
 across reruns and partitionings. The exact-k sample is computed without a
 global sort: a histogram of the hash's top bits finds the boundary bucket,
-and only that bucket is ranked.
+and only that bucket is ranked, both by distributed running totals.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fabflow.operators.running import running_totals
+
 DEFAULT_ORDER = ("timestamp", "wafer_id")
 
 
@@ -68,52 +70,57 @@ def sort_by_size(df: DataFrame, measure: str) -> DataFrame:
     return df.orderBy(F.desc(measure))
 
 
+def row_text(df: DataFrame) -> Column:
+    """The whole numbers, texts, flags and times (as microseconds) of a row as one text; nulls are skipped."""
+    def text(c: str, t: str) -> Column:
+        return F.unix_micros(F.col(c).cast("timestamp")).cast("string") if t.startswith("timestamp") else F.col(c).cast("string")
+    return F.concat_ws("|", *[text(c, t) for c, t in df.dtypes
+                              if t in ("bigint", "int", "smallint", "tinyint", "string", "boolean", "date") or t.startswith("timestamp")])
+
+
 def exact_sample(df: DataFrame, rate: float, key: str = "wafer_id", seed: int = 42,
                  bucket_bits: int = 20, copies_per_chunk: int = 1_000_000, take_ordered: bool = False) -> DataFrame:
     """Exactly ``floor(rows * rate)`` rows without replacement, chosen by seeded hash order.
 
-    Order: md5 of ``seed:key``, then the key, then a hash of the whole row.
-    The hash's first ``bucket_bits`` bits form buckets; bucket counts (at most
-    2^bucket_bits rows) give the boundary bucket by a running sum, and rows in
-    earlier buckets are taken whole. Inside the boundary bucket identical rows
+    Order: md5 of ``seed:key``, then the key, then a hash of the whole row. A
+    row without a key is ordered by its own text (:func:`row_text`) instead, so
+    such rows are drawn one by one like any others. The hash's first
+    ``bucket_bits`` bits form buckets; bucket counts (at most 2^bucket_bits
+    rows) give the boundary bucket by a running total, and rows in earlier
+    buckets are taken whole. Inside the boundary bucket identical rows
     are collapsed to one group with a copy count before ranking, so a key
     holding a third of all rows is one ranked group, not a third of the data
     in one task; a partially taken group is regenerated in chunks spread over
-    tasks. No global sort; the same path at every size. A caller who knows the
-    sample to be small may ask for ``take_ordered``: ``orderBy().limit(k)`` gives
-    the same rows with fewer jobs, and one task merges k rows per input partition.
-    The row count and the boundary bucket are found when the sample is built.
+    tasks. No global sort and no window over all rows; the same path at every
+    size. A caller who knows the sample to be small may ask for
+    ``take_ordered``: ``orderBy().limit(k)`` gives the same rows with fewer
+    jobs, and one task merges k rows per input partition. The row count and
+    the boundary bucket are found when the sample is built.
     """
     from fabflow.operators.joins import join_small
     cols = df.columns
+    named = F.coalesce(F.col(key).cast("string"), row_text(df))
+    tagged = (df.withColumn("_h", F.md5(F.concat(F.lit(f"{seed}:"), named)))
+              .withColumn("_rh", F.xxhash64(*[F.col(c) for c in cols])))
     n = df.count()                                   # size check: one number
-    k_rows = math.floor(n * float(rate))
-    if take_ordered or k_rows == 0:
-        return (df.withColumn("_h", sample_key(key, seed))
-                .withColumn("_rh", F.xxhash64(*[F.col(c) for c in cols]))
-                .orderBy("_h", key, "_rh").limit(k_rows).select(*cols))
+    k = math.floor(n * float(rate))
+    gkeys = ["_h", key, "_rh"]
+    if take_ordered or k == 0:
+        return tagged.orderBy(*gkeys).limit(k).select(*cols)
     hexd = (bucket_bits + 3) // 4
-    tagged = (df.withColumn("_h", sample_key(key, seed))
-              .withColumn("_rh", F.xxhash64(*[F.col(c) for c in cols]))
-              .withColumn("_b", F.shiftright(F.conv(F.substring("_h", 1, hexd), 16, 10).cast("long"),
-                                             4 * hexd - bucket_bits)))
-    k = F.lit(k_rows)
-    counts = tagged.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    cum = counts.withColumn("_cum", F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)))
-    boundary = cum.filter((F.col("_cum") >= k) & (F.col("_cum") - F.col("_n") < k)).select(
-        F.col("_b").alias("bb"), (k - (F.col("_cum") - F.col("_n"))).alias("need"))
-    one = boundary.first()                           # two numbers
-    bb, need = F.lit(one["bb"]), F.lit(one["need"])
+    tagged = tagged.withColumn("_b", F.shiftright(F.conv(F.substring("_h", 1, hexd), 16, 10).cast("long"), 4 * hexd - bucket_bits))
+    counts = running_totals(tagged.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")), "_b", "_n", "_cum")
+    bb, need = counts.filter((F.col("_cum") >= k) & (F.col("_cum") - F.col("_n") < k)).select(
+        "_b", k - (F.col("_cum") - F.col("_n"))).first()       # two numbers
 
     below = tagged.filter(F.col("_b") < bb).select(*cols)
     edge = tagged.filter(F.col("_b") == bb)
-    gkeys = ["_h", key, "_rh"]
     groups = edge.groupBy(*gkeys).agg(F.count(F.lit(1)).alias("_c"),
                                       F.first(F.struct(*[F.col(c) for c in cols])).alias("_row"))
-    ranked = groups.withColumn("_cum", F.sum("_c").over(
-        Window.orderBy(*gkeys).rowsBetween(Window.unboundedPreceding, 0)))
-    whole = ranked.filter(F.col("_cum") <= need).select(*gkeys)
-    whole_rows = join_small(edge, whole, gkeys, "left_semi").select(*cols)
+    ranked = running_totals(groups, gkeys, "_c", "_cum")
+    whole = ranked.filter(F.col("_cum") <= need).select(*[F.col(c).alias(f"_w{i}") for i, c in enumerate(gkeys)])
+    same = F.col("_h").eqNullSafe(F.col("_w0")) & F.col(key).eqNullSafe(F.col("_w1")) & (F.col("_rh") == F.col("_w2"))
+    whole_rows = join_small(edge, whole, same, "left_semi").select(*cols)
     part = ranked.filter((F.col("_cum") > need) & (F.col("_cum") - F.col("_c") < need)).select(
         "_row", (need - (F.col("_cum") - F.col("_c"))).alias("_m"))
     chunk = F.lit(copies_per_chunk)
@@ -133,3 +140,10 @@ def missing_columns(df: DataFrame, expected) -> list[str]:
     """Expected columns the frame lacks (schema metadata, no job)."""
     have = set(df.columns)
     return [c for c in expected if c not in have]
+
+
+def missing_columns_table(df: DataFrame, expected) -> DataFrame:
+    """One row per expected column: its name, whether the frame has it, and its type there."""
+    types = dict(df.dtypes)
+    rows = [(c, c in types, types.get(c)) for c in expected]
+    return df.sparkSession.createDataFrame(rows, "column string, present boolean, dtype string")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from fabflow import constants as C
 from fabflow.functions.scalar import safe_percentage
 from fabflow.operators.joins import join_small
+from fabflow.operators.running import running_totals
 
 
 def _g(group) -> list[str]:
@@ -225,40 +226,28 @@ def normal_cdf(z: Column) -> Column:
 
 
 def ks_normal(df: DataFrame, column: str, mean: float | None = None, std: float | None = None,
-              buckets: int = 4096, terms: int = 100) -> DataFrame:
+              buckets: int | None = None, terms: int = 100) -> DataFrame:
     """One-sample Kolmogorov-Smirnov statistic against N(mean, std), distributed.
 
     D = max over distinct values x of max(F_n(x) - Phi(x), Phi(x) - F_n(x-)).
     F_n needs running counts over the sorted values: values are grouped (ties
-    collapse map-side), bucketed by the normal CDF under the data's own mean
-    and std (about equal counts per bucket for bell-shaped data, whatever the
-    model), ranked inside each bucket by a window, and offset by a prefix over
-    at most ``buckets`` bucket totals. The p-value is
-    the asymptotic Kolmogorov series with ``terms`` terms. mean/std default to
-    the process model (350, 5).
+    collapse map-side) and totalled over ``buckets`` range partitions
+    (:func:`fabflow.operators.running.running_totals`), which hold about as
+    many values each for any distribution. The p-value is the asymptotic
+    Kolmogorov series with ``terms`` terms. mean/std default to the process
+    model (350, 5). Without a value the statistic is null.
     """
     mu = C.TEMP_MEAN if mean is None else float(mean)
     sd = C.TEMP_STD if std is None else float(std)
-    from pyspark.sql import Window
     v = F.col(column).cast("double")
     vals = df.select(v.alias("x")).filter(F.col("x").isNotNull() & ~F.isnan(F.col("x")))
     counts = vals.groupBy("x").agg(F.count(F.lit(1)).alias("c"))
+    ranked = running_totals(counts, "x", "c", "_cum", buckets)
+    n = ranked.agg(F.sum("c")).scalar()
     phi = normal_cdf((F.col("x") - F.lit(mu)) / F.lit(sd))
-    # buckets use Phi under the data's own mean and std (any monotone map keeps the
-    # order), so they stay balanced even when the data sits far from the model
-    own = vals.agg(F.struct(F.avg("x").alias("m"), F.stddev_pop("x").alias("s"))).scalar()
-    spread = F.when(own["s"] > 0, own["s"]).otherwise(F.lit(1.0))
-    counts = counts.withColumn("_phi", phi).withColumn(
-        "_b", F.least(F.floor(normal_cdf((F.col("x") - own["m"]) / spread) * buckets), F.lit(buckets - 1)).cast("int"))
-    totals = counts.groupBy("_b").agg(F.sum("c").alias("_bn"))
-    prefix = totals.withColumn("_before", F.coalesce(F.sum("_bn").over(
-        Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    within = Window.partitionBy("_b").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = counts.withColumn("_run", F.sum("c").over(within)).join(F.broadcast(prefix.select("_b", "_before")), "_b")
-    n = vals.agg(F.count(F.lit(1))).scalar()
-    cum = F.col("_before") + F.col("_run")
-    gap = F.greatest(cum / n - F.col("_phi"), F.col("_phi") - (cum - F.col("c")) / n)
-    stat = ranked.agg(F.max(gap).alias("statistic"), F.first(F.lit(n)).alias("n"))
+    cum = F.col("_cum")
+    gap = F.greatest(cum / n - phi, phi - (cum - F.col("c")) / n)
+    stat = ranked.agg(F.max(gap).alias("statistic"), F.sum("c").alias("n"))
     lam = F.sqrt(F.col("n").cast("double")) * F.col("statistic")
     series = sum((F.lit(2.0 * (-1) ** (k - 1)) * F.exp(F.lit(-2.0 * k * k) * lam * lam) for k in range(1, terms + 1)),
                  F.lit(0.0))

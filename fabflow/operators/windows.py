@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fabflow.operators.running import running_totals
+
 
 def _micros(ts: str):
     return F.unix_micros(F.col(ts).cast("timestamp"))
@@ -24,32 +26,49 @@ def _bucket(ts: str, bucket_seconds: int):
 COARSE, FINE = 32, 32
 
 
-def row_count_buckets(df: DataFrame, key: str, ts: str, target_rows: int = 1_000_000, out: str = "_bk") -> DataFrame:
-    """``df`` with a bucket number per key that rises with time and holds about ``target_rows`` rows.
-
-    Split points are the key's own time quantiles (a sketch, one aggregate), as many as its row
-    count asks for up to 1,024 buckets, so a burst of rows in one hour is cut as finely as a quiet
-    year; only rows of one and the same microsecond cannot be parted. Rows without a timestamp sort
-    first and have the lowest bucket, -1.
-    """
+def _cut(df: DataFrame, keys: list[str], micros: str, target_rows: int, sub: str) -> tuple[DataFrame, bool]:
+    """``df`` plus ``sub``, up to COARSE * FINE time ranges of each key, and whether a range is still too large."""
     from fabflow.operators.joins import join_small
+    from fabflow.session import staging_path
     steps = COARSE * FINE
     probs = [i / steps for i in range(1, steps)]
     n = F.count(F.lit(1))
-    st = df.groupBy(key).agg(F.least(F.lit(steps), F.ceil(n / F.lit(float(target_rows)))).cast("int").alias("_need"),
-                             F.percentile_approx(_micros(ts), probs, 50_000).alias("_q"))
-    # every (1024 / need)-th quantile is a split point, the last of a few equal ones closes the bucket
+    need = F.ceil(n / F.lit(float(target_rows)))
+    st = df.groupBy(*keys).agg(F.least(F.lit(steps), need).cast("int").alias("_need"), F.percentile_approx(micros, probs, 50_000).alias("_q"),
+                               need.alias("_rows"))
+    # every (steps / need)-th quantile is a split point, the last of a few equal ones closes the bucket
     wanted = F.transform(F.sequence(F.lit(1), F.col("_need") - 1),
                          lambda i: F.element_at("_q", F.greatest(F.lit(1), F.floor(i * F.lit(steps) / F.col("_need")).cast("int"))))
     splits = F.when((F.col("_need") > 1) & F.col("_q").isNotNull(), F.array_distinct(wanted)).otherwise(F.array().cast("array<bigint>"))
-    st = st.select(F.col(key).alias("_key"), splits.alias("_splits")).withColumn(
-        "_coarse", F.filter("_splits", lambda x, i: (i + 1) % FINE == 0))
-    tagged = join_small(df.withColumn("_key", F.col(key)).withColumn("_us", _micros(ts)), st, "_key", "left")
-    block = F.size(F.filter("_coarse", lambda x: x <= F.col("_us"))) * FINE
-    inside = F.size(F.filter(F.slice("_splits", F.col("_block") + 1, FINE), lambda x: x <= F.col("_us")))
-    bucket = F.when(F.col("_us").isNull(), F.lit(-1)).otherwise(F.coalesce(F.col("_block") + F.col("_inside"), F.lit(0)))
-    return (tagged.withColumn("_block", block).withColumn("_inside", inside)
-            .withColumn(out, bucket.cast("long")).drop("_key", "_us", "_splits", "_coarse", "_block", "_inside"))
+    st = st.select(*[F.col(k).alias(f"_at{i}") for i, k in enumerate(keys)], splits.alias("_splits"),
+                   F.coalesce((F.col("_rows") > steps) & (F.element_at("_q", 1) < F.element_at("_q", -1)), F.lit(False)).alias("_more"))
+    path = staging_path(df.sparkSession, "time-splits")
+    st.withColumn("_coarse", F.filter("_splits", lambda x, i: (i + 1) % FINE == 0)).write.mode("overwrite").parquet(path)
+    st = df.sparkSession.read.parquet(path)
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_at{i}"))
+    cut = join_small(df, st.drop("_more"), same, "left")
+    block = F.size(F.filter("_coarse", lambda x: x <= F.col(micros))) * FINE
+    inside = F.size(F.filter(F.slice("_splits", F.col("_block") + 1, FINE), lambda x: x <= F.col(micros)))
+    cut = cut.withColumn("_block", block).withColumn(sub, F.coalesce(F.col("_block") + inside, F.lit(0)).cast("long"))
+    return cut.drop("_block", "_splits", "_coarse", *[f"_at{i}" for i, _ in enumerate(keys)]), not st.filter("_more").isEmpty()
+
+
+def row_count_buckets(df: DataFrame, key: str, ts: str, target_rows: int = 1_000_000, out: str = "_bk") -> DataFrame:
+    """``df`` with a bucket number per key that rises with time and holds about ``target_rows`` rows.
+
+    Split points are the key's own time quantiles (a sketch, one aggregate), as many as its row
+    count asks for, so a burst of rows in one hour is cut as finely as a quiet year. One pass makes
+    up to COARSE * FINE buckets of a key; where that is not enough every bucket is cut again in the
+    same way, until only rows of one and the same microsecond are left together. Rows without a
+    timestamp sort first and have the lowest bucket, -1.
+    """
+    tagged, more = _cut(df.withColumn("_us", _micros(ts)), [key], "_us", target_rows, out)
+    while more:
+        tagged, more = _cut(tagged, [key, out], "_us", target_rows, "_sub")
+        tagged = tagged.withColumn(out, F.col(out) * (COARSE * FINE) + F.col("_sub")).drop("_sub")
+    return tagged.withColumn(out, F.when(F.col("_us").isNull(), F.lit(-1)).otherwise(F.col(out)).cast("long")).drop("_us")
 
 
 def rolling_mean(df: DataFrame, column, key: str = "equipment_id", order=("timestamp", "wafer_id"),
@@ -115,9 +134,13 @@ def share_of_total(df: DataFrame, column: str) -> DataFrame:
 
 
 def batch_ordinal(df: DataFrame, file_col: str = "source_file") -> DataFrame:
-    """Per source file: ordinal among files (by name), row count, ``HHMMSS`` label from the name."""
-    per = df.groupBy(file_col).agg(F.count(F.lit(1)).alias("row_count"))
-    return per.select(F.dense_rank().over(Window.orderBy(file_col)).alias("batch_no"),
-                      F.count(F.lit(1)).over(Window.partitionBy()).alias("batch_total"),
-                      file_col, F.substring(F.element_at(F.split(F.col(file_col), "/"), -1), 22, 6).alias("batch_label"),
-                      "row_count")
+    """Per source file: ordinal among files (by name), row count, ``HHMMSS`` label from the name.
+
+    The ordinal is a distributed running total over one row per file; the
+    number of files is a scalar subquery.
+    """
+    per = df.groupBy(file_col).agg(F.count(F.lit(1)).alias("row_count")).withColumn("_one", F.lit(1))
+    numbered = running_totals(per, file_col, "_one", "_no")
+    return numbered.select(F.col("_no").cast("int").alias("batch_no"), numbered.agg(F.count(F.lit(1))).scalar().alias("batch_total"),
+                           file_col, F.substring(F.element_at(F.split(F.col(file_col), "/"), -1), 22, 6).alias("batch_label"),
+                           "row_count")

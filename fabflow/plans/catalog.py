@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from fabflow import constants as C
 from fabflow.operators import quality as Q
+from fabflow.plans import expected_rules as XR
 from fabflow.plans import medallion as M
 from fabflow.sources.bridge import TELEMETRY_RAW_SQL, TELEMETRY_SQL, read_table, telemetry, telemetry_raw
 
@@ -232,51 +233,51 @@ FROM report"""
 # M0: data-quality reports (DQ-3..11, fused into one aggregate per report).
 # ---------------------------------------------------------------------------
 @register("dq_native_bronze_report",
-          _report_oracle(Q.native_rules("bronze"), "bronze_raw", _BRONZE_COLS))
+          _report_oracle(XR.NATIVE["bronze"], "bronze_raw", _BRONZE_COLS))
 def q_dq_native_bronze_report(spark, d):
     return rounded(Q.validation_report(bronze_raw(spark, d), "native", "bronze"))
 
 
 @register("dq_native_clean_bronze_report",
-          _report_oracle(Q.native_rules("bronze"), "bronze_clean", _BRONZE_COLS))
+          _report_oracle(XR.NATIVE["bronze"], "bronze_clean", _BRONZE_COLS))
 def q_dq_native_clean_bronze_report(spark, d):
     return rounded(Q.validation_report(bronze_clean(spark, d), "native", "bronze"))
 
 
 @register("dq_native_silver_report",
-          _report_oracle(Q.native_rules("silver"), "silver_raw", _SILVER_COLS))
+          _report_oracle(XR.NATIVE["silver"], "silver_raw", _SILVER_COLS))
 def q_dq_native_silver_report(spark, d):
     return rounded(Q.validation_report(silver_raw(spark, d), "native", "silver"))
 
 
 @register("dq_suite_silver_report",
-          _report_oracle(Q.suite_rules(), "silver_raw", _SILVER_COLS))
+          _report_oracle(XR.SUITE, "silver_raw", _SILVER_COLS))
 def q_dq_suite_silver_report(spark, d):
     return rounded(Q.validation_report(silver_raw(spark, d), "suite"))
 
 
 @register("dq_native_gold_layer_report",
-          _report_oracle(Q.native_rules("gold"), "bronze_raw", _BRONZE_COLS))
+          _report_oracle(XR.NATIVE["gold"], "bronze_raw", _BRONZE_COLS))
 def q_dq_native_gold_layer_report(spark, d):
     # A gold-labelled layer checks bronze's columns (only silver is special).
     return rounded(Q.validation_report(bronze_raw(spark, d), "native", "gold"))
 
 
 @register("dq_summary",
-          _report_oracle(Q.native_rules("bronze"), "bronze_raw", _BRONZE_COLS, _SUMMARY_SQL.format(extra="")))
+          _report_oracle(XR.NATIVE["bronze"], "bronze_raw", _BRONZE_COLS, _SUMMARY_SQL.format(extra="")))
 def q_dq_summary(spark, d):
     return Q.validation_summary(Q.validation_report(bronze_raw(spark, d), "native", "bronze"))
 
 
 @register("dq_gate",
-          _report_oracle(Q.native_rules("silver"), "silver_clean", _SILVER_COLS,
+          _report_oracle(XR.NATIVE["silver"], "silver_clean", _SILVER_COLS,
                          _SUMMARY_SQL.format(extra=",\n       count(*) FILTER (WHERE NOT success AND critical) = 0 AS is_valid")))
 def q_dq_gate(spark, d):
     return Q.quality_gate(Q.validation_report(silver_clean(spark, d), "native", "silver"))
 
 
 @register("dq_suite_gate",
-          _report_oracle(Q.suite_rules(), "silver_raw", _SILVER_COLS,
+          _report_oracle(XR.SUITE, "silver_raw", _SILVER_COLS,
                          _SUMMARY_SQL.format(extra=",\n       count(*) FILTER (WHERE NOT success AND critical) = 0 AS is_valid")))
 def q_dq_suite_gate(spark, d):
     return Q.quality_gate(Q.validation_report(silver_raw(spark, d), "suite"))
@@ -1007,7 +1008,7 @@ from fabflow.plans import catalog_io  # noqa: E402,F401  (registers IO and strea
 
 
 # ---------------------------------------------------------------------------
-# Exact quartiles in bounded memory (bracket by sketch, rank only the bracket).
+# Exact quantiles in bounded memory (multi-level histograms).
 # ---------------------------------------------------------------------------
 from fabflow.operators import quantiles as QT  # noqa: E402
 
@@ -1023,10 +1024,10 @@ def q_agg_describe_percentile(spark, d):
     for c in ("l_extendedprice", "l_quantity", "l_discount") for i, p in enumerate((0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0))),
     round_cols=("quantile",)))
 def q_agg_exact_quantiles_lineitem(spark, d):
-    # accuracy 1000 < rows, so every target goes through the sketch bracket
+    # 8 bits a level, so that every target takes several levels
     li = read_table(spark, d, "lineitem")
     return rounded(QT.exact_quantiles(li, ["l_extendedprice", "l_quantity", "l_discount"],
-                                      [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0], accuracy=1000)
+                                      [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0], bits=8)
                    .withColumn("q_index", F.col("q_index").cast("int")))
 
 
@@ -1130,3 +1131,6 @@ def q_jn_upsert_moved_and_null_dates(spark, d):
     MG.upsert_partitioned(later, path)                                   # delivered again: nothing changes
     out = spark.read.schema(base.schema).parquet(path).select(*base.columns)
     return rounded(out.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")))
+
+
+from fabflow.plans import catalog_more  # noqa: E402,F401  (registers profiles of sparse data, sketches, accounted streams)

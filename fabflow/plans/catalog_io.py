@@ -13,10 +13,9 @@ from pyspark.sql import functions as F
 from fabflow import constants as C
 from fabflow.operators import quality as Q
 from fabflow.operators import spc as SPC
-from fabflow.operators.merge import _path_exists
 from fabflow.operators import windows as W
 from fabflow.plans.catalog import register, rounded, sql
-from fabflow.session import staging_path
+from fabflow.session import path_exists, staging_path
 from fabflow.sinks import files as SK
 from fabflow.sinks import kafka as KS
 from fabflow.sources import files as SF
@@ -182,7 +181,7 @@ HAVING date_trunc('hour', timestamp) + INTERVAL 1 HOUR <= (SELECT max(timestamp)
 def q_str_window_profile(spark, d):
     src, out, ck = _stream_dirs(spark, d)
     J.start_window_profile(spark, src, out, ck, "1 hour", "10 minutes").awaitTermination()
-    return rounded(_ntz(spark.read.parquet(out), ("window_start", "window_end")))
+    return rounded(_ntz(spark.read.parquet(out).drop("batch_id"), ("window_start", "window_end")))
 
 
 _ALERT_LIMITS = """SELECT equipment_id, avg(temperature_c) + 2e0 * stddev_pop(temperature_c) AS ucl,
@@ -207,9 +206,9 @@ def q_str_alerts(spark, d):
 
 
 def _gate_oracle():
-    from fabflow.operators.quality import native_rules
     from fabflow.plans.catalog import _BRONZE_COLS, report_sql, sql as _sql
-    agg, body = report_sql(native_rules("bronze"), "bronze_raw", _BRONZE_COLS, group="date")
+    from fabflow.plans.expected_rules import NATIVE
+    agg, body = report_sql(NATIVE["bronze"], "bronze_raw", _BRONZE_COLS, group="date")
     summary = """SELECT date AS batch_date, count(*) AS total_validations,
        count(*) FILTER (WHERE success) AS passed,
        count(*) FILTER (WHERE NOT success AND critical) AS critical_failures
@@ -442,7 +441,7 @@ def q_str_gate_quarantine(spark, d):
     src, out, ck = (staging_path(spark, n) for n in ("lines", "gate", "ck"))
     _corrupted_lines(spark, d, src)
     J.start_gate(spark, src, out + "/good", out + "/bad", out + "/reports", ck, max_files_per_trigger=8).awaitTermination()
-    sinks = [p for p in (out + "/good", out + "/bad") if _path_exists(spark, p)]     # a sink no batch reached is not there
+    sinks = [p for p in (out + "/good", out + "/bad") if path_exists(spark, p)]     # a sink no batch reached is not there
     return _split_counts(spark, sinks, out + "/bad-malformed")
 
 

@@ -103,10 +103,17 @@ def equipment_kpis(silver_df: DataFrame) -> DataFrame:
 
 
 def ml_features(silver_df: DataFrame, rows: int = 5, bucket_seconds: int | str = "auto") -> DataFrame:
-    """Rolling means of temperature and yield per chamber plus a temperature z-score."""
+    """Rolling means of temperature and yield per chamber plus a temperature z-score.
+
+    The readings are written to the shared folder first: statistics, split points and the rows
+    themselves then read that table, and the silver plan runs once.
+    """
     from fabflow.operators.spc import anomaly_score
     from fabflow.operators.windows import rolling_mean
-    base = silver_df.select(*C.BRONZE_COLUMNS)
+    from fabflow.session import staging_path
+    path = staging_path(silver_df.sparkSession, "ml-readings")
+    silver_df.select(*C.BRONZE_COLUMNS).write.mode("overwrite").parquet(path)
+    base = silver_df.sparkSession.read.schema(silver_df.select(*C.BRONZE_COLUMNS).schema).parquet(path)
     # z-score statistics come from the readings alone (before the window work)
     scored = anomaly_score(base, "temperature_c", "equipment_id")
     return rolling_mean(scored, ["temperature_c", "yield_rate"], rows=rows, bucket_seconds=bucket_seconds)

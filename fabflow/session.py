@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -80,7 +84,64 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return root
 
 
+def file_system(spark: SparkSession, path: str):
+    """The file system of a path and the path in its terms (any store Spark can reach)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = file_system(spark, path)
+    return fs.exists(p)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = file_system(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
+#: Staged paths of the ``stages`` blocks open in this thread, innermost last.
+_OPEN = threading.local()
+#: Stage folders that go when this process ends.
+_OWNED: set[str] = set()
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
-    """A unique path under the shared checkpoint folder."""
+    """A unique path under the shared checkpoint folder.
+
+    It belongs to the innermost :func:`stages` block of this thread, which removes it at its end;
+    outside any block it belongs to the application and goes when the driver process ends.
+    """
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/fabflow-stage/{name}-{os.getpid()}-{os.urandom(4).hex()}"
+    app = f"{root}/fabflow-stage/{spark.sparkContext.applicationId}-{os.getpid()}"
+    if app not in _OWNED:
+        _OWNED.add(app)
+        fs, p = file_system(spark, app)
+        atexit.register(_remove, fs, p)
+    path = f"{app}/{name}-{os.urandom(6).hex()}"
+    if getattr(_OPEN, "blocks", None):
+        _OPEN.blocks[-1].append(path)
+    return path
+
+
+def _remove(fs, path) -> None:
+    try:
+        fs.delete(path, True)
+    except Exception:  # noqa: BLE001  the JVM may be gone already; the folder is then left to the store's own cleaning
+        pass
+
+
+@contextmanager
+def stages(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside the block are removed at its end, so everything made of them must be written by then.
+
+    Streams wrap each micro-batch in one, so that a query that runs for ever leaves nothing behind.
+    """
+    blocks = _OPEN.__dict__.setdefault("blocks", [])
+    blocks.append([])
+    try:
+        yield
+    finally:
+        for path in blocks.pop():
+            delete_path(spark, path)

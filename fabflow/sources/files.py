@@ -72,15 +72,39 @@ def quarantine_malformed(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, quarantined
 
 
-def enforce_schema(df: DataFrame) -> DataFrame:
-    """Cast to the 8-column raw schema, dropping extra columns; a failed cast yields NULL."""
-    cols = []
+#: Column that holds what a cast could not read.
+RESCUED = "_rescued"
+
+
+def enforce_schema(df: DataFrame, rescued: str | None = None) -> DataFrame:
+    """Cast to the 8-column raw schema, dropping extra columns; a failed cast yields NULL.
+
+    With ``rescued`` a further column of that name keeps the text of every value whose cast failed,
+    as a JSON object by column; it is null for rows that were read whole.
+    """
+    cols, lost = [], []
     for f in C.RAW_SCHEMA.fields:
         if f.name in df.columns:
-            cols.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
+            value = F.col(f.name).try_cast(f.dataType)
+            cols.append(value.alias(f.name))
+            lost.append(F.when(F.col(f.name).isNotNull() & value.isNull(),
+                               F.struct(F.lit(f.name).alias("key"), F.col(f.name).cast("string").alias("value"))))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return df.select(*cols)
+    if rescued is None:
+        return df.select(*cols)
+    kept = F.array_compact(F.array(*lost)) if lost else F.array()
+    return df.select(*cols, F.when(F.size(kept) > 0, F.to_json(F.map_from_entries(kept))).cast("string").alias(rescued) if lost
+                     else F.lit(None).cast("string").alias(rescued))
+
+
+def split_rescued(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows whose every value could be cast, in the raw schema; the other rows with ``_rescued``).
+
+    The second frame keeps the values that could be cast, so together they hold every input row.
+    """
+    typed = enforce_schema(df, RESCUED)
+    return typed.filter(F.col(RESCUED).isNull()).drop(RESCUED), typed.filter(F.col(RESCUED).isNotNull())
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:

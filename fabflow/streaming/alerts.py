@@ -1,8 +1,8 @@
-"""Consecutive out-of-limit runs per chamber, computed without a per-chamber task.
+"""Consecutive out-of-limit runs per chamber: over a table, and over a stream.
 
-The run length of every reading is computed with DataFrame operations spread
-over (chamber, time bucket) partitions, and only one state row per chamber is
-carried between micro-batches:
+Over a table (:func:`run_alerts_batch`) the run length of every reading is
+computed with DataFrame operations spread over (chamber, time bucket)
+partitions, and one state row per chamber carries on to the next table:
 
 * a *break* position is a reading that is inside the limits (the run after it
   is 0), or, with ``reset_after_seconds``, the slot just before a reading that
@@ -12,11 +12,10 @@ carried between micro-batches:
   buckets by a prefix over the small per-bucket summary table, and across
   micro-batches by the carried state (run at the end, last event time).
 
-The result equals the batch definition (gaps and islands over the whole
-ordered sequence per chamber), which the oracle checks, as long as readings
-arrive in event order between micro-batches. A reading that arrives a batch
-late is counted where it arrives: it extends or ends the run open at that
-time, and alerts already written are not renumbered.
+The result equals gaps and islands over the whole ordered sequence per chamber.
+
+Over a stream (:func:`start_alerts`) a keyed state with event-time timers puts
+the readings of a chamber in order before it counts them.
 """
 
 from __future__ import annotations
@@ -24,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor
 
 from fabflow.operators.joins import join_small
 from fabflow.operators.windows import row_count_buckets
@@ -106,54 +106,125 @@ def run_alerts_batch(readings: DataFrame, limits: DataFrame, min_run: int = 3, c
     return alerts, seen.unionByName(kept)
 
 
-def _state_before(spark, state_path: str, batch_id: int) -> DataFrame | None:
-    """The chamber state written by the newest micro-batch before ``batch_id`` (None at the start)."""
-    from fabflow.operators.merge import _path_exists
-    if not _path_exists(spark, state_path):
-        return None
-    older = spark.read.parquet(state_path).filter(F.col("batch_id") < batch_id)
-    newest = older.agg(F.max("batch_id")).first()[0]         # one number
-    return None if newest is None else older.filter(F.col("batch_id") == newest).drop("batch_id")
+#: What the ordering processor returns: alerts, and readings that came too late to be ordered.
+RUNS_OUT = "kind string, equipment_id string, us bigint, wafer_id string, value double, run_length bigint"
+#: Spark's own watermark trails by this much, so that Spark drops nothing and the processor decides what is late.
+SLACK_DAYS = 3650
+SLACK_MS = SLACK_DAYS * 86_400_000
 
 
-def alerts_batch_writer(limits: DataFrame, sink: str, state_path: str, min_run: int = 3,
-                        reset_after_seconds: int | None = None, target_rows_per_bucket: int = 1_000_000,
-                        quarantine: str | None = None):
-    """foreachBatch body: distributed run lengths, alerts appended, chamber state versioned by batch id.
+class OrderedRuns(StatefulProcessor):
+    """Numbers the out-of-limit runs of one chamber in event order, whatever order its readings arrive in.
 
-    Re-running a batch id reads the state of the batch before it and replaces
-    its own alert and state partitions (idempotent on retry). Only the states of
-    the last two batches are kept: a batch is only ever retried while it is the
-    newest. Malformed rows go to ``quarantine`` (by default beside the sink).
+    Readings wait in a list state until the event time of the stream is ``delay_ms`` past them (an
+    event-time timer says when); then they are taken in the order of (time, wafer). The state that
+    stays is one row: run length, time and wafer of the last reading taken. A reading whose place in
+    the order has been passed already cannot be numbered any more and comes out as ``late``.
     """
-    from fabflow.operators.merge import _delete
-    from fabflow.streaming.jobs import default_quarantine, good_rows, malformed_rows, write_batch_idempotent
-    quarantine = quarantine or default_quarantine(sink)
 
-    def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        prior = _state_before(spark, state_path, batch_id)
+    def __init__(self, min_run: int, delay_ms: int, reset_us: int | None):
+        self.min_run, self.delay_ms, self.reset_us = min_run, delay_ms, reset_us
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", "us bigint, wafer_id string, value double, beyond boolean")
+        self.passed = handle.getValueState("passed", "run bigint, us bigint, wafer_id string")
+
+    def _due_ms(self, timers) -> int:
+        """Readings up to this millisecond may be taken."""
+        watermark = timers.getCurrentWatermarkInMs()
+        return watermark + SLACK_MS - self.delay_ms if watermark > 0 else -1
+
+    def _remind(self, readings) -> None:
+        """One timer, at the watermark that makes the earliest waiting reading due."""
+        for old in list(self.handle.listTimers()):
+            self.handle.deleteTimer(old)
+        self.handle.registerTimer(max(1, min(r[0] for r in readings) // 1000 - SLACK_MS + self.delay_ms))
+
+    def handleInputRows(self, key, rows, timerValues):
+        last = self.passed.get() if self.passed.exists() else None
+        fresh, late = [], []
+        for part in rows:
+            values = [None if v != v else v for v in part["value"].tolist()]
+            for r in zip(part["us"].tolist(), part["wafer_id"].tolist(), values, part["beyond"].tolist(), strict=True):
+                (late if last is not None and (r[0], r[1] or "") <= (last[1], last[2] or "") else fresh).append(r)
+        if fresh:
+            first = [t for t in self.handle.listTimers()]
+            self.waiting.appendList(fresh)
+            earliest = max(1, min(r[0] for r in fresh) // 1000 - SLACK_MS + self.delay_ms)
+            if not first or earliest < min(first):
+                self._remind(fresh)
+        yield _runs_frame([("late", key[0], us, wafer, value, 0) for us, wafer, value, _ in late])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        due = self._due_ms(timerValues)
+        readings = sorted(self.waiting.get(), key=lambda r: (r[0], r[1] or ""))
+        ready = [r for r in readings if r[0] // 1000 <= due]
+        rest = readings[len(ready):]
+        run, before, _ = self.passed.get() if self.passed.exists() else (0, None, None)
+        alerts = []
+        for us, wafer, value, beyond in ready:
+            silent = self.reset_us is not None and before is not None and us - before > self.reset_us
+            run = (1 if silent else run + 1) if beyond else 0
+            before = us
+            if run >= self.min_run:
+                alerts.append(("alert", key[0], us, wafer, value, run))
+        if ready:
+            self.passed.update((run, ready[-1][0], ready[-1][1]))
+        if rest:
+            self.waiting.put(rest)
+            self._remind(rest)
+        else:
+            self.waiting.clear()
+        yield _runs_frame(alerts)
+
+    def close(self) -> None:
+        pass
+
+
+def _runs_frame(rows: list[tuple]):
+    import pandas as pd
+    return pd.DataFrame(rows, columns=["kind", "equipment_id", "us", "wafer_id", "value", "run_length"]).astype(
+        {"us": "int64", "run_length": "int64", "value": "float64"})
+
+
+def start_alerts(spark, source: str, limits: DataFrame, sink: str, checkpoint: str,
+                 min_run: int = 3, reset_after_seconds: int | None = None, trigger: str = "available_now",
+                 max_files_per_trigger: int | None = None, quarantine: str | None = None,
+                 delay_seconds: int = 0, late: str | None = None):
+    """STR-10: readings that extend a run of ``min_run`` or more out-of-limit readings of a chamber.
+
+    Run lengths are counted in event order: readings may arrive up to ``delay_seconds`` of event time
+    out of order, and alerts come that much later. What arrives later still goes to ``late``,
+    malformed rows to ``quarantine`` (both beside the sink by default). One query, state in Spark's
+    own state store.
+    """
+    from fabflow.streaming.jobs import _trigger, default_late, default_quarantine, good_rows, malformed_rows, read_wire_stream, write_batch_idempotent
+    from fabflow.streaming.progress import DELIVERY, delivery_counters
+    quarantine, late = quarantine or default_quarantine(sink), late or default_late(sink)
+    parsed = read_wire_stream(spark, source, max_files_per_trigger)
+    known = join_small(good_rows(parsed).select("equipment_id", "timestamp", "wafer_id", "temperature_c"),
+                       limits.select("equipment_id", "ucl", "lcl"), "equipment_id", "left")
+    beyond = F.coalesce((F.col("temperature_c") > F.col("ucl")) | (F.col("temperature_c") < F.col("lcl")), F.lit(False))
+    readings = known.withWatermark("timestamp", f"{SLACK_DAYS} days").select(
+        "equipment_id", "timestamp", F.unix_micros("timestamp").alias("us"), "wafer_id", F.col("temperature_c").alias("value"), beyond.alias("beyond"))
+    reset_us = None if reset_after_seconds is None else int(reset_after_seconds) * 1_000_000
+    runs = readings.groupBy("equipment_id").transformWithStateInPandas(
+        statefulProcessor=OrderedRuns(min_run, int(delay_seconds) * 1000, reset_us), outputStructType=RUNS_OUT,
+        outputMode="Append", timeMode="EventTime")
+    rows = parsed.observe(DELIVERY, *delivery_counters()).select(F.struct("*").alias("row"))
+    both = runs.select(F.struct("*").alias("out")).unionByName(rows, allowMissingColumns=True)
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
-        readings = good_rows(batch)
         try:
-            alerts, state = run_alerts_batch(readings, limits, min_run, "temperature_c", reset_after_seconds,
-                                             prior, target_rows_per_bucket=target_rows_per_bucket)
-            write_batch_idempotent(alerts, sink, batch_id, ())
-            write_batch_idempotent(state, state_path, batch_id, ())
-            write_batch_idempotent(malformed_rows(batch), quarantine, batch_id, ())
-            _delete(spark, f"{state_path}/batch_id={batch_id - 2}")
+            out = batch.filter("out is not null").select("out.*").select(
+                "kind", "equipment_id", F.timestamp_micros("us").alias("timestamp"), "wafer_id", F.col("value").alias("temperature_c"), "run_length")
+            write_batch_idempotent(out.filter("kind = 'alert'").drop("kind"), sink, batch_id, ())
+            write_batch_idempotent(out.filter("kind = 'late'").drop("kind", "run_length"), late, batch_id, ())
+            write_batch_idempotent(malformed_rows(batch.filter("row is not null").select("row.*")), quarantine, batch_id, ())
         finally:
             batch.unpersist()
-    return run
-
 
-def start_alerts(spark, source: str, limits: DataFrame, sink: str, checkpoint: str,
-                 min_run: int = 3, reset_after_seconds: int | None = None, trigger: str = "available_now",
-                 max_files_per_trigger: int | None = None, quarantine: str | None = None):
-    """STR-10: readings that extend a run of ``min_run`` or more out-of-limit readings of a chamber."""
-    from fabflow.streaming.jobs import _trigger, read_wire_stream
-    state_path = checkpoint.rstrip("/") + "/alert-state"
-    s = read_wire_stream(spark, source, max_files_per_trigger)
-    body = alerts_batch_writer(limits, sink, state_path, min_run, reset_after_seconds, quarantine=quarantine)
-    w = s.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
+    w = both.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     return _trigger(w, trigger).start()

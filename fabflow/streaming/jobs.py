@@ -10,9 +10,10 @@ string runs continuously. Batch size is bounded by ``max_files_per_trigger``
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -21,6 +22,7 @@ from fabflow import constants as C
 from fabflow.operators import quality as Q
 from fabflow.sinks.files import bronze_frame
 from fabflow.sources.files import CORRUPT, parse_wire, wire_schema_with_corrupt
+from fabflow.streaming.progress import DELIVERY, delivery_counters
 
 
 def write_batch_idempotent(df: DataFrame, path: str, batch_id: int, partition_by=("date",)) -> None:
@@ -54,6 +56,11 @@ def good_rows(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col(CORRUPT).isNull() & F.col("timestamp").isNotNull())
 
 
+def default_late(sink: str) -> str:
+    """Where rows behind the watermark go unless the caller names a folder: beside the sink."""
+    return sink.rstrip("/") + "-late"
+
+
 def malformed_rows(parsed: DataFrame) -> DataFrame:
     """What ``good_rows`` leaves out, with the text it came from."""
     return parsed.filter(F.col(CORRUPT).isNotNull() | F.col("timestamp").isNull()).select(
@@ -65,31 +72,50 @@ def default_quarantine(sink: str) -> str:
     return sink.rstrip("/") + "-quarantine"
 
 
-class StreamPair:
-    """A query and the query that writes the malformed rows of the same source; looks like the first one."""
+def late_threshold(spark: SparkSession, checkpoint: str, batch_id: int) -> int | None:
+    """Event time in milliseconds up to which Spark drops rows of this batch as late (None: it drops none).
 
-    def __init__(self, main: StreamingQuery, quarantine: StreamingQuery):
-        self.main, self.quarantine = main, quarantine
+    That is the watermark with which the batch before was planned, as the query's own offset log in
+    its checkpoint folder has it, so it is the same on a retry or after a restart.
+    """
+    if batch_id == 0:
+        return None
+    lines = [r["value"] for r in spark.read.text(f"{checkpoint.rstrip('/')}/offsets/{batch_id - 1}").collect()]
+    return json.loads(lines[1])["batchWatermarkMs"] or None
 
-    def awaitTermination(self, timeout: int | None = None):
-        done = [q.awaitTermination(timeout) for q in (self.main, self.quarantine)]
-        return None if timeout is None else all(done)
 
-    def stop(self) -> None:
-        self.main.stop()
-        self.quarantine.stop()
+def _start_accounted(spark: SparkSession, source: str, build: Callable[[DataFrame], DataFrame], passed: Callable[[Column], Column],
+                     sink: str, checkpoint: str, trigger: str, quarantine: str | None, late: str | None,
+                     max_files_per_trigger: int | None) -> StreamingQuery:
+    """A stateful stream whose every input row is accounted for, as one query.
 
-    def __getattr__(self, name: str):
-        return getattr(self.main, name)
+    The result of ``build(good rows)`` and the input rows themselves pass through one plan, so both
+    see the same micro-batches. Per batch: results go to ``sink``, malformed rows to ``quarantine``,
+    and rows for which ``passed(watermark)`` holds, those the stateful operator drops, to ``late``
+    with their lateness. Nothing is written twice on a retry.
+    """
+    quarantine, late = quarantine or default_quarantine(sink), late or default_late(sink)
+    parsed = read_wire_stream(spark, source, max_files_per_trigger)
+    rows = parsed.observe(DELIVERY, *delivery_counters()).select(F.struct("*").alias("row"))
+    both = build(good_rows(parsed).select(*C.RAW_COLUMNS)).select(F.struct("*").alias("out")).unionByName(rows, allowMissingColumns=True)
 
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        threshold = late_threshold(spark, checkpoint, batch_id)
+        batch = batch.persist()
+        try:
+            came = batch.filter("row is not null").select("row.*")
+            write_batch_idempotent(batch.filter("out is not null").select("out.*"), sink, batch_id, ())
+            write_batch_idempotent(malformed_rows(came), quarantine, batch_id, ())
+            if threshold is not None:
+                mark = F.timestamp_millis(F.lit(threshold))
+                behind = (F.unix_micros(mark) - F.unix_micros("timestamp")) / F.lit(1e6)
+                lost = good_rows(came).filter(passed(mark)).select(*C.RAW_COLUMNS, behind.alias("lateness_seconds"))
+                write_batch_idempotent(lost, late, batch_id, ())
+        finally:
+            batch.unpersist()
 
-def _with_quarantine(main: StreamingQuery, spark: SparkSession, source: str, quarantine: str, checkpoint: str,
-                     trigger: str, max_files_per_trigger: int | None = None) -> StreamPair:
-    """Add the quarantine query of a stateful stream, whose own plan can only take good rows."""
-    bad = malformed_rows(read_wire_stream(spark, source, max_files_per_trigger))
-    w = (bad.writeStream.format("parquet").outputMode("append").option("path", quarantine)
-         .option("checkpointLocation", checkpoint.rstrip("/") + "-quarantine"))
-    return StreamPair(main, _trigger(w, trigger).start())
+    w = both.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    return _trigger(w, trigger).start()
 
 
 def batch_counters(batch: DataFrame) -> DataFrame:
@@ -107,10 +133,12 @@ def start_archive(spark: SparkSession, source: str, sink: str, checkpoint: str,
     """Consume -> parse -> bronze -> Parquet partitioned by event date (STR-1..4, 7).
 
     Malformed rows go to ``quarantine`` (by default beside the sink) in the same batch, so rows in =
-    good + quarantined. With ``metrics`` every batch also writes its counters there, one row per
-    batch id, exact over any number of batches and restarts (:func:`progress_counters` reads them).
+    good + quarantined. The batch's counters are observed as it passes and posted with its progress
+    (:class:`fabflow.streaming.progress.ProgressListener`); with ``metrics`` every batch also writes
+    them there, one row per batch id, exact over any number of batches and restarts
+    (:func:`progress_counters` reads them).
     """
-    parsed = read_wire_stream(spark, source, max_files_per_trigger)
+    parsed = read_wire_stream(spark, source, max_files_per_trigger).observe(DELIVERY, *delivery_counters())
     quarantine = quarantine or default_quarantine(sink)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
@@ -159,20 +187,25 @@ def start_to_topic(stream: DataFrame, bootstrap: str, topic: str, checkpoint: st
 def dedup_stream(stream: DataFrame, delay: str = "1 hour", key: str = "wafer_id") -> DataFrame:
     """Drop redelivered copies of a key arriving within ``delay`` of the first (STR-8).
 
-    State per key is dropped once the watermark passes; replays later than the
-    delay need the batch upsert (``operators.merge``).
+    Rows without a key are no copies of each other: all of them pass. State per key is dropped once
+    the watermark passes; replays later than the delay need the batch upsert (``operators.merge``).
     """
-    return stream.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark([key])
+    keyed = stream.filter(F.col(key).isNotNull()).withWatermark("timestamp", delay).dropDuplicatesWithinWatermark([key])
+    return keyed.unionByName(stream.filter(F.col(key).isNull()))
 
 
 def start_dedup(spark: SparkSession, source: str, sink: str, checkpoint: str, delay: str = "1 hour",
-                trigger: str = "available_now", quarantine: str | None = None) -> StreamPair:
-    """Write each key once (STR-8); malformed rows go to ``quarantine`` through a query of their own."""
-    s = dedup_stream(good_rows(read_wire_stream(spark, source)).select(*C.RAW_COLUMNS), delay)
-    w = (s.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
-         .option("path", sink))
-    return _with_quarantine(_trigger(w, trigger).start(), spark, source, quarantine or default_quarantine(sink),
-                            checkpoint, trigger)
+                trigger: str = "available_now", quarantine: str | None = None, late: str | None = None,
+                max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Write each key once, and every row without a key (STR-8).
+
+    Malformed rows go to ``quarantine`` and keyed rows behind the watermark to ``late``, so rows in =
+    sink + copies + quarantined + late.
+    """
+    def passed(mark: Column) -> Column:
+        return F.col("wafer_id").isNotNull() & (F.col("timestamp") <= mark)
+    return _start_accounted(spark, source, lambda s: dedup_stream(s, delay), passed, sink, checkpoint, trigger, quarantine, late,
+                            max_files_per_trigger)
 
 
 def window_profile(stream: DataFrame, window: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
@@ -195,14 +228,17 @@ def window_profile(stream: DataFrame, window: str = "1 hour", delay: str = "10 m
 
 
 def start_window_profile(spark: SparkSession, source: str, sink: str, checkpoint: str, window: str = "1 hour",
-                         delay: str = "10 minutes", trigger: str = "available_now",
-                         quarantine: str | None = None) -> StreamPair:
-    """Write closed windows' KPIs (STR-9); malformed rows go to ``quarantine`` through a query of their own."""
-    s = window_profile(good_rows(read_wire_stream(spark, source)), window, delay)
-    w = (s.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
-         .option("path", sink))
-    return _with_quarantine(_trigger(w, trigger).start(), spark, source, quarantine or default_quarantine(sink),
-                            checkpoint, trigger)
+                         delay: str = "10 minutes", trigger: str = "available_now", quarantine: str | None = None,
+                         late: str | None = None, max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Write closed windows' KPIs (STR-9).
+
+    Malformed rows go to ``quarantine`` and rows whose window has closed already to ``late``, so rows
+    in = rows of closed and open windows + quarantined + late.
+    """
+    def passed(mark: Column) -> Column:
+        return F.window("timestamp", window)["end"] <= mark
+    return _start_accounted(spark, source, lambda s: window_profile(s, window, delay), passed, sink, checkpoint, trigger, quarantine,
+                            late, max_files_per_trigger)
 
 
 def gate_batch_writer(good_sink: str, quarantine_sink: str, report_sink: str, layer: str = "bronze",

@@ -161,8 +161,13 @@ def test_distributed_alerts_carry_state_and_reset(spark, scratch):
     got = sorted((r.wafer_id, r.run_length) for r in spark.read.parquet(scratch + "/out").collect())
     # run 390,391 spans batches 0/1; 392..394 spans 1/2; after 6 h of silence 395,396 restart at 1
     assert got == [("W00000002", 2), ("W00000005", 2), ("W00000006", 3), ("W00000009", 2)]
-    state = spark.read.parquet(scratch + "/ck/alert-state")
-    assert sorted(r[0] for r in state.select("batch_id").distinct().collect()) == [2, 3]     # older states are removed
+    # the same through the table form, its state handed on from part to part
+    state, found = None, []
+    for a, b in [(0, 2), (2, 5), (5, 8), (8, 10)]:
+        part = df.filter(F.col("wafer_id").between(f"W{a:08d}", f"W{b - 1:08d}"))
+        alerts, state = AL.run_alerts_batch(part, limits, 2, reset_after_seconds=3600, state=state)
+        found += [(r.wafer_id, r.run_length) for r in alerts.collect()]
+    assert sorted(found) == got
 
 
 def test_distributed_ks_matches_spark_ml(spark):
@@ -192,13 +197,10 @@ def test_batch_writers_accept_an_empty_micro_batch(spark, scratch):
     J.gate_batch_writer(scratch + "/g", scratch + "/q", scratch + "/r")(empty, 0)
     assert spark.read.parquet(scratch + "/r").count() == 14          # a report even for no rows
     limits = spark.createDataFrame([("EQ001", 380.0, 320.0)], "equipment_id string, ucl double, lcl double")
-    one = parse_wire(SK.to_wire(frame(spark, [{"temperature_c": 390.0}], with_date=False))
-                     .withColumn("_corrupt_record", F.lit(None).cast("string")))
-    w = AL.alerts_batch_writer(limits, scratch + "/a", scratch + "/s", min_run=1)
-    w(one, 0)
-    w(empty, 1)
-    st = spark.read.parquet(scratch + "/s")
-    assert st.filter("batch_id = 1").select("run").first()[0] == 1   # state carried through the empty batch
+    one = frame(spark, [{"temperature_c": 390.0}], with_date=False)
+    _, state = AL.run_alerts_batch(one, limits, 1)
+    _, state = AL.run_alerts_batch(one.limit(0), limits, 1, state=state)
+    assert state.select("run").first()[0] == 1                       # state carried through the empty batch
 
 
 def test_delivery_stats_helper():
@@ -256,3 +258,165 @@ def test_lost_offsets_fail_unless_the_caller_says_otherwise():
     from fabflow.sources.kafka import kafka_source_options
     assert "failOnDataLoss" not in kafka_source_options("h:1", "t")
     assert kafka_source_options("h:1", "t", fail_on_data_loss=False)["failOnDataLoss"] == "false"
+
+
+def _in_turn(parts, path):
+    """Each frame as one file in a folder of its own, by arrival."""
+    for i, part in enumerate(parts):
+        _write_batch(part, path, i)
+        time.sleep(0.05)
+    return path + "/b*"
+
+
+def _readings(spark, minutes, temps=None):
+    base = datetime(2024, 1, 1)
+    rows = [{"wafer_id": f"W{i:08d}", "timestamp": base + timedelta(minutes=m), "temperature_c": 350.0 if temps is None else float(temps[i])}
+            for i, m in enumerate(minutes)]
+    return frame(spark, rows, with_date=False)
+
+
+def _islands(rows, min_run):
+    """(wafer, run) of out-of-limit readings in plain order."""
+    run, out = 0, []
+    for ts, w, t in sorted(rows):
+        run = run + 1 if t > 380 or t < 320 else 0
+        if run >= min_run:
+            out.append((w, run))
+    return sorted(out)
+
+
+def test_alerts_order_readings_that_arrive_late(spark, scratch):
+    import random
+    rng = random.Random(3)
+    minutes = list(range(60))
+    temps = [rng.choice([350, 390, 390]) for _ in minutes]
+    df = _readings(spark, minutes, temps)
+    limits = spark.createDataFrame([("EQ001", 380.0, 320.0)], "equipment_id string, ucl double, lcl double")
+    arrival = {m: m + rng.randint(0, 25) for m in minutes}           # up to 25 minutes out of order, so a batch or two
+    n = F.substring("wafer_id", 2, 8).cast("int")
+    parts = [df.filter(n.isin([m for m in minutes if lo <= arrival[m] < lo + 10])) for lo in range(0, 90, 10)]
+    flush = _readings(spark, [6000]).withColumn("wafer_id", F.lit("END"))
+    src = _in_turn([p for p in [*parts, flush] if p.count()], scratch + "/src")
+    q = AL.start_alerts(spark, src, limits, scratch + "/out", scratch + "/ck", min_run=2, max_files_per_trigger=1, delay_seconds=50 * 60)
+    q.awaitTermination()
+    rows = [(m, f"W{m:08d}", temps[m]) for m in minutes]
+    assert sorted((r.wafer_id, r.run_length) for r in spark.read.parquet(scratch + "/out").collect()) == _islands(rows, 2)
+    assert not glob.glob(scratch + "/out-late/**/*.parquet", recursive=True)
+    # with no patience, readings whose place has passed come out as late and the others are still numbered in order
+    AL.start_alerts(spark, src, limits, scratch + "/out2", scratch + "/ck2", min_run=2, max_files_per_trigger=1).awaitTermination()
+    late = {r.wafer_id for r in spark.read.parquet(scratch + "/out2-late").collect()}
+    kept = [r for r in rows if r[1] not in late]
+    assert late and sorted((r.wafer_id, r.run_length) for r in spark.read.parquet(scratch + "/out2").collect()) == _islands(kept, 2)
+
+
+def test_every_row_of_a_dedup_stream_is_accounted_for(spark, scratch):
+    import random
+    rng = random.Random(4)
+    parts, rows = [], 0
+    for b in range(8):                                               # time runs on, some rows come from long ago, some twice, some without a key
+        minutes = [b * 60 + rng.randint(0, 59) for _ in range(20)] + [rng.randint(0, max(1, b * 60)) for _ in range(10)]
+        df = _readings(spark, minutes)
+        ids = [f"K{b}-{i}" if i % 4 else (None if i % 8 else f"K{max(0, b - 1)}-{i + 1}") for i in range(30)]
+        df = df.withColumn("wafer_id", F.element_at(F.array(*[F.lit(x) for x in ids]), F.substring("wafer_id", 2, 8).cast("int") + 1))
+        parts.append(df)
+        rows += 30
+    src = _in_turn(parts, scratch + "/src")
+    with open(scratch + "/src/b003/bad.json", "w") as f:
+        f.write("not json\n")
+    J.start_dedup(spark, src, scratch + "/out", scratch + "/ck", "30 minutes", max_files_per_trigger=1).awaitTermination()
+    out, late = spark.read.parquet(scratch + "/out"), spark.read.parquet(scratch + "/out-late")
+    came = spark.read.schema(C.WIRE_SCHEMA).json(src).filter("equipment_id is not null")
+    keyless = came.filter("wafer_id is null").count()
+    assert keyless > 10 and out.filter("wafer_id is null").count() == keyless                # all of them pass
+    keyed = out.filter("wafer_id is not null")
+    assert keyed.count() == keyed.select("wafer_id").distinct().count()
+    assert late.count() > 5 and late.agg(F.min("lateness_seconds")).first()[0] >= 0
+    assert spark.read.parquet(scratch + "/out-quarantine").count() == 1
+    assert late.join(keyed, ["wafer_id", "timestamp"], "left_semi").count() == 0            # nothing is both late and out
+    copies = rows - out.count() - late.count()
+    assert copies >= 0
+    # a row that is neither out nor late is a copy: its key came out before
+    rest = came.select("wafer_id", F.to_timestamp("timestamp").alias("timestamp")).exceptAll(out.select("wafer_id", "timestamp")).exceptAll(late.select("wafer_id", "timestamp"))
+    assert rest.count() == copies and rest.join(keyed, "wafer_id", "left_anti").count() == 0
+
+
+def test_window_rows_are_in_a_window_or_late(spark, scratch):
+    parts = [_readings(spark, range(0, 60, 3)), _readings(spark, range(180, 240, 3)), _readings(spark, [5, 10, 230, 235]), _readings(spark, [12, 600])]
+    src = _in_turn(parts, scratch + "/src")
+    J.start_window_profile(spark, src, scratch + "/out", scratch + "/ck", "1 hour", "10 minutes", max_files_per_trigger=1).awaitTermination()
+    counted = spark.read.parquet(scratch + "/out").agg(F.sum("wafers")).first()[0]
+    late = spark.read.parquet(scratch + "/out-late").count() if glob.glob(scratch + "/out-late/**/*.parquet", recursive=True) else 0
+    assert late > 0 and counted + late + 1 == 20 + 20 + 4 + 2                                # the reading at minute 600 is in a window still open
+
+
+def test_listener_counts_every_batch_and_logs(spark, scratch, caplog):
+    import logging
+    from fabflow.streaming.progress import ProgressListener
+    src = scratch + "/src"
+    os.makedirs(src)
+    for i in range(102):
+        with open(f"{src}/{i:04d}.json", "w") as f:
+            f.write((WIRE % (i % 10, i) + "\n") * (1 + i % 3) + "not json\n" * (i % 2))
+    seen = ProgressListener(log_every=100)
+    spark.streams.addListener(seen)
+    try:
+        with caplog.at_level(logging.INFO, logger="fabflow.streaming.progress"):
+            q = J.start_archive(spark, src, scratch + "/o", scratch + "/c", max_files_per_trigger=1, metrics=scratch + "/m")
+            q.awaitTermination()
+            assert seen.wait(q)
+    finally:
+        spark.streams.removeListener(seen)
+    table = {r["batch_id"]: (r["rows"], r["malformed"]) for r in J.progress_counters(spark, scratch + "/m").collect()}
+    mine = seen.batches(spark).filter(F.col("query") == str(q.id)).collect()
+    assert len(table) == 102 and {r["batch_id"]: (r["sent"], r["failed"]) for r in mine if r["input_rows"]} == table
+    total = seen.totals(q)
+    sent, failed = sum(a for a, _ in table.values()), sum(b for _, b in table.values())
+    assert (total["sent"], total["failed"], total["input_rows"]) == (sent, failed, sent + failed)
+    assert abs(total["success_rate"] - J.delivery_stats(sent, failed)["success_rate"]) < 1e-9 and total["rows_per_second"] > 0
+    assert sum("success_rate" in r.getMessage() for r in caplog.records) == 1
+
+
+def test_listener_reports_rows_dropped_behind_the_watermark(spark, scratch):
+    from fabflow.streaming.progress import ProgressListener
+    src = _in_turn([_readings(spark, [0, 1]), _readings(spark, [500]), _readings(spark, [2, 3, 501]).withColumn("wafer_id", F.concat(F.lit("L"), "wafer_id"))],
+                   scratch + "/src")
+    seen = ProgressListener()
+    spark.streams.addListener(seen)
+    try:
+        q = J.start_dedup(spark, src, scratch + "/out", scratch + "/ck", "0 seconds", max_files_per_trigger=1)
+        q.awaitTermination()
+        seen.wait(q)
+    finally:
+        spark.streams.removeListener(seen)
+    late = spark.read.parquet(scratch + "/out-late").count() if glob.glob(scratch + "/out-late/**/*.parquet", recursive=True) else 0
+    assert seen.totals(q)["dropped_late"] == late
+    assert seen.totals(q)["sent"] == 6
+
+
+def test_observation_counts_a_batch_without_a_second_read(spark, scratch):
+    from fabflow.sources.files import read_json_lines
+    from fabflow.streaming.progress import observed
+    _half_malformed(scratch + "/src")
+    rows, seen = observed(read_json_lines(spark, scratch + "/src"))
+    J.good_rows(rows).select(*C.RAW_COLUMNS).write.parquet(scratch + "/o")
+    assert (seen.get["sent"], seen.get["failed"]) == (5, 5)
+
+
+def test_streams_leave_no_stage_behind(spark, scratch):
+    from fabflow import session
+    with session.stages(spark):
+        kept = session.staging_path(spark, "x")
+        spark.range(3).write.parquet(kept)
+        assert session.path_exists(spark, kept)
+    assert not session.path_exists(spark, kept)
+    src = scratch + "/src"
+    os.makedirs(src)
+    for i in range(10):
+        with open(f"{src}/{i:04d}.json", "w") as f:
+            f.write(WIRE % (i, i) + "\n")
+    limits = spark.createDataFrame([("EQ001", 340.0, 320.0)], "equipment_id string, ucl double, lcl double")
+    folder = f"{session.checkpoint_root(spark)}/fabflow-stage/{spark.sparkContext.applicationId}-{os.getpid()}".removeprefix("file:")
+    before = set(os.listdir(folder))
+    AL.start_alerts(spark, src, limits, scratch + "/out", scratch + "/ck", min_run=1, max_files_per_trigger=1).awaitTermination()
+    assert len(set(os.listdir(folder)) - before) <= 1                # the limits, once per query and not per batch
+    assert spark.read.parquet(scratch + "/out").count() == 10

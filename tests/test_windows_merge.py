@@ -198,16 +198,67 @@ def test_upsert_that_stopped_half_way_is_finished_by_the_next(spark, scratch, mo
     def stop(*_):
         raise RuntimeError("lost")
 
-    with monkeypatch.context() as m:                       # after the overwrite, before the emptied folder goes
-        m.setattr(MG, "_delete", stop)
-        m.setattr(MG, "recover_upsert", lambda *_: None)
+    with monkeypatch.context() as m:                       # the merge is staged, the table not yet changed
+        m.setattr(MG, "_finish", stop)
         with pytest.raises(RuntimeError):
             MG.upsert_partitioned(moved, path)
-    assert spark.read.parquet(path).count() == 3           # the stale copy is still there
+    assert sorted((r.wafer_id, str(r.date)) for r in spark.read.parquet(path).collect()) == [("W1", "2024-03-01"), ("W2", "2024-03-02")]
     MG.upsert_partitioned(frame(spark, [{"wafer_id": "W3", "timestamp": datetime(2024, 3, 4)}]), path)
     assert sorted(r.wafer_id for r in spark.read.parquet(path).collect()) == ["W1", "W2", "W3"]
 
 
+def test_upsert_stopped_while_it_changed_the_table_is_finished_by_the_next(spark, scratch, monkeypatch):
+    path = scratch + "/t"
+    MG.upsert_partitioned(frame(spark, [{"wafer_id": "W1", "timestamp": datetime(2024, 3, 1, 1)},
+                                        {"wafer_id": "W2", "timestamp": datetime(2024, 3, 2, 1)}]), path)
+    moved = frame(spark, [{"wafer_id": "W1", "timestamp": datetime(2024, 3, 2, 5)}])
+    with monkeypatch.context() as m:                       # after the overwrites, before the staged data goes
+        m.setattr(MG, "delete_path", lambda *_: None)
+        MG.upsert_partitioned(moved, path)
+    MG.upsert_partitioned(frame(spark, [{"wafer_id": "W3", "timestamp": datetime(2024, 3, 4)}]), path)
+    assert sorted((r.wafer_id, str(r.date)) for r in spark.read.parquet(path).collect()) == [
+        ("W1", "2024-03-02"), ("W2", "2024-03-02"), ("W3", "2024-03-04")]
+
+
+def test_upsert_keeps_stored_columns_the_increment_lacks(spark, scratch):
+    path = scratch + "/t"
+    base = frame(spark, [{"wafer_id": "W1", "timestamp": datetime(2024, 3, 1, 1)}, {"wafer_id": "W2", "timestamp": datetime(2024, 3, 1, 2)}])
+    MG.upsert_partitioned(base.withColumn("extra", F.col("wafer_id")), path)
+    MG.upsert_partitioned(frame(spark, [{"wafer_id": "W3", "timestamp": datetime(2024, 3, 1, 3)}, {"wafer_id": "W2", "timestamp": datetime(2024, 3, 1, 9)}]), path)
+    out = {r.wafer_id: r.extra for r in spark.read.parquet(path).collect()}
+    assert out == {"W1": "W1", "W2": None, "W3": None}
+    for wrong in (base.withColumn("other", F.lit(1)), base.withColumn("extra", F.lit(1)), base.withColumn("temperature_c", F.lit("350"))):
+        with pytest.raises(ValueError, match="other|extra|temperature_c"):
+            MG.upsert_partitioned(wrong, path)
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_key_table_finds_moved_keys_without_shuffling_the_stored_side(spark, scratch):
+    from fabflow.operators import key_table as KT
+    path, name = scratch + "/t", "keys_" + scratch[-6:].replace("-", "_").lower()
+    rows = [{"wafer_id": f"W{i}", "timestamp": datetime(2024, 3, 1 + i % 9, 1)} for i in range(40)]
+    MG.upsert_partitioned(frame(spark, rows), path, key_table=name)
+    keys = frame(spark, [{"wafer_id": "W4"}, {"wafer_id": "new"}]).select("wafer_id")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = KT.stored_partitions(spark, name, keys)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange") == 1 and "Bucketed: true" in plan            # the increment's keys alone
+    res = MG.upsert_partitioned(frame(spark, [{"wafer_id": "W0", "timestamp": datetime(2024, 3, 20)}, {"wafer_id": "N", "timestamp": datetime(2024, 3, 2)}]),
+                                path, key_table=name)
+    assert res == {"touched_partitions": 3, "emptied_partitions": 0}
+    MG.upsert_partitioned(frame(spark, [{"wafer_id": "W0", "timestamp": datetime(2024, 3, 21)}]), path, key_table=name)
+    KT.compact_key_table(spark, name)
+    res = MG.upsert_partitioned(frame(spark, [{"wafer_id": "W0", "timestamp": datetime(2024, 3, 22)}]), path, key_table=name)
+    assert res["touched_partitions"] == 2 and res["emptied_partitions"] == 1
+    out = {r.wafer_id: r.date.day for r in spark.read.parquet(path).collect()}
+    assert len(out) == 41 == spark.read.parquet(path).count() and out["W0"] == 22 and out["N"] == 2
+    assert {r.wafer_id: r.date.day for r in KT.current_partitions(spark, name).collect()} == out
+    spark.sql(f"DROP TABLE {name}")
+
+
 def test_upsert_leaves_the_session_overwrite_mode_alone(spark, scratch):
     before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     for _ in range(2):
