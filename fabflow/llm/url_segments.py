@@ -26,8 +26,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fabflow.llm.rows import staged
+
 #: Letters up to which words are few enough to broadcast, and from which longer words are met by a common start.
 SHORT, STEM = 3, 16
+#: Copies of each word's row in the model, for words that stand in very many urls.
+SALTS = 16
 #: Rules as (verdict, host, path start).
 RULES = (
     ("allow", "org", "/"),
@@ -154,7 +158,8 @@ def judge(pages: DataFrame, id_col: str = "page_id", url: str = "url", text: str
     targets = parsed.groupBy("host", "path").agg(F.count("*").alias("weight")).withColumns({"rule": rule, "ruled": ruled})
     raw = targets.select("host", "path", "weight", "ruled", F.explode(raw_tokens(F.col("host"), F.col("path"))).alias("name"))
     letters = F.col("name").rlike("^[a-z]+$")
-    split = segment(raw.filter(letters).select("name").distinct(), unigrams(pages, text))
+    counts = staged(unigrams(pages, text), "unigrams")             # read by four joins, counted once
+    split = segment(raw.filter(letters).select("name").distinct(), counts)
     tokens = (raw.join(split, "name", "left")
               .select("host", "path", "weight", "ruled", F.explode(F.coalesce("words", F.array("name"))).alias("word"))
               .groupBy("host", "path", "word").agg(F.count("*").alias("times"), F.first("weight").alias("weight"), F.first("ruled").alias("ruled")))
@@ -165,7 +170,9 @@ def judge(pages: DataFrame, id_col: str = "page_id", url: str = "url", text: str
     docs = {r["ruled"]: r["n"] for r in targets.groupBy("ruled").agg(F.sum("weight").alias("n")).collect()}
     prior = log((docs.get("allow", 0) + 1) / (docs.get("block", 0) + 1))
     rate = lambda c: F.log((F.col(c) + F.lit(1.0)) / F.lit(float(size[c] + size["words"] + 1)))
-    odds = (tokens.join(model.select("word", (rate("allow") - rate("block")).alias("odds")), "word")
+    # a word such as "com" stands in most urls: its rows meet one of SALTS copies of its model row
+    copies = model.select("word", (rate("allow") - rate("block")).alias("odds"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    odds = (tokens.withColumn("salt", F.pmod(F.xxhash64("host", "path"), F.lit(SALTS)).cast("int")).join(copies, ["word", "salt"])
             .groupBy("host", "path").agg(F.sum(F.col("times") * F.col("odds")).alias("odds")))
     judged = (targets.join(odds, ["host", "path"], "left")
               .select("host", "path", "rule", "ruled", F.round(F.coalesce("odds", F.lit(0.0)) + F.lit(prior), 9).alias("log_odds")))
