@@ -75,12 +75,15 @@ def default_quarantine(sink: str) -> str:
 def late_threshold(spark: SparkSession, checkpoint: str, batch_id: int) -> int | None:
     """Event time in milliseconds up to which Spark drops rows of this batch as late (None: it drops none).
 
-    That is the watermark with which the batch before was planned, as the query's own offset log in
-    its checkpoint folder has it, so it is the same on a retry or after a restart.
+    That is the watermark with which the batch before was planned (this batch, where chained stateful
+    operators are switched off), as the query's own offset log in its checkpoint folder has it, so it
+    is the same on a retry or after a restart.
     """
-    if batch_id == 0:
+    chained = spark.conf.get("spark.sql.streaming.statefulOperator.allowMultiple", "true") == "true"
+    planned = batch_id - 1 if chained else batch_id
+    if planned < 0:
         return None
-    lines = [r["value"] for r in spark.read.text(f"{checkpoint.rstrip('/')}/offsets/{batch_id - 1}").collect()]
+    lines = [r["value"] for r in spark.read.text(f"{checkpoint.rstrip('/')}/offsets/{planned}").collect()]
     return json.loads(lines[1])["batchWatermarkMs"] or None
 
 
