@@ -101,13 +101,14 @@ def _histogram(base: DataFrame, g: list[str], ranges: dict[int, tuple[Column, Co
         tags.append(F.when(k.between(lo, hi), F.struct(F.lit(r).alias("r"), F.call_function("shiftright", k, s).alias("d"), k.alias("k"), v.alias("v"))))
     hist = (base.select(*g, F.explode(F.array_compact(F.array(*tags))).alias("_b"))
             .groupBy(*g, F.col("_b.r").alias("_r"), F.col("_b.d").alias("d"))
-            .agg(F.count(F.lit(1)).alias("n"), F.min("_b.k").alias("lo"), F.max("_b.k").alias("hi"), F.min("_b.v").alias("v")))
-    return hist.groupBy(*g, "_r").agg(F.sort_array(F.collect_list(F.struct("d", "n", "lo", "hi", "v"))).alias("_bins"))
+            .agg(F.count(F.lit(1)).alias("n"), F.min("_b.k").alias("lo"), F.max("_b.k").alias("hi"),
+                 F.min("_b.v").alias("v"), F.max("_b.v").alias("w")))
+    return hist.groupBy(*g, "_r").agg(F.sort_array(F.collect_list(F.struct("d", "n", "lo", "hi", "v", "w"))).alias("_bins"))
 
 
 def _pick(targets: DataFrame, g: list[str]) -> DataFrame:
-    """The bin of each target ``_of`` (number, rank) among ``_bins``: ``(group..., _t, _k, _lo, _hi, _n, _x)``, ``_x`` a value of it."""
-    start = F.struct(F.lit(0).cast("long").alias("before"), F.lit(None).cast("struct<d:bigint,n:bigint,lo:bigint,hi:bigint,v:double>").alias("hit"))
+    """The bin of each target ``_of`` (number, rank) among ``_bins``: ``(group..., _t, _k, _lo, _hi, _n, _x, _y)``, ``_x`` to ``_y`` its values."""
+    start = F.struct(F.lit(0).cast("long").alias("before"), F.lit(None).cast("struct<d:bigint,n:bigint,lo:bigint,hi:bigint,v:double,w:double>").alias("hit"))
     rank = F.col("_of._k")
 
     def step(seen, b):
@@ -117,7 +118,7 @@ def _pick(targets: DataFrame, g: list[str]) -> DataFrame:
 
     got = targets.select(*g, F.col("_of._t").alias("_t"), rank.alias("_rank"), F.aggregate("_bins", start, step).alias("_hit"))
     return got.select(*g, "_t", (F.col("_rank") - F.col("_hit.before")).alias("_k"), F.col("_hit.hit.lo").alias("_lo"),
-                      F.col("_hit.hit.hi").alias("_hi"), F.col("_hit.hit.n").alias("_n"), F.col("_hit.hit.v").alias("_x"))
+                      F.col("_hit.hit.hi").alias("_hi"), F.col("_hit.hit.n").alias("_n"), F.col("_hit.hit.v").alias("_x"), F.col("_hit.hit.w").alias("_y"))
 
 
 def _whole_table(keyed: DataFrame, stats: DataFrame, probs: list[float], bits: int) -> tuple[list, dict[int, float]]:
@@ -127,24 +128,25 @@ def _whole_table(keyed: DataFrame, stats: DataFrame, probs: list[float], bits: i
     for r in rows:
         for j, p in enumerate(probs if r["_n"] else []):
             for side, rank in enumerate((math.floor, math.ceil)):
-                todo[r["_c"] * slots + 2 * j + side] = (rank(p * (r["_n"] - 1)), r["_lo"], r["_hi"], r["_n"])
+                todo[r["_c"] * slots + 2 * j + side] = (rank(p * (r["_n"] - 1)), r["_lo"], r["_hi"], r["_n"], None, None)
     while todo:
         shared: dict[tuple, list] = {}
-        for t, (k, lo, hi, n) in sorted(todo.items()):
-            shared.setdefault((t // slots, lo, hi, n), []).append((t, k))
+        for t, (k, lo, hi, n, low, high) in sorted(todo.items()):
+            shared.setdefault((t // slots, lo, hi, n, low, high), []).append((t, k))
         ranges, wanted, inside = {}, [], F.lit(False)
-        for (c, lo, hi, n), some in shared.items():
+        for (c, lo, hi, n, low, high), some in shared.items():
             r = some[0][0]
             ranges[r] = (F.lit(lo), F.lit(hi), F.lit(0 if n <= 1 << bits else max(0, (hi - lo).bit_length() - bits)))
             wanted += [F.lit(r), F.array(*[F.struct(F.lit(t).alias("_t"), F.lit(k).cast("long").alias("_k")) for t, k in some])]
-            inside = inside | F.col(f"_k{c}").between(lo, hi)
+            # by value, not by key: the filter goes below the keys' arithmetic, where a key would be computed again for each use
+            inside = inside | (F.lit(True) if low is None else F.col(f"_v{c}").between(low, high))
         bins = _histogram(keyed.filter(inside), [], ranges, slots)      # only rows inside an open bin are expanded
         for h in _pick(bins.select("_bins", F.explode(F.create_map(*wanted)[F.col("_r")]).alias("_of")), []).collect():
             if h["_lo"] == h["_hi"]:
                 values[h["_t"]] = h["_x"]
                 del todo[h["_t"]]
             else:
-                todo[h["_t"]] = (h["_k"], h["_lo"], h["_hi"], h["_n"])
+                todo[h["_t"]] = (h["_k"], h["_lo"], h["_hi"], h["_n"], h["_x"], h["_y"])
     return rows, values
 
 
@@ -199,7 +201,7 @@ def quantile_table(df: DataFrame, columns, probs, group=None,
         after = _staged(_group_level(keyed, state, len(cols), g, slots, level == 0), "quantile-state")
         got = after.filter("_lo = _hi").select(*g, "_t", "_x")
         done = got if done is None else done.unionByName(got)
-        state = after.filter("_lo < _hi").withColumn("_s", _shift(bits)).drop("_n", "_x")
+        state = after.filter("_lo < _hi").withColumn("_s", _shift(bits)).drop("_n", "_x", "_y")
         level += 1
     label = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("_c") + 1).alias("column")
     shown = [F.col(a).alias(b) for a, b in zip(g, names, strict=True)] + [label, F.col("_n").alias("count"), *(extra or {})]
