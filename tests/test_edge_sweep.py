@@ -45,7 +45,7 @@ OPS = {
     "frequency": lambda d: P.frequency_distribution(d, "defect_count"),
     "histogram": lambda d: P.histogram(d, "temperature_c", 10),
     "anomalies": lambda d: P.anomaly_summary(d),
-    "quantiles": lambda d: exact_quantiles(d, ["temperature_c"], [0.1, 0.9], bits=1),
+    "quantiles": lambda d: exact_quantiles(d, ["temperature_c"], [0.1, 0.9], bits=6),
     "limits": lambda d: SPC.detection_summary(d, d, "temperature_c"),
     "limits_grouped": lambda d: SPC.detection_summary(d, d, "temperature_c", "equipment_id"),
     "zscore": lambda d: SPC.anomaly_score(d, "temperature_c"),

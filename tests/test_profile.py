@@ -124,7 +124,7 @@ def test_bounded_exact_quantiles_equal_percentile(spark):
     t = telemetry_raw(spark, SF_SMALL)
     probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
     got = {(r["column"], r["q_index"]): r["quantile"]
-           for r in exact_quantiles(t, ["temperature_c", "defect_count"], probs, bits=3).collect()}
+           for r in exact_quantiles(t, ["temperature_c", "defect_count"], probs, bits=6).collect()}
     want = t.agg(F.percentile(F.col("temperature_c"), probs).alias("t"),
                  F.percentile(F.col("defect_count").cast("double"), probs).alias("d")).first()
     for i in range(len(probs)):

@@ -49,7 +49,7 @@ def test_bucketed_rolling_mean_equals_window(spark, rows, bucket, frame_rows):
        st.lists(st.floats(0, 1), min_size=1, max_size=4))
 def test_bounded_quantiles_equal_percentile(spark, values, probs):
     df = spark.createDataFrame([(float(v),) for v in values], "x double")
-    got = {r.q_index: r.quantile for r in exact_quantiles(df, ["x"], probs, bits=2).collect()}
+    got = {r.q_index: r.quantile for r in exact_quantiles(df, ["x"], probs, bits=7).collect()}
     want = df.agg(F.percentile("x", probs)).first()[0]
     for i, w in enumerate(want):
         assert got[i] == pytest.approx(w, rel=1e-12, abs=1e-12)
