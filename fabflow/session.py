@@ -11,6 +11,10 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+#: Keeps streaming state in RocksDB on local disk; the only store that has what ``transformWithState`` needs.
+STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -21,8 +25,7 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # streaming state (watermark dedup keys, open windows, alert runs) lives in
     # RocksDB on local disk instead of executor heap; it grows with key rate x delay
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    STATE_PROVIDER: ROCKSDB,
 }
 
 
@@ -48,6 +51,24 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside the block keep their state in RocksDB, whatever the session is set to.
+
+    A stream takes a copy of the session's settings when it starts, so the session's own value comes
+    back at once and other streams are not touched.
+    """
+    before = spark.conf.get(STATE_PROVIDER, None)
+    spark.conf.set(STATE_PROVIDER, ROCKSDB)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(STATE_PROVIDER)
+        else:
+            spark.conf.set(STATE_PROVIDER, before)
+
+
 def is_local(master: str) -> bool:
     """Whether driver and executors are one process (``local``, ``local[n]``), so that they share a disk."""
     return master == "local" or master.startswith("local[")

@@ -27,6 +27,7 @@ from pyspark.sql.streaming import StatefulProcessor
 
 from fabflow.operators.joins import join_small
 from fabflow.operators.windows import row_count_buckets
+from fabflow.session import rocksdb_state
 
 STATE_SCHEMA = T.StructType([T.StructField("equipment_id", T.StringType()), T.StructField("run", T.LongType()),
                              T.StructField("last_ts", T.TimestampType())])
@@ -188,6 +189,11 @@ def _runs_frame(rows: list[tuple]):
         {"us": "int64", "run_length": "int64", "value": "float64"})
 
 
+def _by_name(source: str) -> str:
+    """A folder as a pattern of what Spark would read in it: matches of a pattern come sorted, a folder's listing does not."""
+    return source if any(c in source for c in "*?[{") else source.rstrip("/") + "/{[^._]*,_*=*}"
+
+
 def start_alerts(spark, source: str, limits: DataFrame, sink: str, checkpoint: str,
                  min_run: int = 3, reset_after_seconds: int | None = None, trigger: str = "available_now",
                  max_files_per_trigger: int | None = None, quarantine: str | None = None,
@@ -197,12 +203,14 @@ def start_alerts(spark, source: str, limits: DataFrame, sink: str, checkpoint: s
     Run lengths are counted in event order: readings may arrive up to ``delay_seconds`` of event time
     out of order, and alerts come that much later. What arrives later still goes to ``late``,
     malformed rows to ``quarantine`` (both beside the sink by default). One query, state in Spark's
-    own state store.
+    own state store (RocksDB for this query, whatever the session's provider is). Files are taken by
+    modification time and, where ``max_files_per_trigger`` deals them over batches, by name among
+    those of one time, so that files written at once do not come in the order of a folder listing.
     """
     from fabflow.streaming.jobs import _trigger, default_late, default_quarantine, good_rows, malformed_rows, read_wire_stream, write_batch_idempotent
     from fabflow.streaming.progress import DELIVERY, delivery_counters
     quarantine, late = quarantine or default_quarantine(sink), late or default_late(sink)
-    parsed = read_wire_stream(spark, source, max_files_per_trigger)
+    parsed = read_wire_stream(spark, _by_name(source) if max_files_per_trigger else source, max_files_per_trigger)
     known = join_small(good_rows(parsed).select("equipment_id", "timestamp", "wafer_id", "temperature_c"),
                        limits.select("equipment_id", "ucl", "lcl"), "equipment_id", "left")
     beyond = F.coalesce((F.col("temperature_c") > F.col("ucl")) | (F.col("temperature_c") < F.col("lcl")), F.lit(False))
@@ -227,4 +235,5 @@ def start_alerts(spark, source: str, limits: DataFrame, sink: str, checkpoint: s
             batch.unpersist()
 
     w = both.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
-    return _trigger(w, trigger).start()
+    with rocksdb_state(spark):
+        return _trigger(w, trigger).start()

@@ -420,3 +420,52 @@ def test_streams_leave_no_stage_behind(spark, scratch):
     AL.start_alerts(spark, src, limits, scratch + "/out", scratch + "/ck", min_run=1, max_files_per_trigger=1).awaitTermination()
     assert len(set(os.listdir(folder)) - before) <= 1                # the limits, once per query and not per batch
     assert spark.read.parquet(scratch + "/out").count() == 10
+
+
+def _ten_readings(src: str) -> None:
+    """One file per reading, all of one modification time, written last reading first."""
+    os.makedirs(src)
+    for i in reversed(range(10)):
+        with open(f"{src}/{i:04d}.json", "w") as f:
+            f.write(WIRE % (i, i) + "\n")
+        os.utime(f"{src}/{i:04d}.json", (1_700_000_000, 1_700_000_000))
+
+
+def test_alerts_run_on_a_session_with_another_state_store(spark, scratch):
+    from fabflow.session import STATE_PROVIDER
+    limits = spark.createDataFrame([("EQ001", 340.0, 320.0)], "equipment_id string, ucl double, lcl double")
+    before = spark.conf.get(STATE_PROVIDER)
+    other = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    _ten_readings(scratch + "/src")
+    spark.conf.set(STATE_PROVIDER, other)
+    try:
+        AL.start_alerts(spark, scratch + "/src", limits, scratch + "/out", scratch + "/ck", min_run=1).awaitTermination()
+        assert spark.conf.get(STATE_PROVIDER) == other
+    finally:
+        spark.conf.set(STATE_PROVIDER, before)
+    assert sorted(r["run_length"] for r in spark.read.parquet(scratch + "/out").collect()) == list(range(1, 11))
+
+
+def test_alerts_take_files_of_one_time_by_name(spark, scratch):
+    limits = spark.createDataFrame([("EQ001", 340.0, 320.0)], "equipment_id string, ucl double, lcl double")
+    _ten_readings(scratch + "/src")
+    with open(scratch + "/src/_SUCCESS", "w"), open(scratch + "/src/.part.crc", "w") as f:
+        f.write("no reading")
+    AL.start_alerts(spark, scratch + "/src", limits, scratch + "/out", scratch + "/ck", min_run=1, max_files_per_trigger=1).awaitTermination()
+    assert sorted(r["run_length"] for r in spark.read.parquet(scratch + "/out").collect()) == list(range(1, 11))
+    assert not [f for side in ("late", "quarantine") for f in glob.glob(f"{scratch}/out-{side}/**/*.parquet", recursive=True)]
+
+
+def test_daily_files_arrive_in_date_order(spark, scratch):
+    import __spark_entry__
+    __spark_entry__.queries()
+    from fabflow.plans.catalog_io import _arriving_by_day
+    for i, day in enumerate(("2024-01-03", "2024-01-01", "2024-01-02")):       # the order the tasks ended in
+        os.makedirs(f"{scratch}/src/_day={day}")
+        with open(f"{scratch}/src/_day={day}/part-{3 - i}.json", "w") as f:
+            f.write("{}\n")
+        os.utime(f"{scratch}/src/_day={day}/part-{3 - i}.json", (1_700_000_000 + i, 1_700_000_000 + i))
+    _arriving_by_day(spark, f"{scratch}/src/_day=*")
+    found = [os.path.join(at, f) for at, _, files in os.walk(f"{scratch}/src") for f in files if f.endswith(".json")]
+    assert [f.split("_day=")[1][:10] for f in sorted(found, key=os.path.getmtime)] == ["2024-01-01", "2024-01-02", "2024-01-03"]
+    assert len({os.path.getmtime(f) for f in found}) == 3
