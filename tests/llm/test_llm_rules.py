@@ -12,6 +12,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(__file__))
 
+from pyspark.sql import functions as F  # noqa: E402
 from llm_frames import DOCS, NAME_WORD, SPACE_WORD, empty, frame, lower  # noqa: E402
 
 from fabflow.llm import license_join, suffix_rules, url_segments  # noqa: E402
@@ -330,3 +331,22 @@ def test_url_odds_with_split_names_equal_brute_force(spark):
 
 def test_url_empty_table(spark):
     assert url_segments.judge(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_words_are_found_by_a_cheap_pattern_that_equals_the_fixed_one(spark):
+    import time
+    points = [c for c in (*range(0x300), *range(0x2000, 0x2100), 0xD7FF, 0xE000, 0xFEFF, 0xFFFF, *range(0x10000, 0x10010), 0x1F600, 0x10FFFF)]
+    text = "".join(f"a{chr(c)}Z{chr(c)}" for c in points)
+    df = spark.createDataFrame([(text,)], "text string")
+    found, fixed = df.select(license_join.words_of(F.col("text")), F.regexp_extract_all(license_join.lowered(F.col("text")), F.lit(license_join.WORD), F.lit(0))).first()
+    assert found == fixed and len(found) > 100
+    long = spark.range(8).select(F.concat(F.col("id").cast("string"), F.repeat(F.lit("é license ü "), 100_000)).alias("text")).cache()
+    long.count()
+
+    def seconds(pattern: str) -> float:
+        at = time.monotonic()
+        assert long.select(F.sum(F.regexp_count("text", F.lit(pattern)))).first()[0] == 8 * 300_000
+        return time.monotonic() - at
+
+    ranges = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"             # the same class as a list of ranges
+    assert 1.5 * min(seconds(license_join.RAW_WORD) for _ in range(3)) < min(seconds(ranges) for _ in range(3))
