@@ -1,4 +1,4 @@
-"""Labelled training rows for the classifiers: which rows may be learnt from, and a bounded sample of them."""
+"""Labelled training rows for the classifiers: which rows may be learnt from, all of them or a bounded sample."""
 
 from __future__ import annotations
 
@@ -12,6 +12,19 @@ def fold(id_col: str | Column, folds: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary")), F.lit(folds)).cast("int")
 
 
+def labelled(labels: DataFrame, label: str, folds: int, held_out: int, id_col: str = "doc_id") -> DataFrame:
+    """``(id, label)`` of every labelled id outside the held-out fold: the mean label, ties as 1; nulls teach nothing."""
+    return (labels.filter(F.col(id_col).isNotNull() & F.col(label).isNotNull() & (fold(id_col, folds) != held_out))
+            .groupBy(F.col(id_col).alias("id")).agg((F.avg(label) >= 0.5).cast("int").alias("label")))
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int,
+                  id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(text, label)`` of every labelled row outside the held-out fold; rows equal in id and text count once."""
+    body = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text")).withColumn("mark", F.xxhash64("text"))
+    return body.join(labelled(labels, label, folds, held_out, id_col), "id").dropDuplicates(["id", "mark"]).select("text", "label")
+
+
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, per_class: int,
                     id_col: str = "doc_id", text: str = "text") -> tuple[DataFrame, dict[int, int]]:
     """``(text, label)`` of up to ``per_class`` labelled rows of either class, and the full class counts.
@@ -21,8 +34,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
     count once; labels of ids that are not in ``docs`` do not count. The sample takes the rows least
     by hash, so it is the same on every run and every partitioning.
     """
-    ids = (labels.filter(F.col(id_col).isNotNull() & F.col(label).isNotNull() & (fold(id_col, folds) != held_out))
-           .groupBy(F.col(id_col).alias("id")).agg((F.avg(label) >= 0.5).cast("int").alias("label")))
+    ids = labelled(labels, label, folds, held_out, id_col)
     body = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text")).withColumn("mark", F.xxhash64("text"))
     present = body.select("id", "mark").distinct().join(ids, "id")
     counts = {r["label"]: r["n"] for r in present.groupBy("label").agg(F.count("*").alias("n")).collect()}

@@ -141,3 +141,22 @@ def test_pipeline_stages_keep_and_drop_what_their_operators_say(spark, tmp_path)
     assert set(texts["leaks"]) == set(texts["repeats"]) - {902}
     assert set(texts["tokens"]) == set(texts["leaks"])
     assert corpus_pipeline.run(spark, sf).count() == kept.count()
+
+
+def test_quality_is_fitted_on_every_labelled_row_and_pair(spark):
+    x = np.array([[-3], [0], [5], [64]])
+    good, bad = np.array([1.0, 2, 0, 4]), np.array([3.0, 0, 2, 1])
+    up, down = pairwise_quality.pulls(x.ravel(), good, bad)
+    missed = 1 / (1 + np.exp((x - x.T) / pairwise_quality.GRID))
+    assert np.allclose(up, (missed * bad).sum(axis=1) / bad.sum()) and np.allclose(down, (missed * good[:, None]).sum(axis=0) / good.sum())
+    n = len(pairwise_quality.statistics(b""))
+    values = [float(i) for i in range(9000)]                                   # more than any sample of 4000 a class
+    rows = spark.createDataFrame([([v] * n, int(v >= 6000)) for v in values], "stats array<double>, label int")
+    cuts = pairwise_quality.quantile_cuts(rows, n)
+    assert np.allclose(cuts, [9000 * k / 13 for k in range(1, 13)], rtol=1 / 128)
+    one, two = (pairwise_quality.fit(rows.repartition(k), rounds=2) for k in (2, 5))
+    assert (one["w"] == two["w"]).all() and (one["cuts"] == two["cuts"]).all() and one["cut"] == two["cut"]
+    docs = frame(spark, [(i, "w " * i) for i in range(40)])
+    ids = [i for i in range(40) if i % 3]
+    every = L.training_rows(docs.unionByName(docs), labels_frame(spark, [(i, 1, 0) for i in ids]), "quality", 4, 2)
+    assert every.count() == sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in ids)
