@@ -39,13 +39,17 @@ def _buckets(spark: SparkSession, name: str) -> int:
 
 def current_partitions(spark: SparkSession, name: str, key: str = "wafer_id", partition_col: str = "date") -> DataFrame:
     """``(key, partition_col)``: where every key is now; grouped inside the buckets."""
-    return (spark.table(name).groupBy(key).agg(F.max_by(F.struct(partition_col), "seq").alias("_at"))
+    return _latest(spark.table(name), key, partition_col)
+
+
+def _latest(entries: DataFrame, key: str, partition_col: str) -> DataFrame:
+    return (entries.groupBy(key).agg(F.max_by(F.struct(partition_col), "seq").alias("_at"))
             .select(key, F.col(f"_at.{partition_col}").alias(partition_col)))
 
 
 def stored_partitions(spark: SparkSession, name: str, keys: DataFrame, key: str = "wafer_id", partition_col: str = "date") -> DataFrame:
     """The partitions that hold rows of the given keys now (one row per key found)."""
-    return current_partitions(spark, name, key, partition_col).join(keys, key, "left_semi").select(partition_col)
+    return _latest(spark.table(name).join(keys, key, "left_semi"), key, partition_col).select(partition_col)
 
 
 def record_keys(rows: DataFrame, name: str, key: str = "wafer_id", partition_col: str = "date") -> None:

@@ -2,13 +2,15 @@
 
 Plain Parquet tables refuse ``MERGE INTO``; the upsert is expressed as:
 
-1. touched partitions = those of the incoming rows + those where their keys are stored now
-   (collected once, checked against ``max_partitions``); null is a partition like any other.
-   Where keys are stored comes from a bucketed key table (:mod:`fabflow.operators.key_table`,
+1. the incoming rows are staged, so that they are computed once; touched partitions = theirs +
+   those where their keys are stored now (collected once, checked against ``max_partitions``);
+   null is a partition like any other. Where keys are stored comes from a bucketed key table (:mod:`fabflow.operators.key_table`,
    no shuffle of the stored side) or, without one, from the stored key column
 2. merged = latest row per key over (stored rows of touched partitions + incoming); the
    stored side is filtered by literal values, so the scan reads only those folders
-3. merged is written beside the table, which cuts the lineage to the files being replaced
+3. merged is written beside the table, which cuts the lineage to the files being replaced; its
+   rows are dealt by partition first, so that the number of files goes with the partitions and
+   their size and not with partitions times tasks. What it holds tells which partitions it empties
 4. Spark's dynamic partition overwrite copies it over the touched partitions; touched
    partitions without any row left are overwritten with none
 
@@ -24,7 +26,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fabflow.operators.dedup import dedup_latest
-from fabflow.session import delete_path, path_exists
+from fabflow.session import delete_path, path_exists, staging_path, stages
+
+#: Staged merge results with a key table: whether a keyed row is one of the incoming rows.
+_ARRIVED = "_arrived"
 
 
 def merge_latest(current: DataFrame, incoming: DataFrame, key="wafer_id", order="timestamp") -> DataFrame:
@@ -43,6 +48,11 @@ def _in_partitions(column: str, values: list) -> Column:
     return cond | F.col(column).isNull() if None in values else cond
 
 
+def _by_partition(rows: DataFrame, partition_col: str) -> DataFrame:
+    """Rows dealt by partition value for a partitioned write; adaptive execution splits large values and joins small ones."""
+    return rows.hint("rebalance", F.col(partition_col))
+
+
 def stored_schema(spark: SparkSession, table_path: str, incoming: T.StructType, partition_col: str) -> T.StructType:
     """The table's own columns, the partition column with the incoming type (folder names have none).
 
@@ -79,7 +89,7 @@ def _finish(spark: SparkSession, table_path: str, partition_col: str, schema: T.
 def recover_upsert(spark: SparkSession, table_path: str, schema: T.StructType, partition_col: str = "date") -> int | None:
     """Finish an upsert that stopped half-way, or clear one that had not begun to change the table."""
     stage = _stage(table_path)
-    if path_exists(spark, f"{stage}/data/_SUCCESS"):
+    if path_exists(spark, f"{stage}/data/_SUCCESS") and path_exists(spark, f"{stage}/emptied/_SUCCESS"):
         return _finish(spark, table_path, partition_col, schema)
     delete_path(spark, stage)
     return None
@@ -96,7 +106,7 @@ def upsert_partitioned(incoming: DataFrame, table_path: str, key: str = "wafer_i
     the table lacks, or of another type, raise ValueError before anything is written.
 
     ``key_table`` names the bucketed key table that says where keys are stored;
-    it is brought up to date afterwards. Without one, finding keys that moved to
+    it is brought up to date with the upsert. Without one, finding keys that moved to
     another date scans the stored key column. ``lookback_days`` then states how late a redelivery may
     be; by default the rest of the key column is still checked and an older copy
     raises ValueError before anything is written. ``verify_lookback=False`` skips
@@ -107,14 +117,26 @@ def upsert_partitioned(incoming: DataFrame, table_path: str, key: str = "wafer_i
     from fabflow.operators import key_table as KT
     spark = incoming.sparkSession
     if not path_exists(spark, table_path):
-        dedup_latest(incoming, key, order).write.mode("overwrite").partitionBy(partition_col).parquet(table_path)
+        _by_partition(dedup_latest(incoming, key, order), partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(table_path)
         if key_table:
             KT.build_key_table(spark, table_path, key_table, key, partition_col, incoming.schema)
         return {"touched_partitions": None, "emptied_partitions": 0}
     schema = stored_schema(spark, table_path, incoming.schema, partition_col)
     recover_upsert(spark, table_path, schema, partition_col)
-    cols = schema.names
-    stored = spark.read.schema(schema).parquet(table_path).select(*cols)
+    with stages(spark):
+        arrived = staging_path(spark, "incoming")
+        incoming.write.mode("overwrite").parquet(arrived)
+        return _merge_into(spark.read.schema(incoming.schema).parquet(arrived), table_path, schema, key, order, partition_col,
+                           lookback_days, verify_lookback, max_partitions, key_table)
+
+
+def _merge_into(incoming: DataFrame, table_path: str, schema: T.StructType, key: str, order: str, partition_col: str,
+                lookback_days: int | None, verify_lookback: bool, max_partitions: int, key_table: str | None) -> dict:
+    """Steps 1 to 4 with staged incoming rows."""
+    from fabflow.operators import key_table as KT
+    spark = incoming.sparkSession
+    table = spark.read.schema(schema).parquet(table_path)
+    stored = table.select(*schema.names)
     keys = incoming.select(key).filter(F.col(key).isNotNull()).distinct()
     if key_table:
         moved_from = KT.stored_partitions(spark, key_table, keys, key, partition_col)
@@ -140,18 +162,24 @@ def upsert_partitioned(incoming: DataFrame, table_path: str, key: str = "wafer_i
         return {"touched_partitions": 0, "emptied_partitions": 0}
     affected = stored.filter(_in_partitions(partition_col, touched))
     fresh = incoming.select(*[F.col(f.name) if f.name in incoming.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+    staged = schema
+    if key_table:                                # which rows win tells where keys are now; equal rows without a key still collapse
+        staged = T.StructType([*schema, T.StructField(_ARRIVED, T.BooleanType())])
+        affected, fresh = (rows.withColumn(_ARRIVED, F.when(F.col(key).isNotNull(), F.lit(new))) for rows, new in ((affected, False), (fresh, True)))
     merged = merge_latest(affected, fresh, key, order)
 
     stage = _stage(table_path)
     data = f"{stage}/data"
-    # the folders of the touched partitions as Spark names them, and which of them keep no row
-    folders = (spark.read.schema(schema).parquet(table_path).filter(_in_partitions(partition_col, touched))
-               .select(F.col(partition_col).alias("_p"), F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("folder")).distinct())
-    left = merged.select(F.col(partition_col).alias("_q")).distinct()
-    (folders.join(left, F.col("_p").eqNullSafe(F.col("_q")), "left_anti").select("folder")
+    _by_partition(merged, partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(data)
+    kept = spark.read.schema(staged).parquet(data)
+    # touched partitions that keep no row, and their folders as Spark names them
+    values = spark.createDataFrame([(p,) for p in touched], T.StructType([T.StructField("_p", schema[partition_col].dataType)]))
+    left = kept.select(F.col(partition_col).alias("_q")).distinct()
+    gone = [r[0] for r in values.join(left, F.col("_p").eqNullSafe(F.col("_q")), "left_anti").collect()]
+    (table.filter(_in_partitions(partition_col, gone)).select(F.col("_metadata.file_path").alias("file")).distinct()
+     .select(F.regexp_replace("file", "/[^/]*$", "").alias("folder")).distinct()
      .coalesce(1).write.mode("overwrite").parquet(f"{stage}/emptied"))
-    merged.write.mode("overwrite").partitionBy(partition_col).parquet(data)
-    emptied = _finish(spark, table_path, partition_col, schema)
     if key_table:
-        KT.record_keys(dedup_latest(incoming, key, order), key_table, key, partition_col)
+        KT.record_keys(kept.filter(_ARRIVED), key_table, key, partition_col)
+    emptied = _finish(spark, table_path, partition_col, schema)
     return {"touched_partitions": len(touched), "emptied_partitions": emptied}
