@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fabflow.llm import bpe_tree, decontaminate, simhash_grid, substring_blocks, toxicity_mil
-from fabflow.llm.rows import read_table, staged
+from fabflow.llm.rows import join_sorted, read_table, staged
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Toxicity scores from which a document is rejected.
@@ -61,7 +61,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     near = simhash_grid.near_duplicates(keyed, id_col="key", width=3, bits=2)
     first = near.filter(F.col("key") == F.col("component")).select("key").distinct()
     # repeated rows fall together before they are dealt by key, one per task
-    return keyed.dropDuplicates(["key"]).join(first, "key").select(*COLUMNS)
+    return join_sorted(keyed.dropDuplicates(["key"]), first, "key").select(*COLUMNS)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -113,6 +113,13 @@ def test_pipeline_keeps_different_texts_of_one_id(spark):
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
 
 
+def test_near_copies_stage_broadcasts_no_documents(spark):
+    docs = frame(spark, clashes=False).selectExpr("doc_id", "text", "'en' lang", "'s' source", "1L n_chars")
+    plan = corpus_pipeline.drop_near_copies(spark, docs, "")._jdf.queryExecution().executedPlan().toString()
+    joins = [x.strip(" +-:*") for x in plan.splitlines() if "Join" in x]
+    assert joins[0].startswith("SortMergeJoin [key"), joins[0]
+
+
 def test_segment_counts_are_a_lower_bound(spark):
     prints = clusters(9, 10)
     df = spark.createDataFrame([(signed(p),) for p in prints], "fp long")
