@@ -469,3 +469,32 @@ def test_daily_files_arrive_in_date_order(spark, scratch):
     found = [os.path.join(at, f) for at, _, files in os.walk(f"{scratch}/src") for f in files if f.endswith(".json")]
     assert [f.split("_day=")[1][:10] for f in sorted(found, key=os.path.getmtime)] == ["2024-01-01", "2024-01-02", "2024-01-03"]
     assert len({os.path.getmtime(f) for f in found}) == 3
+
+
+def test_no_task_gathers_the_readings_of_a_chamber(spark, scratch):
+    limits = spark.createDataFrame([("EQ001", 340.0, 320.0)], "equipment_id string, ucl double, lcl double")
+    _ten_readings(scratch + "/src")
+    q = AL.start_alerts(spark, scratch + "/src", limits, scratch + "/out", scratch + "/ck", min_run=1)
+    q.awaitTermination()
+    state = next(p for p in q.recentProgress if p["numInputRows"])["stateOperators"]
+    assert [s["numRowsTotal"] for s in state] == [10]                # a row each, whatever the chamber
+    assert sorted(r["run_length"] for r in spark.read.parquet(scratch + "/out").collect()) == list(range(1, 11))
+
+
+def test_alerts_count_copies_old_times_and_readings_of_no_chamber(spark, scratch):
+    """Before 1970, equal in every column, without a chamber: in a first batch, and again behind the watermark."""
+    day = lambda y, m, chamber, wafer, t: (datetime(y, 1, 1, 0, m), wafer, chamber, t)
+    rows = [[day(1960, 1, "EQ001", "A", 390.0), day(2024, 1, "EQ001", "B", 390.0), day(2024, 1, "EQ001", "B", 390.0), day(2024, 2, "EQ001", None, 391.0),
+             day(2024, 9, "EQ002", "C", 390.0), day(2024, 1, None, "D", 390.0)],
+            [day(2024, 5, "EQ001", "E", 390.0), day(2024, 1, "EQ001", "F", 390.0), day(1960, 1, "EQ002", "G", 390.0), day(2024, 1, None, "D", 390.0)],
+            [day(2024, 30, "EQ001", "H", 350.0)],
+            [day(2024, 6, "EQ001", "I", 390.0), day(2024, 4, "EQ001", "J", 390.0)]]
+    names = ("timestamp", "wafer_id", "equipment_id", "temperature_c")
+    src = _in_turn([frame(spark, [dict(zip(names, r)) for r in part], with_date=False) for part in rows], scratch + "/src")
+    limits = spark.createDataFrame([("EQ001", 380.0, 320.0), ("EQ002", 380.0, 320.0)], "equipment_id string, ucl double, lcl double")
+    AL.start_alerts(spark, src, limits, scratch + "/out", scratch + "/ck", min_run=1, max_files_per_trigger=1).awaitTermination()
+    got = sorted((r.equipment_id, r.run_length, r.wafer_id) for r in spark.read.parquet(scratch + "/out").collect())
+    assert got == [("EQ001", 1, "A"), ("EQ001", 2, "B"), ("EQ001", 3, "B"), ("EQ001", 4, "F"), ("EQ001", 5, None), ("EQ001", 6, "E"),
+                   ("EQ001", 7, "I"), ("EQ002", 1, "G"), ("EQ002", 2, "C")]
+    assert [(r.equipment_id, r.wafer_id) for r in spark.read.parquet(scratch + "/out-late").collect()] == [("EQ001", "J")]
+    assert len(os.listdir(scratch + "/ck/runs")) <= 2
